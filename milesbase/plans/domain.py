@@ -80,3 +80,12 @@ flights AS (SELECT {_K}, any_value(m_pc) AS points_cost, any_value(m_cc) AS cash
 
 LIVE_CASH_CTE = """
 live_cash AS (SELECT * FROM fx_cash WHERE expires_at_utc > TIMESTAMP '2024-01-31 00:00:00')"""
+
+
+def queue(L: Lake) -> DataFrame:
+    """Work queue with the provider slug of its program carrier."""
+    return L.fx_queue.withColumn("source", X.case_map("airline", AIRLINE_SOURCE))
+
+
+QUEUE_CTE = """
+queue AS (SELECT *, CASE airline WHEN 'AS' THEN 'alaska' WHEN 'DL' THEN 'delta' WHEN 'B6' THEN 'jetblue' WHEN 'TK' THEN 'turkish' WHEN 'EY' THEN 'etihad' WHEN 'WN' THEN 'southwest' END AS source FROM fx_queue)"""
