@@ -89,3 +89,22 @@ def queue(L: Lake) -> DataFrame:
 
 QUEUE_CTE = """
 queue AS (SELECT *, CASE airline WHEN 'AS' THEN 'alaska' WHEN 'DL' THEN 'delta' WHEN 'B6' THEN 'jetblue' WHEN 'TK' THEN 'turkish' WHEN 'EY' THEN 'etihad' WHEN 'WN' THEN 'southwest' END AS source FROM fx_queue)"""
+
+
+def cash_attempts(L: Lake) -> DataFrame:
+    """Cash collection attempts per unit, derived from the attempt log (fare_count = records)."""
+    a = L.fx_attempt
+    return a.select("origin", F.col("dest").alias("destination"),
+                    F.date_add(F.lit(AS_OF_DATE).cast("date"), F.pmod(F.col("seq"), F.lit(31)).cast("int")).alias("date"),
+                    X.case_map(F.pmod(F.col("seq"), F.lit(4)), {0: "economy", 1: "business", 2: "premium_economy"},
+                               "first").alias("cabin"),
+                    F.col("ts").alias("attempt_utc"), "seq", F.col("records").alias("fare_count"))
+
+
+CASH_ATTEMPTS_CTE = """
+cash_attempts AS (SELECT origin, dest AS destination, DATE '2024-01-31' + CAST(seq % 31 AS INT) AS date,
+  CASE seq % 4 WHEN 0 THEN 'economy' WHEN 1 THEN 'business' WHEN 2 THEN 'premium_economy' ELSE 'first' END AS cabin,
+  ts AS attempt_utc, seq, records AS fare_count FROM fx_attempt),
+coverage AS (SELECT upper(origin) AS origin, upper(destination) AS destination, date, cabin, attempt_utc AS last_attempt_utc, fare_count,
+  CASE WHEN fare_count = 0 THEN attempt_utc + INTERVAL 3 DAY ELSE attempt_utc END AS next_probe_utc
+  FROM cash_attempts QUALIFY row_number() OVER (PARTITION BY upper(origin), upper(destination), date, cabin ORDER BY attempt_utc DESC, seq DESC) = 1)"""
