@@ -1,0 +1,20 @@
+"""Join helpers.
+
+``checked_broadcast``: broadcast a derived side only after proving its size.
+The probe is ``limit(cap + 1).count()`` (reads at most cap + 1 rows); beyond
+the cap the frame is returned unhinted, so Spark plans a shuffle join (and AQE
+may still convert it at runtime if the shuffled side turns out small).
+Literal dimensions (tens of rows by construction) are broadcast directly.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_BROADCAST_ROWS = 200_000
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

@@ -71,5 +71,5 @@ def day_offset(c) -> Column:
 
 def parse_dates_csv(c) -> Column:
     """fn_parse_dates_csv: CSV of ISO dates -> array<date>; blank / malformed tokens dropped."""
-    toks = F.transform(F.split(F.coalesce(col(c), F.lit("")), ","), lambda x: F.try_to_date(F.trim(x), F.lit("yyyy-MM-dd")))
+    toks = F.transform(F.split(F.coalesce(col(c), F.lit("")), ","), lambda x: F.try_to_date(F.trim(x), "yyyy-MM-dd"))
     return F.filter(toks, lambda x: x.isNotNull())
