@@ -37,6 +37,11 @@ def ttl_hours(tier="tier") -> Column:
     return case_map(tier, {"HIGH": TTL_HOURS["HIGH"], "MED": TTL_HOURS["MED"]}, TTL_HOURS["LOW"])
 
 
+def seconds_between(start, end) -> Column:
+    """Exact elapsed seconds (microsecond precision) from ``start`` to ``end``."""
+    return F.timestamp_diff("MICROSECOND", col(start), col(end)).cast("double") / 1e6
+
+
 def hours(n) -> Column:
     """An interval of ``n`` (integer column) hours."""
     return F.make_dt_interval(F.lit(0), col(n).cast("int"))

@@ -49,7 +49,7 @@ def freshness(flights: DataFrame, as_of) -> DataFrame:
         F.count(F.lit(1)).alias("rows"),
         F.max("scraped_at_utc").alias("newest_scrape"),
         F.count_if(F.col("expires_at_utc") > ts).alias("unexpired_rows"),
-    ).withColumn("newest_age_h", F.round(F.timestamp_diff("SECOND", F.col("newest_scrape"), ts) / 3600.0, 1))
+    ).withColumn("newest_age_h", F.round(X.seconds_between("newest_scrape", ts) / 3600.0, 1))
 
 
 def cheapest_by_cabin(awards: DataFrame, scrape_key) -> DataFrame:
