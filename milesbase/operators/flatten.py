@@ -291,3 +291,113 @@ def flatten_southwest(bronze: DataFrame) -> DataFrame:
                    layover_airports=F.when(F.size(lay) > 0, F.array_join(lay, ",")),
                    next_day_arrival=F.coalesce(F.col("det.nextDay"), F.lit(False)))
     return recs
+
+
+# ------------------------------------------------------------------ Delta: offer sets x offers x fare information
+# --- fixed values: brand id -> cabin, first matching substring wins (in this order) ---
+DELTA_CABIN_RULES = [
+    ("DELTA_ONE", "business"), ("DELTAONE", "business"), ("DELTA ONE", "business"), ("CD1", "business"),
+    ("AFST", "business"), ("BUSINESS", "business"), ("CDPS", "premium_economy"), ("PREMIUM_SELECT", "premium_economy"),
+    ("PREMIUM SELECT", "premium_economy"), ("AFPE", "premium_economy"), ("PREMIUM", "premium_economy"),
+    ("COMFORT", "economy"), ("DCP", "economy"), ("FIRST", "first"), ("BASIC", "economy"), ("MAIN", "economy"),
+    ("ECONOMY", "economy"),
+]
+CABIN_RANK = {"business": 4, "first": 3, "premium_economy": 2, "economy": 1}
+# --- end fixed values ---
+
+_DHM = "struct<dayCnt: bigint, hourCnt: bigint, minuteCnt: bigint>"
+_DL_PRICE = "struct<totalFarePrice: struct<milesEquivalentPrice: struct<mileCnt: double>, currencyEquivalentPrice: struct<roundedCurrencyAmt: double>>>"
+_DL_CARRIER = "struct<carrierCode: string, carrierNum: string>"
+_DL_LEG = (f"struct<marketingCarrier: {_DL_CARRIER}, operatingCarrier: {_DL_CARRIER}, aircraft: struct<fleetTypeCode: string, "
+           f"subFleetTypeCode: string>, layover: struct<destinationAirportCode: string, layoverDuration: {_DHM}>>")
+DELTA_SCHEMA = (f"struct<data: struct<gqlSearchOffers: struct<gqlOffersSets: array<struct<"
+                f"trips: array<struct<stopCnt: bigint, scheduledDepartureLocalTs: string, scheduledArrivalLocalTs: string, "
+                f"totalTripTime: {_DHM}, flightSegment: array<struct<marketingCarrier: {_DL_CARRIER}, "
+                f"operatingCarrier: {_DL_CARRIER}, flightLeg: array<{_DL_LEG}>>>>>, "
+                f"offers: array<struct<additionalOfferProperties: struct<fareType: string, dominantSegmentBrandId: string>, "
+                f"offerItems: array<struct<retailItems: array<struct<retailItemMetaData: struct<fareInformation: array<struct<"
+                f"brandByFlightLegs: array<struct<brandId: string, cosCode: string>>, availableSeatCnt: bigint, "
+                f"farePrice: string>>>>>>>>>>>>>>")
+
+
+def brand_to_cabin(brand: Column) -> Column:
+    """fn_brand_to_cabin: the first rule whose token occurs in the upper-cased brand id."""
+    key = F.upper(brand)
+    out = None
+    for token, cabin in DELTA_CABIN_RULES:
+        cond = key.contains(token)
+        out = F.when(cond, F.lit(cabin)) if out is None else out.when(cond, F.lit(cabin))
+    return F.when(F.length(brand) > 0, out)
+
+
+def most_premium(cabins: Column) -> Column:
+    """fn_most_premium: business > first > premium economy > economy; null if none."""
+    ranked = F.filter(F.transform(cabins, lambda c: F.struct(lookup(CABIN_RANK, c).alias("r"), c.alias("c"))),
+                      lambda x: x["r"].isNotNull())
+    return F.when(F.size(ranked) > 0, F.array_max(ranked)["c"])
+
+
+def dhm_minutes(d: Column) -> Column:
+    """fn_duration_dhm: {dayCnt, hourCnt, minuteCnt} -> minutes; <= 0 -> null."""
+    t = F.coalesce(d["dayCnt"], F.lit(0)) * 1440 + F.coalesce(d["hourCnt"], F.lit(0)) * 60 + F.coalesce(d["minuteCnt"], F.lit(0))
+    return F.when(d.isNotNull() & (t > 0), t)
+
+
+def _carrier_nums(items: Column) -> Column:
+    nums = F.transform(items, lambda s: F.coalesce(s["marketingCarrier"], s["operatingCarrier"]))
+    nums = F.transform(nums, lambda c: F.when((F.length(c["carrierCode"]) > 0) & (F.length(c["carrierNum"]) > 0),
+                                              F.concat(c["carrierCode"], F.lit(" "), c["carrierNum"])))
+    return F.filter(nums, lambda n: n.isNotNull())
+
+
+def flatten_delta(bronze: DataFrame, airports: DataFrame) -> DataFrame:
+    """nrm_delta: one record per priced branded fare. Cabin from the dominant brand, else the
+    most premium leg brand; farePrice may be a list or an object; trip duration from the
+    day/hour/minute object, else arrival - departure instants."""
+    p = bronze.withColumn("_p", F.from_json("payload", DELTA_SCHEMA))
+    s = p.select(*RESPONSE, F.posexplode(F.coalesce(F.col("_p.data.gqlSearchOffers.gqlOffersSets"), F.array())).alias("set_pos", "os"))
+    trip = F.get(F.col("os.trips"), 0)
+    s = s.filter(trip.isNotNull()).withColumn("_trip", trip)
+    legs = F.flatten(F.transform(F.coalesce(F.col("_trip.flightSegment"), F.array()), lambda g: F.coalesce(g["flightLeg"], F.array())))
+    s = s.withColumn("_legs", legs)
+    nums = F.when(F.size(_carrier_nums(F.col("_trip.flightSegment"))) > 0, _carrier_nums(F.col("_trip.flightSegment"))) \
+            .otherwise(_carrier_nums(F.col("_legs")))
+    lay = F.filter(F.transform("_legs", lambda l: F.upper(l["layover"]["destinationAirportCode"])), lambda a: F.length(a) == 3)
+    z = airports.select("iata", "tz")
+    s = s.join(F.broadcast(z.withColumnRenamed("iata", "_o").withColumnRenamed("tz", "_otz")), F.upper(s["origin"]) == F.col("_o"), "left") \
+         .join(F.broadcast(z.withColumnRenamed("iata", "_d").withColumnRenamed("tz", "_dtz")), F.upper(s["destination"]) == F.col("_d"), "left")
+    iso = F.lit("yyyy-MM-dd'T'HH:mm:ss")
+    dep_l = F.try_to_timestamp(F.regexp_replace("_trip.scheduledDepartureLocalTs", "Z", ""), iso).cast("timestamp_ntz")
+    arr_l = F.try_to_timestamp(F.regexp_replace("_trip.scheduledArrivalLocalTs", "Z", ""), iso).cast("timestamp_ntz")
+    dep = F.when(F.col("_otz").isNotNull(), F.convert_timezone(F.col("_otz"), F.lit("UTC"), dep_l))
+    arr = F.when(F.col("_dtz").isNotNull(), F.convert_timezone(F.col("_dtz"), F.lit("UTC"), arr_l))
+    diff = F.timestamp_diff("MINUTE", dep, arr)
+    s = s.select("*", F.coalesce(F.col("_trip.stopCnt"), F.greatest(F.size("_legs") - 1, F.lit(0))).alias("_stops"),
+                 F.coalesce(dhm_minutes(F.col("_trip.totalTripTime")), F.when(diff > 0, diff)).alias("_dur"),
+                 F.when(F.size(nums) > 0, F.array_join(nums, "+")).otherwise(F.lit("UNKNOWN")).alias("_raw_fn"),
+                 F.when(F.size(lay) > 0, F.array_join(lay, ",")).alias("_lay"),
+                 (arr.isNotNull() & F.coalesce(F.to_date(arr_l) > F.col("travel_date"), F.lit(False))).alias("_nd"))
+    o = s.select("*", F.posexplode(F.coalesce(F.col("os.offers"), F.array())).alias("off_pos", "off"))
+    fis = F.flatten(F.transform(F.coalesce(F.col("off.offerItems"), F.array()), lambda it: F.flatten(F.transform(
+        F.coalesce(it["retailItems"], F.array()), lambda ri: F.coalesce(ri["retailItemMetaData"]["fareInformation"], F.array())))))
+    f = o.select("*", F.posexplode(fis).alias("fi_pos", "fi"))
+    brands = F.filter(F.coalesce(F.col("fi.brandByFlightLegs"), F.array()), lambda b: F.length(b["brandId"]) > 0)
+    leg_cabins = F.filter(F.transform(brands, lambda b: brand_to_cabin(b["brandId"])), lambda c: c.isNotNull())
+    cabin = F.coalesce(brand_to_cabin(F.col("off.additionalOfferProperties.dominantSegmentBrandId")), most_premium(leg_cabins))
+    raw_price = F.col("fi.farePrice")
+    price = F.when(F.trim(raw_price).startswith("["), F.get(F.from_json(raw_price, f"array<{_DL_PRICE}>"), 0)) \
+             .otherwise(F.from_json(raw_price, _DL_PRICE))
+    f = f.select("*", cabin.alias("_cabin"), price["totalFarePrice"]["milesEquivalentPrice"]["mileCnt"].alias("_miles"),
+                 price["totalFarePrice"]["currencyEquivalentPrice"]["roundedCurrencyAmt"].alias("_cash"),
+                 F.get(F.filter(F.coalesce(F.col("fi.brandByFlightLegs"), F.array()), lambda b: F.length(b["cosCode"]) > 0), 0)["cosCode"].alias("_cos"),
+                 (F.size(F.array_distinct(leg_cabins)) > 1).alias("_mixed"))
+    f = f.filter(F.col("_cabin").isNotNull() & (F.col("_miles") > 0))
+    ft = F.col("off.additionalOfferProperties.fareType")
+    recs = _record(f, "DL", "delta", keep=[F.col("_mixed").alias("mixed_cabin")],
+                   points_cost=F.col("_miles").cast("long"), cash_cost=F.coalesce(F.col("_cash"), F.lit(0.0)),
+                   cabin_class=F.col("_cabin"), stops=F.col("_stops"),
+                   available_seats=F.coalesce(F.col("fi.availableSeatCnt"), F.lit(-1)), raw_flight_number=F.col("_raw_fn"),
+                   duration_minutes=F.col("_dur"), is_saver=F.coalesce(F.upper(ft).contains("AWARD"), F.lit(False)),
+                   fare_class=F.when(F.length("_cos") > 0, F.substring("_cos", 1, 10)), layover_airports=F.col("_lay"),
+                   next_day_arrival=F.col("_nd"))
+    return recs

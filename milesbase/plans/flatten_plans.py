@@ -361,3 +361,90 @@ def fn_hhmm_minutes(spark, sf_dir):
     f = D.lk(spark, sf_dir).fx_fare
     t = f.select(_hhmm(F.col("dep_min")).alias("hhmm")).distinct()
     return t.select("hhmm", text_parse.hhmm_minutes("hhmm").alias("minutes"))
+
+
+# ------------------------------------------------------------------ Delta
+DL_BRAND = {"economy": "MAIN", "premium_economy": "PREMIUM_SELECT", "business": "DELTA_ONE", "first": "CFIRST"}
+
+
+def delta_bronze(L):
+    r = responses(L, "DL")
+    iso = "yyyy-MM-dd'T'HH:mm:ss"
+
+    def offer_set(i):
+        dep = _local(F.col("date"), i["dep_min"])
+        arr = _local(F.col("date"), i["dep_min"] + i["duration_minutes"])
+        dur = i["duration_minutes"]
+        raw = i["raw_flight_number"]
+        unk = i["available_seats"] == 4
+        own = F.when(unk, F.lit("ZZZ")).otherwise(X.case_map(i["cabin_class"], DL_BRAND))
+        dom = F.when(unk, F.lit("ZZZ")).when(i["available_seats"].isin(3, 6, 9), F.lit(None).cast("string")).otherwise(own)
+        cos = F.upper(F.substring(i["cabin_class"], 1, 1))
+        leg1 = F.struct(F.lit(None).cast(FL._DL_CARRIER).alias("marketingCarrier"), F.lit(None).cast(FL._DL_CARRIER).alias("operatingCarrier"),
+                        F.struct(F.lit("321").alias("fleetTypeCode"), F.lit(None).cast("string").alias("subFleetTypeCode")).alias("aircraft"),
+                        F.when(i["stops"] == 1, F.struct(F.lit("ATL").alias("destinationAirportCode"),
+                                                         F.struct(F.lit(0).cast("long").alias("dayCnt"), F.lit(1).cast("long").alias("hourCnt"),
+                                                                  F.lit(5).cast("long").alias("minuteCnt")).alias("layoverDuration"))).alias("layover"))
+        leg2 = F.struct(F.lit(None).cast(FL._DL_CARRIER).alias("marketingCarrier"), F.lit(None).cast(FL._DL_CARRIER).alias("operatingCarrier"),
+                        F.struct(F.lit("739").alias("fleetTypeCode"), F.lit(None).cast("string").alias("subFleetTypeCode")).alias("aircraft"),
+                        F.lit(None).cast("struct<destinationAirportCode:string,layoverDuration:" + FL._DHM + ">").alias("layover"))
+        carrier = F.when(raw != "UNKNOWN", F.struct(F.lit("DL").alias("carrierCode"), _num(raw).alias("carrierNum")))
+        seg = F.struct(carrier.alias("marketingCarrier"), F.lit(None).cast(FL._DL_CARRIER).alias("operatingCarrier"),
+                       F.when(i["stops"] == 1, F.array(leg1, leg2)).otherwise(F.array(leg1)).alias("flightLeg"))
+        dhm = F.when(F.pmod(i["dep_min"], F.lit(7)) != 0, F.struct(
+            X.idiv(dur, F.lit(1440)).cast("long").alias("dayCnt"), X.idiv(F.pmod(dur, F.lit(1440)), F.lit(60)).cast("long").alias("hourCnt"),
+            F.pmod(dur, F.lit(60)).cast("long").alias("minuteCnt")))
+        trip = F.struct(i["stops"].cast("long").alias("stopCnt"), F.date_format(dep, iso).alias("scheduledDepartureLocalTs"),
+                        F.date_format(arr, iso).alias("scheduledArrivalLocalTs"), dhm.alias("totalTripTime"),
+                        F.array(seg).alias("flightSegment"))
+        b1 = F.struct(own.alias("brandId"), cos.alias("cosCode"))
+        b2 = F.struct(F.when(unk, F.lit("ZZZ")).otherwise(F.lit("BASIC")).alias("brandId"), F.lit("B").alias("cosCode"))
+        price = F.struct(F.struct(F.struct(i["points_cost"].cast("double").alias("mileCnt")).alias("milesEquivalentPrice"),
+                                  F.struct(i["cash_cost"].cast("double").alias("roundedCurrencyAmt")).alias("currencyEquivalentPrice"))
+                         .alias("totalFarePrice"))
+        price_json = F.when(F.pmod(i["dep_min"], F.lit(2)) == 0, F.to_json(F.array(price))).otherwise(F.to_json(price))
+        fi = F.struct(F.when(i["stops"] == 1, F.array(b1, b2)).otherwise(F.array(b1)).alias("brandByFlightLegs"),
+                      F.when(i["available_seats"] >= 0, i["available_seats"].cast("long")).alias("availableSeatCnt"),
+                      price_json.alias("farePrice"))
+        offer = F.struct(F.struct(F.when(i["cabin_class"] == "economy", F.lit("AWARD_SAVER")).otherwise(F.lit("MILES")).alias("fareType"),
+                                  dom.alias("dominantSegmentBrandId")).alias("additionalOfferProperties"),
+                         F.array(F.struct(F.array(F.struct(F.struct(F.array(fi).alias("fareInformation")).alias("retailItemMetaData")))
+                                          .alias("retailItems"))).alias("offerItems"))
+        return F.struct(F.array(trip).alias("trips"), F.array(offer).alias("offers"))
+
+    payload = F.struct(F.struct(F.struct(F.transform("items", offer_set).alias("gqlOffersSets")).alias("gqlSearchOffers")).alias("data"))
+    return _bronze(r, payload)
+
+
+EXP_CTE += f""",
+exp_dl AS (SELECT {_REC_SQL.format(a='a', al='DL', src='delta', pts='a.points_cost', cash='a.cash_cost', cabin='a.cabin_class',
+    seats='a.available_seats', rfn='a.raw_flight_number', partner='NULL',
+    dur='CASE WHEN a.dep_min % 7 <> 0 THEN a.duration_minutes WHEN o.tz IS NOT NULL AND d.tz IS NOT NULL AND a.duration_minutes + o.off_min - d.off_min > 0 THEN a.duration_minutes + o.off_min - d.off_min END',
+    saver="a.cabin_class = 'economy'", fc='upper(substr(a.cabin_class, 1, 1))', lay="CASE WHEN a.stops = 1 THEN 'ATL' END",
+    nd='d.tz IS NOT NULL AND a.dep_min + a.duration_minutes >= 1440')},
+  a.stops = 1 AND a.cabin_class <> 'economy' AS mixed_cabin
+  FROM fx_award a JOIN dim_airport o ON o.iata = upper(a.origin) JOIN dim_airport d ON d.iata = upper(a.destination)
+  WHERE a.airline = 'DL' AND a.points_cost > 0 AND a.available_seats <> 4)"""
+
+
+def _delta(spark, sf_dir):
+    L = D.lk(spark, sf_dir)
+    return FL.flatten_delta(delta_bronze(L), L.dim_airport)
+
+
+@query("nrm_delta", "SELECT * FROM exp_dl", EXP_CTE)
+def nrm_delta(spark, sf_dir):
+    """offer sets x offers x fare information; dominant brand else most premium leg; list-or-object price."""
+    return _delta(spark, sf_dir)
+
+
+_proj("fn_brand_to_cabin", "exp_dl", _delta, ["origin", "destination", "date", "raw_flight_number", "points_cost", "cabin_class"],
+      "Delta brand id -> cabin: first matching token of the ordered rule list.")
+_proj("fn_most_premium", "exp_dl", _delta, ["origin", "destination", "date", "raw_flight_number", "points_cost", "cabin_class", "stops"],
+      "Cabin of the most premium leg when the dominant brand is unknown.")
+_proj("fn_mixed_cabin", "exp_dl", _delta, ["origin", "destination", "date", "raw_flight_number", "cabin_class", "mixed_cabin"],
+      "More than one distinct mapped leg cabin.")
+_proj("fn_duration_dhm", "exp_dl", _delta, ["origin", "destination", "date", "raw_flight_number", "cabin_class", "duration_minutes"],
+      "{dayCnt, hourCnt, minuteCnt} -> minutes.")
+_proj("fn_duration_fallback", "exp_dl", _delta, ["origin", "destination", "date", "raw_flight_number", "points_cost", "duration_minutes"],
+      "Provider duration, else arrival minus departure as instants (zone-aware).")
