@@ -401,3 +401,81 @@ def flatten_delta(bronze: DataFrame, airports: DataFrame) -> DataFrame:
                    fare_class=F.when(F.length("_cos") > 0, F.substring("_cos", 1, 10)), layover_airports=F.col("_lay"),
                    next_day_arrival=F.col("_nd"))
     return recs
+
+
+# ------------------------------------------------------------------ Alaska: dehydrated flat array with references
+# --- fixed values: solution key -> cabin ---
+ALASKA_CABINS = {
+    "REFUNDABLE_FIRST": "first", "SAVER_FIRST": "first", "FIRST": "first", "REFUNDABLE_PREMIUM": "premium_economy",
+    "SAVER_PREMIUM": "premium_economy", "PREMIUM": "premium_economy", "REFUNDABLE_MAIN": "economy", "SAVER_MAIN": "economy",
+    "MAIN": "economy", "SAVER": "economy", "REFUNDABLE_BUSINESS": "business", "SAVER_BUSINESS": "business",
+    "BUSINESS": "business",
+}
+# --- end fixed values ---
+ALASKA_SCHEMA = "struct<chunks: array<struct<type: string, data: array<string>>>>"
+_AS_ROW = "struct<segments: bigint, solutions: bigint, totalDuration: bigint, duration: bigint>"
+_AS_SEG = ("struct<publishingCarrier: bigint, displayCarrier: bigint, departureDateTime: bigint, departureTime: bigint, "
+           "arrivalDateTime: bigint, arrivalTime: bigint, arrivalAirportCode: bigint, arrivalStation: bigint, "
+           "destinationCode: bigint, equipmentCode: bigint>")
+_AS_SOL = "struct<atmosPoints: bigint, grandTotal: bigint, seatsRemaining: bigint, bookingCode: bigint, fareClass: bigint, bookingClass: bigint>"
+
+
+def _deref(flat: Column, ref: Column) -> Column:
+    """The flat-array element a reference points at (raw JSON text); -1 / out of range -> null."""
+    return F.when((ref >= 0) & (ref < F.size(flat)), F.get(flat, ref.cast("int")))
+
+
+def _obj(flat: Column, ref: Column, schema: str) -> Column:
+    return F.from_json(_deref(flat, ref), schema)
+
+
+def flatten_alaska(bronze: DataFrame) -> DataFrame:
+    """nrm_alaska_deref: locate the chunk whose root has 'rows', then resolve integer references
+    through the flat array (rows -> segments / solutions -> primitives); one record per priced
+    solution. Depth is fixed by the format, so plain expressions resolve it."""
+    p = bronze.withColumn("_p", F.from_json("payload", ALASKA_SCHEMA))
+    chunk = F.get(F.filter(F.coalesce(F.col("_p.chunks"), F.array()), lambda c: (c["type"] == "chunk") & (
+        F.get_json_object(F.get(c["data"], 0), "$.rows").isNotNull())), 0)
+    p = p.withColumn("_flat", chunk["data"]).filter(F.col("_flat").isNotNull())
+    flat = F.col("_flat")
+    rows_ref = F.get_json_object(F.get(flat, 0), "$.rows").try_cast("bigint")
+    rows = F.from_json(_deref(flat, rows_ref), "array<bigint>")
+    r = p.select(*RESPONSE, "_flat", F.posexplode(F.coalesce(rows, F.array().cast("array<bigint>"))).alias("row_pos", "row_ref"))
+    r = r.withColumn("_row", _obj(flat, F.col("row_ref"), _AS_ROW)).filter(F.col("_row").isNotNull())
+    r = r.withColumn("_segs", F.coalesce(F.from_json(_deref(flat, F.col("_row.segments")), "array<bigint>"), F.array().cast("array<bigint>")))
+    segs = F.transform("_segs", lambda s: F.from_json(_deref(flat, s), _AS_SEG))
+    r = r.withColumn("_seg_objs", segs)
+    first, last = F.get(F.col("_seg_objs"), 0), F.element_at(F.col("_seg_objs"), -1)
+    pub = _obj(flat, first["publishingCarrier"], "struct<carrierCode: bigint, flightNumber: bigint>")
+    code, fnum = _deref(flat, pub["carrierCode"]), _deref(flat, pub["flightNumber"])
+    disp = _deref(flat, _obj(flat, first["displayCarrier"], "struct<carrierCode: bigint>")["carrierCode"])
+    arr_txt = F.coalesce(_deref(flat, last["arrivalDateTime"]), _deref(flat, last["arrivalTime"]))
+    inner = F.slice("_seg_objs", 1, F.greatest(F.size("_seg_objs") - 1, F.lit(0)))
+    lay = F.filter(F.transform(inner, lambda s: F.upper(F.coalesce(_deref(flat, s["arrivalAirportCode"]), _deref(flat, s["arrivalStation"]),
+                                                                  _deref(flat, s["destinationCode"])))), lambda a: F.length(a) == 3)
+    dur = F.coalesce(_deref(flat, F.col("_row.totalDuration")), _deref(flat, F.col("_row.duration"))).try_cast("double")
+    r = r.select("*",
+                 F.when((F.size("_segs") > 0) & (F.length(code) > 0) & (F.length(fnum) > 0),
+                        F.concat(code, F.lit(" "), fnum)).otherwise(F.lit("UNKNOWN")).alias("_raw_fn"),
+                 F.greatest(F.size("_segs") - 1, F.lit(0)).alias("_stops"),
+                 F.when((F.length(disp) > 0) & (disp != "AS"), disp).alias("_partner"),
+                 F.when(dur > 0, dur.cast("int")).alias("_dur"),
+                 F.when(F.size(lay) > 0, F.array_join(lay, ",")).alias("_lay"),
+                 F.coalesce(F.to_date(F.substring(arr_txt, 1, 10)) > F.col("travel_date"), F.lit(False)).alias("_nd"))
+    sols = F.from_json(_deref(flat, F.col("_row.solutions")), "map<string,bigint>")
+    s = r.select("*", F.posexplode(F.map_entries(F.coalesce(sols, F.create_map().cast("map<string,bigint>")))).alias("sol_pos", "sol"))
+    s = s.filter(F.col("sol.value") != -1).withColumn("_cabin", lookup(ALASKA_CABINS, F.upper("sol.key")))
+    so = _obj(flat, F.col("sol.value"), _AS_SOL)
+    s = s.withColumn("_so", so).filter(F.col("_cabin").isNotNull() & F.col("_so").isNotNull())
+    pts = _deref(flat, F.col("_so.atmosPoints")).try_cast("double")
+    fees = _deref(flat, F.col("_so.grandTotal")).try_cast("double")
+    seats_txt = _deref(flat, F.col("_so.seatsRemaining"))
+    fc = F.coalesce(_deref(flat, F.col("_so.bookingCode")), _deref(flat, F.col("_so.fareClass")), _deref(flat, F.col("_so.bookingClass")))
+    s = s.filter(pts > 0)
+    return _record(s, "AS", "alaska", points_cost=pts.cast("long"), cash_cost=F.coalesce(fees, F.lit(0.0)),
+                   cabin_class=F.col("_cabin"), stops=F.col("_stops"),
+                   available_seats=F.when(seats_txt.rlike(r"^-?\d+$"), seats_txt.cast("int")).otherwise(F.lit(-1)),
+                   raw_flight_number=F.col("_raw_fn"), partner_airline=F.col("_partner"), duration_minutes=F.col("_dur"),
+                   is_saver=F.upper("sol.key").startswith("SAVER"),
+                   fare_class=F.when(F.length(fc) > 0, F.substring(fc, 1, 10)), layover_airports=F.col("_lay"),
+                   next_day_arrival=F.col("_nd"))

@@ -448,3 +448,89 @@ _proj("fn_duration_dhm", "exp_dl", _delta, ["origin", "destination", "date", "ra
       "{dayCnt, hourCnt, minuteCnt} -> minutes.")
 _proj("fn_duration_fallback", "exp_dl", _delta, ["origin", "destination", "date", "raw_flight_number", "points_cost", "duration_minutes"],
       "Provider duration, else arrival minus departure as instants (zone-aware).")
+
+
+# ------------------------------------------------------------------ Alaska
+AS_SLOTS = 28  # flat-array slots rendered per row
+
+
+def alaska_bronze(L):
+    z = L.dim_airport.select(F.col("iata").alias("_iata"), F.coalesce("off_min", F.lit(0)).alias("_off"))
+    r = responses(L, "AS")
+    r = r.join(F.broadcast(z.withColumnRenamed("_iata", "origin").withColumnRenamed("_off", "_ooff")), "origin", "left") \
+         .join(F.broadcast(z.withColumnRenamed("_iata", "destination").withColumnRenamed("_off", "_doff")), "destination", "left")
+    q = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+
+    def iso(ts, off):
+        a = F.abs(off)
+        return q(F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.when(off < 0, F.lit("-")).otherwise(F.lit("+")),
+                          F.lpad(X.idiv(a, F.lit(60)).cast("string"), 2, "0"), F.lit(":"), F.lpad(F.pmod(a, F.lit(60)).cast("string"), 2, "0")))
+
+    def slots(i, k):
+        b = F.lit(2) + k * AS_SLOTS
+        ref = lambda n: (b + n).cast("long")
+        dep = _local(F.col("date"), i["dep_min"])
+        arr = _local(F.col("date"), i["dep_min"] + i["duration_minutes"])
+        one = i["stops"] == 1
+        mins = lambda m: F.make_dt_interval(F.lit(0), F.lit(0), F.lit(m))
+        known = i["raw_flight_number"] != "UNKNOWN"
+        saver = F.pmod(i["available_seats"], F.lit(2)) == 0
+        key = X.case_map(i["cabin_class"], {"economy": "MAIN", "premium_economy": "PREMIUM", "business": "REFUNDABLE_BUSINESS",
+                                            "first": "FIRST"})
+        key = F.when(saver & i["cabin_class"].isin("economy", "premium_economy"), F.concat(F.lit("SAVER_"), key)).otherwise(key)
+
+        def seg(p, d, dt, at, ap, eq):
+            return F.to_json(F.struct(p.alias("publishingCarrier"), d.alias("displayCarrier"), dt.alias("departureDateTime"),
+                                      at.alias("arrivalDateTime"), ap.alias("arrivalAirportCode"), eq.alias("equipmentCode")))
+
+        return F.array(
+            F.to_json(F.struct(ref(1).alias("segments"), ref(2).alias("solutions"), ref(3).alias("totalDuration"))),
+            F.when(one, F.concat(F.lit("["), ref(4).cast("string"), F.lit(","), ref(11).cast("string"), F.lit("]")))
+             .otherwise(F.concat(F.lit("["), ref(4).cast("string"), F.lit("]"))),
+            F.concat(F.lit('{"'), key, F.lit('":'), ref(18).cast("string"), F.lit(',"SAVER_FIRST":-1,"UPGRADE":'),
+                     ref(18).cast("string"), F.lit("}")),
+            i["duration_minutes"].cast("string"),
+            seg(F.when(known, ref(5)), ref(6), ref(7), ref(8), ref(9), ref(10)),
+            F.to_json(F.struct(ref(23).alias("carrierCode"), ref(24).alias("flightNumber"))),
+            F.to_json(F.struct(F.when(one, ref(26)).otherwise(ref(25)).alias("carrierCode"))),
+            iso(dep, F.col("_ooff")),
+            F.when(one, iso(dep + mins(60), F.col("_ooff"))).otherwise(iso(arr, F.col("_doff"))),
+            q(F.when(one, F.lit("SEA")).otherwise(F.col("destination"))),
+            q(F.lit("73J")),
+            seg(ref(12), ref(13), ref(14), ref(15), ref(16), ref(17)),
+            F.to_json(F.struct(ref(26).alias("carrierCode"), ref(27).alias("flightNumber"))),
+            F.to_json(F.struct(ref(26).alias("carrierCode"))),
+            iso(dep + mins(100), F.col("_ooff")), iso(arr, F.col("_doff")), q(F.col("destination")), q(F.lit("E75")),
+            F.to_json(F.struct(ref(19).alias("atmosPoints"), ref(20).alias("grandTotal"), ref(21).alias("seatsRemaining"),
+                               ref(22).alias("bookingCode"))),
+            i["points_cost"].cast("string"), i["cash_cost"].cast("string"), i["available_seats"].cast("string"),
+            q(F.upper(F.substring(i["cabin_class"], 1, 1))), q(F.lit("AS")),
+            F.when(known, _num(i["raw_flight_number"])).otherwise(F.lit("0")), q(F.lit("AS")), q(F.lit("QX")),
+            (F.pmod(i["dep_min"], F.lit(100)) + 2000).cast("string"))
+
+    frags = F.concat(F.array(F.lit('{"rows":1}'),
+                             F.concat(F.lit("["), F.array_join(F.transform("items", lambda i, k: (F.lit(2) + k * AS_SLOTS).cast("string")), ","),
+                                      F.lit("]"))),
+                     F.flatten(F.transform("items", slots)))
+    payload = F.concat(F.lit('{"chunks":[{"type":"data","data":[{"meta":1},"x"]},{"type":"chunk","data":['),
+                       F.array_join(frags, ","), F.lit("]}]}"))
+    return r.select("origin", "destination", F.col("date").alias("travel_date"), "scraped_at_utc", payload.alias("payload"))
+
+
+EXP_CTE += f""",
+exp_as AS (SELECT {_REC_SQL.format(a='a', al='AS', src='alaska', pts='a.points_cost', cash='a.cash_cost', cabin='a.cabin_class',
+    seats='a.available_seats', rfn='a.raw_flight_number', partner="CASE WHEN a.stops = 1 THEN 'QX' END",
+    dur='a.duration_minutes', saver="(a.available_seats % 2 = 0) AND a.cabin_class IN ('economy', 'premium_economy')",
+    fc='upper(substr(a.cabin_class, 1, 1))', lay="CASE WHEN a.stops = 1 THEN 'SEA' END",
+    nd='a.dep_min + a.duration_minutes >= 1440')}
+  FROM fx_award a WHERE a.airline = 'AS' AND a.points_cost > 0)"""
+
+
+def _alaska(spark, sf_dir):
+    return FL.flatten_alaska(alaska_bronze(D.lk(spark, sf_dir)))
+
+
+@query("nrm_alaska_deref", "SELECT * FROM exp_as", EXP_CTE)
+def nrm_alaska_deref(spark, sf_dir):
+    """Dehydrated flat array: references resolved with element_at + from_json; one record per priced solution."""
+    return _alaska(spark, sf_dir)
