@@ -322,7 +322,7 @@ _MARK_STEP = """CASE WHEN x.blocked THEN {'prev': acc.prev, 'rate': acc.rate, 'i
     "IV", "greatest(CAST(x.lo AS DOUBLE), least(CAST(x.hi AS DOUBLE), CASE WHEN (acc.prev IS NULL OR acc.prev IS DISTINCT FROM x.cheap) THEN acc.interval_h * 0.5 ELSE acc.interval_h + x.st END))")
 
 
-@query("fold_mark_scraped", f"""
+MARK_SCRAPED_SQL = f"""
 WITH ev AS (SELECT origin, destination, airline, scraped_at_utc AS t, false AS blocked,
   {{'economy': economy, 'premium_economy': premium_economy, 'business': business, 'first': first}} AS cheap FROM scrapes
  UNION ALL SELECT r.origin, r.destination, r.airline, a.ts, true, NULL FROM (SELECT DISTINCT origin, destination, airline FROM scrapes) r
@@ -333,7 +333,10 @@ f AS (SELECT origin, destination, airline, list_reduce(list_sort(list({{'t': t,
     'interval_h': CAST(any_value(lo) AS DOUBLE), 'next_scrape_at_utc': CAST(NULL AS TIMESTAMP), 'changes': 0, 'scrapes': 0}}) AS s
   FROM ev JOIN bounds USING (origin, destination, airline) GROUP BY origin, destination, airline)
 SELECT origin, destination, airline, s.rate AS rate, s.interval_h AS interval_h, s.next_scrape_at_utc AS next_scrape_at_utc,
- s.changes AS changes, s.scrapes AS scrapes FROM f""", _SCRAPES_CTE)
+ s.changes AS changes, s.scrapes AS scrapes FROM f"""
+
+
+@query("fold_mark_scraped", MARK_SCRAPED_SQL, _SCRAPES_CTE)
 def fold_mark_scraped(spark, sf_dir):
     """Route state after its scrapes and blocks: EWMA rate, AIMD interval, next scrape time."""
     L = D.lk(spark, sf_dir)
