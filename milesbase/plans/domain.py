@@ -10,11 +10,17 @@ Each has a DuckDB twin as CTE text (``*_CTE``), used by the oracles.
 
 from __future__ import annotations
 
+import hashlib
+import os
+
+from pyspark.errors import AnalysisException
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from milesbase.functions import exprs as X
 from milesbase.operators import merge, quality
+from milesbase.session import scratch_table_path
 from milesbase.sources.fixtures import AS_OF, AS_OF_DATE, Lake, lake
 
 AWARD_KEY = ["origin", "destination", "date", "airline", "cabin_class", "raw_flight_number"]
@@ -44,6 +50,29 @@ def flights(L: Lake) -> DataFrame:
                                    AWARD_ORDER, AS_OF, keep_cols=["source"])
 
 
+def materialized(L: Lake, name: str, build) -> DataFrame:
+    """A derived table written once per input folder into the session's shared checkpoint
+    folder and read back by every later query (lineage cut by a written table). A marker
+    written after the table commits guards against reading a partial write."""
+    key = f"_mat_{name}"
+    if key not in L._frames:
+        spark = L.spark
+        path = scratch_table_path(spark, f"{name}_{hashlib.sha1(os.path.abspath(L.sf_dir).encode()).hexdigest()[:12]}")
+        marker = path + "_committed"
+        try:
+            spark.read.parquet(marker).count()
+        except AnalysisException:
+            build().write.mode("overwrite").parquet(path)
+            spark.createDataFrame([(path,)], "path string").write.mode("overwrite").parquet(marker)
+        L._frames[key] = spark.read.parquet(path)
+    return L._frames[key]
+
+
+def flights_table(L: Lake) -> DataFrame:
+    """The served keyed table, as the merge job writes it (see ``flights`` for the merge itself)."""
+    return materialized(L, "flights", lambda: flights(L))
+
+
 def cash(L: Lake) -> DataFrame:
     return L.fx_cash
 

@@ -32,7 +32,7 @@ fare_batch AS (SELECT *, 'USD' AS currency, 'google_flights' AS source, TIMESTAM
 
 
 def _candidates(L):
-    return matching.match_candidates(D.flights(L), L.dim_airport, AS_OF)
+    return matching.match_candidates(D.flights_table(L), L.dim_airport, AS_OF)
 
 
 @query("jn_nearest_fare", """
@@ -91,7 +91,7 @@ elig AS (SELECT u.* FROM units u WHERE NOT EXISTS (SELECT 1 FROM fx_cash c WHERE
 
 
 def _units(L):
-    return CQ.distinct_units(D.flights(L), AS_OF, AS_OF_DATE, cabins=CABINS)
+    return CQ.distinct_units(D.flights_table(L), AS_OF, AS_OF_DATE, cabins=CABINS)
 
 
 @query("set_distinct_units", _UNITS_SQL, D.FLIGHTS_CTE)
@@ -165,7 +165,7 @@ SELECT DISTINCT origin, destination, origin || '-' || destination IN ({_PINNED_S
 def set_pinned_keys(spark, sf_dir):
     """Every served route flagged by the pinned set (pairs and their reverses)."""
     L = D.lk(spark, sf_dir)
-    r = D.flights(L).select("origin", "destination").distinct().withColumn("route_key", CQ.route_key())
+    r = D.flights_table(L).select("origin", "destination").distinct().withColumn("route_key", CQ.route_key())
     p = F.broadcast(CQ.pinned_keys(spark).withColumn("pinned", F.lit(True)))
     return r.join(p, "route_key", "left").select("origin", "destination", F.coalesce("pinned", F.lit(False)).alias("pinned"))
 
@@ -173,13 +173,13 @@ def set_pinned_keys(spark, sf_dir):
 @query("fn_route_key", """SELECT DISTINCT origin, destination, origin || '-' || destination AS route_key FROM flights""",
        D.FLIGHTS_CTE)
 def fn_route_key(spark, sf_dir):
-    return D.flights(D.lk(spark, sf_dir)).select("origin", "destination").distinct().withColumn("route_key", CQ.route_key())
+    return D.flights_table(D.lk(spark, sf_dir)).select("origin", "destination").distinct().withColumn("route_key", CQ.route_key())
 
 
 @query("fn_shard", f"""SELECT DISTINCT origin, destination, {_SHARD_SQL} AS shard FROM flights""", D.FLIGHTS_CTE)
 def fn_shard(spark, sf_dir):
     """Route -> shard of 4 (md5 prefix); every route lands on exactly one shard."""
-    r = D.flights(D.lk(spark, sf_dir)).select("origin", "destination").distinct()
+    r = D.flights_table(D.lk(spark, sf_dir)).select("origin", "destination").distinct()
     return r.withColumn("shard", CQ.shard_of(CQ.route_key(), 4))
 
 
@@ -191,7 +191,7 @@ def jn_airport_tz(spark, sf_dir):
     """Attach the origin's zone (broadcast dimension); unmapped origins drop out."""
     L = D.lk(spark, sf_dir)
     z = F.broadcast(L.dim_airport.filter(F.col("tz").isNotNull()).select(F.col("iata").alias("origin"), "tz"))
-    return D.flights(L).join(z, "origin").select(*D.AWARD_KEY, "tz")
+    return D.flights_table(L).join(z, "origin").select(*D.AWARD_KEY, "tz")
 
 
 _LOCAL_SQL = "CAST(f.date AS TIMESTAMP) + INTERVAL 1 MINUTE * f.dep_min"
@@ -199,7 +199,7 @@ _LOCAL_SQL = "CAST(f.date AS TIMESTAMP) + INTERVAL 1 MINUTE * f.dep_min"
 
 def _local_instants(L):
     z = F.broadcast(L.dim_airport.filter(F.col("tz").isNotNull()).select(F.col("iata").alias("origin"), "tz"))
-    f = D.flights(L).join(z, "origin")
+    f = D.flights_table(L).join(z, "origin")
     local = F.col("date").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.col("dep_min"))
     return f.withColumn("dep_local", local).withColumn(
         "dep_utc", F.convert_timezone(F.col("tz"), F.lit("UTC"), F.col("dep_local")))

@@ -44,7 +44,7 @@ def snk_run_metrics(spark, sf_dir):
     out = reports.run_outcome(L.fx_attempt)
     src = X.case_map(F.pmod("run_id", F.lit(6)), {i: s for i, s in enumerate(["alaska", "delta", "jetblue", "turkish", "etihad"])},
                      "southwest")
-    fr = reports.freshness(D.flights(L), AS_OF).select("source", F.col("rows").alias("source_rows"), "unexpired_rows", "newest_age_h")
+    fr = reports.freshness(D.flights_table(L), AS_OF).select("source", F.col("rows").alias("source_rows"), "unexpired_rows", "newest_age_h")
     return out.withColumn("source", src).join(F.broadcast(fr), "source", "left").select(
         F.lit("scrape_run").alias("event"), "run_id", "source", "blocked", "records", "errors", "routes_scraped",
         "source_rows", "unexpired_rows", "newest_age_h")

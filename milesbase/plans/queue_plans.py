@@ -213,7 +213,7 @@ def _stride(df, key, n):
 @query("win_stride_sample", _stride_sql("fresh", "origin, destination, source", INLINE_DATES), _FRESH_CTE)
 def win_stride_sample(spark, sf_dir):
     """At most 5 evenly spaced fresh dates per (route, source); first and last kept, half-to-even."""
-    f = D.flights(D.lk(spark, sf_dir)).filter(F.col("expires_at_utc") > F.lit(AS_OF).cast("timestamp_ntz"))
+    f = D.flights_table(D.lk(spark, sf_dir)).filter(F.col("expires_at_utc") > F.lit(AS_OF).cast("timestamp_ntz"))
     f = f.select("origin", "destination", "source", "date").distinct()
     return _stride(f, ["origin", "destination", "source"], INLINE_DATES)
 
@@ -420,7 +420,7 @@ def fold_user_search(spark, sf_dir):
                                        F.col("searches"), F.col("airline")).alias("priority_tier"))
     req = s.select(*QKEY, X.case_map("airline", D.AIRLINE_SOURCE).alias("source"))
     req = spine.explode_dates(req, AS_OF_DATE, F.sequence(F.lit(0), F.lit(SEARCH_DAYS - 1)))
-    fresh = D.flights(L).filter(F.col("expires_at_utc") > F.lit(AS_OF).cast("timestamp_ntz")) \
+    fresh = D.flights_table(L).filter(F.col("expires_at_utc") > F.lit(AS_OF).cast("timestamp_ntz")) \
         .select("origin", F.col("destination").alias("dest"), "source", "date").distinct()
     miss = req.join(fresh, ["origin", "dest", "source", "date"], "left_anti")
     mc = miss.groupBy(*QKEY).agg(F.count(F.lit(1)).alias("missing_count"))
@@ -440,7 +440,7 @@ def jn_missing_dates(spark, sf_dir):
     L = D.lk(spark, sf_dir)
     keys = L.fx_search.select(*QKEY).distinct().withColumn("source", X.case_map("airline", D.AIRLINE_SOURCE))
     req = spine.explode_dates(keys, AS_OF_DATE, F.sequence(F.lit(0), F.lit(SEARCH_DAYS - 1)))
-    fresh = D.flights(L).filter(F.col("expires_at_utc") > F.lit(AS_OF).cast("timestamp_ntz")) \
+    fresh = D.flights_table(L).filter(F.col("expires_at_utc") > F.lit(AS_OF).cast("timestamp_ntz")) \
         .select("origin", F.col("destination").alias("dest"), "source", "date").distinct()
     return req.join(fresh, ["origin", "dest", "source", "date"], "left_anti").select(*QKEY, "date")
 
@@ -525,7 +525,7 @@ def flt_staleness(spark, sf_dir):
     """has_any_flights (expiry ignored) and is_window_stale (no unexpired row in the window)
     for every request, via semi / anti joins on pre-aggregated route-dates."""
     L = D.lk(spark, sf_dir)
-    f = D.flights(L)
+    f = D.flights_table(L)
     routes = f.select("origin", "destination").distinct().withColumn("has_any_flights", F.lit(True))
     live = f.filter(F.col("expires_at_utc") > F.lit(AS_OF).cast("timestamp_ntz")) \
             .select("origin", "destination", "date", "airline").distinct()

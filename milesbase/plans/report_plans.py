@@ -29,7 +29,7 @@ def _coverage(spark, sf_dir):
     L = D.lk(spark, sf_dir)
     q = D.queue(L).withColumnRenamed("last_scraped_at_utc", "last_scraped_at") \
                   .withColumnRenamed("next_scrape_at_utc", "next_scrape_at")
-    return reports.route_coverage(q, D.flights(L), AS_OF_DATE).select(*_COV_COLS)
+    return reports.route_coverage(q, D.flights_table(L), AS_OF_DATE).select(*_COV_COLS)
 
 
 @query("agg_route_coverage", _COV_SQL, D.FLIGHTS_CTE + "," + D.QUEUE_CTE)
@@ -54,7 +54,7 @@ FROM queue q LEFT JOIN flights f ON f.origin = q.origin AND f.destination = q.de
 def jn_queue_flights(spark, sf_dir):
     """Queue LEFT JOIN future flights with the source filter in ON: empty routes survive."""
     L = D.lk(spark, sf_dir)
-    f = D.flights(L).filter(F.col("date") >= F.lit(AS_OF_DATE).cast("date")).select(
+    f = D.flights_table(L).filter(F.col("date") >= F.lit(AS_OF_DATE).cast("date")).select(
         "origin", F.col("destination").alias("dest"), "source", "date", "cabin_class",
         F.col("airline").alias("flight_airline"), "raw_flight_number")
     return D.queue(L).select("queue_id", "origin", "dest", "source").join(f, ["origin", "dest", "source"], "left") \
@@ -65,7 +65,7 @@ def jn_queue_flights(spark, sf_dir):
 SELECT source, cabin_class, count(*) AS rows, count(DISTINCT origin || '-' || destination) AS routes, count(DISTINCT date) AS dates
 FROM flights WHERE date >= DATE '2024-01-31' GROUP BY source, cabin_class""", D.FLIGHTS_CTE)
 def agg_cabin_distribution(spark, sf_dir):
-    return reports.cabin_distribution(D.flights(D.lk(spark, sf_dir)), AS_OF_DATE)
+    return reports.cabin_distribution(D.flights_table(D.lk(spark, sf_dir)), AS_OF_DATE)
 
 
 @query("agg_freshness", """
@@ -74,7 +74,7 @@ SELECT source, count(*) AS rows, max(scraped_at_utc) AS newest_scrape,
  round(epoch(TIMESTAMP '2024-01-31 00:00:00' - max(scraped_at_utc)) / 3600.0, 1) AS newest_age_h
 FROM flights GROUP BY source""", D.FLIGHTS_CTE)
 def agg_freshness(spark, sf_dir):
-    return reports.freshness(D.flights(D.lk(spark, sf_dir)), AS_OF)
+    return reports.freshness(D.flights_table(D.lk(spark, sf_dir)), AS_OF)
 
 
 @query("agg_cheapest_by_cabin", """
@@ -185,7 +185,7 @@ def flt_changed(spark, sf_dir):
     """Each observation vs the stored row: NULL-safe difference over the material columns only."""
     L = D.lk(spark, sf_dir)
     b = D.award_batch(L).select(*D.AWARD_KEY, "scraped_at_utc", *[F.col(c).alias(f"n_{c}") for c in D.AWARD_MATERIAL])
-    f = D.flights(L).select(*D.AWARD_KEY, *[F.col(c).alias(f"o_{c}") for c in D.AWARD_MATERIAL])
+    f = D.flights_table(L).select(*D.AWARD_KEY, *[F.col(c).alias(f"o_{c}") for c in D.AWARD_MATERIAL])
     return b.join(f, D.AWARD_KEY).select(*D.AWARD_KEY, "scraped_at_utc",
                                          X.changed("n_", "o_", D.AWARD_MATERIAL).alias("changed"))
 

@@ -388,7 +388,7 @@ opts AS (SELECT f.origin, f.destination, f.date, f.airline, f.cabin_class, f.raw
 def _options(spark, L):
     a = T.active_bonuses(L.fx_bonus, AS_OF_DATE).select("bank_program_id", "airline_code", "bonus_pct")
     pb = L.dim_partner.join(a, ["bank_program_id", "airline_code"], "left").withColumnRenamed("airline_code", "airline")
-    awards = D.flights(L).select(*D.AWARD_KEY, "points_cost")
+    awards = D.flights_table(L).select(*D.AWARD_KEY, "points_cost")
     return T.transfer_options(awards, checked_broadcast(pb), "ratio_cents")
 
 

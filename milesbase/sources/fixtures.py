@@ -108,6 +108,17 @@ SELECT b.bank_program_id, a.airline_code, CAST(CASE (b.bank_program_id * 3 + a.k
 _REF = re.compile(r"\{(\w+)\}")
 
 
+def _dim_partner(spark: SparkSession) -> DataFrame:
+    """dim_partner as a literal 42-row dimension (same rows as its SQL text, no cross join)."""
+    ratio = {0: 125, 1: 133, 2: 300}
+    rows = [(b, a, ratio.get((b * 3 + k) % 5, 100))
+            for b in range(1, 8) for k, a in enumerate(["AS", "DL", "B6", "TK", "EY", "WN"])]
+    return spark.createDataFrame(rows, "bank_program_id int, airline_code string, ratio_cents int")
+
+
+LITERAL_DIMS = {"dim_partner": _dim_partner}
+
+
 def deps(name: str) -> list[str]:
     return sorted(set(_REF.findall(FIXTURE_SQL[name])))
 
@@ -129,6 +140,8 @@ class Lake:
         if name not in self._frames:
             if name in TABLES:
                 df = read_table(self.spark, self.sf_dir, name)
+            elif name in LITERAL_DIMS:
+                df = LITERAL_DIMS[name](self.spark)
             elif name in FIXTURE_SQL:
                 refs = {r: self.get(r) for r in deps(name)}
                 df = self.spark.sql(FIXTURE_SQL[name], **refs)
