@@ -77,8 +77,13 @@ def cash(L: Lake) -> DataFrame:
     return L.fx_cash
 
 
+def cash_table(L: Lake) -> DataFrame:
+    """The stored cash table as the cash merge job writes it."""
+    return materialized(L, "cash", lambda: L.fx_cash)
+
+
 def live_cash(L: Lake) -> DataFrame:
-    return L.fx_cash.filter(F.col("expires_at_utc") > F.lit(AS_OF).cast("timestamp_ntz"))
+    return cash_table(L).filter(F.col("expires_at_utc") > F.lit(AS_OF).cast("timestamp_ntz"))
 
 
 # ---------------------------------------------------------------- DuckDB twins
