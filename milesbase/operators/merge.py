@@ -12,13 +12,15 @@ per key is closed-form, so it is computed with aggregations instead of a fold:
   not yet expired at ``as_of``; if every row of the run is expired, the last
   one wins.
 
-Every step is ``groupBy(key).agg(...)`` (map-side partial aggregation, no
-``collect_list`` of a group), and joins back on the key are co-partitioned.
+The conditional merge is one partition-by-key, newest-first sorted pass of
+window functions (no ``collect_list`` of a key's history, no fold); the
+one-row-per-key pickers (first / last wins) are ``min_by`` / ``max_by``
+aggregations with map-side partial aggregation.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from milesbase.functions.exprs import any_of
@@ -47,38 +49,38 @@ def conditional_merge(current: DataFrame | None, batch: DataFrame, key, material
     ``order_cols`` give the arrival order inside the batch; stored rows precede
     the batch. ``keep_cols`` are set at insert time and never updated.
     Returns one row per key with key + material + stamps + keep_cols.
+
+    One shuffle and one sort: every window below shares the partitioning by key
+    and the newest-first arrival order, so Spark evaluates them in a single
+    sorted pass and keeps row 1 of each key (no struct aggregation buffers,
+    which would force sort-based aggregation and extra sorts).
     """
     key, material, stamps, keep_cols = list(key), list(material), list(stamps), list(keep_cols)
     cols = key + material + stamps + keep_cols
-    ordc = F.struct(F.lit(1).alias("_src"), *[F.col(c) for c in order_cols]).alias("_ord")
-    seq = batch.select(*cols, ordc)
+    seq = batch.select(*cols, F.lit(1).alias("_src"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_cols)])
     if current is not None:
-        cur_ord = F.struct(F.lit(0).alias("_src"), *[F.lit(None).cast(batch.schema[c].dataType).alias(c)
-                                                     for c in order_cols]).alias("_ord")
-        seq = current.select(*cols, cur_ord).unionByName(seq)
-
-    # 1) final material per key (last observation) and stored-only keep columns
-    final = seq.groupBy(*key).agg(
-        F.max_by(F.struct(*material), F.col("_ord")).alias("_m"),
-        F.min_by(F.struct(*keep_cols), F.col("_ord")).alias("_k") if keep_cols else F.lit(None).alias("_k"),
-    )
-    s = seq.join(final, key)
-    differs = any_of([~F.col(c).eqNullSafe(F.col(f"_m.{c}")) for c in material])
-    # 2) last observation whose material differs from the final material
-    tstar = s.groupBy(*key).agg(F.max(F.when(differs, F.col("_ord"))).alias("_t"))
-    run = s.join(tstar, key).filter(F.col("_t").isNull() | (F.col("_ord") > F.col("_t")))
+        seq = current.select(*cols, F.lit(0).alias("_src"),
+                             *[F.lit(None).cast(batch.schema[c].dataType).alias(f"_o{i}") for i, c in enumerate(order_cols)]
+                             ).unionByName(seq)
+    newest_first = [F.col("_src").desc()] + [F.col(f"_o{i}").desc() for i in range(len(order_cols))]
+    w = Window.partitionBy(*key).orderBy(*newest_first)
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    s = seq.select("*", F.row_number().over(w).alias("_rn"),
+                   *[F.first(c).over(upto).alias(f"_m_{c}") for c in material])
+    differs = any_of([~F.col(c).eqNullSafe(F.col(f"_m_{c}")) for c in material])
+    # rows newer than the newest differing observation form the final run
+    s = s.withColumn("_in_run", F.max(differs.cast("int")).over(upto) == 0)
     fresh = F.col(expiry_col) > F.lit(as_of).cast("timestamp_ntz")
-    # 3) inside the final run: first unexpired observation, else the last one
     st = F.struct(*stamps)
-    res = run.groupBy(*key).agg(
-        F.first("_m").alias("_m"), F.first("_k").alias("_k"),
-        F.min_by(F.when(fresh, st), F.when(fresh, F.col("_ord"))).alias("_first_fresh"),
-        F.max_by(st, F.col("_ord")).alias("_last"),
-    )
-    out = res.select(*key, "_m.*", F.coalesce("_first_fresh", "_last").alias("_s"),
-                     *([F.col("_k")] if keep_cols else []))
-    out = out.select(*key, *material, "_s.*", *(["_k.*"] if keep_cols else []))
-    return out.select(*cols)
+    s = s.select("*",
+                 F.last(F.when(F.col("_in_run") & fresh, st), ignorenulls=True).over(whole).alias("_first_fresh"),
+                 F.first(st).over(upto).alias("_last"),
+                 *([F.last(F.struct(*keep_cols)).over(whole).alias("_k")] if keep_cols else []))
+    out = s.filter(F.col("_rn") == 1).select(
+        *key, *[F.col(f"_m_{c}").alias(c) for c in material], F.coalesce("_first_fresh", "_last").alias("_s"),
+        *(["_k"] if keep_cols else []))
+    return out.select(*key, *material, "_s.*", *(["_k.*"] if keep_cols else [])).select(*cols)
 
 
 def insert_absent(new: DataFrame, current: DataFrame, key) -> DataFrame:
