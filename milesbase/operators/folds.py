@@ -105,6 +105,10 @@ def merge_replay(log: DataFrame, key, material, t="scraped_at_utc", expiry="expi
     row when a material column differs or the stored row has expired by then."""
     fields = [F.col(t).alias("t"), *[F.col(c) for c in order], F.col(expiry).alias("e"),
               F.struct(*material).alias("m")]
+    # An exact repeat (same time, material and expiry) is never applied after its twin, so
+    # repeats are collapsed first; the groupBy pre-aggregates map-side, hot duplicates included.
+    cols = list(dict.fromkeys([*key, t, *order, expiry, *material]))
+    log = log.groupBy(*cols).agg(F.count(F.lit(1)).alias("_dups"))
     h = _sorted_history(log, key, fields)
     first = F.element_at("h", 1)
     init = F.struct(first["m"].alias("m"), first["t"].alias("t"), first["e"].alias("e"), F.lit(1).alias("writes"))
@@ -119,9 +123,3 @@ def merge_replay(log: DataFrame, key, material, t="scraped_at_utc", expiry="expi
     return s.select(*key, "s.m.*", F.col("s.t").alias(t), F.col("s.e").alias(expiry), "s.writes")
 
 
-def promote_input(queue: DataFrame, counts: DataFrame, key) -> DataFrame:
-    return queue.join(counts, key, "full")
-
-
-def zero_if_null(c) -> Column:
-    return F.coalesce(X.col(c), F.lit(0))

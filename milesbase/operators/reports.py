@@ -131,7 +131,3 @@ def check_constraint_violations(awards: DataFrame, cash: DataFrame, bonuses: Dat
         F.struct(F.lit(tbl).alias("table_name"), F.lit(n).alias("constraint_name"), F.col(n).alias("violations"))
         for n in df.columns])).alias("s")).select("s.*")
     return stack(a, "flights").unionByName(stack(c, "cash_fares")).unionByName(stack(b, "transfer_bonuses"))
-
-
-def tier_ordered(df: DataFrame, count_col="flight_rows", tier_col="priority_tier"):
-    return [F.col(count_col).asc(), X.tier_rank(tier_col).asc()]
