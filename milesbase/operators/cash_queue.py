@@ -106,4 +106,4 @@ def rank_cash_units(units: DataFrame, pinned: DataFrame, shard_count: int, limit
         F.coalesce("last_attempt_utc", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")),
         F.coalesce("demand", F.lit(0.0)).desc(), "date", "origin", "destination", "cabin_class")
     return u.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit) \
-            .select("shard", "rank", *UNIT)
+            .select("shard", F.col("rank").cast("bigint").alias("rank"), *UNIT)

@@ -64,7 +64,7 @@ def interval_fold(flags: DataFrame, bounds: DataFrame, key=ROUTE, t="scraped_at_
     h = _sorted_history(flags, key, [F.col(t).alias("t"), F.col("changed").alias("c")]).join(bounds, key)
     step = lambda acc, x: F.greatest(F.col("lo"), F.least(F.col("hi"), F.when(
         x["c"], acc * 0.5).otherwise(acc + F.col("step"))))
-    return h.select(*key, F.aggregate("h", F.col("start"), step).alias("interval_h"), F.size("h").alias("scrapes"))
+    return h.select(*key, F.aggregate("h", F.col("start"), step).alias("interval_h"), F.size("h").cast("bigint").alias("scrapes"))
 
 
 _CHEAP_T = "struct<economy:int,premium_economy:int,business:int,first:int>"

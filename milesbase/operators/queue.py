@@ -80,13 +80,14 @@ def due_batch(queue: DataFrame, as_of, limit: int, key="queue_id") -> DataFrame:
     w2 = Window.partitionBy("airline").orderBy(F.when(F.col("last_scraped_at_utc").isNull(), 0).otherwise(1),
                                                F.col("score").desc(), F.col("stage1_rank"))
     s2 = s1.withColumn("batch_rank", F.row_number().over(w2)).filter(F.col("batch_rank") <= limit)
+    s2 = s2.withColumn("batch_rank", F.col("batch_rank").cast("bigint")).withColumn("stage1_rank", F.col("stage1_rank").cast("bigint"))
     return s2.join(counts, "airline")
 
 
 def shard_stride(batch: DataFrame, shards: int, max_legs: int, rank="batch_rank") -> DataFrame:
     """win_shard_stride: ``due[i::n][:max_legs]`` as columns: shard = rn % n, kept while rn div n < max_legs."""
     rn = F.col(rank) - 1
-    return batch.withColumn("shard", F.pmod(rn, F.lit(shards))).filter(X.idiv(rn, F.lit(shards)) < max_legs)
+    return batch.withColumn("shard", F.pmod(rn, F.lit(shards)).cast("bigint")).filter(X.idiv(rn, F.lit(shards)) < max_legs)
 
 
 def stride_keep(idx, cnt, n: int) -> Column:

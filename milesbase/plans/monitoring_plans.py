@@ -92,10 +92,11 @@ def fn_redact_code(spark, sf_dir):
     toks = F.filter(F.split(F.coalesce("text", F.lit("")), WS), lambda t: t != "")
     hint = lambda t: X.any_of([F.lower(t).contains(h) for h in SECRET_HINTS])
     d = d.select("doc_id", toks.alias("toks"))
-    return d.select("doc_id", F.size("toks").alias("tokens"),
-                    F.size(F.filter("toks", lambda t: t.rlike(SAFE_CODE) & ~t.rlike(UUID) & ~hint(t))).alias("safe_codes"),
-                    F.size(F.filter("toks", lambda t: t.rlike(UUID))).alias("uuids"),
-                    F.size(F.filter("toks", lambda t: t.rlike(SAFE_CODE) & hint(t))).alias("secret_shaped"))
+    n = lambda c: F.size(c).cast("bigint")
+    return d.select("doc_id", n("toks").alias("tokens"),
+                    n(F.filter("toks", lambda t: t.rlike(SAFE_CODE) & ~t.rlike(UUID) & ~hint(t))).alias("safe_codes"),
+                    n(F.filter("toks", lambda t: t.rlike(UUID))).alias("uuids"),
+                    n(F.filter("toks", lambda t: t.rlike(SAFE_CODE) & hint(t))).alias("secret_shaped"))
 
 
 # ------------------------------------------------------------------ itinerary layovers
