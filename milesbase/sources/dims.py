@@ -1,14 +1,11 @@
-"""Configuration-as-data: small literal dimensions and constants.
+"""Configuration-as-data: scheduling constants and small literal dictionaries.
 
-Everything here is bounded by construction (tens of rows), so joins against
-these frames are broadcast explicitly.
+Everything here is bounded by construction (tens of entries); lookups use
+literal CASE expressions or explicitly broadcast literal frames.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
 # --- fixed values: scheduling and scoring constants ---
 TTL_HOURS = {"HIGH": 8, "MED": 24, "LOW": 48}
 CADENCE_BOUNDS_H = {"HIGH": (8, 24), "MED": (24, 72), "LOW": (48, 144)}
@@ -40,15 +37,3 @@ CARRIER_TO_IATA = {
 OD_SENTINEL = "__OD__"
 UNKNOWN_FLIGHT = "UNKNOWN"
 # --- end fixed values ---
-
-
-def carrier_dim(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(CARRIER_TO_IATA.items()), "carrier string, iata string")
-
-
-def literal_map(mapping: dict):
-    """A MAP literal for lookups inside expressions (bounded dictionaries only)."""
-    kv = []
-    for k, v in mapping.items():
-        kv += [F.lit(k), F.lit(v)]
-    return F.create_map(*kv)
