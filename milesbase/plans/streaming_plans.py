@@ -61,12 +61,10 @@ def _route_events(L):
     return ev.join(b, ["origin", "destination", "airline"])
 
 
-@query("str_route_state", QP.MARK_SCRAPED_SQL.replace(
-    "SELECT origin, destination, airline, s.rate AS rate,", "SELECT origin, destination, airline, CAST(0 AS BIGINT) AS late, s.rate AS rate,"),
-    QP._SCRAPES_CTE)
+@query("str_route_state", QP.MARK_SCRAPED_SQL, QP._SCRAPES_CTE)
 def str_route_state(spark, sf_dir):
     """Route state (rate, interval, next scrape) kept by applyInPandasWithState; equals the batch
-    fold when a key's events arrive in order (late rows are counted, not applied)."""
+    fold when a key's events arrive in order (late rows go to a side table, never to state)."""
     L = D.lk(spark, sf_dir)
     base = jobs.job_dir(spark, "str_route_state")
     ev = _route_events(L).select(*[c.split(" ")[0] for c in jobs.EVENT_SCHEMA.split(", ")])

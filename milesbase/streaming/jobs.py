@@ -122,8 +122,9 @@ ROUTE_KEY = ["origin", "destination", "airline"]
 EVENT_SCHEMA = ("origin string, destination string, airline string, t timestamp_ntz, blocked boolean, "
                 "economy int, premium_economy int, business int, first int, lo int, hi int, step int")
 STATE_SCHEMA = ("prev string, rate double, interval_h double, next_us long, changes long, scrapes long, last_us long")
-OUT_SCHEMA = ("origin string, destination string, airline string, rate double, interval_h double, "
-              "next_scrape_at_utc timestamp_ntz, changes long, scrapes long, late long")
+OUT_SCHEMA = ("kind string, origin string, destination string, airline string, rate double, interval_h double, "
+              "next_scrape_at_utc timestamp_ntz, changes long, scrapes long, late_t timestamp_ntz")
+STATE_COLS = ["origin", "destination", "airline", "rate", "interval_h", "next_scrape_at_utc", "changes", "scrapes"]
 _CABINS = ["economy", "premium_economy", "business", "first"]
 
 
@@ -137,7 +138,7 @@ def _route_fold(key, pdfs, state):
         prev, rate, iv, next_us, changes, scrapes, last_us = state.get
     else:
         prev, rate, iv, next_us, changes, scrapes, last_us = None, None, None, None, 0, 0, None
-    late = 0
+    late: list = []
     chunks = list(pdfs)  # one key's events of this trigger; order across chunks is not guaranteed
     pdf = pd.concat(chunks, ignore_index=True) if chunks else pd.DataFrame()
     if len(pdf):
@@ -147,7 +148,7 @@ def _route_fold(key, pdfs, state):
             iv, rate = float(row["lo"]), CHANGE_RATE_SEED
         t_us = int(pd.Timestamp(row["t"]).value // 1000)
         if last_us is not None and t_us < last_us:
-            late += 1  # side output: counted, never applied
+            late.append(row["t"])  # side output, never applied to state
             continue
         last_us = t_us
         if row["blocked"]:
@@ -164,23 +165,39 @@ def _route_fold(key, pdfs, state):
         prev = cheap
     state.update((prev, rate, iv, next_us, changes, scrapes, last_us))
     nxt_ts = None if next_us is None else pd.Timestamp(0) + timedelta(microseconds=next_us)
-    yield pd.DataFrame([{"origin": key[0], "destination": key[1], "airline": key[2], "rate": rate, "interval_h": iv,
-                         "next_scrape_at_utc": nxt_ts, "changes": changes, "scrapes": scrapes, "late": late}])
+    base = {"origin": key[0], "destination": key[1], "airline": key[2]}
+    rows = [{"kind": "state", **base, "rate": rate, "interval_h": iv, "next_scrape_at_utc": nxt_ts, "changes": changes,
+             "scrapes": scrapes, "late_t": None}]
+    rows += [{"kind": "late", **base, "rate": None, "interval_h": None, "next_scrape_at_utc": None, "changes": None,
+              "scrapes": None, "late_t": t} for t in late]
+    yield pd.DataFrame(rows)
 
 
 def route_state_stream(spark: SparkSession, landing: str, out: str, checkpoint: str) -> DataFrame:
+    """Keyed route state; returns the state table. Late events are appended to ``out/_late``."""
     stream = spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", 1).parquet(landing)
     states = stream.groupBy(*ROUTE_KEY).applyInPandasWithState(
         _route_fold, OUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
     table = VersionedTable(spark, out)
+    late_path = os.path.join(out, "_late")
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         last = table.last_commit()
         if last is not None and last[0] >= batch_id:
             return
+        batch.filter(F.col("kind") == "late").select(*ROUTE_KEY, F.col("late_t").alias("t"), F.lit(batch_id).alias("batch_id")) \
+             .write.mode("append").parquet(late_path)
+        upd = batch.filter(F.col("kind") == "state").select(*STATE_COLS)
         cur = table.current()
-        nxt = batch if cur is None else cur.join(batch.select(*ROUTE_KEY), ROUTE_KEY, "left_anti").unionByName(batch)
+        nxt = upd if cur is None else cur.join(upd.select(*ROUTE_KEY), ROUTE_KEY, "left_anti").unionByName(upd)
         table.commit(batch_id, nxt)
 
     _run_available_now(states.writeStream.outputMode("update").foreachBatch(upsert), checkpoint)
     return table.current()
+
+
+def late_events(spark: SparkSession, out: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(os.path.join(out, "_late"))
+    except AnalysisException:
+        return None

@@ -45,3 +45,23 @@ def test_versioned_table_never_rewrites_a_version(spark):
     assert vt.last_commit()[0] == 1
     assert [r.x for r in vt.current().collect()] == [2]
     assert sorted(os.listdir(root)) == ["_commits", "v000000000", "v000000001"]
+
+
+def test_route_state_late_events_go_to_side_output(spark):
+    import time
+    base = tempfile.mkdtemp(prefix="route-state-")
+    landing = os.path.join(base, "landing")
+    cols = jobs.EVENT_SCHEMA
+
+    def ev(h, blocked=False, eco=10000):
+        return ("SEA", "JFK", "AS", T0 + dt.timedelta(hours=h), blocked, None if blocked else eco, None, None, None, 24, 72, 24)
+
+    spark.createDataFrame([ev(0), ev(10, eco=9000)], cols).coalesce(1).write.mode("append").parquet(landing)
+    time.sleep(1.1)
+    spark.createDataFrame([ev(5, eco=1)], cols).coalesce(1).write.mode("append").parquet(landing)  # older than state
+    out = os.path.join(base, "out")
+    st = jobs.route_state_stream(spark, landing, out, os.path.join(base, "ckpt")).collect()
+    assert len(st) == 1 and st[0].scrapes == 2 and st[0].changes == 2
+    assert st[0].next_scrape_at_utc == T0 + dt.timedelta(hours=10 + 24)   # 24 -> changed -> 12 -> clamp 24
+    late = jobs.late_events(spark, out).collect()
+    assert [(r.origin, r.t) for r in late] == [("SEA", T0 + dt.timedelta(hours=5))]
