@@ -50,7 +50,7 @@ def flights(L: Lake) -> DataFrame:
                                    AWARD_ORDER, AS_OF, keep_cols=["source"])
 
 
-def materialized(L: Lake, name: str, build) -> DataFrame:
+def materialized(L: Lake, name: str, build, layout=None) -> DataFrame:
     """A derived table written once per input folder into the session's shared checkpoint
     folder and read back by every later query (lineage cut by a written table). A marker
     written after the table commits guards against reading a partial write."""
@@ -62,15 +62,27 @@ def materialized(L: Lake, name: str, build) -> DataFrame:
         try:
             spark.read.parquet(marker).count()
         except AnalysisException:
-            build().write.mode("overwrite").parquet(path)
+            df = build()
+            writer = (layout(df) if layout else df).write.mode("overwrite")
+            if layout:
+                writer = writer.partitionBy("date")
+            writer.parquet(path)
             spark.createDataFrame([(path,)], "path string").write.mode("overwrite").parquet(marker)
         L._frames[key] = spark.read.parquet(path)
     return L._frames[key]
 
 
+def date_layout(df: DataFrame) -> DataFrame:
+    """File layout of the served tables: partitioned by travel date (partition pruning for date
+    windows), range-clustered and sorted by route inside (tight parquet min/max for route filters)."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, "date", "origin", "destination").sortWithinPartitions(
+        "date", "origin", "destination", "cabin_class")
+
+
 def flights_table(L: Lake) -> DataFrame:
     """The served keyed table, as the merge job writes it (see ``flights`` for the merge itself)."""
-    return materialized(L, "flights", lambda: flights(L))
+    return materialized(L, "flights_v2", lambda: flights(L), date_layout)
 
 
 def cash(L: Lake) -> DataFrame:
@@ -79,7 +91,7 @@ def cash(L: Lake) -> DataFrame:
 
 def cash_table(L: Lake) -> DataFrame:
     """The stored cash table as the cash merge job writes it."""
-    return materialized(L, "cash", lambda: L.fx_cash)
+    return materialized(L, "cash_v2", lambda: L.fx_cash, date_layout)
 
 
 def live_cash(L: Lake) -> DataFrame:
