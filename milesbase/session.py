@@ -12,13 +12,19 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every job relies on (time semantics, adaptive execution).
+# Settings every job relies on (time semantics, adaptive execution, state store).
+# Shuffle partition counts are left to the cluster: set spark.sql.shuffle.partitions to
+# roughly (largest shuffle bytes / 200 MB) and let AQE coalesce small stages.
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.ansi.enabled": "true",
+    # keyed streaming state (route state, freshness aggregation) lives in RocksDB, not the JVM heap
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
