@@ -335,6 +335,7 @@ def fn_duration_text(spark, sf_dir):
 SELECT DISTINCT CASE WHEN dep_min + duration_minutes >= 1440 THEN '+' || CAST((dep_min + duration_minutes) // 1440 AS VARCHAR) ELSE '' END AS badge,
  CAST((dep_min + duration_minutes) // 1440 AS INTEGER) AS day_offset FROM fx_award""")
 def fn_day_offset(spark, sf_dir):
+    """'+N' arrival badge -> N over every rendered badge."""
     a = D.lk(spark, sf_dir).fx_award
     end = F.col("dep_min") + F.col("duration_minutes")
     b = a.select(F.when(end >= 1440, F.concat(F.lit("+"), X.idiv(end, F.lit(1440)).cast("string"))).otherwise(F.lit("")).alias("badge")).distinct()
@@ -345,6 +346,7 @@ def fn_day_offset(spark, sf_dir):
 SELECT DISTINCT CAST(((dep_min // 60) + 11) % 12 + 1 AS VARCHAR) || ':' || lpad(CAST(dep_min % 60 AS VARCHAR), 2, '0') || ' ' || CASE WHEN dep_min >= 720 THEN 'PM' ELSE 'AM' END AS clock12,
  lpad(CAST(dep_min // 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(dep_min % 60 AS VARCHAR), 2, '0') AS clock24 FROM fx_fare""")
 def fn_12h_to_24h(spark, sf_dir):
+    """'1:05 PM' -> '13:05' over every distinct rendered fare departure."""
     f = D.lk(spark, sf_dir).fx_fare
     h = X.idiv("dep_min", F.lit(60))
     c12 = F.concat((F.pmod(h + 11, F.lit(12)) + 1).cast("string"), F.lit(":"), F.lpad(F.pmod("dep_min", F.lit(60)).cast("string"), 2, "0"),
@@ -358,6 +360,7 @@ def fn_12h_to_24h(spark, sf_dir):
 @query("fn_hhmm_minutes", """
 SELECT DISTINCT lpad(CAST(dep_min // 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(dep_min % 60 AS VARCHAR), 2, '0') AS hhmm, dep_min AS minutes FROM fx_fare""")
 def fn_hhmm_minutes(spark, sf_dir):
+    """'HH:MM' -> minutes since midnight (no wrap)."""
     f = D.lk(spark, sf_dir).fx_fare
     t = f.select(_hhmm(F.col("dep_min")).alias("hhmm")).distinct()
     return t.select("hhmm", text_parse.hhmm_minutes("hhmm").alias("minutes"))

@@ -45,6 +45,7 @@ def jn_nearest_fare(spark, sf_dir):
 
 @query("agg_od_anchor", """SELECT * FROM anchor""", _FARES_CTE)
 def agg_od_anchor(spark, sf_dir):
+    """Cheapest price over all fares of a (route, date, cabin) unit as the __OD__ anchor row."""
     return matching.od_anchor(D.lk(spark, sf_dir).fx_fare)
 
 
@@ -96,16 +97,19 @@ def _units(L):
 
 @query("set_distinct_units", _UNITS_SQL, D.FLIGHTS_CTE)
 def set_distinct_units(spark, sf_dir):
+    """Distinct (route, date, cabin) units with nonstop, unexpired, real-flight rows in the next 30 days."""
     return _units(D.lk(spark, sf_dir))
 
 
 @query("agg_demand_sum", "SELECT * FROM demand", _QUEUE_CTES)
 def agg_demand_sum(spark, sf_dir):
+    """Decayed demand per route summed over airlines."""
     return CQ.demand_sum(D.lk(spark, sf_dir).fx_queue)
 
 
 @query("snk_negative_memory", "SELECT * FROM coverage", _QUEUE_CTES)
 def snk_negative_memory(spark, sf_dir):
+    """Cash coverage memory: last attempt per unit; zero yield defers the next probe 3 days."""
     return CQ.negative_memory(D.cash_attempts(D.lk(spark, sf_dir)))
 
 
@@ -114,6 +118,7 @@ SELECT u.* FROM units u WHERE NOT EXISTS (SELECT 1 FROM fx_cash c WHERE c.origin
   AND c.date = u.date AND c.cabin_class = u.cabin_class AND c.scraped_at_utc > TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 72 HOUR)""",
        _QUEUE_CTES)
 def jn_anti_fresh_cash(spark, sf_dir):
+    """Cash units without a fare scraped within the cash TTL (left anti join; anchors count)."""
     L = D.lk(spark, sf_dir)
     ts = F.lit(AS_OF).cast("timestamp_ntz")
     fresh = L.fx_cash.filter(F.col("scraped_at_utc") > ts - X.hours(F.lit(CASH_TTL_HOURS))).select(*CQ.UNIT)
@@ -133,6 +138,7 @@ SELECT e.*, d.demand, cc.last_attempt_utc FROM elig e LEFT JOIN demand d ON d.or
 LEFT JOIN coverage cc ON cc.origin = e.origin AND cc.destination = e.destination AND cc.date = e.date AND cc.cabin = e.cabin_class""",
        _QUEUE_CTES)
 def jn_demand_coverage(spark, sf_dir):
+    """Eligible units LEFT JOIN route demand LEFT JOIN coverage memory."""
     L = D.lk(spark, sf_dir)
     cov = CQ.negative_memory(D.cash_attempts(L))
     e = CQ.eligible_units(_units(L), L.fx_cash, cov, AS_OF, CASH_TTL_HOURS)
@@ -173,6 +179,7 @@ def set_pinned_keys(spark, sf_dir):
 @query("fn_route_key", """SELECT DISTINCT origin, destination, origin || '-' || destination AS route_key FROM flights""",
        D.FLIGHTS_CTE)
 def fn_route_key(spark, sf_dir):
+    """Route key 'O-D' for every served route."""
     return D.flights_table(D.lk(spark, sf_dir)).select("origin", "destination").distinct().withColumn("route_key", CQ.route_key())
 
 

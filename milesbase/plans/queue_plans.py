@@ -51,6 +51,7 @@ _SCORE = (f"0.5 * least(1.0, ({_DECAY}) / 10.0) + 0.3 * greatest(0.0, least(1.0,
 # ------------------------------------------------------------------ scalar scoring
 @query("fn_demand_decay", f"SELECT queue_id, {_DECAY} AS eff_demand FROM fx_queue")
 def fn_demand_decay(spark, sf_dir):
+    """Stored demand decayed to as_of with a 14-day half-life (future / missing timestamps unchanged)."""
     q = D.lk(spark, sf_dir).fx_queue
     return q.select("queue_id", Q.decay_demand(F.coalesce("decayed_demand", F.lit(0.0)), "last_search_at_utc", AS_OF)
                     .alias("eff_demand"))
@@ -66,11 +67,13 @@ def fn_overdue(spark, sf_dir):
 
 @query("fn_score", f"SELECT queue_id, {_SCORE} AS score FROM fx_queue")
 def fn_score(spark, sf_dir):
+    """Queue priority score: weighted normalised demand, overdue ratio and change rate."""
     return Q.scored(D.lk(spark, sf_dir).fx_queue, AS_OF).select("queue_id", "score")
 
 
 @query("fn_tier_rank", f"SELECT queue_id, priority_tier, {_TIER_RANK} AS tier_rank FROM fx_queue")
 def fn_tier_rank(spark, sf_dir):
+    """Tier rank HIGH 1, MED 2, anything else 3."""
     q = D.lk(spark, sf_dir).fx_queue
     return q.select("queue_id", "priority_tier", X.tier_rank("priority_tier").alias("tier_rank"))
 
@@ -92,6 +95,7 @@ def fn_tier_default(spark, sf_dir):
 SELECT origin, destination, date, airline, cabin_class, raw_flight_number, scraped_at_utc, tier,
  scraped_at_utc + INTERVAL '1' HOUR * CASE tier WHEN 'HIGH' THEN 8 WHEN 'MED' THEN 24 ELSE 48 END AS expires_at_utc FROM fx_award""")
 def fn_expiry(spark, sf_dir):
+    """scraped_at + TTL(tier) hours; an unknown tier falls back to LOW."""
     a = D.lk(spark, sf_dir).fx_award
     return a.select(*D.AWARD_KEY, "scraped_at_utc", "tier", X.expiry().alias("expires_at_utc"))
 
@@ -171,6 +175,7 @@ def gen_plan(spark, sf_dir):
 @query("fn_parse_dates_csv", f"""
 SELECT request_id, list_filter(list_transform(string_split({_CSV_SQL}, ','), lambda x: TRY_CAST(trim(x) AS DATE)), lambda x: x IS NOT NULL) AS dates FROM fx_request""")
 def fn_parse_dates_csv(spark, sf_dir):
+    """CSV of ISO dates -> dates, blank and malformed tokens dropped."""
     r = D.lk(spark, sf_dir).fx_request
     csv = F.when(F.pmod("request_id", F.lit(2)) == 0,
                  F.concat(F.col("date_from").cast("string"), F.lit(", ,x,"), F.col("date_to").cast("string"))).otherwise(F.lit(""))
@@ -510,6 +515,7 @@ def jn_metro_expand(spark, sf_dir):
 @query("agg_due_count", f"""
 SELECT airline, count(*) AS due_count FROM fx_queue WHERE next_scrape_at_utc <= TIMESTAMP '{AS_OF}' GROUP BY airline""")
 def agg_due_count(spark, sf_dir):
+    """Due routes per airline at as_of."""
     q = D.lk(spark, sf_dir).fx_queue
     return q.filter(F.col("next_scrape_at_utc") <= F.lit(AS_OF).cast("timestamp_ntz")).groupBy("airline") \
             .agg(F.count(F.lit(1)).alias("due_count"))

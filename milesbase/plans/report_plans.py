@@ -65,6 +65,7 @@ def jn_queue_flights(spark, sf_dir):
 SELECT source, cabin_class, count(*) AS rows, count(DISTINCT origin || '-' || destination) AS routes, count(DISTINCT date) AS dates
 FROM flights WHERE date >= DATE '2024-01-31' GROUP BY source, cabin_class""", D.FLIGHTS_CTE)
 def agg_cabin_distribution(spark, sf_dir):
+    """Per source and cabin: rows, distinct routes and distinct dates of future-dated flights."""
     return reports.cabin_distribution(D.flights_table(D.lk(spark, sf_dir)), AS_OF_DATE)
 
 
@@ -74,6 +75,7 @@ SELECT source, count(*) AS rows, max(scraped_at_utc) AS newest_scrape,
  round(epoch(TIMESTAMP '2024-01-31 00:00:00' - max(scraped_at_utc)) / 3600.0, 1) AS newest_age_h
 FROM flights GROUP BY source""", D.FLIGHTS_CTE)
 def agg_freshness(spark, sf_dir):
+    """Per source: rows, newest scrape and its age in hours (1 dp), unexpired rows."""
     return reports.freshness(D.flights_table(D.lk(spark, sf_dir)), AS_OF)
 
 
@@ -119,6 +121,7 @@ SELECT runs.run_id, CAST(coalesce(a.units, 0) AS BIGINT) AS units, CAST(coalesce
 FROM runs LEFT JOIN (SELECT run_id, count(*) AS units, sum(records) AS fares, count(*) FILTER (WHERE outcome = 'empty') AS zero,
  count(*) FILTER (WHERE outcome = 'error') AS failed FROM ra GROUP BY run_id) a USING (run_id)""", _RUN_CTE)
 def agg_cash_run(spark, sf_dir):
+    """Per cash run: units attempted, fares, zero-yield and failed units, blocked flag (nothing after the first block)."""
     return reports.cash_run(D.lk(spark, sf_dir).fx_attempt)
 
 
@@ -144,6 +147,7 @@ SELECT airline, count(*) AS total, count(*) FILTER (WHERE ({_REASON_SQL}) IS NOT
  (count(*) FILTER (WHERE ({_REASON_SQL}) IS NOT NULL) > 0 AND count(*) FILTER (WHERE DATE '2024-01-31' - date = 1) = count(*) FILTER (WHERE ({_REASON_SQL}) IS NOT NULL)) AS housekeeping_only
 FROM fx_award GROUP BY airline""")
 def agg_reject_summary(spark, sf_dir):
+    """Per airline: rows, rejected rows, rolled-over dates and the housekeeping-only flag."""
     return quality.reject_summary(D.lk(spark, sf_dir).fx_award, AS_OF_DATE, by=["airline"])
 
 
@@ -171,6 +175,7 @@ UNION ALL SELECT 'cash_fares', 'cash_positive', count(*) FILTER (WHERE NOT (cash
 UNION ALL SELECT 'transfer_bonuses', 'bonus_positive', count(*) FILTER (WHERE NOT (bonus_pct > 0)) FROM fx_bonus
 UNION ALL SELECT 'transfer_bonuses', 'bonus_interval', count(*) FILTER (WHERE ends_at < starts_at) FROM fx_bonus""")
 def flt_check_constraints(spark, sf_dir):
+    """Violations of each table CHECK (points > 0, cabin enum, cash > 0, bonus > 0, interval order)."""
     L = D.lk(spark, sf_dir)
     return reports.check_constraint_violations(L.fx_award, L.fx_cash, L.fx_bonus)
 

@@ -160,12 +160,14 @@ _MATRIX_COLS = ["bank_program_id", "bank_name", "short_code", "airline_code", "p
 # ------------------------------------------------------------------ parsing
 @query("fn_match_airline", f"""SELECT row_id, airline_code, {_NAME_SQL} AS program_name FROM pr0""", _PR_CTE)
 def fn_match_airline(spark, sf_dir):
+    """Program cell -> (IATA code, canonical program) by the first whole-word keyword match."""
     r = D.lk(spark, sf_dir).fx_partner_rows.withColumn("_m", T.match_airline("program_raw"))
     return r.select("row_id", F.col("_m.airline_code").alias("airline_code"), F.col("_m.program_name").alias("program_name"))
 
 
 @query("fn_parse_ratio", f"""SELECT row_id, ratio_raw, {_RATIO_SQL} AS transfer_ratio FROM pr0""", _PR_CTE)
 def fn_parse_ratio(spark, sf_dir):
+    """'bank:partner' ratio -> points per mile, 2 dp half-up; null outside (0, 10] rules."""
     r = D.lk(spark, sf_dir).fx_partner_rows
     return r.select("row_id", "ratio_raw", T.parse_ratio("ratio_raw").alias("transfer_ratio"))
 
@@ -227,6 +229,7 @@ def htm_bonus_table(spark, sf_dir):
 SELECT bank_program_id AS expected_id, bank_text, {_case("lower(trim(bank_text))", T.BANK_MAP)} AS bank_id FROM bcells""",
        _BONUS_CELLS_CTE)
 def fn_bank_lookup(spark, sf_dir):
+    """Bank cell text -> bank program id via lower-trim exact lookup."""
     c = bonus_cells(D.lk(spark, sf_dir)).select(F.col("bank_program_id").alias("expected_id"), "bank_text")
     return T.lookup(spark, c, F.lower(F.trim("bank_text")), T.BANK_MAP, "bank_id", "int")
 
@@ -247,6 +250,7 @@ def fn_airline_lookup(spark, sf_dir):
 SELECT bank_program_id, airline_code, starts_at, CASE WHEN bonus_pct % 20 = 0 THEN 'TBD' ELSE pct_text END AS pct_text,
  CASE WHEN bonus_pct % 20 = 0 THEN NULL ELSE bonus_pct END AS bonus_pct FROM bcells""", _BONUS_CELLS_CTE)
 def fn_parse_pct(spark, sf_dir):
+    """'25%' -> 25; anything else null."""
     c = bonus_cells(D.lk(spark, sf_dir))
     c = c.withColumn("pct_text", F.when(F.pmod("bonus_pct", F.lit(20)) == 0, F.lit("TBD")).otherwise(F.col("pct_text")))
     return c.select("bank_program_id", "airline_code", "starts_at", "pct_text", T.parse_pct("pct_text").alias("bonus_pct"))
@@ -256,6 +260,7 @@ def fn_parse_pct(spark, sf_dir):
 SELECT bank_program_id, airline_code, starts_at, CASE WHEN bonus_pct = 40 THEN date_text || 'x' ELSE date_text END AS date_text,
  CASE WHEN bonus_pct = 40 THEN NULL ELSE ends_at END AS ends_at FROM bcells""", _BONUS_CELLS_CTE)
 def fn_parse_us_date(spark, sf_dir):
+    """'M/D/YY' -> date; malformed -> null."""
     c = bonus_cells(D.lk(spark, sf_dir))
     c = c.withColumn("date_text", F.when(F.col("bonus_pct") == 40, F.concat("date_text", F.lit("x"))).otherwise(F.col("date_text")))
     return c.select("bank_program_id", "airline_code", "starts_at", "date_text", T.parse_us_date("date_text").alias("ends_at"))
@@ -323,6 +328,7 @@ def jn_semi_tracked(spark, sf_dir):
 # ------------------------------------------------------------------ serving: matrix, bonuses, options
 @query("jn_partner_matrix", "SELECT " + ", ".join(_MATRIX_COLS) + " FROM matrix", _PR_CTE)
 def jn_partner_matrix(spark, sf_dir):
+    """Bank x airline partner matrix with ratios and the active bonus."""
     return partner_matrix(spark, D.lk(spark, sf_dir)).select(*_MATRIX_COLS)
 
 
@@ -366,6 +372,7 @@ def _bonus_report(spark, L):
 
 @query("jn_active_bonuses_report", _BONUS_REPORT_SQL, _PR_CTE)
 def jn_active_bonuses_report(spark, sf_dir):
+    """Active bonuses JOIN banks LEFT JOIN partners (program names)."""
     return _bonus_report(spark, D.lk(spark, sf_dir))
 
 
@@ -403,12 +410,14 @@ def jn_transfer_options(spark, sf_dir):
 @query("fn_base_points", "SELECT origin, destination, date, airline, cabin_class, raw_flight_number, bank_program_id, bonus_pct, base_points_needed FROM opts",
        _OPTIONS_CTE)
 def fn_base_points(spark, sf_dir):
+    """CEIL(points x ratio) per award row and partner bank, exact integer arithmetic."""
     return _options(spark, D.lk(spark, sf_dir)).select(*D.AWARD_KEY, "bank_program_id", "bonus_pct", "base_points_needed")
 
 
 @query("fn_effective_points", "SELECT origin, destination, date, airline, cabin_class, raw_flight_number, bank_program_id, bonus_pct, effective_points_needed FROM opts",
        _OPTIONS_CTE)
 def fn_effective_points(spark, sf_dir):
+    """CEIL(points x ratio / (1 + bonus/100)) with the active bonus, exact integer arithmetic."""
     return _options(spark, D.lk(spark, sf_dir)).select(*D.AWARD_KEY, "bank_program_id", "bonus_pct", "effective_points_needed")
 
 
