@@ -158,13 +158,14 @@ _CSV_SQL = """CASE WHEN request_id % 2 = 0 THEN CAST(date_from AS VARCHAR) || ',
 
 
 @query("gen_plan", f"""
-WITH r AS (SELECT request_id, origin, destination, {_CSV_SQL} AS csv FROM fx_request WHERE request_id % 3 = 0),
+WITH r AS (SELECT request_id, origin, destination, {_CSV_SQL} AS csv FROM fx_request),
 p AS (SELECT request_id, list_filter(list_transform(string_split(csv, ','), lambda x: TRY_CAST(trim(x) AS DATE)), lambda x: x IS NOT NULL) AS parsed, origin, destination FROM r)
 SELECT request_id, upper(origin) AS origin, upper(destination) AS destination,
  unnest(CASE WHEN len(parsed) > 0 THEN parsed ELSE list_transform(range(0, 5), lambda i: DATE '{AS_OF_DATE}' + CAST(i AS INT)) END) AS date FROM p""")
 def gen_plan(spark, sf_dir):
-    """On-demand plans: shard 0 only (request_id % 3); CSV dates when any parse, else the next 5 days."""
-    r = D.lk(spark, sf_dir).fx_request.filter(F.pmod("request_id", F.lit(3)) == 0)
+    """On-demand plan of every request as shard 0 emits it (other shards emit none, so the union over
+    shards is shard 0's plan): the CSV dates when any parse, else the next 5 days."""
+    r = D.lk(spark, sf_dir).fx_request
     csv = F.when(F.pmod("request_id", F.lit(2)) == 0,
                  F.concat(F.col("date_from").cast("string"), F.lit(", ,x,"), F.col("date_to").cast("string"))).otherwise(F.lit(""))
     r = r.select("request_id", F.upper("origin").alias("origin"), F.upper("destination").alias("destination"),
