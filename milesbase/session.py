@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -81,3 +82,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_table_path(spark: SparkSession, name: str) -> str:
     base = checkpoint_dir(spark)
     return os.path.join(base, "tables", name)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers (mapInPandas, applyInPandasWithState)
+    by zipping it and distributing it with ``addPyFile``, once per SparkContext."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: artifacts are managed by the client
+        return
+    if id(sc) in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    zpath = os.path.join(tempfile.mkdtemp(prefix="milesbase-pkg-"), "milesbase.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(id(sc))
