@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from milesbase.functions import exprs as X
-from milesbase.sources.dims import CARRIER_TO_IATA, MATCH_TOLERANCE_MIN, OD_SENTINEL, UNKNOWN_FLIGHT
+from milesbase.sources.dims import CARRIER_TO_IATA, CASH_SOURCE, MATCH_TOLERANCE_MIN, OD_SENTINEL, UNKNOWN_FLIGHT
 
 UNIT = ["origin", "destination", "date", "cabin_class"]
 
@@ -67,5 +67,5 @@ def fare_batch(fares: DataFrame, candidates: DataFrame, as_of, ttl_hours: int) -
     rows = per_flight.unionByName(od_anchor(fares))
     ts = F.lit(as_of).cast("timestamp_ntz")
     return rows.select("origin", "destination", "date", "airline", "cabin_class", "flight_number", "cash_price",
-                       F.lit("USD").alias("currency"), F.lit("google_flights").alias("source"),
+                       F.lit("USD").alias("currency"), F.lit(CASH_SOURCE).alias("source"),
                        ts.alias("scraped_at_utc"), (ts + X.hours(F.lit(ttl_hours))).alias("expires_at_utc"))

@@ -27,7 +27,7 @@ per_flight AS (SELECT origin, destination, date, airline, cabin_class, flight_nu
   QUALIFY row_number() OVER (PARTITION BY origin, destination, date, cabin_class, flight_number ORDER BY price, fare_id) = 1),
 anchor AS (SELECT origin, destination, date, '__OD__' AS airline, cabin_class, '__OD__' AS flight_number, min(price) AS cash_price
   FROM fx_fare GROUP BY origin, destination, date, cabin_class),
-fare_batch AS (SELECT *, 'USD' AS currency, 'google_flights' AS source, TIMESTAMP '2024-01-31 00:00:00' AS scraped_at_utc,
+fare_batch AS (SELECT *, 'USD' AS currency, 'meta_search' AS source, TIMESTAMP '2024-01-31 00:00:00' AS scraped_at_utc,
   TIMESTAMP '2024-01-31 00:00:00' + INTERVAL 72 HOUR AS expires_at_utc FROM (SELECT * FROM per_flight UNION ALL SELECT * FROM anchor) u)"""
 
 
@@ -57,7 +57,7 @@ def set_fare_union(spark, sf_dir):
 
 
 @query("snk_cash_merge", """
-WITH cur AS (SELECT *, 'USD' AS currency, 'google_flights' AS source FROM fx_cash)
+WITH cur AS (SELECT *, 'USD' AS currency, 'meta_search' AS source FROM fx_cash)
 SELECT origin, destination, date, airline, cabin_class, flight_number,
  CASE WHEN b.origin IS NULL THEN c.cash_price ELSE b.cash_price END AS cash_price,
  CASE WHEN b.origin IS NULL THEN c.currency ELSE b.currency END AS currency,
@@ -72,7 +72,7 @@ FROM cur c FULL OUTER JOIN fare_batch b USING (origin, destination, date, airlin
 def snk_cash_merge(spark, sf_dir):
     """Upsert the new fare batch into the cash table: material = price, currency, source."""
     L = D.lk(spark, sf_dir)
-    cur = L.fx_cash.withColumn("currency", F.lit("USD")).withColumn("source", F.lit("google_flights"))
+    cur = L.fx_cash.withColumn("currency", F.lit("USD")).withColumn("source", F.lit("meta_search"))
     batch = matching.fare_batch(L.fx_fare, _candidates(L), AS_OF, CASH_TTL_HOURS)
     return merge.conditional_merge(cur, batch, D.CASH_KEY, ["cash_price", "currency", "source"],
                                    ["scraped_at_utc", "expires_at_utc"], ["scraped_at_utc"], AS_OF)

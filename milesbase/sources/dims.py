@@ -34,6 +34,7 @@ CARRIER_TO_IATA = {
     "Etihad": "EY",
     "Southwest": "WN",
 }
+CASH_SOURCE = "meta_search"  # provenance stamp of matched cash rows
 OD_SENTINEL = "__OD__"
 UNKNOWN_FLIGHT = "UNKNOWN"
 # --- end fixed values ---
