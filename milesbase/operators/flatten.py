@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 RECORD_COLS = ["origin", "destination", "date", "airline", "source", "points_cost", "cash_cost", "cabin_class",
                "stops", "available_seats", "raw_flight_number", "partner_airline", "duration_minutes", "is_saver",
                "fare_class", "layover_airports", "next_day_arrival", "scraped_at_utc"]
-RESPONSE = ["origin", "destination", "travel_date", "scraped_at_utc"]
+RESPONSE = ["origin", "destination", "travel_date", "scraped_at_utc", "page"]  # one landed payload
 
 # --- fixed values: provider cabin vocabularies and markers ---
 ETIHAD_CABINS = {"economy": "economy", "premiumeconomy": "premium_economy", "premium economy": "premium_economy",
@@ -49,12 +49,12 @@ def _record(df: DataFrame, airline: str, source: str, keep=(), **cols) -> DataFr
     base.update(cols)
     casts = {"cash_cost": "decimal(8,2)", "points_cost": "int", "stops": "int", "available_seats": "int",
              "duration_minutes": "int"}
-    return df.select(*[(base[c].cast(casts[c]) if c in casts else base[c]).alias(c) for c in RECORD_COLS], *keep)
+    return df.select(*[(base[c].cast(casts[c]) if c in casts else base[c]).alias(c) for c in RECORD_COLS], "page", *keep)
 
 
 def first_wins(recs: DataFrame, ordinal: str = "_ord") -> DataFrame:
-    """win_first_wins inside one response: first record per (flight number, cabin) in payload order."""
-    key = ["origin", "destination", "date", "scraped_at_utc", "raw_flight_number", "cabin_class"]
+    """win_first_wins inside one payload: first record per (flight number, cabin) in payload order."""
+    key = ["origin", "destination", "date", "scraped_at_utc", "page", "raw_flight_number", "cabin_class"]
     vals = [c for c in RECORD_COLS if c not in key]
     g = recs.groupBy(*key).agg(F.min_by(F.struct(*vals), F.col(ordinal)).alias("_v"))
     return g.select(*key, "_v.*").select(*RECORD_COLS)
@@ -221,13 +221,14 @@ def flatten_jetblue(bronze: DataFrame, airports: DataFrame) -> DataFrame:
     o = o.withColumn("_cabin", lookup(JETBLUE_CABINS, F.upper(F.col("off.cabinClass"))))
     o = o.filter(~F.coalesce(F.col("off.soldOut"), F.lit(False)) & (pts > 0) & F.col("_cabin").isNotNull())
     bc = F.get(F.col("off.offerSegmentInfo"), 0)["bookingClass"]
-    return _record(o, "B6", "jetblue", points_cost=pts.cast("long"), cash_cost=F.coalesce(cash, F.lit(0.0)),
+    recs = _record(o, "B6", "jetblue", points_cost=pts.cast("long"), cash_cost=F.coalesce(cash, F.lit(0.0)),
                    cabin_class=F.col("_cabin"), stops=F.col("_stops"),
                    available_seats=F.coalesce(F.col("off.seatsRemaining.count"), F.lit(-1)),
                    raw_flight_number=F.col("_raw_fn"), partner_airline=F.col("_partner"), duration_minutes=F.col("_dur"),
                    is_saver=F.coalesce(F.col("off.brand.brandId") == JETBLUE_SAVER_BRAND, F.lit(False)),
                    fare_class=F.when(F.length(bc) > 0, F.substring(bc, 1, 10)), layover_airports=F.col("_lay"),
                    next_day_arrival=F.col("_nd"))
+    return recs.drop("page")
 
 
 # ------------------------------------------------------------------ Southwest: details[] x fare families
@@ -290,7 +291,7 @@ def flatten_southwest(bronze: DataFrame) -> DataFrame:
                    fare_class=F.when(F.length(bc) > 0, F.substring(bc, 1, 10)),
                    layover_airports=F.when(F.size(lay) > 0, F.array_join(lay, ",")),
                    next_day_arrival=F.coalesce(F.col("det.nextDay"), F.lit(False)))
-    return recs
+    return recs.drop("page")
 
 
 # ------------------------------------------------------------------ Delta: offer sets x offers x fare information
@@ -400,7 +401,7 @@ def flatten_delta(bronze: DataFrame, airports: DataFrame) -> DataFrame:
                    duration_minutes=F.col("_dur"), is_saver=F.coalesce(F.upper(ft).contains("AWARD"), F.lit(False)),
                    fare_class=F.when(F.length("_cos") > 0, F.substring("_cos", 1, 10)), layover_airports=F.col("_lay"),
                    next_day_arrival=F.col("_nd"))
-    return recs
+    return recs.drop("page")
 
 
 # ------------------------------------------------------------------ Alaska: dehydrated flat array with references
@@ -472,10 +473,11 @@ def flatten_alaska(bronze: DataFrame) -> DataFrame:
     seats_txt = _deref(flat, F.col("_so.seatsRemaining"))
     fc = F.coalesce(_deref(flat, F.col("_so.bookingCode")), _deref(flat, F.col("_so.fareClass")), _deref(flat, F.col("_so.bookingClass")))
     s = s.filter(pts > 0)
-    return _record(s, "AS", "alaska", points_cost=pts.cast("long"), cash_cost=F.coalesce(fees, F.lit(0.0)),
+    recs = _record(s, "AS", "alaska", points_cost=pts.cast("long"), cash_cost=F.coalesce(fees, F.lit(0.0)),
                    cabin_class=F.col("_cabin"), stops=F.col("_stops"),
                    available_seats=F.when(seats_txt.rlike(r"^-?\d+$"), seats_txt.cast("int")).otherwise(F.lit(-1)),
                    raw_flight_number=F.col("_raw_fn"), partner_airline=F.col("_partner"), duration_minutes=F.col("_dur"),
                    is_saver=F.upper("sol.key").startswith("SAVER"),
                    fare_class=F.when(F.length(fc) > 0, F.substring(fc, 1, 10)), layover_airports=F.col("_lay"),
                    next_day_arrival=F.col("_nd"))
+    return recs.drop("page")

@@ -13,8 +13,8 @@ T0 = dt.datetime(2024, 1, 30, 12)
 
 def bronze(spark, payload, origin="SEA", dest="JFK"):
     text = payload if isinstance(payload, str) else json.dumps(payload)
-    return spark.createDataFrame([(origin, dest, D0, T0, text)],
-                                 "origin string, destination string, travel_date date, scraped_at_utc timestamp_ntz, payload string")
+    return spark.createDataFrame([(origin, dest, D0, T0, 0, text)],
+                                 "origin string, destination string, travel_date date, scraped_at_utc timestamp_ntz, page int, payload string")
 
 
 def airports(spark):
@@ -139,3 +139,17 @@ def test_delta_list_or_object_price(spark):
     got = sorted((r.cabin_class, r.points_cost, r.duration_minutes, r.is_saver)
                  for r in FL.flatten_delta(bronze(spark, payload), airports(spark)).collect())
     assert got == [("business", 25000, 330, True), ("economy", 25000, 330, True)]
+
+
+def test_pagination_bounds_payloads(spark, monkeypatch):
+    from milesbase.plans import domain as D
+    from milesbase.plans import flatten_plans as FP
+    from conftest import SMOKE_DIR
+
+    monkeypatch.setattr(FP, "PAGE_ITEMS", 1)
+    L = D.lk(spark, SMOKE_DIR)
+    pages = FP.responses(L, "EY")
+    assert pages.agg(F.max(F.size("items"))).first()[0] == 1
+    got = FL.flatten_etihad(FP.etihad_bronze(L)).count()
+    expected = L.fx_award.filter((F.col("airline") == "EY") & (F.col("points_cost") > 0)).count()
+    assert got == expected  # one item per payload: nothing deduplicated across payloads
