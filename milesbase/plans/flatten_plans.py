@@ -20,7 +20,6 @@ from milesbase.plans.registry import query
 ITEM = ["raw_flight_number", "cabin_class", "points_cost", "cash_cost", "available_seats", "duration_minutes",
         "dep_min", "stops"]
 ITEM_ORDER = ", ".join(ITEM)
-_RESP = "origin, destination, date, scraped_at_utc"
 
 
 PAGE_ITEMS = 50  # items per landed payload page
