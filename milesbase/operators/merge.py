@@ -42,20 +42,36 @@ def first_per_key(df: DataFrame, key, order_cols, value_cols=None) -> DataFrame:
     return picked.select(*key, "_v.*")
 
 
+STRATEGY_CONF = "milesbase.merge.strategy"
+
+
 def conditional_merge(current: DataFrame | None, batch: DataFrame, key, material, stamps,
-                      order_cols, as_of, expiry_col="expires_at_utc", keep_cols=()) -> DataFrame:
+                      order_cols, as_of, expiry_col="expires_at_utc", keep_cols=(), strategy=None) -> DataFrame:
     """Net effect of sequential ``ON CONFLICT ... WHERE changed OR expired`` upserts.
 
     ``order_cols`` give the arrival order inside the batch; stored rows precede
     the batch. ``keep_cols`` are set at insert time and never updated.
     Returns one row per key with key + material + stamps + keep_cols.
 
-    One shuffle and one sort: every window below shares the partitioning by key
+    Two physical strategies with identical results: ``window`` (default, one
+    shuffle and one sort) and ``aggregate`` for feeds where a single key can
+    hold a large share of the rows: every step is a partial-aggregating
+    ``groupBy(key)`` and the joins back on the key are equi-joins that AQE's
+    skew handling splits, so no task ever has to hold a hot key alone.
+    Pick with the argument or the session conf ``milesbase.merge.strategy``.
+    """
+    strategy = strategy or batch.sparkSession.conf.get(STRATEGY_CONF, "window")
+    impl = _merge_by_aggregation if strategy == "aggregate" else _merge_by_window
+    return impl(current, batch, list(key), list(material), list(stamps), list(order_cols), as_of, expiry_col,
+                list(keep_cols))
+
+
+def _merge_by_window(current, batch, key, material, stamps, order_cols, as_of, expiry_col, keep_cols) -> DataFrame:
+    """One shuffle and one sort: every window below shares the partitioning by key
     and the newest-first arrival order, so Spark evaluates them in a single
     sorted pass and keeps row 1 of each key (no struct aggregation buffers,
     which would force sort-based aggregation and extra sorts).
     """
-    key, material, stamps, keep_cols = list(key), list(material), list(stamps), list(keep_cols)
     cols = key + material + stamps + keep_cols
     seq = batch.select(*cols, F.lit(1).alias("_src"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_cols)])
     if current is not None:
@@ -83,6 +99,35 @@ def conditional_merge(current: DataFrame | None, batch: DataFrame, key, material
     return out.select(*key, *material, "_s.*", *(["_k.*"] if keep_cols else [])).select(*cols)
 
 
+def _merge_by_aggregation(current, batch, key, material, stamps, order_cols, as_of, expiry_col,
+                          keep_cols) -> DataFrame:
+    """Skew-tolerant form: (1) final material per key, (2) the newest observation whose material
+    differs, (3) first unexpired else last stamps inside the final run - three partial-aggregating
+    groupBy(key) steps joined back on the key."""
+    cols = key + material + stamps + keep_cols
+    ordc = F.struct(F.lit(1).alias("_src"), *[F.col(c) for c in order_cols]).alias("_ord")
+    seq = batch.select(*cols, ordc)
+    if current is not None:
+        cur_ord = F.struct(F.lit(0).alias("_src"), *[F.lit(None).cast(batch.schema[c].dataType).alias(c)
+                                                     for c in order_cols]).alias("_ord")
+        seq = current.select(*cols, cur_ord).unionByName(seq)
+    final = seq.groupBy(*key).agg(
+        F.max_by(F.struct(*material), F.col("_ord")).alias("_m"),
+        F.min_by(F.struct(*keep_cols), F.col("_ord")).alias("_k") if keep_cols else F.lit(None).alias("_k"))
+    s = seq.join(final, key)
+    differs = any_of([~F.col(c).eqNullSafe(F.col(f"_m.{c}")) for c in material])
+    tstar = s.groupBy(*key).agg(F.max(F.when(differs, F.col("_ord"))).alias("_t"))
+    run = s.join(tstar, key).filter(F.col("_t").isNull() | (F.col("_ord") > F.col("_t")))
+    fresh = F.col(expiry_col) > F.lit(as_of).cast("timestamp_ntz")
+    st = F.struct(*stamps)
+    res = run.groupBy(*key).agg(
+        F.first("_m").alias("_m"), F.first("_k").alias("_k"),
+        F.min_by(F.when(fresh, st), F.when(fresh, F.col("_ord"))).alias("_first_fresh"),
+        F.max_by(st, F.col("_ord")).alias("_last"))
+    out = res.select(*key, "_m.*", F.coalesce("_first_fresh", "_last").alias("_s"), *([F.col("_k")] if keep_cols else []))
+    return out.select(*key, *material, "_s.*", *(["_k.*"] if keep_cols else [])).select(*cols)
+
+
 def insert_absent(new: DataFrame, current: DataFrame, key) -> DataFrame:
     """snk_insert_absent: add keys not present yet, never modify existing rows."""
     add = new.dropDuplicates(list(key)).join(current.select(*key), list(key), "left_anti")

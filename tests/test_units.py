@@ -221,3 +221,18 @@ def test_run_outcome_truth_table(spark):
     a = spark.createDataFrame(rows, "run_id long, seq long, origin string, dest string, outcome string, records int")
     got = {r.run_id: (r.status, r.records, r.routes_scraped) for r in reports.run_outcome(a).collect()}
     assert got == {1: ("partial", 5, 2), 2: ("failed", 0, 1), 3: ("blocked", 3, 1), 4: ("healthy", 0, 1)}
+
+
+def test_merge_strategies_agree(spark):
+    from conftest import SMOKE_DIR
+    from milesbase.plans import domain as D
+    L = D.lk(spark, SMOKE_DIR)
+    b = D.award_batch(L)
+    args = (D.AWARD_KEY, D.AWARD_MATERIAL, D.AWARD_STAMPS, D.AWARD_ORDER, "2024-01-31 00:00:00")
+    win = merge.conditional_merge(None, b, *args, keep_cols=["source"], strategy="window")
+    agg = merge.conditional_merge(None, b, *args, keep_cols=["source"], strategy="aggregate")
+    assert win.count() == agg.count() and win.exceptAll(agg).count() == 0 and agg.exceptAll(win).count() == 0
+    cur = win.orderBy(*D.AWARD_KEY).limit(50)
+    w2 = merge.conditional_merge(cur, b, *args, keep_cols=["source"], strategy="window")
+    a2 = merge.conditional_merge(cur, b, *args, keep_cols=["source"], strategy="aggregate")
+    assert w2.exceptAll(a2).count() == 0 and a2.exceptAll(w2).count() == 0
