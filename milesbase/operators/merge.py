@@ -149,12 +149,13 @@ def keyed_update(current: DataFrame, updates: DataFrame, key, set_cols) -> DataF
 def unconditional_merge(current: DataFrame, batch: DataFrame, key, order_cols) -> DataFrame:
     """snk_dim_merge: last batch row per key replaces the stored row; others kept."""
     last = latest_per_key(batch, key, order_cols, [c for c in current.columns if c not in key])
-    keep = current.join(last.select(*key), list(key), "left_anti")
+    keep = current.join(last.select(*key), list(key), "left_anti").select(*current.columns)
     return keep.unionByName(last.select(*current.columns))
 
 
 def scoped_replace(current: DataFrame, batch: DataFrame, scope_cols) -> DataFrame:
     """snk_scoped_replace: drop stored rows whose scope value appears in the batch, add the batch."""
     scope = batch.select(*scope_cols).distinct()
-    return current.join(scope, list(scope_cols), "left_anti").unionByName(batch.select(*current.columns))
+    kept = current.join(scope, list(scope_cols), "left_anti").select(*current.columns)
+    return kept.unionByName(batch.select(*current.columns))
 

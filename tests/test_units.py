@@ -236,3 +236,64 @@ def test_merge_strategies_agree(spark):
     w2 = merge.conditional_merge(cur, b, *args, keep_cols=["source"], strategy="window")
     a2 = merge.conditional_merge(cur, b, *args, keep_cols=["source"], strategy="aggregate")
     assert w2.exceptAll(a2).count() == 0 and a2.exceptAll(w2).count() == 0
+
+
+# ------------------------------------------------------------------ sinks and queue semantics
+def test_insert_absent_never_modifies(spark):
+    cur = spark.createDataFrame([("A", "B", "AS", "HIGH", 5)], "origin string, dest string, airline string, priority_tier string, search_count int")
+    new = spark.createDataFrame([("A", "B", "AS", "LOW", 0), ("B", "A", "AS", "LOW", 0)], cur.schema)
+    got = {(r.origin, r.dest): (r.priority_tier, r.search_count) for r in merge.insert_absent(new, cur, ["origin", "dest", "airline"]).collect()}
+    assert got == {("A", "B"): ("HIGH", 5), ("B", "A"): ("LOW", 0)}
+
+
+def test_keyed_update_ignores_unknown_keys(spark):
+    cur = spark.createDataFrame([("A", 1.0, "x"), ("B", 2.0, "y")], "k string, rate double, other string")
+    upd = spark.createDataFrame([("A", 9.0), ("Z", 7.0)], "k string, rate double")
+    got = sorted(tuple(r) for r in merge.keyed_update(cur, upd, ["k"], ["rate"]).collect())
+    assert got == [("A", 9.0, "x"), ("B", 2.0, "y")]
+
+
+def test_scoped_and_unconditional_replace(spark):
+    cur = spark.createDataFrame([(1, "AS", 10), (1, "UA", 20), (2, "DL", 30)], "bank int, airline string, pct int")
+    batch = spark.createDataFrame([(3, "AS", 40)], cur.schema)
+    got = sorted(tuple(r) for r in merge.scoped_replace(cur, batch, ["airline"]).collect())
+    assert got == [(1, "UA", 20), (2, "DL", 30), (3, "AS", 40)]
+    b2 = spark.createDataFrame([(1, "UA", 25, 1), (1, "UA", 26, 2)], "bank int, airline string, pct int, o int")
+    got = sorted(tuple(r) for r in merge.unconditional_merge(cur, b2, ["bank", "airline"], ["o"]).collect())
+    assert got == [(1, "AS", 10), (1, "UA", 26), (2, "DL", 30)]
+
+
+def _queue(spark, n, scraped_every=2):
+    base = dt.datetime(2024, 1, 30)
+    rows = [(i, "AS", "MED", base - dt.timedelta(hours=i), None if i % scraped_every else base, 0.5, 0.0, None)
+            for i in range(n)]
+    return spark.createDataFrame(rows, "queue_id long, airline string, priority_tier string, next_scrape_at_utc timestamp_ntz, "
+                                       "last_scraped_at_utc timestamp_ntz, change_rate double, decayed_demand double, "
+                                       "last_search_at_utc timestamp_ntz")
+
+
+def test_due_batch_never_scraped_first_and_backlog_count(spark):
+    b = Q.due_batch(_queue(spark, 30), "2024-01-31 00:00:00", limit=5).orderBy("batch_rank").collect()
+    assert len(b) == 5 and all(r.due_count == 30 for r in b)
+    assert all(r.last_scraped_at_utc is None for r in b)  # never-scraped rows sort first
+
+
+def test_shard_stride_disjoint_and_total(spark):
+    b = Q.due_batch(_queue(spark, 40), "2024-01-31 00:00:00", limit=12)
+    s = Q.shard_stride(b, 3, 4).collect()
+    ids = [r.queue_id for r in s]
+    assert len(ids) == len(set(ids)) == 12
+    by_shard = {}
+    for r in s:
+        by_shard.setdefault(r.shard, []).append(r.batch_rank)
+    assert {k: sorted(v) for k, v in by_shard.items()} == {0: [1, 4, 7, 10], 1: [2, 5, 8, 11], 2: [3, 6, 9, 12]}
+
+
+def test_checked_broadcast_probe(spark):
+    from milesbase.operators.joins import checked_broadcast
+    small, big = spark.range(10), spark.range(1000)
+    hinted = big.join(checked_broadcast(small, 100), "id")
+    unhinted = big.join(checked_broadcast(big, 100), "id")
+    assert "broadcast" in hinted._jdf.queryExecution().analyzed().toString().lower()      # within the cap: hinted
+    assert "broadcast" not in unhinted._jdf.queryExecution().analyzed().toString().lower()  # beyond it: left to planner
+    assert hinted.count() == 10 and unhinted.count() == 1000
