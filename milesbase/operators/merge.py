@@ -159,3 +159,18 @@ def scoped_replace(current: DataFrame, batch: DataFrame, scope_cols) -> DataFram
     kept = current.join(scope, list(scope_cols), "left_anti").select(*current.columns)
     return kept.unionByName(batch.select(*current.columns))
 
+
+
+def write_touched_partitions(merged: DataFrame, batch: DataFrame, path: str, partition_col: str = "date") -> None:
+    """Sink for the keyed tables: rewrite only the partitions the batch touched (dynamic partition
+    overwrite); rows of untouched dates are neither read nor rewritten. ``merged`` must be the
+    merge result restricted to keys whose partition value occurs in ``batch``."""
+    touched = batch.select(partition_col).distinct()
+    out = merged.join(touched, partition_col, "left_semi")
+    spark = merged.sparkSession
+    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        out.write.mode("overwrite").partitionBy(partition_col).parquet(path)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)

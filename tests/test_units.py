@@ -297,3 +297,21 @@ def test_checked_broadcast_probe(spark):
     assert "broadcast" in hinted._jdf.queryExecution().analyzed().toString().lower()      # within the cap: hinted
     assert "broadcast" not in unhinted._jdf.queryExecution().analyzed().toString().lower()  # beyond it: left to planner
     assert hinted.count() == 10 and unhinted.count() == 1000
+
+
+def test_write_touched_partitions_only(spark):
+    import os
+    import tempfile
+    path = os.path.join(tempfile.mkdtemp(prefix="touched-"), "t")
+    d1, d2 = dt.date(2024, 2, 1), dt.date(2024, 2, 2)
+    v1 = spark.createDataFrame([("a", d1, 1), ("b", d2, 1)], "k string, date date, p int")
+    v1.write.partitionBy("date").parquet(path)
+    untouched = os.path.join(path, "date=2024-02-01")
+    before = {f: os.path.getmtime(os.path.join(untouched, f)) for f in os.listdir(untouched)}
+    batch = spark.createDataFrame([("b", d2, 2)], v1.schema)
+    merged = spark.createDataFrame([("a", d1, 1), ("b", d2, 2)], v1.schema)
+    merge.write_touched_partitions(merged, batch, path)
+    got = sorted((r.k, r.p) for r in spark.read.parquet(path).collect())
+    assert got == [("a", 1), ("b", 2)]
+    after = {f: os.path.getmtime(os.path.join(untouched, f)) for f in os.listdir(untouched)}
+    assert after == before  # the untouched date partition was neither deleted nor rewritten
