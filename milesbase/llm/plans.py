@@ -7,13 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from milesbase.llm import line_dedup, quality_rules, url_filter, warc_zip
+from milesbase.llm import bpe, line_dedup, minhash, neighbour_vote, packing, quality_rules, rabitq, suffix_dedup, url_filter, warc_zip
 from milesbase.llm.common import read_table, staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def tokenizer(name: str) -> str:
+    """Path of a public tokenizer file."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def token_pattern() -> str:
+    import public_tokenizers
+    return public_tokenizers.PATTERN
+
+
 def _query(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
@@ -75,3 +86,78 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host and path rules, else the character language-model ratio, for every page's URL."""
     out, s = url_filter.url_verdicts(read_table(spark, sf_dir, "pages").select("page_id", "url"))
     return out.select("page_id", *[F.col(s)[k].alias(k) for k in ("host", "path", "rule", "score", "verdict")])
+
+
+@_query("op2_one_bit_ann", """
+WITH v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.e, c.e) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM pairs QUALIFY rank <= 10
+""")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest vectors of every hundredth vector, found through one-bit codes."""
+    table = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return rabitq.nearest(table, table.where("vec_id % 100 = 0"))
+
+
+@_query("op4_neighbour_vote")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document by its labelled neighbours; a third of the ids is held out."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    labels = read_table(spark, sf_dir, "labels").where(~held).select("doc_id", "quality")
+    out = neighbour_vote.scored(docs, neighbour_vote.train(docs, labels))
+    return out.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@_query("op5_best_fit_packing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 1024 tokens."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack_documents(docs, tokenizer("byte_bpe_50k.tiktoken"), token_pattern())
+
+
+@_query("op8_byte_bpe")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded to byte-level BPE ids and decoded again."""
+    codec = bpe.Codec(bpe.read_ranks(tokenizer("byte_bpe_50k.tiktoken")), token_pattern())
+    out = bpe.encoded(read_table(spark, sf_dir, "documents").select("doc_id", "text"), codec, digests=True)
+    return out.select("row.doc_id", "bpe.n_tokens", "bpe.ids_sha256", "bpe.decoded_sha256")
+
+
+@_query("op9_minhash", r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS s
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 1, 1))) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN sizes p ON p.doc_id = a.doc_id JOIN sizes q ON q.doc_id = b.doc_id
+  WHERE 100 * least(p.n, q.n) >= 80 * greatest(p.n, q.n)
+  GROUP BY a.doc_id, b.doc_id, p.n, q.n HAVING 100 * count(*) >= 80 * (p.n + q.n - count(*))),
+reach(x, y) AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) AS component_id,
+       d.doc_id = least(d.doc_id, coalesce(m, d.doc_id)) AS kept
+FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN (SELECT x AS doc_id, min(y) AS m FROM reach GROUP BY x) USING (doc_id)
+""")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents over two-word shingles."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash.near_duplicates(docs, size=2).withColumnRenamed("id", "doc_id")
+
+
+@_query("op10_suffix_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document inside 200-byte strings that occur anywhere else too."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out, s = suffix_dedup.without_repeats(docs, with_kept=False)
+    return out.select("doc_id", *[F.col(s)[k].alias(k) for k in ("n_bytes", "n_removed", "n_spans", "kept_sha256")])
