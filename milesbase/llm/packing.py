@@ -69,7 +69,8 @@ def improve(lengths: np.ndarray, bins: list[list[int]], capacity: int) -> list[l
 
     def best_change(source: int):
         """(tokens moved, bin, pieces out, pieces back) that moves most tokens out of ``source``, or None."""
-        room = np.where(fill > 0, capacity - fill, -1)
+        # only into bins that are at least as full: that raises the sum of squares
+        room = np.where((fill > 0) & (fill >= fill[source]), capacity - fill, -1)
         room[source] = -1
         mine = {int(size[i]): i for i in bins[source]}  # one piece of each size
         best = (0, -1, [], [])

@@ -8,6 +8,7 @@ import corpus_pipeline
 import duckdb
 import pytest
 
+from milesbase.llm.common import staged
 from milesbase.llm.plans import ORACLES, QUERIES, token_pattern, tokenizer
 from test_free_ops import brute_components, brute_removed
 from test_native_ops import base
@@ -69,8 +70,8 @@ def test_run_packs_what_the_stages_keep(spark, folder):
     path, _ = folder
     got = corpus_pipeline.run(spark, path).collect()
     docs = spark.read.parquet(f"{path}/documents.parquet")
-    for _, stage in corpus_pipeline.STAGES[:-1]:
-        docs = stage(spark, docs, path)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = staged(stage(spark, docs, path), name)
     library = tiktoken.Encoding("own", pat_str=token_pattern(), mergeable_ranks=read_ranks(tokenizer("byte_bpe_50k.tiktoken")), special_tokens={})
     want = {r.doc_id: len(library.encode_ordinary(r.text or "")) + 1 for r in docs.collect()}
     have, fill = Counter(), Counter()
