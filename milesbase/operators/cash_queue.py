@@ -14,15 +14,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from milesbase.functions import exprs as X
+from milesbase.sources.dims import METROS
 from milesbase.sources.dims import UNKNOWN_FLIGHT
 
 UNIT = ["origin", "destination", "date", "cabin_class"]
 CASH_ZERO_REPROBE_DAYS = 3
 SCRAPE_DAYS_AHEAD = 30
 
-# --- fixed values: hub routes always refreshed first (direct airport pairs) ---
+# --- fixed values: hub routes always refreshed first (airports or metro tokens) ---
 CASH_PINNED_ROUTES = [
-    ("SEA", "MSP"), ("SEA", "HND"), ("SFO", "HND"), ("LAX", "HND"), ("LAX", "NRT"), ("SFO", "HKG"),
+    ("SEA", "MSP"), ("SEA", "NYC"), ("PDX", "NYC"), ("SFO", "NYC"), ("LAX_METRO", "NYC"), ("SEA", "HND"), ("SFO", "HND"), ("LAX", "HND"), ("LAX", "NRT"), ("SFO", "HKG"),
     ("LAX", "SYD"), ("LAX", "TPE"), ("SEA", "LHR"), ("DTW", "ICN"), ("JFK", "CDG"), ("DTW", "AMS"),
     ("JFK", "DUB"), ("BOS", "DUB"), ("SEA", "FRA"), ("SEA", "KEF"), ("JFK", "FCO"), ("SEA", "FCO"),
     ("SEA", "BCN"), ("JFK", "OPO"), ("BOS", "MAD"), ("BOS", "BCN"), ("BOS", "MXP"),
@@ -44,9 +45,14 @@ def shard_of(key, shard_count: int):
 
 
 def pinned_keys(spark: SparkSession, pairs=CASH_PINNED_ROUTES) -> DataFrame:
-    """set_pinned_keys: pinned pairs and their reverses as 'O-D' keys (bounded, broadcast)."""
-    rows = [(f"{o}-{d}",) for o, d in pairs] + [(f"{d}-{o}",) for o, d in pairs]
-    return spark.createDataFrame(rows, "route_key string").distinct()
+    """set_pinned_keys: pinned pairs with metro tokens expanded to their airports, and their reverses, as 'O-D' keys
+    (bounded by the literal lists, broadcast)."""
+    metros = spark.createDataFrame([(k, list(v)) for k, v in METROS.items()], "token string, airports array<string>")
+    side = lambda c: F.explode(F.coalesce(F.col("airports"), F.array(c)))
+    p = spark.createDataFrame(list(pairs), "o string, d string")
+    p = p.join(metros.withColumnRenamed("token", "o"), "o", "left").select(side("o").alias("o"), "d")
+    p = p.join(metros.withColumnRenamed("token", "d"), "d", "left").select("o", side("d").alias("d")).filter("o <> d")
+    return p.union(p.select("d", "o")).select(route_key("o", "d").alias("route_key")).distinct()
 
 
 def distinct_units(flights: DataFrame, as_of, as_of_date, days_ahead=SCRAPE_DAYS_AHEAD, cabins=None) -> DataFrame:

@@ -15,8 +15,8 @@ from milesbase.functions.exprs import col
 PRICE_RE = r"([\d,]+)\s+US dollars"
 STOPS_RE = r"(Nonstop|(\d+) stops?) flight with ([A-Za-z][A-Za-z .&'-]*?)\."
 DEP_RE = r"Leaves .*? at (\d{1,2}):(\d{2})\s*([AP]M)"
-DURATION_RE = r"^\s*(\d+)h(?:\s*(\d+)m)?\s*$"
-DAY_OFFSET_RE = r"^\s*\+(\d+)"
+DURATION_RE = r"(?i)(\d+)h(?:\s*(\d+)m)?"
+DAY_OFFSET_RE = r"\d+"
 # --- end fixed values ---
 
 
@@ -32,8 +32,8 @@ def to_24h(hour, minute, ampm) -> Column:
 
 
 def price_text(c) -> Column:
-    """fn_price_text: '1,234 US dollars' -> 1234.0."""
-    return F.regexp_replace(_extract(c, PRICE_RE, 1), ",", "").cast("double")
+    """fn_price_text: '1,234 US dollars' -> 1234.0; no number (',') -> null."""
+    return F.regexp_replace(_extract(c, PRICE_RE, 1), ",", "").try_cast("double")
 
 
 def parse_fare_labels(labels: DataFrame, text="label") -> DataFrame:
@@ -52,21 +52,24 @@ def parse_fare_labels(labels: DataFrame, text="label") -> DataFrame:
 
 
 def hhmm_minutes(c) -> Column:
-    """fn_hhmm_minutes: 'HH:MM' -> minutes since midnight (no wrap)."""
+    """fn_hhmm_minutes: 'HH:MM' -> minutes since midnight (no wrap); anything else -> null."""
     parts = F.split(col(c), ":")
-    return parts.getItem(0).cast("int") * 60 + parts.getItem(1).cast("int")
+    h, m = F.get(parts, 0).try_cast("int"), F.get(parts, 1).try_cast("int")
+    return F.try_add(F.try_multiply(h, F.lit(60)), m)
 
 
 def duration_text(c) -> Column:
-    """fn_duration_text: '12h 40m' -> 760, '13h' -> 780, anything else -> null."""
-    h = _extract(c, DURATION_RE, 1)
-    m = F.regexp_extract(col(c), DURATION_RE, 2)
-    return h.cast("int") * 60 + F.coalesce(F.nullif(m, F.lit("")).cast("int"), F.lit(0))
+    """fn_duration_text: '12h 40m' -> 760, '13h' -> 780, found anywhere in the text and in either case; nothing
+    found, zero or a number beyond int -> null."""
+    h = _extract(c, DURATION_RE, 1).try_cast("int")
+    m = F.nullif(F.regexp_extract(col(c), DURATION_RE, 2), F.lit(""))
+    total = F.try_add(F.try_multiply(h, F.lit(60)), F.when(m.isNull(), F.lit(0)).otherwise(m.try_cast("int")))
+    return F.when(total > 0, total)
 
 
 def day_offset(c) -> Column:
-    """fn_day_offset: '+1' -> 1, else 0."""
-    return F.coalesce(_extract(c, DAY_OFFSET_RE, 1).cast("int"), F.lit(0))
+    """fn_day_offset: the first number of a badge ('+1', '1', 'arr +2'); none -> 0."""
+    return F.coalesce(_extract(c, DAY_OFFSET_RE, 0).try_cast("int"), F.lit(0))
 
 
 def parse_dates_csv(c) -> Column:

@@ -10,6 +10,7 @@ from milesbase.operators import matching, merge, text_parse
 from milesbase.plans import domain as D
 from milesbase.plans.registry import query
 from milesbase.sources.dims import CABINS, CASH_TTL_HOURS
+from milesbase.sources.dims import METROS
 from milesbase.sources.fixtures import AS_OF, AS_OF_DATE
 
 _FARES_CTE = D.FLIGHTS_CTE + """,
@@ -145,7 +146,10 @@ def jn_demand_coverage(spark, sf_dir):
     return CQ.with_demand_coverage(e, CQ.demand_sum(L.fx_queue), cov)
 
 
-_PINNED_SQL = ", ".join(f"'{o}-{d}', '{d}-{o}'" for o, d in CQ.CASH_PINNED_ROUTES)
+_PINNED_SQL = f"""WITH m(token, airport) AS (VALUES {", ".join(f"('{k}', '{a}')" for k, v in METROS.items() for a in v)}),
+ p(o, d) AS (VALUES {", ".join(f"('{o}', '{d}')" for o, d in CQ.CASH_PINNED_ROUTES)}),
+ x AS (SELECT coalesce(mo.airport, o) AS o, coalesce(md.airport, d) AS d FROM p LEFT JOIN m mo ON mo.token = o LEFT JOIN m md ON md.token = d)
+ SELECT o || '-' || d FROM x WHERE o <> d UNION SELECT d || '-' || o FROM x WHERE o <> d"""
 _SHARD_SQL = "CAST('0x' || substr(md5(origin || '-' || destination), 1, 15) AS BIGINT) % 4"
 
 

@@ -64,12 +64,12 @@ def fn_payload_shape(spark, sf_dir):
     """Drift report over event payloads: sorted safe top-level keys (<= 20) and the JSON type of field k."""
     e = D.lk(spark, sf_dir).events
     keys = F.slice(F.array_sort(F.filter(F.json_object_keys("props"), lambda k: k.rlike(SAFE_KEY))), 1, MAX_KEYS)
-    first = F.regexp_extract("props", r'"k"\s*:\s*(\S)', 1)
-    num = F.regexp_extract("props", r'"k"\s*:\s*(-?[0-9.eE+]+)', 1)
+    # the type of the top-level field itself, whatever nested fields share its name
+    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json("props"), "$.k", "variant"))
     has_k = F.array_contains(F.coalesce(F.json_object_keys("props"), F.array().cast("array<string>")), "k")
-    typ = (F.when(~has_k, "missing").when(first == '"', "str").when(first == "{", "dict").when(first == "[", "list")
-            .when(first.isin("t", "f"), "bool").when(first == "n", "NoneType")
-            .when(num.rlike(r"^-?\d+$"), "int").otherwise("float"))
+    typ = (F.when(~has_k, "missing").when(kind == "STRING", "str").when(kind.startswith("OBJECT"), "dict")
+            .when(kind.startswith("ARRAY"), "list").when(kind == "BOOLEAN", "bool").when(kind == "VOID", "NoneType")
+            .when(kind.rlike(r"^(BIGINT|DECIMAL\(\d+,0\))$"), "int").otherwise("float"))
     s = e.select(F.array_join(keys, ",").alias("keys"), typ.alias("k_type"))
     return s.groupBy("keys", "k_type").agg(F.count(F.lit(1)).alias("events"))
 

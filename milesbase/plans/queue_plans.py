@@ -9,6 +9,7 @@ from milesbase.functions import exprs as X
 from milesbase.operators import folds, merge, queue as Q, reports, spine
 from milesbase.plans import domain as D
 from milesbase.plans.registry import query
+from milesbase.sources.dims import METROS
 from milesbase.sources.fixtures import AS_OF, AS_OF_DATE
 
 QKEY = ["origin", "dest", "airline"]
@@ -19,14 +20,6 @@ SEARCH_DAYS = 30
 CASH_PE_EVERY_N = 4
 DEMOTED_CABINS = ("premium_economy", "first")
 
-# --- fixed values: metro areas (token -> airports, in listed order) ---
-METROS = {
-    "NYC": ("JFK", "EWR", "LGA"), "LAX_METRO": ("LAX", "BUR", "SNA", "ONT", "LGB"), "BAY": ("SFO", "OAK", "SJC"),
-    "WAS": ("DCA", "IAD", "BWI"), "CHI": ("ORD", "MDW"), "HOU_METRO": ("IAH", "HOU"), "DAL_METRO": ("DFW", "DAL"),
-    "SOUTH_FLORIDA": ("MIA", "FLL", "PBI"), "LON": ("LHR", "LGW"), "PAR": ("CDG", "ORY"), "TYO": ("HND", "NRT"),
-}
-# --- end fixed values ---
-
 
 def routes_queue(L):
     """The keyed queue (origin, dest, airline): first fixture row per key."""
@@ -539,9 +532,10 @@ def flt_staleness(spark, sf_dir):
     r = L.fx_request.select("request_id", "origin", "destination", "date_from", "date_to", F.col("airline").alias("req_airline"))
     rd = r.withColumn("date", F.explode(F.when(F.col("date_from") <= F.col("date_to"), F.sequence("date_from", "date_to"))
                                         .otherwise(F.array().cast("array<date>"))))
-    hit = rd.join(live, ["origin", "destination", "date"]).filter(
-        F.col("req_airline").isNull() | (F.col("airline") == F.col("req_airline"))).select("request_id").distinct() \
-        .withColumn("_fresh", F.lit(True))
+    key = ["origin", "destination", "date"]
+    some = rd.filter(F.col("req_airline").isNull()).join(live, key, "left_semi")
+    one = rd.filter(F.col("req_airline").isNotNull()).join(live.withColumnRenamed("airline", "req_airline"), [*key, "req_airline"], "left_semi")
+    hit = some.select("request_id").union(one.select("request_id")).distinct().withColumn("_fresh", F.lit(True))
     out = r.join(routes, ["origin", "destination"], "left").join(hit, "request_id", "left")
     return out.select("request_id", F.coalesce("has_any_flights", F.lit(False)).alias("has_any_flights"),
                       F.col("_fresh").isNull().alias("window_stale"))

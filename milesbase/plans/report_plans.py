@@ -39,25 +39,25 @@ def agg_route_coverage(spark, sf_dir):
 
 
 @query("top_gaps", f"""
-SELECT * FROM ({_COV_SQL}) c ORDER BY flight_rows, CASE priority_tier WHEN 'HIGH' THEN 1 WHEN 'MED' THEN 2 ELSE 3 END, queue_id
-LIMIT 100""", D.FLIGHTS_CTE + "," + D.QUEUE_CTE)
+SELECT * FROM ({_COV_SQL}) c ORDER BY flight_rows, CASE priority_tier WHEN 'HIGH' THEN 1 WHEN 'MED' THEN 2 ELSE 3 END, queue_id""", D.FLIGHTS_CTE + "," + D.QUEUE_CTE)
 def top_gaps(spark, sf_dir):
-    """The 100 worst-covered queue rows: fewest rows first, then HIGH, MED, others (top-k report)."""
+    """All queue rows, worst covered first: fewest rows, then HIGH, MED, others."""
     c = _coverage(spark, sf_dir)
-    return c.orderBy(F.col("flight_rows"), X.tier_rank("priority_tier"), F.col("queue_id")).limit(100)
+    return c.orderBy(F.col("flight_rows"), X.tier_rank("priority_tier"), F.col("queue_id"))
 
 
 @query("jn_queue_flights", """
 SELECT q.queue_id, f.date, f.cabin_class, f.airline AS flight_airline, f.raw_flight_number
-FROM queue q LEFT JOIN flights f ON f.origin = q.origin AND f.destination = q.dest AND f.date >= DATE '2024-01-31'
+FROM (SELECT * FROM queue QUALIFY row_number() OVER (PARTITION BY origin, dest, airline ORDER BY queue_id) = 1) q LEFT JOIN flights f ON f.origin = q.origin AND f.destination = q.dest AND f.date >= DATE '2024-01-31'
  AND f.source = q.source""", D.FLIGHTS_CTE + "," + D.QUEUE_CTE)
 def jn_queue_flights(spark, sf_dir):
-    """Queue LEFT JOIN future flights with the source filter in ON: empty routes survive."""
+    """Keyed queue (origin, dest, airline) LEFT JOIN future flights with the source filter in ON: empty routes survive."""
     L = D.lk(spark, sf_dir)
     f = D.flights_table(L).filter(F.col("date") >= F.lit(AS_OF_DATE).cast("date")).select(
         "origin", F.col("destination").alias("dest"), "source", "date", "cabin_class",
         F.col("airline").alias("flight_airline"), "raw_flight_number")
-    return D.queue(L).select("queue_id", "origin", "dest", "source").join(f, ["origin", "dest", "source"], "left") \
+    q = merge.first_per_key(D.queue(L), ["origin", "dest", "airline"], ["queue_id"])
+    return q.select("queue_id", "origin", "dest", "source").join(f, ["origin", "dest", "source"], "left") \
         .select("queue_id", "date", "cabin_class", "flight_airline", "raw_flight_number")
 
 

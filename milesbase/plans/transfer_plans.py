@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from milesbase.functions import exprs as X
 from milesbase.operators import html_tables, merge, transfers as T
-from milesbase.operators.joins import checked_broadcast
 from milesbase.plans import domain as D
 from milesbase.plans.registry import query
 from milesbase.sources.fixtures import AS_OF_DATE
@@ -198,9 +197,11 @@ def agg_parse_stats(spark, sf_dir):
         F.count_if(F.col("status") == "skipped_unmapped").alias("rows_skipped_unmapped"),
         F.count_if(F.col("status") == "ratio_dropped").alias("rows_ratio_dropped"),
         F.count_if(F.col("status") == "mapped").alias("records"))
-    return banks.join(rows, "page_id").select(
+    counts = ["airline_rows_seen", "rows_skipped_hotel", "rows_skipped_unmapped", "rows_ratio_dropped", "records"]
+    # a page on which no table or no row is found stays, with zeros: that is the failure to report
+    return banks.join(rows, "page_id", "left").select(
         "page_id", "banks_found", (F.lit(len(T.BANK_SECTIONS)) - F.col("banks_found")).alias("banks_missing"),
-        "airline_rows_seen", "rows_skipped_hotel", "rows_skipped_unmapped", "rows_ratio_dropped", "records")
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in counts])
 
 
 _BONUS_CELLS_CTE = f"""
@@ -332,10 +333,10 @@ def jn_partner_matrix(spark, sf_dir):
     return partner_matrix(spark, D.lk(spark, sf_dir)).select(*_MATRIX_COLS)
 
 
-@query("top_partner_matrix", "SELECT " + ", ".join(_MATRIX_COLS) + " FROM matrix ORDER BY bank_name, transfer_ratio", _PR_CTE)
+@query("top_partner_matrix", "SELECT " + ", ".join(_MATRIX_COLS) + " FROM matrix ORDER BY bank_name, transfer_ratio, airline_code", _PR_CTE)
 def top_partner_matrix(spark, sf_dir):
     """The matrix ordered by bank name, best ratio first."""
-    return partner_matrix(spark, D.lk(spark, sf_dir)).select(*_MATRIX_COLS).orderBy("bank_name", "transfer_ratio")
+    return partner_matrix(spark, D.lk(spark, sf_dir)).select(*_MATRIX_COLS).orderBy("bank_name", "transfer_ratio", "airline_code")
 
 
 @query("jn_active_bonus", """
@@ -376,10 +377,11 @@ def jn_active_bonuses_report(spark, sf_dir):
     return _bonus_report(spark, D.lk(spark, sf_dir))
 
 
-@query("top_bonuses", _BONUS_REPORT_SQL + " ORDER BY a.bonus_pct DESC, a.ends_at", _PR_CTE)
+@query("top_bonuses", _BONUS_REPORT_SQL + " ORDER BY a.bonus_pct DESC, a.ends_at, b.bank_name, a.airline_code, a.starts_at", _PR_CTE)
 def top_bonuses(spark, sf_dir):
     """Active bonuses, biggest first, soonest-ending first among equals."""
-    return _bonus_report(spark, D.lk(spark, sf_dir)).orderBy(F.col("bonus_pct").desc(), F.col("ends_at"))
+    return _bonus_report(spark, D.lk(spark, sf_dir)).orderBy(
+        F.col("bonus_pct").desc(), "ends_at", "bank_name", "airline_code", "starts_at")
 
 
 _OPTIONS_CTE = D.FLIGHTS_CTE + """,
@@ -396,13 +398,13 @@ def _options(spark, L):
     a = T.active_bonuses(L.fx_bonus, AS_OF_DATE).select("bank_program_id", "airline_code", "bonus_pct")
     pb = L.dim_partner.join(a, ["bank_program_id", "airline_code"], "left").withColumnRenamed("airline_code", "airline")
     awards = D.flights_table(L).select(*D.AWARD_KEY, "points_cost")
-    return T.transfer_options(awards, checked_broadcast(pb), "ratio_cents")
+    return T.transfer_options(awards, pb, "ratio_cents")
 
 
 @query("jn_transfer_options", "SELECT * FROM opts", _OPTIONS_CTE)
 def jn_transfer_options(spark, sf_dir):
     """Every award row x every bank partnering its airline: base and effective bank points.
-    The partner side is keyed by (bank, airline) plus active bonuses, so it is broadcast."""
+    The partner side is keyed by (bank, airline) plus active bonuses; Spark broadcasts it when it is small."""
     return _options(spark, D.lk(spark, sf_dir)).select(
         *D.AWARD_KEY, "points_cost", "bank_program_id", "bonus_pct", "base_points_needed", "effective_points_needed")
 
@@ -421,14 +423,16 @@ def fn_effective_points(spark, sf_dir):
     return _options(spark, D.lk(spark, sf_dir)).select(*D.AWARD_KEY, "bank_program_id", "bonus_pct", "effective_points_needed")
 
 
-@query("top_transfer", """
-SELECT origin, destination, date, airline, cabin_class, raw_flight_number, bank_program_id, effective_points_needed FROM opts
-QUALIFY row_number() OVER (PARTITION BY origin, destination, date, airline, cabin_class, raw_flight_number
- ORDER BY effective_points_needed, bank_program_id, coalesce(bonus_pct, 0) DESC) = 1""", _OPTIONS_CTE)
+_RANKED = """row_number() OVER (PARTITION BY origin, destination, date, airline, cabin_class, raw_flight_number
+ ORDER BY effective_points_needed, bank_program_id, coalesce(bonus_pct, 0) DESC)"""
+
+
+@query("top_transfer", f"""
+SELECT origin, destination, date, airline, cabin_class, raw_flight_number, CAST({_RANKED} AS INTEGER) AS rank, bank_program_id, bonus_pct,
+ base_points_needed, effective_points_needed FROM opts""", _OPTIONS_CTE)
 def top_transfer(spark, sf_dir):
-    """Best bank per award row (fewest effective points; ties: lower bank id), via min_by."""
-    o = _options(spark, D.lk(spark, sf_dir))
-    best = o.groupBy(*D.AWARD_KEY).agg(F.min_by(F.struct("bank_program_id", "effective_points_needed"),
-                                                 F.struct("effective_points_needed", "bank_program_id",
-                                                          (-F.coalesce("bonus_pct", F.lit(0))).alias("b"))).alias("m"))
-    return best.select(*D.AWARD_KEY, "m.bank_program_id", "m.effective_points_needed")
+    """Every bank option of each award row, fewest effective points first (ties: lower bank id). A window holds one
+    award's options, at most one per bank and bonus."""
+    w = Window.partitionBy(*D.AWARD_KEY).orderBy("effective_points_needed", "bank_program_id", F.coalesce("bonus_pct", F.lit(0)).desc())
+    return _options(spark, D.lk(spark, sf_dir)).select(
+        *D.AWARD_KEY, F.row_number().over(w).alias("rank"), "bank_program_id", "bonus_pct", "base_points_needed", "effective_points_needed")

@@ -1,8 +1,8 @@
 """Session defaults shared by jobs, tests and the bench.
 
 Jobs never assume a local folder: the lineage-cutting directory comes from the
-cluster's ``spark.checkpoint.dir``; only when that is unset (tests, laptops) do we
-point it at a fresh scratch folder.
+cluster's ``spark.checkpoint.dir``. Where that is unset, a ``local[...]`` master (tests, laptops)
+gets a fresh scratch folder, and any other master an error.
 """
 
 from __future__ import annotations
@@ -60,8 +60,8 @@ def apply_runtime_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints / intermediate tables.
 
-    Reads ``spark.checkpoint.dir`` from the session; sets a scratch folder only
-    when the cluster names none (local tests).
+    Reads ``spark.checkpoint.dir`` from the session; a session on a local master that names none gets a scratch
+    folder, a cluster session without one is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     sc = None
@@ -72,6 +72,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not path and sc is not None:
         path = sc.getCheckpointDir()
     if not path:
+        master = sc.master if sc is not None else ""
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="milesbase-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if sc is not None and sc.getCheckpointDir() is None:
@@ -84,7 +87,7 @@ def scratch_table_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", name)
 
 
-_SHIPPED: set = set()
+_SHIPPED: list = []  # the contexts themselves: an id could be used again by a later one
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -94,7 +97,7 @@ def ship_package(spark: SparkSession) -> None:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - Spark Connect: artifacts are managed by the client
         return
-    if id(sc) in _SHIPPED:
+    if any(x is sc for x in _SHIPPED):
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
     zpath = os.path.join(tempfile.mkdtemp(prefix="milesbase-pkg-"), "milesbase.zip")
@@ -105,4 +108,4 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(root, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     sc.addPyFile(zpath)
-    _SHIPPED.add(id(sc))
+    _SHIPPED.append(sc)

@@ -5,13 +5,15 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from milesbase.plans import ORACLES as CORE_ORACLES, QUERIES as CORE
 from milesbase.sources.tables import TABLES, table_path
 from tools.oracle_check import digest
 
 from conftest import SMOKE_DIR
 
-ORACLES = E.oracle_sql()
-QUERIES = E.queries()
+# the optional training-data queries have their own tests
+ORACLES = {k: v for k, v in E.oracle_sql().items() if k in CORE_ORACLES}
+QUERIES = {k: v for k, v in E.queries().items() if k in CORE}
 
 
 @pytest.fixture(scope="module")

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from milesbase.operators import cash_queue as CQ
@@ -315,3 +316,67 @@ def test_write_touched_partitions_only(spark):
     assert got == [("a", 1), ("b", 2)]
     after = {f: os.path.getmtime(os.path.join(untouched, f)) for f in os.listdir(untouched)}
     assert after == before  # the untouched date partition was neither deleted nor rewritten
+
+
+# ------------------------------------------------------------------ landed text that does not parse is null, never a failure
+@pytest.mark.parametrize("text,minutes", [("12h 40m", 760), ("13h", 780), ("12H 5m", 725), ("about 2h30m total", 150), ("0h", None),
+                                          ("0h 0m", None), ("99999999999h", None), ("soon", None), (None, None), ("2000000000h 1m", None)])
+def test_duration_text_anywhere(spark, text, minutes):
+    df = spark.createDataFrame([(text,)], "t string")
+    assert df.select(text_parse.duration_text("t")).first()[0] == minutes
+
+
+@pytest.mark.parametrize("text,days", [("+1", 1), ("1", 1), ("arr +2", 2), ("", 0), (None, 0), ("none", 0), ("99999999999", 0)])
+def test_day_offset_any_digits(spark, text, days):
+    assert spark.createDataFrame([(text,)], "t string").select(text_parse.day_offset("t")).first()[0] == days
+
+
+@pytest.mark.parametrize("text,minutes", [("07:05", 425), ("x:y", None), ("12", None), ("", None), (None, None), ("9999999999:00", None)])
+def test_hhmm_bad_text(spark, text, minutes):
+    assert spark.createDataFrame([(text,)], "t string").select(text_parse.hhmm_minutes("t")).first()[0] == minutes
+
+
+def test_price_of_commas_only_is_null(spark):
+    df = spark.createDataFrame([(", US dollars",), ("1,234 US dollars",)], "t string")
+    assert [r[0] for r in df.select(text_parse.price_text("t")).collect()] == [None, 1234.0]
+
+
+def test_payload_shape_reads_the_top_level_field(spark, tmp_path):
+    from milesbase.plans import QUERIES
+    rows = [('{"nested": {"k": "x"}, "k": 1}',), ('{"k": [1]}',), ('{"k": {"k": 2}}',), ('{"k": null}',), ('{"k": 1.5}',), ('{"k": true}',),
+            ('{"k": "s"}',), ('{"a": {"k": 1}}',)]
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").limit(1)
+    df = spark.createDataFrame(rows, "p string")
+    full = df.select(*[(F.col("p") if c == "props" else F.lit(None).cast(t)).alias(c) for c, t in events.dtypes])
+    full.write.parquet(str(tmp_path / "events.parquet"))
+    got = {tuple(r) for r in QUERIES["fn_payload_shape"](spark, str(tmp_path)).select("keys", "k_type").collect()}
+    assert got == {("k,nested", "int"), ("k", "list"), ("k", "dict"), ("k", "NoneType"), ("k", "float"), ("k", "bool"), ("k", "str"), ("a", "missing")}
+
+
+def test_pins_expand_metros(spark):
+    from milesbase.operators import cash_queue
+    keys = {r[0] for r in cash_queue.pinned_keys(spark).collect()}
+    for o in ("SEA", "PDX", "SFO", "LAX", "BUR", "SNA", "ONT", "LGB"):
+        for d in ("JFK", "EWR", "LGA"):
+            assert {f"{o}-{d}", f"{d}-{o}"} <= keys
+    assert "SEA-MSP" in keys and "MSP-SEA" in keys and not any("NYC" in k or "METRO" in k for k in keys)
+
+
+def test_a_cluster_session_needs_a_shared_folder():
+    from milesbase import session
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError):
+        session.checkpoint_dir(Session())
