@@ -3,7 +3,9 @@
 Input is a bronze table ``(origin, destination, travel_date, scraped_at_utc,
 payload STRING)``, one row per landed response. Each flattener parses with an
 explicit ``from_json`` schema (a malformed payload parses to null and yields
-no rows instead of failing the job), walks the nesting with ``posexplode`` so
+no rows instead of failing the job; ``quarantined`` lists it with a reason). Landed
+numbers and dates are cast with try_cast: one that does not fit becomes null, and a
+record without a valid price in points or money is dropped, never the job. It walks the nesting with ``posexplode`` so
 positions become arrival ordinals, and expresses every per-field rule as a
 column expression. Per-response "first record wins" dedupes are ``min_by``
 over the ordinal, grouped by response and key.
@@ -14,10 +16,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from milesbase.operators.text_parse import day_offset, duration_text
+
 RECORD_COLS = ["origin", "destination", "date", "airline", "source", "points_cost", "cash_cost", "cabin_class",
                "stops", "available_seats", "raw_flight_number", "partner_airline", "duration_minutes", "is_saver",
                "fare_class", "layover_airports", "next_day_arrival", "scraped_at_utc"]
-RESPONSE = ["origin", "destination", "travel_date", "scraped_at_utc", "page"]  # one landed payload
+RESPONSE = ["origin", "destination", "travel_date", "scraped_at_utc"]  # one landed response
 
 # --- fixed values: provider cabin vocabularies and markers ---
 ETIHAD_CABINS = {"economy": "economy", "premiumeconomy": "premium_economy", "premium economy": "premium_economy",
@@ -49,20 +53,25 @@ def _record(df: DataFrame, airline: str, source: str, keep=(), **cols) -> DataFr
     base.update(cols)
     casts = {"cash_cost": "decimal(8,2)", "points_cost": "int", "stops": "int", "available_seats": "int",
              "duration_minutes": "int"}
-    return df.select(*[(base[c].cast(casts[c]) if c in casts else base[c]).alias(c) for c in RECORD_COLS], "page", *keep)
+    recs = df.select(*[(base[c].try_cast(casts[c]) if c in casts else base[c]).alias(c) for c in RECORD_COLS], *keep)
+    return recs.filter(F.col("points_cost").isNotNull() & F.col("cash_cost").isNotNull() & F.col("stops").isNotNull())
 
 
 def first_wins(recs: DataFrame, ordinal: str = "_ord") -> DataFrame:
     """win_first_wins inside one payload: first record per (flight number, cabin) in payload order."""
-    key = ["origin", "destination", "date", "scraped_at_utc", "page", "raw_flight_number", "cabin_class"]
+    key = ["origin", "destination", "date", "scraped_at_utc", "raw_flight_number", "cabin_class"]
     vals = [c for c in RECORD_COLS if c not in key]
     g = recs.groupBy(*key).agg(F.min_by(F.struct(*vals), F.col(ordinal)).alias("_v"))
     return g.select(*key, "_v.*").select(*RECORD_COLS)
 
 
-def _ints_after(s: Column, pattern: str, idx: int) -> Column:
-    v = F.regexp_extract(s, pattern, idx)
-    return F.when(v != "", v.cast("int"))
+def quarantined(bronze: DataFrame, root: str) -> DataFrame:
+    """Responses that no flattener can read, with a reason: ``missing`` (null or blank payload),
+    ``malformed`` (not JSON) or ``unexpected_shape`` (nothing at the JSON path ``root`` that holds the offers)."""
+    v = F.try_parse_json("payload")
+    reason = (F.when(F.coalesce(F.trim("payload"), F.lit("")) == "", "missing").when(v.isNull(), "malformed")
+              .when(F.try_variant_get(v, root, "variant").isNull(), "unexpected_shape"))
+    return bronze.withColumn("reason", reason).filter(F.col("reason").isNotNull())
 
 
 # ------------------------------------------------------------------ Etihad: cards[] x cabins[]
@@ -81,15 +90,14 @@ def flatten_etihad(bronze: DataFrame) -> DataFrame:
     c = c.withColumn("_fns", fns)
     carriers = F.transform("_fns", lambda n: F.regexp_extract(n, r"^([A-Z0-9]{2})\b", 1))
     dur = F.col("card.duration")
-    total = _ints_after(dur, r"(?i)(\d+)\s*h(?:\s*(\d+)\s*m)?", 1) * 60 + \
-        F.coalesce(_ints_after(dur, r"(?i)(\d+)\s*h(?:\s*(\d+)\s*m)?", 2), F.lit(0))
+    total = duration_text(dur)
     c = c.select("*",
                  F.when(F.size("_fns") > 0, F.array_join("_fns", "+")).otherwise(F.lit("UNKNOWN")).alias("_raw_fn"),
                  F.when(F.size("_fns") > 0, F.size("_fns") - 1)
                   .otherwise(F.when(F.col("card.nonstop"), 0).otherwise(1)).alias("_stops"),
                  F.get(F.filter(carriers, lambda x: (x != "") & (x != "EY")), 0).alias("_partner"),
                  F.when(total > 0, total).alias("_dur"),
-                 F.coalesce(_ints_after(F.coalesce("card.dayDiff", F.lit("")), r"(\d+)", 1), F.lit(0)).alias("_off"))
+                 day_offset(F.col("card.dayDiff")).alias("_off"))
     k = c.select("*", F.posexplode(F.coalesce(F.col("card.cabins"), F.array())).alias("cab_pos", "cab"))
     k = k.withColumn("_cabin", lookup(ETIHAD_CABINS, F.lower(F.trim(F.coalesce("cab.cabin", F.lit(""))))))
     k = k.filter(F.col("_cabin").isNotNull() & (F.col("cab.miles") > 0))
@@ -155,7 +163,7 @@ def flatten_turkish(bronze: DataFrame, airports: DataFrame) -> DataFrame:
     bpi = F.get(F.col("fare.value.bookingPriceInfoList"), 0)
     total = bpi["referencePassengerFare"]["totalFare"]
     f = f.withColumn("_miles", F.when((total["currencyCode"] == TURKISH_MILES_CURRENCY) & (total["amount"] > 0),
-                                      total["amount"].cast("long")))
+                                      total["amount"].try_cast("long")))
     f = f.filter(F.col("_cabin").isNotNull() & F.col("_miles").isNotNull())
     brand = bpi["brandCode"]
     recs = _record(f, "TK", "turkish", keep=[F.struct("opt_pos", "fare_pos").alias("_ord")],
@@ -221,14 +229,14 @@ def flatten_jetblue(bronze: DataFrame, airports: DataFrame) -> DataFrame:
     o = o.withColumn("_cabin", lookup(JETBLUE_CABINS, F.upper(F.col("off.cabinClass"))))
     o = o.filter(~F.coalesce(F.col("off.soldOut"), F.lit(False)) & (pts > 0) & F.col("_cabin").isNotNull())
     bc = F.get(F.col("off.offerSegmentInfo"), 0)["bookingClass"]
-    recs = _record(o, "B6", "jetblue", points_cost=pts.cast("long"), cash_cost=F.coalesce(cash, F.lit(0.0)),
+    recs = _record(o, "B6", "jetblue", points_cost=pts.try_cast("long"), cash_cost=F.coalesce(cash, F.lit(0.0)),
                    cabin_class=F.col("_cabin"), stops=F.col("_stops"),
                    available_seats=F.coalesce(F.col("off.seatsRemaining.count"), F.lit(-1)),
                    raw_flight_number=F.col("_raw_fn"), partner_airline=F.col("_partner"), duration_minutes=F.col("_dur"),
                    is_saver=F.coalesce(F.col("off.brand.brandId") == JETBLUE_SAVER_BRAND, F.lit(False)),
                    fare_class=F.when(F.length(bc) > 0, F.substring(bc, 1, 10)), layover_airports=F.col("_lay"),
                    next_day_arrival=F.col("_nd"))
-    return recs.drop("page")
+    return recs
 
 
 # ------------------------------------------------------------------ Southwest: details[] x fare families
@@ -242,7 +250,7 @@ def cheapest_available(families: Column) -> Column:
     """agg_cheapest_available: AVAILABLE family with points > 0 and the fewest points; the first
     family in payload order wins ties. Returns struct(family, points, fp) or null."""
     entries = F.transform(F.map_entries(families), lambda e, i: F.struct(
-        e["key"].alias("family"), F.floor(e["value"]["fare"]["totalFare"]["value"].try_cast("double")).cast("long").alias("points"),
+        e["key"].alias("family"), F.floor(e["value"]["fare"]["totalFare"]["value"].try_cast("double")).try_cast("long").alias("points"),
         i.alias("pos"), e["value"].alias("fp")))
     ok = F.filter(entries, lambda e: (e["fp"]["availabilityStatus"] == "AVAILABLE") & (e["points"] > 0))
     best = F.aggregate(ok, F.lit(None).cast("struct<family:string,points:bigint,pos:int,fp:" + _WN_FP + ">"),
@@ -252,7 +260,8 @@ def cheapest_available(families: Column) -> Column:
 
 def product_segments(product_id: Column) -> Column:
     """Decode '<FAMILY>|f,f,...(10)|...' into segment structs; segments with < 10 fields are skipped."""
-    chunks = F.slice(F.split(product_id, r"\|"), 2, 1000)
+    fields = F.split(product_id, r"\|")
+    chunks = F.slice(fields, 2, F.greatest(F.size(fields) - 1, F.lit(0)))
     parts = F.transform(chunks, lambda c: F.split(c, ","))
     full = F.filter(parts, lambda f: F.size(f) >= 10)
     return F.transform(full, lambda f: F.struct(
@@ -291,7 +300,7 @@ def flatten_southwest(bronze: DataFrame) -> DataFrame:
                    fare_class=F.when(F.length(bc) > 0, F.substring(bc, 1, 10)),
                    layover_airports=F.when(F.size(lay) > 0, F.array_join(lay, ",")),
                    next_day_arrival=F.coalesce(F.col("det.nextDay"), F.lit(False)))
-    return recs.drop("page")
+    return recs
 
 
 # ------------------------------------------------------------------ Delta: offer sets x offers x fare information
@@ -395,13 +404,13 @@ def flatten_delta(bronze: DataFrame, airports: DataFrame) -> DataFrame:
     f = f.filter(F.col("_cabin").isNotNull() & (F.col("_miles") > 0))
     ft = F.col("off.additionalOfferProperties.fareType")
     recs = _record(f, "DL", "delta", keep=[F.col("_mixed").alias("mixed_cabin")],
-                   points_cost=F.col("_miles").cast("long"), cash_cost=F.coalesce(F.col("_cash"), F.lit(0.0)),
+                   points_cost=F.col("_miles").try_cast("long"), cash_cost=F.coalesce(F.col("_cash"), F.lit(0.0)),
                    cabin_class=F.col("_cabin"), stops=F.col("_stops"),
                    available_seats=F.coalesce(F.col("fi.availableSeatCnt"), F.lit(-1)), raw_flight_number=F.col("_raw_fn"),
                    duration_minutes=F.col("_dur"), is_saver=F.coalesce(F.upper(ft).contains("AWARD"), F.lit(False)),
                    fare_class=F.when(F.length("_cos") > 0, F.substring("_cos", 1, 10)), layover_airports=F.col("_lay"),
                    next_day_arrival=F.col("_nd"))
-    return recs.drop("page")
+    return recs
 
 
 # ------------------------------------------------------------------ Alaska: dehydrated flat array with references
@@ -460,9 +469,9 @@ def flatten_alaska(bronze: DataFrame) -> DataFrame:
                         F.concat(code, F.lit(" "), fnum)).otherwise(F.lit("UNKNOWN")).alias("_raw_fn"),
                  F.greatest(F.size("_segs") - 1, F.lit(0)).alias("_stops"),
                  F.when((F.length(disp) > 0) & (disp != "AS"), disp).alias("_partner"),
-                 F.when(dur > 0, dur.cast("int")).alias("_dur"),
+                 F.when(dur > 0, dur.try_cast("int")).alias("_dur"),
                  F.when(F.size(lay) > 0, F.array_join(lay, ",")).alias("_lay"),
-                 F.coalesce(F.to_date(F.substring(arr_txt, 1, 10)) > F.col("travel_date"), F.lit(False)).alias("_nd"))
+                 F.coalesce(F.try_to_date(F.substring(arr_txt, 1, 10)) > F.col("travel_date"), F.lit(False)).alias("_nd"))
     sols = F.from_json(_deref(flat, F.col("_row.solutions")), "map<string,bigint>")
     s = r.select("*", F.posexplode(F.map_entries(F.coalesce(sols, F.create_map().cast("map<string,bigint>")))).alias("sol_pos", "sol"))
     s = s.filter(F.col("sol.value") != -1).withColumn("_cabin", lookup(ALASKA_CABINS, F.upper("sol.key")))
@@ -473,11 +482,11 @@ def flatten_alaska(bronze: DataFrame) -> DataFrame:
     seats_txt = _deref(flat, F.col("_so.seatsRemaining"))
     fc = F.coalesce(_deref(flat, F.col("_so.bookingCode")), _deref(flat, F.col("_so.fareClass")), _deref(flat, F.col("_so.bookingClass")))
     s = s.filter(pts > 0)
-    recs = _record(s, "AS", "alaska", points_cost=pts.cast("long"), cash_cost=F.coalesce(fees, F.lit(0.0)),
+    recs = _record(s, "AS", "alaska", points_cost=pts.try_cast("long"), cash_cost=F.coalesce(fees, F.lit(0.0)),
                    cabin_class=F.col("_cabin"), stops=F.col("_stops"),
-                   available_seats=F.when(seats_txt.rlike(r"^-?\d+$"), seats_txt.cast("int")).otherwise(F.lit(-1)),
+                   available_seats=F.when(seats_txt.rlike(r"^-?\d+$"), F.coalesce(seats_txt.try_cast("int"), F.lit(-1))).otherwise(F.lit(-1)),
                    raw_flight_number=F.col("_raw_fn"), partner_airline=F.col("_partner"), duration_minutes=F.col("_dur"),
                    is_saver=F.upper("sol.key").startswith("SAVER"),
                    fare_class=F.when(F.length(fc) > 0, F.substring(fc, 1, 10)), layover_airports=F.col("_lay"),
                    next_day_arrival=F.col("_nd"))
-    return recs.drop("page")
+    return recs

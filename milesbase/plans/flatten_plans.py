@@ -8,7 +8,6 @@ The oracle derives the expected records straight from ``fx_award``.
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from milesbase.functions import exprs as X
@@ -22,22 +21,15 @@ ITEM = ["raw_flight_number", "cabin_class", "points_cost", "cash_cost", "availab
 ITEM_ORDER = ", ".join(ITEM)
 
 
-PAGE_ITEMS = 50  # items per landed payload page
-
-
 def responses(L, airline):
-    """One row per landed payload page: a (carrier, route, date, scrape time) response split into
-    pages of at most PAGE_ITEMS items in payload order. Item positions come from a window that
-    streams the response's rows, so no payload ever holds more than PAGE_ITEMS items."""
+    """One row per landed response (carrier, route, date, scrape time), items in payload order."""
     a = L.fx_award.filter(F.col("airline") == airline)
-    w = Window.partitionBy("origin", "destination", "date", "scraped_at_utc").orderBy(*ITEM)
-    a = a.withColumn("page", X.idiv(F.row_number().over(w) - 1, F.lit(PAGE_ITEMS)))
-    return a.groupBy("origin", "destination", "date", "scraped_at_utc", "page").agg(
+    return a.groupBy("origin", "destination", "date", "scraped_at_utc").agg(
         F.array_sort(F.collect_list(F.struct(*ITEM))).alias("items"))
 
 
 def _bronze(df, payload):
-    return df.select("origin", "destination", F.col("date").alias("travel_date"), "scraped_at_utc", "page",
+    return df.select("origin", "destination", F.col("date").alias("travel_date"), "scraped_at_utc",
                      F.to_json(payload).alias("payload"))
 
 
@@ -217,19 +209,18 @@ _REC_SQL = ("upper({a}.origin) AS origin, upper({a}.destination) AS destination,
             "{rfn} AS raw_flight_number, CAST({partner} AS VARCHAR) AS partner_airline, CAST({dur} AS INTEGER) AS duration_minutes, "
             "{saver} AS is_saver, CAST({fc} AS VARCHAR) AS fare_class, CAST({lay} AS VARCHAR) AS layover_airports, "
             "{nd} AS next_day_arrival, {a}.scraped_at_utc AS scraped_at_utc")
-_PAGE = f"(row_number() OVER (PARTITION BY origin, destination, date, scraped_at_utc ORDER BY {ITEM_ORDER}) - 1) // {PAGE_ITEMS} AS page"
-_FIRST = f"QUALIFY row_number() OVER (PARTITION BY a.origin, a.destination, a.date, a.scraped_at_utc, a.page, a.rfn, a.cabin_class ORDER BY {', '.join('a.' + c for c in ITEM)}) = 1"
+_FIRST = f"QUALIFY row_number() OVER (PARTITION BY a.origin, a.destination, a.date, a.scraped_at_utc, a.rfn, a.cabin_class ORDER BY {', '.join('a.' + c for c in ITEM)}) = 1"
 
 EXP_CTE = f"""
 exp_ey AS (SELECT {_REC_SQL.format(a='a', al='EY', src='etihad', pts='a.points_cost', cash='a.cash_cost', cabin='a.cabin_class',
     seats='-1', rfn='a.rfn', partner="CASE WHEN a.raw_flight_number <> 'UNKNOWN' AND a.stops = 1 THEN 'AA' END",
     dur='a.duration_minutes', saver='false', fc='NULL', lay='NULL', nd='a.dep_min + a.duration_minutes >= 1440')}
   FROM (SELECT *, CASE WHEN raw_flight_number = 'UNKNOWN' THEN 'UNKNOWN' WHEN stops = 1 THEN raw_flight_number || '+AA ' || CAST(dep_min % 50 + 200 AS VARCHAR)
-   ELSE raw_flight_number END AS rfn, {_PAGE} FROM fx_award WHERE airline = 'EY') a WHERE a.points_cost > 0 {_FIRST}),
+   ELSE raw_flight_number END AS rfn FROM fx_award WHERE airline = 'EY') a WHERE a.points_cost > 0 {_FIRST}),
 tk_a AS (SELECT *, CASE WHEN raw_flight_number = 'UNKNOWN' THEN (CASE WHEN stops = 1 THEN 'A3 ' || CAST(dep_min % 90 + 700 AS VARCHAR) ELSE 'UNKNOWN' END)
-   WHEN stops = 1 THEN raw_flight_number || '+A3 ' || CAST(dep_min % 90 + 700 AS VARCHAR) ELSE raw_flight_number END AS rfn, {_PAGE}
+   WHEN stops = 1 THEN raw_flight_number || '+A3 ' || CAST(dep_min % 90 + 700 AS VARCHAR) ELSE raw_flight_number END AS rfn
    FROM fx_award WHERE airline = 'TK'),
-tk_bad AS (SELECT origin, destination, date, scraped_at_utc, page FROM tk_a GROUP BY origin, destination, date, scraped_at_utc, page
+tk_bad AS (SELECT origin, destination, date, scraped_at_utc FROM tk_a GROUP BY origin, destination, date, scraped_at_utc
    HAVING bool_or(available_seats = 5) OR bool_or(hour(scraped_at_utc) % 17 = 0)),
 exp_tk AS (SELECT {_REC_SQL.format(a='a', al='TK', src='turkish', pts='a.points_cost', cash='0', cabin='a.cabin_class',
     seats='CASE WHEN a.available_seats >= 0 THEN a.available_seats ELSE -1 END', rfn='a.rfn', partner="CASE WHEN a.stops = 1 THEN 'A3' END",
@@ -238,7 +229,7 @@ exp_tk AS (SELECT {_REC_SQL.format(a='a', al='TK', src='turkish', pts='a.points_
     nd='d.tz IS NOT NULL AND a.dep_min + a.duration_minutes >= 1440')}
   FROM tk_a a JOIN dim_airport o ON o.iata = upper(a.origin) JOIN dim_airport d ON d.iata = upper(a.destination)
   WHERE a.available_seats <> 2 AND a.points_cost > 0 AND NOT EXISTS (SELECT 1 FROM tk_bad b WHERE b.origin = a.origin
-   AND b.destination = a.destination AND b.date = a.date AND b.scraped_at_utc = a.scraped_at_utc AND b.page = a.page) {_FIRST}),
+   AND b.destination = a.destination AND b.date = a.date AND b.scraped_at_utc = a.scraped_at_utc) {_FIRST}),
 exp_b6 AS (SELECT {_REC_SQL.format(a='a', al='B6', src='jetblue', pts='a.points_cost', cash='a.cash_cost', cabin='a.cabin_class',
     seats='a.available_seats', rfn="CASE WHEN a.raw_flight_number = 'UNKNOWN' THEN (CASE WHEN a.stops = 1 THEN 'B6 ' || CAST(a.dep_min % 50 + 900 AS VARCHAR) ELSE 'UNKNOWN' END) WHEN a.stops = 1 THEN a.raw_flight_number || '+B6 ' || CAST(a.dep_min % 50 + 900 AS VARCHAR) ELSE a.raw_flight_number END",
     partner="CASE WHEN a.stops = 1 THEN 'AA' END", dur='a.duration_minutes', saver="a.cabin_class = 'economy'",
@@ -526,7 +517,7 @@ def alaska_bronze(L):
                      F.flatten(F.transform("items", slots)))
     payload = F.concat(F.lit('{"chunks":[{"type":"data","data":[{"meta":1},"x"]},{"type":"chunk","data":['),
                        F.array_join(frags, ","), F.lit("]}]}"))
-    return r.select("origin", "destination", F.col("date").alias("travel_date"), "scraped_at_utc", "page", payload.alias("payload"))
+    return r.select("origin", "destination", F.col("date").alias("travel_date"), "scraped_at_utc", payload.alias("payload"))
 
 
 EXP_CTE += f""",
@@ -546,3 +537,19 @@ def _alaska(spark, sf_dir):
 def nrm_alaska_deref(spark, sf_dir):
     """Dehydrated flat array: references resolved with element_at + from_json; one record per priced solution."""
     return _alaska(spark, sf_dir)
+
+
+# ------------------------------------------------------------------ quarantine of unreadable payloads
+@query("nrm_quarantine", """
+SELECT airline, CASE day(date) WHEN 13 THEN 'malformed' WHEN 17 THEN 'unexpected_shape' ELSE 'missing' END AS reason, count(*) AS responses
+FROM (SELECT DISTINCT airline, origin, destination, date, scraped_at_utc FROM fx_award WHERE airline IN ('EY', 'B6')) r
+WHERE day(date) IN (13, 17, 19) GROUP BY ALL""")
+def nrm_quarantine(spark, sf_dir):
+    """Landed responses of two providers, those of some days damaged on the way (cut off, another document, nothing):
+    how many each provider's quarantine holds, by reason."""
+    L = D.lk(spark, sf_dir)
+    day, text = F.dayofmonth("travel_date"), F.col("payload")
+    damaged = F.when(day == 13, F.substring(text, 1, 20)).when(day == 17, F.lit('{"error": "busy"}')).when(day == 19, F.lit(None)).otherwise(text)
+    ey = FL.quarantined(etihad_bronze(L).withColumn("payload", damaged), "$.cards").select(F.lit("EY").alias("airline"), "reason")
+    b6 = FL.quarantined(jetblue_bronze(L).withColumn("payload", damaged), "$.data.searchResults").select(F.lit("B6").alias("airline"), "reason")
+    return ey.union(b6).groupBy("airline", "reason").agg(F.count(F.lit(1)).alias("responses"))

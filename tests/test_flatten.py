@@ -13,8 +13,8 @@ T0 = dt.datetime(2024, 1, 30, 12)
 
 def bronze(spark, payload, origin="SEA", dest="JFK"):
     text = payload if isinstance(payload, str) else json.dumps(payload)
-    return spark.createDataFrame([(origin, dest, D0, T0, 0, text)],
-                                 "origin string, destination string, travel_date date, scraped_at_utc timestamp_ntz, page int, payload string")
+    return spark.createDataFrame([(origin, dest, D0, T0, text)],
+                                 "origin string, destination string, travel_date date, scraped_at_utc timestamp_ntz, payload string")
 
 
 def airports(spark):
@@ -141,15 +141,40 @@ def test_delta_list_or_object_price(spark):
     assert got == [("business", 25000, 330, True), ("economy", 25000, 330, True)]
 
 
-def test_pagination_bounds_payloads(spark, monkeypatch):
-    from milesbase.plans import domain as D
-    from milesbase.plans import flatten_plans as FP
-    from conftest import SMOKE_DIR
+def test_one_response_whatever_its_size(spark):
+    """A response has one identity: first wins over all its cards, however many there are."""
+    card = {"flightNumbers": ["EY 1"], "nonstop": True, "cabins": [{"cabin": "Economy", "miles": 100, "cashCents": 5}]}
+    cards = [dict(card, flightNumbers=[f"EY {i % 70}"], cabins=[{"cabin": "Economy", "miles": 100 + i, "cashCents": 5}]) for i in range(400)]
+    got = {r.raw_flight_number: r.points_cost for r in FL.flatten_etihad(bronze(spark, {"cards": cards})).collect()}
+    assert got == {f"EY {i}": 100 + i for i in range(70)}
 
-    monkeypatch.setattr(FP, "PAGE_ITEMS", 1)
-    L = D.lk(spark, SMOKE_DIR)
-    pages = FP.responses(L, "EY")
-    assert pages.agg(F.max(F.size("items"))).first()[0] == 1
-    got = FL.flatten_etihad(FP.etihad_bronze(L)).count()
-    expected = L.fx_award.filter((F.col("airline") == "EY") & (F.col("points_cost") > 0)).count()
-    assert got == expected  # one item per payload: nothing deduplicated across payloads
+
+def test_values_out_of_range_do_not_fail_the_job(spark):
+    def cards(**over):
+        cab = {"cabin": "Economy", "miles": 100, "cashCents": 500} | {k: v for k, v in over.items() if k in ("miles", "cashCents")}
+        return {"cards": [{"flightNumbers": ["EY 1"], "nonstop": True, "duration": over.get("duration", "1h"), "dayDiff": over.get("dayDiff", "+1"), "cabins": [cab]},
+                          {"flightNumbers": ["EY 2"], "nonstop": True, "cabins": [{"cabin": "First", "miles": 7, "cashCents": 0}]}]}
+
+    def flights(payload):
+        return sorted((r.raw_flight_number, r.duration_minutes) for r in FL.flatten_etihad(bronze(spark, payload)).collect())
+
+    assert flights(cards(cashCents=10**11)) == [("EY 2", None)]
+    assert flights(cards(miles=3 * 10**9)) == [("EY 2", None)]
+    assert flights(cards(duration="99999999999h")) == [("EY 1", None), ("EY 2", None)]
+    assert flights(cards(dayDiff="99999999999")) == [("EY 1", 60), ("EY 2", None)]
+
+
+def test_long_product_ids_keep_every_segment(spark):
+    seg = "x,Y,SEA,{d},2024-02-01T08:00-08:00,2024-02-01T09:00-08:00,a,b,{n},737"
+    text = "WGA|" + "|".join(seg.format(d="DEN", n=i) for i in range(1500))
+    df = spark.createDataFrame([(text,)], "t string")
+    assert df.select(F.size(FL.product_segments(F.col("t")))).first()[0] == 1500
+
+
+def test_unreadable_payloads_are_quarantined(spark):
+    texts = [None, "  ", '{"cards": [', "not json", '{"error": 1}', '{"cards": []}', '{"cards": null}']
+    df = spark.createDataFrame([("SEA", "JFK", D0, T0, t) for t in texts],
+                               "origin string, destination string, travel_date date, scraped_at_utc timestamp_ntz, payload string")
+    got = [(r.payload, r.reason) for r in FL.quarantined(df, "$.cards").collect()]
+    assert got == [(None, "missing"), ("  ", "missing"), ('{"cards": [', "malformed"), ("not json", "malformed"), ('{"error": 1}', "unexpected_shape")]
+    assert FL.flatten_etihad(df).count() == 0
