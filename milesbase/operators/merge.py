@@ -53,14 +53,14 @@ def conditional_merge(current: DataFrame | None, batch: DataFrame, key, material
     the batch. ``keep_cols`` are set at insert time and never updated.
     Returns one row per key with key + material + stamps + keep_cols.
 
-    Two physical strategies with identical results: ``window`` (default, one
-    shuffle and one sort) and ``aggregate`` for feeds where a single key can
-    hold a large share of the rows: every step is a partial-aggregating
-    ``groupBy(key)`` and the joins back on the key are equi-joins that AQE's
-    skew handling splits, so no task ever has to hold a hot key alone.
+    Two physical strategies with identical results: ``aggregate`` (default), where
+    every step is a partial-aggregating ``groupBy(key)`` and the joins back on the
+    key are equi-joins that AQE's skew handling splits, so no task ever has to hold
+    a hot key alone; and ``window`` (one shuffle and one sort) for feeds whose keys
+    are known to stay small.
     Pick with the argument or the session conf ``milesbase.merge.strategy``.
     """
-    strategy = strategy or batch.sparkSession.conf.get(STRATEGY_CONF, "window")
+    strategy = strategy or batch.sparkSession.conf.get(STRATEGY_CONF, "aggregate")
     impl = _merge_by_aggregation if strategy == "aggregate" else _merge_by_window
     return impl(current, batch, list(key), list(material), list(stamps), list(order_cols), as_of, expiry_col,
                 list(keep_cols))
@@ -163,14 +163,7 @@ def scoped_replace(current: DataFrame, batch: DataFrame, scope_cols) -> DataFram
 
 def write_touched_partitions(merged: DataFrame, batch: DataFrame, path: str, partition_col: str = "date") -> None:
     """Sink for the keyed tables: rewrite only the partitions the batch touched (dynamic partition
-    overwrite); rows of untouched dates are neither read nor rewritten. ``merged`` must be the
-    merge result restricted to keys whose partition value occurs in ``batch``."""
+    overwrite); files of untouched dates stay as they are. ``merged`` must not read from ``path`` itself."""
     touched = batch.select(partition_col).distinct()
     out = merged.join(touched, partition_col, "left_semi")
-    spark = merged.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        out.write.mode("overwrite").partitionBy(partition_col).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)

@@ -11,7 +11,7 @@ Each has a DuckDB twin as CTE text (``*_CTE``), used by the oracles.
 from __future__ import annotations
 
 import hashlib
-import os
+import uuid
 
 from pyspark.errors import AnalysisException
 
@@ -25,10 +25,14 @@ from milesbase.sources.fixtures import AS_OF, AS_OF_DATE, Lake, lake
 
 AWARD_KEY = ["origin", "destination", "date", "airline", "cabin_class", "raw_flight_number"]
 AWARD_MATERIAL = ["points_cost", "cash_cost", "stops", "available_seats", "dep_min", "duration_minutes"]
+AWARD_MERGED = [*AWARD_MATERIAL, "source"]  # updated by a merge; ``program`` is set once, at insert
+AWARD_KEEP = ["program"]
 AWARD_STAMPS = ["scraped_at_utc", "expires_at_utc"]
 AWARD_ORDER = ["scraped_at_utc", *AWARD_MATERIAL, "tier"]
 CASH_KEY = ["origin", "destination", "date", "airline", "cabin_class", "flight_number"]
 
+STORED_BEFORE = "2024-01-30 00:00:00"
+
 # --- fixed values: provider slug per program carrier ---
 AIRLINE_SOURCE = {"AS": "alaska", "DL": "delta", "B6": "jetblue", "TK": "turkish", "EY": "etihad",
                   "WN": "southwest"}
@@ -42,26 +46,52 @@ def lk(spark: SparkSession, sf_dir: str) -> Lake:
 def award_batch(L: Lake) -> DataFrame:
     a = quality.filter_valid(L.fx_award, AS_OF_DATE)
     return a.withColumn("expires_at_utc", X.expiry("scraped_at_utc", "tier")) \
-            .withColumn("source", X.case_map("airline", AIRLINE_SOURCE))
+            .withColumn("source", X.case_map("airline", AIRLINE_SOURCE)).withColumn("program", F.col("airline"))
+
+
+def merge_awards(current: DataFrame | None, batch: DataFrame) -> DataFrame:
+    return merge.conditional_merge(current, batch, AWARD_KEY, AWARD_MERGED, AWARD_STAMPS, AWARD_ORDER, AS_OF, keep_cols=AWARD_KEEP)
 
 
 def flights(L: Lake) -> DataFrame:
-    return merge.conditional_merge(None, award_batch(L), AWARD_KEY, AWARD_MATERIAL, AWARD_STAMPS,
-                                   AWARD_ORDER, AS_OF, keep_cols=["source"])
+    return merge_awards(None, award_batch(L)).drop(*AWARD_KEEP)
+
+
+def flights_onto_store(L: Lake) -> DataFrame:
+    """The merge onto a store that already holds the observations before STORED_BEFORE, collected by another
+    source under another program name."""
+    b = award_batch(L)
+    early = F.col("scraped_at_utc") < F.lit(STORED_BEFORE).cast("timestamp_ntz")
+    old = b.filter(early).withColumn("source", F.concat(F.lit("old_"), F.col("source"))).withColumn("program", F.lit("old"))
+    return merge_awards(merge_awards(None, old), b.filter(~early))
+
+
+def input_version(spark: SparkSession, sf_dir: str) -> str:
+    """Digest of the input folder's address and of the names, sizes and change times of its files."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files, found = fs.listFiles(folder, True), []
+    while files.hasNext():
+        f = files.next()
+        found.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+    return hashlib.sha1("\n".join([str(fs.makeQualified(folder)), *sorted(found)]).encode()).hexdigest()[:16]
 
 
 def materialized(L: Lake, name: str, build, layout=None) -> DataFrame:
-    """A derived table written once per input folder into the session's shared checkpoint
-    folder and read back by every later query (lineage cut by a written table). A marker
-    written after the table commits guards against reading a partial write."""
-    key = f"_mat_{name}"
+    """A derived table written once per state of the input folder into the session's shared checkpoint
+    folder and read back by every later query (lineage cut by a written table). Each build writes a
+    path of its own; a marker written after the table commits names it, so neither a partial write nor another
+    session's build is ever read or overwritten."""
+    version = input_version(L.spark, L.sf_dir)
+    key = f"_mat_{name}_{version}"
     if key not in L._frames:
         spark = L.spark
-        path = scratch_table_path(spark, f"{name}_{hashlib.sha1(os.path.abspath(L.sf_dir).encode()).hexdigest()[:12]}")
+        path = scratch_table_path(spark, f"{name}_{version}")
         marker = path + "_committed"
         try:
-            spark.read.parquet(marker).count()
+            path = spark.read.parquet(marker).first()["path"]
         except AnalysisException:
+            path = f"{path}_{uuid.uuid4().hex}"
             df = build()
             writer = (layout(df) if layout else df).write.mode("overwrite")
             if layout:
@@ -124,6 +154,16 @@ flights AS (SELECT {_K}, any_value(m_pc) AS points_cost, any_value(m_cc) AS cash
   arg_min(source, ord) AS source
   FROM fl_t WHERE tstar IS NULL OR ord > tstar GROUP BY {_K})"""
 
+# the same merge over the observations of the older store and of the batch, in one pass
+STORE_CTE = (FLIGHTS_CTE
+             .replace("AS source\n  FROM fx_award", "AS slug,\n  CASE WHEN scraped_at_utc < TIMESTAMP '" + STORED_BEFORE + "' THEN 'old' ELSE airline END AS program,\n"
+                      "  CASE WHEN scraped_at_utc < TIMESTAMP '" + STORED_BEFORE + "' THEN 'old_' || slug ELSE slug END AS source\n  FROM fx_award")
+             .replace("duration_minutes AS m_du\n", "duration_minutes AS m_du, source AS m_so\n")
+             .replace("m_dm, m_du,\n", "m_dm, m_du, m_so,\n")
+             .replace("duration_minutes IS DISTINCT FROM m_du)", "duration_minutes IS DISTINCT FROM m_du OR source IS DISTINCT FROM m_so)")
+             .replace("PARTITION BY {_K}) AS tstar FROM fl_j".format(_K=_K), "PARTITION BY {_K}) AS tstar, arg_min(program, ord) OVER (PARTITION BY {_K}) AS first_program FROM fl_j".format(_K=_K))
+             .replace("arg_min(source, ord) AS source\n", "any_value(m_so) AS source, any_value(first_program) AS program\n"))
+
 LIVE_CASH_CTE = """
 live_cash AS (SELECT * FROM fx_cash WHERE expires_at_utc > TIMESTAMP '2024-01-31 00:00:00')"""
 

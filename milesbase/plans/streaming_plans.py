@@ -13,8 +13,6 @@ from milesbase.plans.registry import query
 from milesbase.sources.fixtures import AS_OF
 from milesbase.streaming import jobs
 
-LANDING_FILES = 4
-
 
 @query("str_merge", """
 SELECT origin, destination, date, airline, cabin_class, raw_flight_number, points_cost, cash_cost, stops,
@@ -24,10 +22,10 @@ def str_merge(spark, sf_dir):
     L = D.lk(spark, sf_dir)
     base = jobs.job_dir(spark, "str_merge")
     batch = D.award_batch(L)
-    jobs.land(batch, os.path.join(base, "landing"), D.AWARD_KEY, LANDING_FILES)
+    jobs.land(batch, os.path.join(base, "landing"), D.AWARD_KEY)
     table = jobs.merge_stream(spark, os.path.join(base, "landing"), batch.schema, os.path.join(base, "table"),
-                              os.path.join(base, "checkpoint"), D.AWARD_KEY, D.AWARD_MATERIAL, D.AWARD_STAMPS,
-                              D.AWARD_ORDER, AS_OF, keep_cols=["source"])
+                              os.path.join(base, "checkpoint"), D.AWARD_KEY, D.AWARD_MERGED, D.AWARD_STAMPS,
+                              D.AWARD_ORDER, AS_OF, keep_cols=D.AWARD_KEEP)
     return table.current().select(*D.AWARD_KEY, *D.AWARD_MATERIAL, *D.AWARD_STAMPS, "source")
 
 
@@ -41,7 +39,7 @@ def str_freshness(spark, sf_dir):
     L = D.lk(spark, sf_dir)
     base = jobs.job_dir(spark, "str_freshness")
     batch = D.award_batch(L)
-    jobs.land(batch, os.path.join(base, "landing"), ["source"], LANDING_FILES)
+    jobs.land(batch, os.path.join(base, "landing"), D.AWARD_KEY)
     return jobs.freshness_stream(spark, os.path.join(base, "landing"), batch.schema, os.path.join(base, "out"),
                                  os.path.join(base, "checkpoint"), AS_OF)
 
@@ -68,6 +66,6 @@ def str_route_state(spark, sf_dir):
     L = D.lk(spark, sf_dir)
     base = jobs.job_dir(spark, "str_route_state")
     ev = _route_events(L).select(*[c.split(" ")[0] for c in jobs.EVENT_SCHEMA.split(", ")])
-    jobs.land(ev, os.path.join(base, "landing"), jobs.ROUTE_KEY, LANDING_FILES)
+    jobs.land(ev, os.path.join(base, "landing"), jobs.ROUTE_KEY)
     return jobs.route_state_stream(spark, os.path.join(base, "landing"), os.path.join(base, "out"),
                                    os.path.join(base, "checkpoint"))

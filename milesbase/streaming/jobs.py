@@ -39,9 +39,11 @@ def job_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), "streams", name, uuid.uuid4().hex)
 
 
-def land(df: DataFrame, path: str, key, files: int) -> None:
-    """Land a frame as ``files`` parquet files partitioned by ``key`` (a key's rows share a file)."""
-    df.repartition(files, *key).write.mode("overwrite").parquet(path)
+def land(df: DataFrame, path: str, key, files: int | None = None) -> None:
+    """Land a frame as parquet files partitioned by ``key`` (a key's rows share a file); without ``files`` their
+    number follows the data (adaptive execution joins small shuffle partitions)."""
+    by = [F.col(c) for c in key]
+    (df.repartition(files, *by) if files else df.repartition(*by)).write.mode("overwrite").parquet(path)
 
 
 def _run_available_now(writer, checkpoint: str) -> None:
@@ -174,7 +176,7 @@ def _route_fold(key, pdfs, state):
 
 
 def route_state_stream(spark: SparkSession, landing: str, out: str, checkpoint: str) -> DataFrame:
-    """Keyed route state; returns the state table. Late events are appended to ``out/_late``."""
+    """Keyed route state; returns the state table. Late events go to ``out/_late``, a partition for each batch."""
     stream = spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", 1).parquet(landing)
     states = stream.groupBy(*ROUTE_KEY).applyInPandasWithState(
         _route_fold, OUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
@@ -185,8 +187,9 @@ def route_state_stream(spark: SparkSession, landing: str, out: str, checkpoint:
         last = table.last_commit()
         if last is not None and last[0] >= batch_id:
             return
+        # a replayed batch writes its own partition again instead of adding to it
         batch.filter(F.col("kind") == "late").select(*ROUTE_KEY, F.col("late_t").alias("t"), F.lit(batch_id).alias("batch_id")) \
-             .write.mode("append").parquet(late_path)
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(late_path)
         upd = batch.filter(F.col("kind") == "state").select(*STATE_COLS)
         cur = table.current()
         nxt = upd if cur is None else cur.join(upd.select(*ROUTE_KEY), ROUTE_KEY, "left_anti").unionByName(upd)

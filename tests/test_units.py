@@ -290,16 +290,6 @@ def test_shard_stride_disjoint_and_total(spark):
     assert {k: sorted(v) for k, v in by_shard.items()} == {0: [1, 4, 7, 10], 1: [2, 5, 8, 11], 2: [3, 6, 9, 12]}
 
 
-def test_checked_broadcast_probe(spark):
-    from milesbase.operators.joins import checked_broadcast
-    small, big = spark.range(10), spark.range(1000)
-    hinted = big.join(checked_broadcast(small, 100), "id")
-    unhinted = big.join(checked_broadcast(big, 100), "id")
-    assert "broadcast" in hinted._jdf.queryExecution().analyzed().toString().lower()      # within the cap: hinted
-    assert "broadcast" not in unhinted._jdf.queryExecution().analyzed().toString().lower()  # beyond it: left to planner
-    assert hinted.count() == 10 and unhinted.count() == 1000
-
-
 def test_write_touched_partitions_only(spark):
     import os
     import tempfile
@@ -380,3 +370,28 @@ def test_a_cluster_session_needs_a_shared_folder():
 
     with pytest.raises(RuntimeError):
         session.checkpoint_dir(Session())
+
+
+def test_stored_tables_follow_their_input(spark, tmp_path):
+    from milesbase.plans import domain as D
+
+    class L:
+        pass
+
+    lake = L()
+    lake.spark, lake.sf_dir, lake._frames = spark, str(tmp_path / "in"), {}
+    spark.range(3).write.parquet(lake.sf_dir + "/t.parquet")
+    build = lambda: spark.read.parquet(lake.sf_dir + "/t.parquet")
+    assert D.materialized(lake, "t_test", build).count() == 3
+    spark.range(5).write.mode("append").parquet(lake.sf_dir + "/t.parquet")
+    assert D.materialized(lake, "t_test", build).count() == 8
+    again = L()
+    again.spark, again.sf_dir, again._frames = spark, lake.sf_dir, {}
+    assert D.materialized(again, "t_test", lambda: 1 / 0).count() == 8  # read back, not built
+
+
+def test_pages_without_tables_are_reported(spark):
+    from milesbase.operators import html_tables
+    pages = spark.createDataFrame([(1, "<html><p>nothing here</p></html>")], "page_id long, html string")
+    rows = html_tables.bank_table_rows(pages)
+    assert rows.filter("row_idx IS NULL AND NOT table_found").count() == rows.count() > 0
