@@ -12,6 +12,7 @@ from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from milesbase.operators.transfers import BANK_SECTIONS
 
@@ -86,32 +87,14 @@ def page_events(html: str) -> list:
     return out
 
 
-def _section_table(events: list, marker: str):
-    """First table after the first heading containing ``marker``, unless a
-    'transfer partners' heading comes first (never steal the next section's table)."""
-    for i, (kind, val) in enumerate(events):
-        if kind != "h" or marker not in val.lower():
-            continue
-        for kind2, val2 in events[i + 1:]:
-            if kind2 == "table":
-                return val2
-            if kind2 == "h" and "transfer partners" in val2.lower():
-                return None
-        return None
-    return None
+EVENTS = "page_id long, events array<struct<pos: int, kind: string, text: string, rows: array<array<string>>>>"
 
 
-def _bank_rows(batches):
+def _events(batches):
     for pdf in batches:
-        out = []
-        for page_id, html in zip(pdf["page_id"], pdf["html"]):
-            events = page_events(html)
-            for marker, bank_id in BANK_SECTIONS:
-                table = _section_table(events, marker)
-                out.append((page_id, bank_id, table is not None, None, None))
-                for idx, cells in enumerate((table or [])[1:]):
-                    out.append((page_id, bank_id, True, idx, cells))
-        yield pd.DataFrame(out, columns=["page_id", "section_id", "table_found", "row_idx", "cells"])
+        found = [[{"pos": i, "kind": k, "text": v if k == "h" else None, "rows": v if k == "table" else None}
+                  for i, (k, v) in enumerate(page_events(html))] for html in pdf["html"]]
+        yield pd.DataFrame({"page_id": pdf["page_id"], "events": found})
 
 
 def _first_table_rows(batches):
@@ -126,8 +109,23 @@ def _first_table_rows(batches):
 
 
 def bank_table_rows(pages: DataFrame) -> DataFrame:
-    """Per page and managed bank: a marker row (row_idx null) and one row per data row."""
-    return pages.select("page_id", "html").mapInPandas(_bank_rows, ROWS_SCHEMA)
+    """Per page and managed bank: a marker row (row_idx null) and one row per data row.
+
+    A bank's section starts at the first heading with its marker; its table is the next table
+    of the page, provided that no other 'transfer partners' heading stands before it."""
+    sections = F.array(*[F.struct(F.lit(i).alias("section_id"), F.lit(m).alias("marker")) for m, i in BANK_SECTIONS])
+    s = pages.select("page_id", "html").mapInPandas(_events, EVENTS).select("page_id", "events", F.explode(sections).alias("s"))
+    start = F.array_min(F.transform(F.filter("events", lambda e: F.lower(e["text"]).contains(F.col("s.marker"))), lambda e: e["pos"]))
+    s = s.withColumn("start", start)
+    stop = F.array_min(F.transform(
+        F.filter("events", lambda e: (e["pos"] > F.col("start")) & ((e["kind"] == "table") | F.lower(e["text"]).contains("transfer partners"))),
+        lambda e: F.struct(e["pos"], e["kind"].alias("kind"), e["rows"].alias("rows"))))
+    s = s.withColumn("stop", stop).withColumn("table", F.when(F.col("stop.kind") == "table", F.col("stop.rows")))
+    none = F.struct(F.lit(None).cast("int").alias("row_idx"), F.lit(None).cast("array<string>").alias("cells"))
+    data = F.transform(F.slice("table", 2, F.greatest(F.size("table") - 1, F.lit(0))), lambda r, i: F.struct(i.alias("row_idx"), r.alias("cells")))
+    listed = F.concat(F.array(none), F.coalesce(data, F.array().cast("array<struct<row_idx:int,cells:array<string>>>")))
+    s = s.select("page_id", F.col("s.section_id").alias("section_id"), F.col("table").isNotNull().alias("table_found"), F.explode(listed).alias("r"))
+    return s.select("page_id", "section_id", "table_found", "r.row_idx", "r.cells")
 
 
 def first_table_rows(pages: DataFrame) -> DataFrame:

@@ -402,19 +402,21 @@ WITH req AS (SELECT s.origin, s.dest, s.airline, DATE '{AS_OF_DATE}' + CAST(d AS
 miss AS (SELECT req.* FROM req WHERE NOT EXISTS (SELECT 1 FROM fresh f WHERE f.origin = req.origin AND f.destination = req.dest AND f.source = req.source AND f.date = req.date)),
 mc AS (SELECT origin, dest, airline, count(*) AS missing_count FROM miss GROUP BY origin, dest, airline),
 smp AS ({_stride_sql("miss", "origin, dest, airline", INLINE_DATES)}),
-base AS (SELECT s.origin, s.dest, s.airline, s.demand, coalesce(rq.priority_tier, 'LOW') AS t0, coalesce(rq.search_count, 0) AS c0, s.searches AS n
-  FROM sagg s LEFT JOIN rq ON s.origin = rq.origin AND s.dest = rq.dest AND s.airline = rq.airline)
+stored AS (SELECT origin, dest, airline, priority_tier, search_count, {_DECAY} AS kept FROM rq),
+base AS (SELECT s.origin, s.dest, s.airline, s.demand + coalesce(rq.kept, 0) AS demand, coalesce(rq.priority_tier, 'LOW') AS t0, coalesce(rq.search_count, 0) AS c0, s.searches AS n
+  FROM sagg s LEFT JOIN stored rq ON s.origin = rq.origin AND s.dest = rq.dest AND s.airline = rq.airline)
 SELECT b.origin, b.dest, b.airline, CAST(c0 + n AS BIGINT) AS search_count, demand, {_PROMOTE_SQL} AS priority_tier,
  mc.missing_count, smp.sample AS inline_dates
 FROM base b LEFT JOIN mc USING (origin, dest, airline) LEFT JOIN smp USING (origin, dest, airline)""",
        _FRESH_CTE + "," + RQ_CTE + "," + _SEARCH_AGG)
 def fold_user_search(spark, sf_dir):
-    """handle_user_search for every searched key: ensure row, count, demand, promotion, missing
-    fresh dates in the next 30 days and the <= 5 strided dates to scrape inline."""
+    """handle_user_search for every searched key: ensure row, count, demand (the stored one decayed to as_of plus
+    that of the log), promotion, missing fresh dates in the next 30 days and the <= 5 strided dates to scrape inline."""
     L = D.lk(spark, sf_dir)
     s = folds.demand_from_log(L.fx_search, QKEY, AS_OF)
-    base = s.join(routes_queue(L).select(*QKEY, "priority_tier", "search_count"), QKEY, "left")
-    base = base.select(*QKEY, "demand", (F.coalesce("search_count", F.lit(0)) + F.col("searches")).cast("bigint").alias("search_count"),
+    kept = Q.decay_demand(F.coalesce("decayed_demand", F.lit(0.0)), "last_search_at_utc", AS_OF).alias("kept")
+    base = s.join(routes_queue(L).select(*QKEY, "priority_tier", "search_count", kept), QKEY, "left")
+    base = base.select(*QKEY, (F.col("demand") + F.coalesce("kept", F.lit(0.0))).alias("demand"), (F.coalesce("search_count", F.lit(0)) + F.col("searches")).cast("bigint").alias("search_count"),
                        Q.promoted_tier(F.coalesce("priority_tier", F.lit("LOW")), F.coalesce("search_count", F.lit(0)),
                                        F.col("searches"), F.col("airline")).alias("priority_tier"))
     req = s.select(*QKEY, X.case_map("airline", D.AIRLINE_SOURCE).alias("source"))

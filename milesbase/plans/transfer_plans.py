@@ -123,12 +123,8 @@ def _case(col, mapping, default="NULL"):
 
 
 def _match_sql(col):
-    import re as _re
-    parts = []
-    for code, name, kws in T.AIRLINE_MATCHERS:
-        pat = r"\b(?:" + "|".join(_re.escape(k) for k in kws) + r")\b"
-        parts.append(f"WHEN regexp_matches(lower({col}), '{pat}') THEN '{code}'")
-    return "CASE " + " ".join(parts) + " END"
+    cases = " ".join(f"WHEN regexp_matches(lower({col}), '\\b{k}\\b') THEN '{code}'" for code, _, kws in T.AIRLINE_MATCHERS for k in kws)
+    return f"CASE {cases} END"
 
 
 _NAME_SQL = _case("airline_code", {c: n for c, n, _ in T.AIRLINE_MATCHERS})

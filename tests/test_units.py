@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from milesbase.operators import cash_queue as CQ
 from milesbase.operators import folds, matching, merge, queue as Q, reports, spine, text_parse, transfers as T
-from milesbase.operators.html_tables import _section_table, page_events
+from milesbase.operators.html_tables import bank_table_rows
 
 NOW = "2026-06-18 12:00:00"
 
@@ -149,12 +149,14 @@ def test_duration_and_offset_text(spark):
     assert got == [(760, 1), (780, 0), (None, 2)]
 
 
-def test_section_table_never_steals_next_section():
+def test_section_table_never_steals_next_section(spark):
     html = ("<h2>Chase Transfer Partners</h2><p>none</p><h2>Citi Transfer Partners</h2>"
             "<table><tr><th>h</th></tr><tr><td>United</td><td>Airline</td><td>1:1</td></tr></table>")
-    ev = page_events(html)
-    assert _section_table(ev, "chase") is None
-    assert _section_table(ev, "citi")[1] == ["United", "Airline", "1:1"]
+    rows = bank_table_rows(spark.createDataFrame([(1, html)], "page_id long, html string")).collect()
+    banks = {m: i for m, i in T.BANK_SECTIONS}
+    chase, citi = (next(i for m, i in banks.items() if w in m) for w in ("chase", "citi"))
+    assert {(r.section_id, r.table_found) for r in rows if r.section_id in (chase, citi) and r.row_idx is None} == {(chase, False), (citi, True)}
+    assert [r.cells for r in rows if r.row_idx is not None] == [["United", "Airline", "1:1"]]
 
 
 # ------------------------------------------------------------------ spines, shards, strides
