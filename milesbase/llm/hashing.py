@@ -32,7 +32,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def text_slices(column: pa.Array, max_bytes: int = 4 << 20):
+def text_slices(column: pa.Array, max_bytes: int = 1 << 19):
     """Cut a string column into runs of rows of about ``max_bytes`` (one longer row stays whole).
     Yields first row, end row, the bytes of the run, and each row's offsets in them; nulls are empty."""
     column = column.cast(pa.large_string()).fill_null("")

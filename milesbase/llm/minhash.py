@@ -6,10 +6,12 @@
 2. Documents with equal sets are one class, represented by the smallest id.
 3. In each bucket of classes every member is paired with the smallest one only (a star), so a bucket of
    n gives n - 1 pairs. Pairs are confirmed on the full sets: 100 * intersection >= percent * union.
-4. Members that a star leaves outside their bucket's main component are then compared with the bucket's
-   members of other components. After that any two members of any bucket are connected or have been
-   compared, so stars lose no link that the buckets hold. With 32 bands of 5 rows, a pair at similarity 0.8
-   shares no bucket with a probability of 3e-6.
+4. Members that a star leaves outside their bucket's main component meet further members of it, one per bucket and
+   round (again stars), while that leaves more than a few comparisons per member.
+   Those still outside are then compared with the bucket's members of other components. Jaccard distance is a
+   metric, so a pair whose distances from the bucket's first star differ by more than the limit is skipped unseen. After
+   that any two members of any bucket are connected or known to be too far apart, so stars lose no link that the
+   buckets hold. With 32 bands of 5 rows, a pair at similarity 0.8 shares no bucket with a probability of 3e-6.
 5. Components: repeated hooking to the smallest neighbour with pointer jumping, each round a written table.
 
 Scale: hot buckets and hot classes only ever meet partial aggregates and equi-joins whose skewed partitions
@@ -32,6 +34,8 @@ from milesbase.llm.hashing import U, mixed, shingle_sets, stream, text_slices, w
 
 BANDS, ROWS = 32, 5
 PROBES = 64
+FEW = 2
+MAX_TURNS = 8
 FEATURES = "id bigint, n bigint, f1 bigint, f2 bigint, bands array<bigint>"
 
 
@@ -107,12 +111,14 @@ def full_sets(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(run, "id bigint, items array<bigint>")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of the distinct pairs (a, b), those whose full sets are similar enough."""
+def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The distinct pairs (a, b) with linked (confirmed on the full sets) and their Jaccard distance."""
     left, right = sets.toDF("a", "sa"), sets.toDF("b", "sb")
-    both = F.size(F.array_intersect("sa", "sb"))
-    linked = F.lit(100) * both >= F.lit(percent) * (F.size("sa") + F.size("sb") - both)
-    return pairs.join(right, "b").join(left, "a").where(linked).select("a", "b")
+    both = F.size(F.array_intersect("sa", "sb")).cast("bigint")
+    sized = pairs.join(right, "b").join(left, "a").select("a", "b", both.alias("both"), (F.size("sa") + F.size("sb")).alias("sum"))
+    union = F.col("sum") - F.col("both")
+    return sized.select("a", "b", (F.lit(100) * F.col("both") >= F.lit(percent) * union).alias("linked"),
+                        (1 - F.col("both") / union).alias("distance"))
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -139,6 +145,24 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     return roots if roots is not None else spark.createDataFrame([], "node bigint, root bigint")
 
 
+def _by_root(links: DataFrame, roots: DataFrame) -> DataFrame:
+    """Links between nodes as links between their roots."""
+    return (links.select("a", "b").join(roots.toDF("a", "ra"), "a", "left").join(roots.toDF("b", "rb"), "b", "left")
+            .select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")))
+
+
+def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows with their root replaced by the root's own, where it has one."""
+    top = roots.toDF("root", "_top")
+    return rows.join(top, "root", "left").withColumn("root", F.coalesce("_top", "root")).drop("_top")
+
+
+def _merged(roots: DataFrame, top: DataFrame) -> DataFrame:
+    """node, root: both mappings one after the other."""
+    new = top.join(roots.select("node"), "node", "left_anti")
+    return _rooted(roots, top).select("node", "root").union(new.select("node", "root"))
+
+
 def _near_size(x: str, y: str, percent: int):
     return F.lit(100) * F.least(x, y) >= F.lit(percent) * F.greatest(x, y)
 
@@ -161,24 +185,40 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     pairs = members.where((F.col("rep") != F.col("star")) & _near_size("n", "star_n", percent)).select(
         F.col("star").alias("a"), F.col("rep").alias("b")).distinct()
-    first = staged(confirmed(pairs, sets, percent), "minhash-links")
-    roots = components(first, "minhash-first")
-
-    # members outside the main component of their bucket, against the others of that bucket
-    known = members.join(roots, members["rep"] == roots["node"], "left").select(
-        "key", "rep", "n", "star", F.coalesce("root", "rep").alias("root"))
-    known = staged(known, "minhash-known")
-    main = (known.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"))
-            .groupBy("key").agg(F.max_by("root", F.struct("m", "root")).alias("main"), F.count(F.lit(1)).alias("roots"))
-            .where("roots > 1").drop("roots"))
-    mixed_ = known.join(main, "key").where("rep <> star")  # the star's own pairs are decided
-    x = mixed_.where("root <> main").select("key", F.col("rep").alias("x"), F.col("n").alias("xn"), F.col("root").alias("xr"))
-    y = mixed_.select("key", F.col("rep").alias("y"), F.col("n").alias("yn"), F.col("root").alias("yr"), (F.col("root") == F.col("main")).alias("inside"))
-    more = x.join(y, "key").where((F.col("xr") != F.col("yr")) & (F.col("inside") | (F.col("x") < F.col("y"))) & _near_size("xn", "yn", percent))
+    first = staged(compared(pairs, sets, percent), "minhash-stars")
+    roots = components(first.where("linked").select("a", "b"), "minhash-first")
+    known = members.join(first.select(F.col("a").alias("star"), F.col("b").alias("rep"), "distance"), ["star", "rep"], "left")
+    known = known.withColumn("distance", F.when(F.col("rep") == F.col("star"), F.lit(0.0)).otherwise(F.col("distance")))
+    known = staged(_rooted(known.withColumn("root", F.col("rep")), roots), "minhash-known")
+
+    turn = 0
+    while True:
+        main = (known.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"))
+                .groupBy("key").agg(F.max_by("root", F.struct("m", "root")).alias("main"), F.max("m").alias("inside"), F.sum("m").alias("m"), F.count(F.lit(1)).alias("roots"))
+                .where("roots > 1"))
+        main = staged(main, "minhash-main")
+        work, rows = main.agg(F.coalesce(F.sum((F.col("m") - F.col("inside")) * F.col("m")), F.lit(0)), F.coalesce(F.sum("m"), F.lit(0))).first()
+        # the pairwise rest is small, or has stopped shrinking
+        if work <= FEW * rows or turn == MAX_TURNS:
+            break
+        turn += 1
+        inside = known.join(main.select("key", "main"), "key")
+        centre = inside.where("root = main").groupBy("key").agg(
+            F.min_by(F.struct(F.col("rep").alias("c"), F.col("n").alias("cn")), F.xxhash64("rep", F.lit(turn))).alias("c"))
+        again = inside.where("root <> main").join(centre, "key").select("rep", "n", "c.c", "c.cn").where(_near_size("n", "cn", percent))
+        again = again.select(F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b")).distinct()
+        links = compared(again, sets, percent).where("linked")
+        top = components(_by_root(links, roots), f"minhash-turn{turn}")
+        roots = staged(_merged(roots, top), "minhash-roots")
+        known = staged(_rooted(known, top), "minhash-known")
+
+    rest = known.join(main.select("key", "main"), "key").where("rep <> star")  # the star's own pairs are decided
+    x = rest.where("root <> main").select("key", F.col("rep").alias("x"), F.col("n").alias("xn"), F.col("root").alias("xr"), F.col("distance").alias("xd"))
+    y = rest.select("key", F.col("rep").alias("y"), F.col("n").alias("yn"), F.col("root").alias("yr"), F.col("distance").alias("yd"), (F.col("root") == F.col("main")).alias("inside"))
+    far = F.coalesce(F.abs(F.col("xd") - F.col("yd")) > 1 - percent / 100 + 1e-9, F.lit(False))
+    more = x.join(y, "key").where((F.col("xr") != F.col("yr")) & (F.col("inside") | (F.col("x") < F.col("y"))) & _near_size("xn", "yn", percent) & ~far)
     more = more.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    second = confirmed(more, sets, percent)
-    top = components(second.join(roots.toDF("a", "ra"), "a", "left").join(roots.toDF("b", "rb"), "b", "left")
-                     .select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")), "minhash-second")
+    top = components(_by_root(compared(more, sets, percent).where("linked"), roots), "minhash-second")
 
     final = classes.select("f1", "f2", "n", "rep").join(roots.toDF("rep", "root"), "rep", "left")
     final = final.withColumn("root", F.coalesce("root", "rep")).join(top.toDF("root", "top"), "root", "left")
