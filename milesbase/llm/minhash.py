@@ -35,7 +35,7 @@ from milesbase.llm.hashing import U, mixed, shingle_sets, stream, text_slices, w
 BANDS, ROWS = 32, 5
 PROBES = 64
 FEW = 2
-MAX_TURNS = 8
+MAX_TURNS = 6
 FEATURES = "id bigint, n bigint, f1 bigint, f2 bigint, bands array<bigint>"
 
 
@@ -191,7 +191,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = known.withColumn("distance", F.when(F.col("rep") == F.col("star"), F.lit(0.0)).otherwise(F.col("distance")))
     known = staged(_rooted(known.withColumn("root", F.col("rep")), roots), "minhash-known")
 
-    turn = 0
+    turn, before = 0, None
     while True:
         main = (known.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"))
                 .groupBy("key").agg(F.max_by("root", F.struct("m", "root")).alias("main"), F.max("m").alias("inside"), F.sum("m").alias("m"), F.count(F.lit(1)).alias("roots"))
@@ -199,9 +199,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         main = staged(main, "minhash-main")
         work, rows = main.agg(F.coalesce(F.sum((F.col("m") - F.col("inside")) * F.col("m")), F.lit(0)), F.coalesce(F.sum("m"), F.lit(0))).first()
         # the pairwise rest is small, or has stopped shrinking
-        if work <= FEW * rows or turn == MAX_TURNS:
+        if work <= FEW * rows or turn == MAX_TURNS or (before is not None and work > 0.7 * before):
             break
-        turn += 1
+        turn, before = turn + 1, work
         inside = known.join(main.select("key", "main"), "key")
         centre = inside.where("root = main").groupBy("key").agg(
             F.min_by(F.struct(F.col("rep").alias("c"), F.col("n").alias("cn")), F.xxhash64("rep", F.lit(turn))).alias("c"))
