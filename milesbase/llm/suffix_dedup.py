@@ -2,7 +2,7 @@
 
 Column-wise construction over many documents (BWT and common prefixes, one symbol per document and round):
 
-1. *Anchors.* Each 200-byte window names the position of its smallest 24-byte hash (leftmost of
+1. *Anchors.* Each 200-byte window names the position of its smallest 64-byte hash (leftmost of
    equals), so equal windows name equal anchors at equal distances. Only anchors whose hash
    occurs twice can belong to a repeated window; the others are dropped. This loses nothing.
 2. *Segments.* The windows that name one anchor lie side by side; their bytes form one segment, placed
@@ -40,7 +40,7 @@ from milesbase.llm.common import free_name, prepare, staged
 from milesbase.llm.hashing import U, mixed, stream, text_slices
 
 LENGTH = 200
-GRAM = 24
+GRAM = 64
 GROUP = 8
 MAX_BUCKET = 100_000
 TASK_ROWS = 60_000
@@ -49,17 +49,16 @@ TASK_ROWS = 60_000
 # ---- anchors ------------------------------------------------------------------------------------------
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """Hash of the GRAM bytes at every place that has as many."""
-    n = len(data) - GRAM + 1
+    """Hash of the GRAM bytes at every place that has as many: of 8 bytes first, then of twice as many each time."""
     buf = np.ascontiguousarray(data)
-    a, b, c = (np.ndarray(n, "<u8", buf, offset=8 * i, strides=(1,)) for i in range(3))
-    k = stream(3, 131) | U(1)
+    h = np.ndarray(len(buf) - 7, "<u8", buf, strides=(1,)).copy()
+    width = 8
     with np.errstate(over="ignore"):
-        h = a * k[0]
-        h ^= h >> U(29)
-        h += b * k[1]
-        h ^= h >> U(31)
-        h += c * k[2]
+        for k in stream(3, 131) | U(1):
+            h *= k
+            h ^= h >> U(29)
+            h = h[:-width] * (k ^ U(0x5851F42D4C957F2C)) + h[width:]
+            width *= 2
     return mixed(h)
 
 
@@ -187,7 +186,7 @@ def _anchor_rows(texts: DataFrame) -> DataFrame:
     """k1, k2, text -> k1, k2, gram, spot (place, place - first start and place - last start packed)."""
     def run(batches):
         for batch in batches:
-            for i, _j, data, offsets in text_slices(batch.column(2)):
+            for i, _j, data, offsets in text_slices(batch.column(2), 1 << 18):
                 row, h, place, first, last = anchors(data, offsets)
                 take = pa.array(row + i)
                 spot = (place << 16) | ((place - first) << 8) | (place - last)

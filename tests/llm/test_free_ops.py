@@ -421,7 +421,7 @@ def test_windows_name_one_anchor():
     for k in range(4):
         starts = sorted(s for r, a, b in zip(row, first, last) if r == k for s in range(a, b + 1))
         assert starts == list(range(max(0, sizes[k] - 199)))
-    assert ((place - first >= 0) & (place - first <= 176) & (place >= last)).all()
+    assert ((place - first >= 0) & (place - first <= 136) & (place >= last)).all()
 
 
 def test_batches_of_sliced_columns():
