@@ -7,8 +7,8 @@ ASCII white space, by two 64-bit hashes; blank lines are never boilerplate.
 Scale: the counts are partially aggregated per task before their shuffle, so a hot
 host or line arrives as one row per task. A host has at most
 (mean lines per page) / ``max_ratio`` boilerplate lines, whatever its size, so their
-set per host is small by construction; texts are joined with it by host, where
-Spark broadcasts a small table of hosts and else splits the partitions of hot hosts.
+set per host is small by construction. Texts are joined with it by host and a row-number salt
+(each host's set is repeated ``SALTS`` times), so that a hot host's texts spread over many tasks.
 
 Edge cases: null text stays null; a null host has no page total, so its lines stay;
 empty tables give empty results; repeated rows count as pages each; other columns
@@ -24,6 +24,7 @@ from milesbase.llm.common import WS, free_name
 
 MAX_RATIO = 0.1
 MIN_PAGES = 3
+SALTS = 32
 
 
 def _key(line: Column) -> Column:
@@ -50,9 +51,11 @@ def line_dedup(docs: DataFrame, text_col: str = "text", host_col: str = "source"
                min_pages: int = MIN_PAGES) -> tuple[DataFrame, str]:
     """``docs`` with boilerplate lines removed from ``text_col``, and a struct column (its name is returned)
     with n_lines and n_dropped (long)."""
-    h, p, k, s = (free_name(docs, x) for x in ("_l_host", "_l_pages", "_l_keys", "_l_stats"))
+    h, p, k, s, x, y = (free_name(docs, n) for n in ("_l_host", "_l_pages", "_l_keys", "_l_stats", "_l_salt", "_l_part"))
     found = boilerplate(docs, text_col, host_col, max_ratio, min_pages).toDF(h, p, k)
-    out = docs.join(found, docs[f"`{host_col}`"] == found[h], "left").drop(h, p)
+    found = found.withColumn(x, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).drop(p)
+    out = docs.withColumn(y, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    out = out.join(found, (out[f"`{host_col}`"] == found[h]) & (out[y] == found[x]), "left").drop(h, x, y)
     text = F.col(f"`{text_col}`")
     lines = F.split(text, "\n")
     kept = F.filter(lines, lambda x: (_bare(x) == "") | ~F.array_contains(F.col(k), _key(_bare(x))))
