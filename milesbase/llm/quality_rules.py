@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from milesbase.llm.common import WS, free_name, words_of
+from milesbase.llm.common import WS, free_name, staged, words_of
 
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 5
@@ -156,20 +156,30 @@ def judged(docs: DataFrame, labels: DataFrame, stratum_col: str = "lang", id_col
     holdout = with_stats.where(~F.col(s)["base_failed"]).select(
         F.col(f"`{id_col}`").alias("_id"), F.col(f"`{stratum_col}`").cast("string").alias("stratum"),
         *[m.alias(k) for k, m in measures(F.col(s)).items()]).join(truth, "_id").drop("_id")
-    cut = certified_cutoffs(holdout, grid, alpha, delta)
-    # at most one array of len(grid) cutoffs per stratum
-    per_stratum = cut.groupBy(F.col("stratum").alias("_q_stratum")).agg(
-        F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("_q_cut"))
-    out = with_stats.join(per_stratum, with_stats[f"`{stratum_col}`"].cast("string").eqNullSafe(F.col("_q_stratum")), "left")
-    reasons = F.filter(F.array(*[F.when(m > F.col("_q_cut")[k], F.lit(k)) for k, m in measures(F.col(s)).items()]),
+    # a table of at most a few rows per stratum, written so that it is worked out once
+    cut = staged(certified_cutoffs(holdout, grid, alpha, delta), "quality-cutoffs")
+    # one value for the job: certifying a stratum takes hundreds of its labelled documents, so there are few;
+    # "=" marks a stratum that is not null, as maps have no null keys
+    def key(c):
+        return F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit(""))
+
+    chosen = (cut.groupBy(key(F.col("stratum")).alias("k"))
+              .agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("v"))
+              .agg(F.map_from_entries(F.collect_list(F.struct("k", "v")))).scalar())
+    c = free_name(with_stats, "_q_cut")
+    out = with_stats.withColumn(c, F.try_element_at(chosen, key(F.col(f"`{stratum_col}`"))))
+    reasons = F.filter(F.array(*[F.when(m > F.try_element_at(F.col(c), F.lit(k)), F.lit(k)) for k, m in measures(F.col(s)).items()]),
                        lambda x: x.isNotNull())
     reasons = F.coalesce(reasons, F.array().cast("array<string>"))
     out = out.withColumn(s, F.col(s).withField("reasons", reasons))
     out = out.withColumn(s, F.col(s).withField("kept", ~F.col(s)["base_failed"] & (F.size(F.col(s)["reasons"]) == 0)))
-    return out.drop("_q_stratum", "_q_cut"), s
+    return out.drop(c), s
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **kw) -> DataFrame:
-    """The documents that the rules keep, with the columns of ``docs``."""
-    out, s = judged(docs, labels, **kw)
-    return out.where(F.col(s)["kept"]).drop(s)
+    """The documents that the rules keep, with the columns of ``docs``. The statistics are written once with their
+    documents: inlined into the filter, they would be evaluated again for every rule."""
+    with_stats, s = text_stats(docs, kw.get("text_col", "text"))
+    with_stats = staged(with_stats, "quality-stats")
+    out, s = judged(with_stats, labels, stats=(with_stats, s), **kw)
+    return out.where(F.col(s)["kept"]).select(*[F.col(f"`{c}`") for c in docs.columns])
