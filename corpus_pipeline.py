@@ -35,7 +35,7 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the bytes of 200-byte strings that occur elsewhere too (nor characters that a cut splits)."""
-    out, s = suffix_dedup.without_repeats(docs)
+    out, s = suffix_dedup.without_repeats(docs, with_bytes=False)
     return _counted(out.withColumn("text", F.col(s)["kept_text"]), docs)
 
 

@@ -335,15 +335,17 @@ def _cut(texts: DataFrame) -> DataFrame:
         run, "k1 bigint, k2 bigint, n_removed bigint, n_spans bigint, kept binary, kept_text string")
 
 
-def without_repeats(docs: DataFrame, text_col: str = "text", with_kept: bool = True, **kw) -> tuple[DataFrame, str]:
+def without_repeats(docs: DataFrame, text_col: str = "text", with_kept: bool = True, with_bytes: bool = True, **kw) -> tuple[DataFrame, str]:
     """``docs`` with a struct column (its name is returned) n_bytes, n_removed, n_spans, kept_sha256 and, with
-    ``with_kept``, kept (bytes; null where nothing was removed) and kept_text."""
+    ``with_kept``, kept_text and, unless ``with_bytes`` is off, kept (bytes; null where nothing was removed)."""
     s, a, b = (free_name(docs, x) for x in ("_s", "_s_k1", "_s_k2"))
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     cut = _cut(repeated_spans(docs.select(text.alias("text")), **kw))
     cut = cut.withColumn("sha", F.sha2("kept", 256))
     if not with_kept:
         cut = cut.drop("kept", "kept_text")
+    elif not with_bytes:
+        cut = cut.drop("kept")
     cut = staged(cut, "suffix-cut")
     k1, k2 = _text_class(text)
     out = docs.withColumn(s, F.struct(F.octet_length(text).cast("bigint").alias("n_bytes"), F.sha2(F.encode(text, "UTF-8"), 256).alias("sha"), k1, k2))
@@ -357,5 +359,7 @@ def without_repeats(docs: DataFrame, text_col: str = "text", with_kept: bool = T
     fields = [F.col(s)["n_bytes"].alias("n_bytes"), F.coalesce(c["n_removed"], zero).alias("n_removed"),
               F.coalesce(c["n_spans"], zero).alias("n_spans"), F.coalesce(c["sha"], F.col(s)["sha"]).alias("kept_sha256")]
     if with_kept:
-        fields += [c["kept"].alias("kept"), F.when(c.isNull(), F.col(f"`{text_col}`")).otherwise(c["kept_text"]).alias("kept_text")]
+        fields.append(F.when(c.isNull(), F.col(f"`{text_col}`")).otherwise(c["kept_text"]).alias("kept_text"))
+        if with_bytes:
+            fields.append(c["kept"].alias("kept"))
     return found.withColumn(s, F.struct(*fields)).drop(a, b, a + "_cut"), s
