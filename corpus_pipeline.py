@@ -41,7 +41,7 @@ def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all texts, packed into sequences of at most 1024 tokens."""
-    return packing.pack_documents(docs, tokenizer("byte_bpe_50k.tiktoken"), token_pattern())
+    return packing.pack_documents(docs, tokenizer("byte_bpe_50k.tiktoken"), token_pattern(), added=packing.added_tokens(tokenizer("byte_bpe_50k.json")))
 
 
 STAGES = [("quality_rules", quality_stage), ("line_dedup", line_stage), ("minhash", near_stage),

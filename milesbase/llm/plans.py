@@ -120,7 +120,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 1024 tokens."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return packing.pack_documents(docs, tokenizer("byte_bpe_50k.tiktoken"), token_pattern())
+    return packing.pack_documents(docs, tokenizer("byte_bpe_50k.tiktoken"), token_pattern(), added=packing.added_tokens(tokenizer("byte_bpe_50k.json")))
 
 
 @_query("op8_byte_bpe")

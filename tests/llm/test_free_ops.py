@@ -212,6 +212,31 @@ def test_packing_keeps_every_token(spark, library):
     assert packing.pack_documents(df.limit(0), tokenizer("byte_bpe_50k.tiktoken"), token_pattern()).count() == 0
 
 
+def test_added_tokens_are_matched_in_texts(spark):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(tokenizer("byte_bpe_50k.json"))
+    r = random.Random(6)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x  <|endoftext|>\n\n y<|endoftext|><|endoftext|>", "<|<|endoftext|>|>", "<|endoftext|", "w<|endoftext|>" * 900]
+    texts += ["<|endoftext|>".join(r.choices(odd_texts(200)[5:], k=3)) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = packing.pack_documents(df, tokenizer("byte_bpe_50k.tiktoken"), token_pattern(), added=packing.added_tokens(tokenizer("byte_bpe_50k.json"))).collect()
+    want = []
+    for i, e in enumerate(t.encode_batch(texts, add_special_tokens=False)):
+        ids = np.array([*e.ids, 2], "<u4")
+        cuts = [0, *range((len(ids) - 1) % 1024 + 1, len(ids) + 1, 1024)]
+        want += [(i, k, a, b - a, zlib.crc32(ids[a:b].tobytes())) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+    assert sorted(tuple(x)[:5] for x in got) == want
+
+
+def test_queries_pack_with_added_tokens(spark, tmp_path):
+    import corpus_pipeline
+    spark.createDataFrame([(1, "a <|endoftext|> b")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    crc = zlib.crc32(np.array([64, 220, 50256, 275, 2], "<u4").tobytes())
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for out in (QUERIES["op5_best_fit_packing"](spark, str(tmp_path)), corpus_pipeline.packing_stage(spark, docs, str(tmp_path))):
+        assert [(x.length, x.ids_crc32) for x in out.collect()] == [(5, crc)]
+
+
 # ---- classifier -----------------------------------------------------------------------------------------
 
 def test_held_out_accuracy(spark):
