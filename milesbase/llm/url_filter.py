@@ -1,8 +1,8 @@
 """URL filter: host and path rules, then a character language-model ratio (DataFrame functions only).
 
 URLs that a rule decides train two variable-order Markov models, one of accepted and one
-of rejected URLs, over the characters of host + path. Order d is Witten-Bell smoothed
-with order d - 1 (a context seen fewer than ``min_context`` times falls back whole), order 0
+of rejected URLs, over the characters of the whole URL (its host in lower case). Every row counts, in the
+n-grams as in the calibration. Order d is Witten-Bell smoothed with order d - 1 (a context seen fewer than ``min_context`` times falls back whole), order 0
 with a uniform start. A URL's score is the mean over its characters of
 ln p(accepted) - ln p(rejected); the cutoff is calibrated on a fifth of the ruled URLs that
 training leaves out (best mean of the two classes' accuracies, over 0.005-wide score steps).
@@ -10,9 +10,10 @@ URLs without a rule get ``allow`` at or above the cutoff.
 
 Scale: models are tables of n-grams with their counts, which grow with the variety of n-grams
 and not with the URLs; positions are joined with the scores of their n-gram. A single n-gram holds
-at most a few percent of all positions, and equal host + path texts are scored once.
+at most a few percent of all positions, and equal URLs are scored once, with their number of rows as weight.
 
-Edge cases: null URLs or such without ``://`` have empty host and path, no rule and score 0 (``allow``);
+Edge cases: URLs without ``://`` have empty host and path and no rule, and are scored as they stand; null and
+empty URLs have score 0 (``allow``);
 with no accepted or no rejected training URL every score is 0 and the verdict ``allow``;
 repeated rows get a row each; other columns pass through untouched.
 """
@@ -44,6 +45,13 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), _URL, 2)
 
 
+def text_of(url: Column, host: Column) -> Column:
+    """The whole URL with its host (``host_of``) in lower case; empty for null."""
+    url, at = F.coalesce(url, F.lit("")), F.instr(F.coalesce(url, F.lit("")), "://")
+    lowered = F.concat(F.substring(url, F.lit(1), at + 2), host, F.substring(url, at + 3 + F.length(host), F.length(url)))
+    return F.when(at > 0, lowered).otherwise(url)
+
+
 def rule_of(host: Column, path: Column, rules: list) -> Column:
     """Struct (rule, verdict) of the longest rule that fits, else null."""
     out = F.lit(None).cast("struct<rule:string,verdict:string>")
@@ -80,10 +88,12 @@ def gram_scores(train: DataFrame, wanted: DataFrame, order: int = ORDER, min_con
 
 
 def _calibrated(scored: DataFrame) -> DataFrame:
-    """One row: the cutoff, from score and accepted of the held-out ruled URLs (0 where a class is missing)."""
+    """One row: the cutoff, from score, accepted and rows of the held-out ruled URLs (0 where a class is missing)."""
     steps = int(SPAN / STEP)
     b = F.floor(F.greatest(F.lit(-SPAN), F.least(F.lit(SPAN), F.col("score"))) / STEP).cast("int")
-    bins = scored.groupBy(b.alias("b")).agg(F.count_if("accepted").alias("a"), F.count_if(~F.col("accepted")).alias("r"))
+    bins = scored.groupBy(b.alias("b")).agg(
+        F.sum(F.when(F.col("accepted"), F.col("rows")).otherwise(0)).alias("a"),
+        F.sum(F.when(~F.col("accepted"), F.col("rows")).otherwise(0)).alias("r"))
     w = Window.orderBy("b")  # at most 2 * SPAN / STEP + 1 rows
     below = w.rowsBetween(Window.unboundedPreceding, -1)
     every = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -91,8 +101,9 @@ def _calibrated(scored: DataFrame) -> DataFrame:
         "na": F.sum("a").over(every), "nr": F.sum("r").over(every),
         "ca": F.coalesce(F.sum("a").over(below), F.lit(0)), "cr": F.coalesce(F.sum("r").over(below), F.lit(0))})
     good = (F.col("na") - F.col("ca")) / F.col("na") + F.col("cr") / F.col("nr")
-    # equal accuracies: the cutoff next to 0
-    best = F.max_by(F.col("b") * F.lit(STEP), F.struct(good, -F.abs(F.col("b"))))
+    # every step from above the last bin to this one cuts alike: the one next to 0, also among equal accuracies
+    bins = bins.withColumn("c", F.greatest(F.lag("b").over(Window.orderBy("b")) + 1, F.least(F.col("b"), F.lit(0))))
+    best = F.max_by(F.col("c") * F.lit(STEP), F.struct(good, -F.abs(F.col("c")), F.col("c")))
     return bins.where("na > 0 AND nr > 0").agg(F.coalesce(best, F.lit(0.0)).cast("double").alias("cutoff"))
 
 
@@ -104,25 +115,26 @@ def url_verdicts(pages: DataFrame, url_col: str = "url", rules: list = RULES, or
     out = pages.withColumn(s, F.struct(host_of(url).alias("host"), path_of(url).alias("path")))
     host, path = F.col(s)["host"], F.col(s)["path"]
     out = out.withColumn(s, F.struct(host.alias("host"), path.alias("path"), rule_of(host, path, rules).alias("rule")))
-    out = out.withColumn(t, F.concat(host, path))
+    out = out.withColumn(t, text_of(url, host))
 
     texts = (out.where(F.col(t) != "").groupBy(F.col(t).alias("text"))
-             .agg(F.first(F.col(s)["rule"]["verdict"]).alias("verdict")))  # host + path fix the rule
+             .agg(F.first(F.col(s)["rule"]["verdict"]).alias("verdict"),  # the text fixes the rule
+                  F.count(F.lit(1)).alias("rows")))
     held = F.pmod(F.xxhash64("text"), F.lit(5)) == 0
-    grams = texts.select("text", "verdict", held.alias("held"), F.explode(_grams(F.col("text"), order)).alias("gram"))
+    grams = texts.select("text", "verdict", "rows", held.alias("held"), F.explode(_grams(F.col("text"), order)).alias("gram"))
     # one shuffle of pre-aggregated n-grams gives the training counts and the list of those to score
     counts = grams.groupBy("gram").agg(
-        F.count_if(~F.col("held") & (F.col("verdict") == "allow")).alias("a"),
-        F.count_if(~F.col("held") & (F.col("verdict") == "block")).alias("r"))
+        F.sum(F.when(~F.col("held") & (F.col("verdict") == "allow"), F.col("rows")).otherwise(0)).alias("a"),
+        F.sum(F.when(~F.col("held") & (F.col("verdict") == "block"), F.col("rows")).otherwise(0)).alias("r"))
     train = counts.where("a > 0 OR r > 0")
     ratios = gram_scores(train, counts.select("gram"), order, min_context)
     scored = (grams.join(ratios, "gram").groupBy("text")
-              .agg(F.first("verdict").alias("verdict"), F.first("held").alias("held"),
+              .agg(F.first("verdict").alias("verdict"), F.first("held").alias("held"), F.first("rows").alias("rows"),
                    # exact decimals add up alike in any order
                    (F.sum(F.col("ratio").cast("decimal(18,12)")) / F.count(F.lit(1))).cast("double").alias("score")))
     both = train.agg((F.max("a") > 0).alias("has_a"), (F.max("r") > 0).alias("has_r"))
     cut = _calibrated(scored.where("held AND verdict IS NOT NULL")
-                      .select("score", (F.col("verdict") == "allow").alias("accepted")))
+                      .select("score", "rows", (F.col("verdict") == "allow").alias("accepted")))
     sc, cu, tr, tx = (free_name(out, x) for x in ("_u_score", "_u_cutoff", "_u_trained", "_u_joined"))
     out = out.join(scored.select(F.col("text").alias(tx), F.col("score").alias(sc)), F.col(t) == F.col(tx), "left")
     out = out.withColumn(cu, F.coalesce(cut.scalar(), F.lit(0.0)))

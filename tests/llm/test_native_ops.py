@@ -1,6 +1,7 @@
 """Quality rules, line dedup and URL filter against plain Python."""
 
 import math
+import random
 import re
 from collections import Counter
 
@@ -174,3 +175,39 @@ def test_model_separates_unruled_urls(spark):
     one, s = url_filter.url_verdicts(df.where("page_id < 300 OR page_id >= 600"))
     assert one.where(F.col(s)["verdict"] == "block").count() == 0
     assert url_filter.url_verdicts(df.limit(0))[0].count() == 0
+
+
+def test_model_counts_whole_urls_and_every_row(spark):
+    order, r = 2, random.Random(5)
+    path = lambda a: "/" + "".join(r.choice(a) for _ in range(4))
+    urls = [f"http://Good.example.net/en{path('abc')}?q={path('ab')}" for _ in range(40)] + [f"http://bad.net{path('xyz')}#{path('yz')}" for _ in range(40)]
+    urls = [u for u in urls for _ in range(r.choice([1, 1, 1, 6]))] + [urls[0]] * 200
+    odd = ["http://h.info/p?q=aabb", "http://h.info/p?q=zzyy", "http://h.info/p#zzyy", "aabb", "zzyyzz", "", None]
+    df = spark.createDataFrame(list(enumerate(urls + odd)), "page_id long, url string")
+    out, s = url_filter.url_verdicts(df, order=order)
+    out = out.withColumn("text", url_filter.text_of(F.col("url"), F.col(s)["host"]))
+    got = out.withColumn("held", F.pmod(F.xxhash64("text"), F.lit(5)) == 0).orderBy("page_id").collect()
+    assert got[0]["text"] == urls[0].replace("Good", "good") and got[-3]["text"] == "zzyyzz"
+
+    def grams(t):
+        t = url_filter.START * order + t + url_filter.END
+        return [t[i:i + order + 1] for i in range(len(t) - order)]
+
+    models = {"allow": [Counter() for _ in range(order + 1)], "block": [Counter() for _ in range(order + 1)]}
+    for x in got:
+        if x[s]["rule"] and not x["held"]:
+            for g in grams(x["text"]):
+                for d in range(order + 1):
+                    models[x[s]["verdict"]][d][g[order - d:]] += 1
+    ratio = {g: ln_p(models["allow"], g, order, 2) - ln_p(models["block"], g, order, 2) for g in {g for x in got for g in grams(x["text"])}}
+    for x in got:
+        want = sum(ratio[g] for g in grams(x["text"])) / len(grams(x["text"])) if x["text"] else 0.0
+        assert x[s]["score"] == pytest.approx(want, abs=1e-9)
+    held = [(x[s]["score"], x[s]["verdict"] == "allow") for x in got if x[s]["rule"] and x["held"]]
+    bins = [(math.floor(v / url_filter.STEP), a) for v, a in held]
+    good, bad = sum(a for _, a in bins), sum(not a for _, a in bins)
+    best = max((sum(a and b >= c for b, a in bins) / good + sum(not a and b < c for b, a in bins) / bad, -abs(c), c) for c in range(-1000, 1001))
+    assert [x[s]["cutoff"] for x in got] == pytest.approx([best[2] * url_filter.STEP] * len(got))
+    last = [x[s]["verdict"] for x in got[-7:]]
+    assert last == ["allow" if x["text"] == "" or x[s]["score"] >= x[s]["cutoff"] else "block" for x in got[-7:]]
+    assert last[3:] == ["allow", "block", "allow", "allow"] and len({x[s]["score"] for x in got[-7:-4]}) == 3
