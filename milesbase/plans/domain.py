@@ -36,6 +36,7 @@ STORED_BEFORE = "2024-01-30 00:00:00"
 # --- fixed values: provider slug per program carrier ---
 AIRLINE_SOURCE = {"AS": "alaska", "DL": "delta", "B6": "jetblue", "TK": "turkish", "EY": "etihad",
                   "WN": "southwest"}
+CASH_SOURCE = "alaska_cash"  # default of a cash record
 # --- end fixed values ---
 
 

@@ -374,6 +374,47 @@ def snk_keyed_update(spark, sf_dir):
     return merge.keyed_update(cur, st, QKEY, ["change_rate", "next_scrape_at_utc"])
 
 
+_FORM_COLS = ["queue_id", *QKEY, "priority_tier", "last_scraped_at_utc", "next_scrape_at_utc"]
+
+
+@query("snk_keyed_update_forms", """
+WITH b AS (SELECT origin, dest, max(ts) + INTERVAL 30 MINUTE AS nxt FROM fx_attempt WHERE outcome = 'blocked' GROUP BY origin, dest),
+s AS (SELECT DISTINCT origin, destination AS dest, airline FROM award_batch),
+p AS (SELECT origin, dest, airline, """ + _PROMOTE_SQL + """ AS new_tier FROM (
+ SELECT s.origin, s.dest, s.airline, coalesce(rq.priority_tier, 'LOW') AS t0, coalesce(rq.search_count, 0) AS c0, s.searches AS n
+ FROM sagg s LEFT JOIN rq ON s.origin = rq.origin AND s.dest = rq.dest AND s.airline = rq.airline) x)
+SELECT 'blocked' AS form, queue_id, origin, dest, airline, priority_tier, last_scraped_at_utc,
+ coalesce((SELECT nxt FROM b WHERE b.origin = rq.origin AND b.dest = rq.dest), next_scrape_at_utc) AS next_scrape_at_utc FROM rq
+UNION ALL SELECT 'scraped', queue_id, origin, dest, airline, priority_tier, CASE WHEN hit THEN TIMESTAMP '2024-01-31 00:00:00' ELSE last_scraped_at_utc END,
+ CASE WHEN hit THEN TIMESTAMP '2024-01-31 00:00:00' + INTERVAL 1 HOUR * CASE priority_tier WHEN 'HIGH' THEN 8 WHEN 'MED' THEN 24 ELSE 48 END ELSE next_scrape_at_utc END
+ FROM (SELECT *, (origin, dest, airline) IN (SELECT (origin, dest, airline) FROM s) AS hit FROM rq)
+UNION ALL SELECT 'tier', queue_id, origin, dest, airline,
+ coalesce((SELECT new_tier FROM p WHERE p.origin = rq.origin AND p.dest = rq.dest AND p.airline = rq.airline), priority_tier), last_scraped_at_utc, next_scrape_at_utc FROM rq
+UNION ALL SELECT 'reset', queue_id, origin, dest, airline, priority_tier, last_scraped_at_utc, TIMESTAMP '2024-01-31 00:00:00' FROM rq""",
+       D.AWARD_BATCH_CTE + "," + RQ_CTE + "," + _SEARCH_AGG)
+def snk_keyed_update_forms(spark, sf_dir):
+    """The queue after record_blocked_route, mark_route_scraped, set_route_tier and reset_all_route_schedules, each
+    from the stored queue (``form``)."""
+    L = D.lk(spark, sf_dir)
+    rq, now = routes_queue(L).select(*_FORM_COLS), F.lit(AS_OF).cast("timestamp_ntz")
+    blocked = L.fx_attempt.filter(F.col("outcome") == "blocked").groupBy("origin", "dest").agg(
+        (F.max("ts") + F.expr("INTERVAL 30 MINUTES")).alias("next_scrape_at_utc"))  # attempts name no airline
+    scraped = D.award_batch(L).select("origin", F.col("destination").alias("dest"), "airline").distinct()
+    scraped = scraped.join(rq.select(*QKEY, "priority_tier"), QKEY).select(
+        *QKEY, now.alias("last_scraped_at_utc"), (now + X.hours(X.ttl_hours("priority_tier"))).alias("next_scrape_at_utc"))
+    forms = {
+        "blocked": merge.keyed_update(rq, blocked, ["origin", "dest"], ["next_scrape_at_utc"]),
+        "scraped": merge.keyed_update(rq, scraped, QKEY, ["last_scraped_at_utc", "next_scrape_at_utc"]),
+        "tier": merge.keyed_update(rq, fold_promote(spark, sf_dir), QKEY, ["priority_tier"]),
+        "reset": rq.withColumn("next_scrape_at_utc", now),
+    }
+    out = None
+    for name, df in forms.items():
+        df = df.select(F.lit(name).alias("form"), *_FORM_COLS)
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
 _REPLAY_ORD = "scraped_at_utc, points_cost, cash_cost, stops, available_seats, dep_min, duration_minutes, tier"
 
 

@@ -168,6 +168,19 @@ def flt_record_invariants(spark, sf_dir):
         *D.AWARD_KEY, "scraped_at_utc", "reject_reason")
 
 
+@query("flt_cash_invariants", """
+SELECT origin, destination, date, airline, cabin_class, flight_number, scraped_at_utc,
+ CASE WHEN coalesce(length(origin) <> 3 OR length(destination) <> 3, true) THEN 'bad_iata' WHEN coalesce(flight_number, '') = '' THEN 'no_flight_number'
+  WHEN cash_price IS NULL OR cash_price <= 0 THEN 'price_nonpositive'
+  WHEN coalesce(cabin_class NOT IN ('economy', 'premium_economy', 'business', 'first'), true) THEN 'bad_cabin'
+  WHEN coalesce(expires_at_utc <= scraped_at_utc, true) THEN 'expiry_not_after_scrape' END AS reject_reason
+FROM fx_cash""")
+def flt_cash_invariants(spark, sf_dir):
+    """Constructor invariants of a cash record, as a reject reason per row (every fixture fare has the default source)."""
+    c = D.lk(spark, sf_dir).fx_cash.withColumn("source", F.lit(D.CASH_SOURCE))
+    return quality.check_invariants(c, quality.cash_invariant_rules()).select(*D.CASH_KEY, "scraped_at_utc", "reject_reason")
+
+
 @query("flt_check_constraints", """
 SELECT 'flights' AS table_name, 'points_positive' AS constraint_name, count(*) FILTER (WHERE NOT (points_cost > 0)) AS violations FROM fx_award
 UNION ALL SELECT 'flights', 'cabin_enum', count(*) FILTER (WHERE cabin_class NOT IN ('economy', 'premium_economy', 'business', 'first')) FROM fx_award
@@ -220,9 +233,19 @@ def win_last_wins(spark, sf_dir):
     return merge.latest_per_key(b, D.AWARD_KEY, D.AWARD_ORDER, D.AWARD_MATERIAL + ["scraped_at_utc"])
 
 
+def _retained(df):
+    return df.filter(F.col("date") >= F.date_sub(F.lit(AS_OF_DATE).cast("date"), 1))
+
+
 @query("snk_retention", """
 SELECT * FROM fx_cash WHERE date >= DATE '2024-01-30'""")
 def snk_retention(spark, sf_dir):
     """Keep rows dated yesterday (UTC, relative to as_of) or later."""
-    c = D.lk(spark, sf_dir).fx_cash
-    return c.filter(F.col("date") >= F.date_sub(F.lit(AS_OF_DATE).cast("date"), 1))
+    return _retained(D.lk(spark, sf_dir).fx_cash)
+
+
+@query("snk_retention_flights", """
+SELECT * FROM fx_award WHERE date >= DATE '2024-01-30'""")
+def snk_retention_flights(spark, sf_dir):
+    """The flights half of snk_retention, over award rows of any date (the merged table holds none that is past)."""
+    return _retained(D.lk(spark, sf_dir).fx_award)

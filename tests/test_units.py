@@ -397,3 +397,32 @@ def test_pages_without_tables_are_reported(spark):
     pages = spark.createDataFrame([(1, "<html><p>nothing here</p></html>")], "page_id long, html string")
     rows = html_tables.bank_table_rows(pages)
     assert rows.filter("row_idx IS NULL AND NOT table_found").count() == rows.count() > 0
+
+
+def test_cash_records_are_checked(spark):
+    from milesbase.operators import quality
+    t = dt.datetime(2024, 1, 30)
+    good = ("SEA", "JFK", "AS 1", 99.0, "economy", "alaska_cash", t, t + dt.timedelta(hours=72))
+    bad = {0: ("SEAX", "bad_iata"), 1: (None, "bad_iata"), 2: ("", "no_flight_number"), 3: (0.0, "price_nonpositive"),
+           4: ("coach", "bad_cabin"), 5: (None, "no_source"), 7: (t, "expiry_not_after_scrape")}
+    rows = [good] + [(*good[:i], v, *good[i + 1:]) for i, (v, _) in bad.items()]
+    df = spark.createDataFrame(rows, "origin string, destination string, flight_number string, cash_price double, cabin_class string, "
+                                     "source string, scraped_at_utc timestamp_ntz, expires_at_utc timestamp_ntz")
+    got = quality.check_invariants(df.coalesce(1), quality.cash_invariant_rules()).collect()
+    assert [r.reject_reason for r in got] == [None] + [reason for _, reason in bad.values()]
+
+
+def test_survey_items_with_two_tables_or_more_forms(spark):
+    from conftest import SMOKE_DIR
+    from milesbase.plans import QUERIES
+    from milesbase.plans import domain as D
+    past = D.lk(spark, SMOKE_DIR).fx_award.filter("date < DATE '2024-01-30'").count()
+    kept = QUERIES["snk_retention_flights"](spark, SMOKE_DIR)
+    assert past and kept.count() == D.lk(spark, SMOKE_DIR).fx_award.count() - past
+    assert QUERIES["flt_cash_invariants"](spark, SMOKE_DIR).count() == D.lk(spark, SMOKE_DIR).fx_cash.count()
+    forms = {}
+    for r in QUERIES["snk_keyed_update_forms"](spark, SMOKE_DIR).collect():
+        forms.setdefault(r.form, {})[r.queue_id] = (r.priority_tier, r.last_scraped_at_utc, r.next_scrape_at_utc)
+    assert sorted(forms) == ["blocked", "reset", "scraped", "tier"] and len({frozenset(f) for f in forms.values()}) == 1
+    assert {f[2] for f in forms["reset"].values()} == {dt.datetime(2024, 1, 31)}
+    assert any(forms[a][i] != forms["reset"][i][:2] + (forms["tier"][i][2],) for a in ("blocked", "scraped") for i in forms[a])
