@@ -3,8 +3,9 @@
 1. A document's set is its distinct word shingles, as 64-bit hashes. One hash per shingle fills
    ``BANDS * ROWS`` bins with their smallest member; an empty bin takes the value of the first filled bin
    of its own fixed random probe sequence (optimal densification). ``ROWS`` bins make a band key.
-2. Documents with equal sets are one class, represented by the smallest id.
-3. In each bucket of classes every member is paired with the smallest one only (a star), so a bucket of
+2. Rows with equal sets are one class, under a number of its own: ids only come in at the end, where the components of
+   one id are joined and named by their smallest id.
+3. In each bucket of classes every member is paired with the one of the smallest id only (a star), so a bucket of
    n gives n - 1 pairs. Pairs are confirmed on the full sets: 100 * intersection >= percent * union.
 4. Members that a star leaves outside their bucket's main component meet further members of it, one per bucket and
    round (again stars), while that leaves more than a few comparisons per member.
@@ -18,8 +19,8 @@ Scale: hot buckets and hot classes only ever meet partial aggregates and equi-jo
 Spark splits. Nothing is collected; only row counts of rounds reach the driver.
 
 Edge cases: null or empty texts have an empty set, are linked with nothing and kept; rows with a null id are
-linked with nothing, have no component and are kept; rows that share an id are one document (their links
-add up); an empty table gives an empty result.
+linked with nothing, have no component and are kept; rows that share an id are one document (the links of all their
+texts add up, and each has the same component); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -73,6 +74,17 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
         return mixed(keys + stream(bands, 89))
 
 
+def fingerprints(sets: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit numbers of each row's set, 0 for an empty one."""
+    f1, f2, some = np.zeros(len(n), np.uint64), np.zeros(len(n), np.uint64), n > 0
+    if some.any():
+        starts = (np.cumsum(n) - n)[some]
+        with np.errstate(over="ignore"):
+            f1[some] = np.add.reduceat(mixed(sets + U(101)), starts)
+            f2[some] = np.bitwise_xor.reduceat(mixed(sets + U(103)), starts)
+    return f1, f2
+
+
 def features(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
     """id, n (set size), f1 and f2 (fingerprint of the set), bands (null for an empty set)."""
     def run(batches):
@@ -81,13 +93,9 @@ def features(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFram
             for i, j, data, offsets in text_slices(batch.column(1)):
                 sets, n = shingle_sets(*word_hashes(data, offsets), size)
                 some = n > 0
-                starts = (np.cumsum(n) - n)[some]
-                f1, f2 = np.zeros(len(n), np.uint64), np.zeros(len(n), np.uint64)
+                f1, f2 = fingerprints(sets, n)
                 keys = np.zeros((0, BANDS), np.uint64)
                 if some.any():
-                    with np.errstate(over="ignore"):
-                        f1[some] = np.add.reduceat(mixed(sets + U(101)), starts)
-                        f2[some] = np.bitwise_xor.reduceat(mixed(sets + U(103)), starts)
                     keys = band_keys(densified(sets, n[some], BANDS * ROWS), BANDS, ROWS)
                 at = np.concatenate([[0], np.cumsum(some) * BANDS]).astype(np.int32)
                 bands = pa.ListArray.from_arrays(pa.array(at), pa.array(keys.reshape(-1).view(np.int64)), mask=pa.array(~some))
@@ -99,16 +107,18 @@ def features(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFram
 
 
 def full_sets(docs: DataFrame, size: int) -> DataFrame:
-    """docs: id, text -> id, items (sorted distinct shingle hashes)."""
+    """docs: id, text -> id, f1, f2, n, items (sorted distinct shingle hashes)."""
     def run(batches):
         for batch in batches:
             for i, j, data, offsets in text_slices(batch.column(1)):
                 sets, n = shingle_sets(*word_hashes(data, offsets), size)
                 at = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
                 items = pa.ListArray.from_arrays(pa.array(at), pa.array(sets.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], items], names=["id", "items"])
+                f1, f2 = (pa.array(f.view(np.int64)) for f in fingerprints(sets, n))
+                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], f1, f2, pa.array(n.astype(np.int64)), items],
+                                                 names=["id", "f1", "f2", "n", "items"])
 
-    return docs.mapInArrow(run, "id bigint, items array<bigint>")
+    return docs.mapInArrow(run, "id bigint, f1 bigint, f2 bigint, n bigint, items array<bigint>")
 
 
 def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -173,15 +183,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     prepare(docs.sparkSession)
     feats = staged(features(docs, id_col, text_col, size), "minhash-features")
     real = feats.where("id IS NOT NULL AND n > 0")
-    classes = staged(real.groupBy("f1", "f2", "n").agg(F.min("id").alias("rep"), F.first("bands").alias("bands")), "minhash-classes")
+    classes = real.groupBy("f1", "f2", "n").agg(F.min("id").alias("id"), F.first("bands").alias("bands"))
+    classes = staged(classes.withColumn("rep", F.monotonically_increasing_id()), "minhash-classes")  # numbers fixed by being written
 
-    slots = classes.select("rep", "n", F.explode("bands").alias("key"))
-    stars = slots.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("star"), F.count(F.lit(1)).alias("m")).where("m > 1")
+    slots = classes.select("id", "rep", "n", F.explode("bands").alias("key"))
+    stars = slots.groupBy("key").agg(F.min(F.struct("id", "rep", "n")).alias("star"), F.count(F.lit(1)).alias("m")).where("m > 1")
     members = staged(slots.join(stars, "key").select("key", "rep", "n", F.col("star.rep").alias("star"), F.col("star.n").alias("star_n")), "minhash-members")
 
-    wanted = members.select(F.col("rep").alias("id")).distinct()
+    wanted = classes.join(members.select("rep").distinct(), "rep", "left_semi").select("id", "f1", "f2", "n", "rep")
     texts = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    sets = staged(full_sets(texts.join(wanted, "id", "left_semi"), size).dropDuplicates(["id"]), "minhash-sets")
+    of_class = ["id", "f1", "f2", "n"]  # an id can stand for several classes, one for each of its texts
+    sets = full_sets(texts.join(wanted, "id", "left_semi"), size).dropDuplicates(of_class)
+    sets = staged(sets.join(wanted, of_class).select("rep", "items"), "minhash-sets")
 
     pairs = members.where((F.col("rep") != F.col("star")) & _near_size("n", "star_n", percent)).select(
         F.col("star").alias("a"), F.col("rep").alias("b")).distinct()
@@ -222,10 +235,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     final = classes.select("f1", "f2", "n", "rep").join(roots.toDF("rep", "root"), "rep", "left")
     final = final.withColumn("root", F.coalesce("root", "rep")).join(top.toDF("root", "top"), "root", "left")
-    final = final.select("f1", "f2", "n", F.coalesce("top", "root").alias("component_id"))
-    # rows that share an id are one document: the smallest component of any of them
-    rows = real.select("id", "f1", "f2", "n").join(final, ["f1", "f2", "n"]).select("id", F.col("n").alias("n_shingles"), "component_id")
-    rest = feats.where("id IS NULL OR n = 0").select("id", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"))
+    final = final.select("f1", "f2", "n", F.coalesce("top", "root").alias("root"))
+    rows = real.select("id", "f1", "f2", "n").join(final, ["f1", "f2", "n"]).select("id", F.col("n").alias("n_shingles"), "root")
+    rows = staged(rows, "minhash-rows")
+    # rows that share an id are one document: their components are joined
+    several = rows.groupBy("id").agg(F.min("root").alias("a"), F.max("root").alias("z")).where("a <> z").select("id", "a")
+    rows = _rooted(rows, components(rows.join(several, "id").select("a", F.col("root").alias("b")), "minhash-ids"))
+    rows = rows.join(rows.groupBy("root").agg(F.min("id").alias("component_id")), "root").select("id", "n_shingles", "component_id")
+    rest = feats.where("id IS NULL OR n = 0").select("id", F.col("n").alias("n_shingles"))
+    shared = rows.join(rest.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.min("component_id").alias("c"))
+    rest = rest.join(shared, "id", "left").select("id", "n_shingles", F.coalesce("c", "id").alias("component_id"))
     return rows.union(rest).withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)))
 
 

@@ -350,6 +350,16 @@ def test_stars_lose_no_link_between_leaves(spark, monkeypatch):
     assert sorted(got) == sorted(brute_components(rows, 2))
 
 
+def test_texts_of_one_id_add_up(spark):
+    text = lambda c, n=20: " ".join(f"{c}{i}" for i in range(n))
+    rows = [(1, text("a")), (1, text("b")), (2, text("a") + " x"), (3, text("b") + " y"), (4, text("c")), (4, text("d")), (5, text("e")), (5, text("d") + " z"),
+            (6, text("e") + " w"), (6, ""), (0, text("f")), (7, text("f")), (7, text("c") + " v"), (8, ""), (8, None), (9, text("g")), (9, text("h"))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = [(r.id, r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(df, size=2).collect()]
+    want = brute_components(rows, 2)
+    assert sorted(got) == sorted(want) and {(i, c) for i, _, c, _ in want} == {(1, 1), (2, 1), (3, 1), (0, 0), (4, 0), (5, 0), (6, 0), (7, 0), (8, 8), (9, 9)}
+
+
 def test_path_and_star_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(500, 300), (300, 400)]
     got = {r.node: r.root for r in minhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
