@@ -1,8 +1,9 @@
 """Best-fit packing with swap-based local search.
 
 Documents are tokenised, closed with an end id and cut only when longer than a sequence (into full
-pieces; the first piece takes the remainder). Pieces are dealt evenly to tasks by row number, so a source, a length or
-a repeated document makes no task larger; each task packs about ``task_pieces`` of them:
+pieces; the first piece takes the remainder). Full pieces are sequences of their own and stay where they are. The others are
+dealt evenly to tasks by row number, so a source, a length or a repeated document makes no task larger; each task packs about
+``task_pieces`` of them:
 
 * best-fit decreasing gives the first bins;
 * then the emptiest underfull bin is dissolved piece by piece into other underfull bins: by moving a piece, by
@@ -35,6 +36,7 @@ CAPACITY = 1024
 END = 2
 TASK_PIECES = 10_000
 PAIR_BINS = 32
+FULL = 1 << 62  # sequence ids of full pieces start here, above those of any task
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
@@ -162,7 +164,7 @@ def packed(cut: DataFrame, capacity: int = CAPACITY, task_pieces: int = TASK_PIE
     """Pieces (with a ``length``) plus sequence_id and offset."""
     prepare(cut.sparkSession)
     cut = staged(cut, "packing-pieces")
-    loose = cut.where(F.col("length") < capacity).count()
+    loose = cut.where(F.col("length") < capacity)
     names, schema = cut.columns, cut.schema
 
     def run(batches):
@@ -174,22 +176,20 @@ def packed(cut: DataFrame, capacity: int = CAPACITY, task_pieces: int = TASK_PIE
         table = pa.Table.from_batches(tables).combine_chunks()
         lengths = table.column("length").to_numpy()
         sequence, offset = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
-        whole = np.flatnonzero(lengths >= capacity)
-        sequence[whole] = base + np.arange(len(whole))
-        number = len(whole)
-        rest = np.flatnonzero(lengths < capacity)
-        for b in pack(lengths[rest], capacity):
+        for b in pack(lengths, capacity):
             at = 0
-            for i in rest[b].tolist():
+            for i in b:
                 sequence[i], offset[i] = base + number, at
                 at += int(lengths[i])
             number += 1
         for batch in table.append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset)).to_batches():
             yield batch
 
-    tasks = max(1, -(-loose // task_pieces))
+    tasks = max(1, -(-loose.count() // task_pieces))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    return cut.select(*names).repartition(tasks).mapInArrow(run, f"{fields}, sequence_id bigint, offset bigint")
+    shared = loose.select(*names).repartition(tasks).mapInArrow(run, f"{fields}, sequence_id bigint, offset bigint")
+    own = (F.monotonically_increasing_id() + F.lit(FULL)).alias("sequence_id")
+    return shared.union(cut.where(F.col("length") >= capacity).select(*names, own, F.lit(0).cast("bigint").alias("offset")))
 
 
 def pack_documents(docs: DataFrame, ranks_path: str, pattern: str, capacity: int = CAPACITY, end: int = END, **kw) -> DataFrame:

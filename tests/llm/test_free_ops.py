@@ -212,6 +212,17 @@ def test_packing_keeps_every_token(spark, library):
     assert packing.pack_documents(df.limit(0), tokenizer("byte_bpe_50k.tiktoken"), token_pattern()).count() == 0
 
 
+def test_full_pieces_are_not_shuffled(spark):
+    cut = spark.createDataFrame([(i, 0, 0, 1024 if i % 50 else i + 1, i) for i in range(1000)], packing.PIECES)
+    out = packing.packed(cut)
+    loose, full = out._jdf.queryExecution().executedPlan().toString().split("\n   +- ", 1)  # the union's two sides
+    assert "Exchange" in loose and "LessThan(length,1024)" in loose
+    assert "Exchange" not in full and "GreaterThanOrEqual(length,1024)" in full
+    rows = out.collect()
+    assert len({r.sequence_id for r in rows if r.length == 1024}) == 980 and sorted(r.doc_id for r in rows) == list(range(1000))
+    assert min(r.sequence_id for r in rows if r.length == 1024) >= packing.FULL > max(r.sequence_id for r in rows if r.length < 1024)
+
+
 def test_added_tokens_are_matched_in_texts(spark):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(tokenizer("byte_bpe_50k.json"))
