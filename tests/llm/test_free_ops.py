@@ -185,6 +185,14 @@ def test_search_beats_best_fit():
     assert len(packing.pack(lengths, 10)) == 2
 
 
+def test_pairs_are_sought_in_every_bin():
+    # the 40 bins of 60 have more room but no pair; 50 goes into the last bin for 21 and 21, which go to two of them
+    lengths = np.array([50] + [60] * 40 + [21, 21, 50])
+    bins = packing.improve(lengths, [[0], *[[i] for i in range(1, 41)], [41, 42, 43]], 100)
+    assert sorted(sum(bins, [])) == list(range(44)) and max(lengths[b].sum() for b in bins) <= 100
+    assert len(bins) == 41
+
+
 def test_packing_keeps_every_token(spark, library):
     texts = [None, "", "word", "long word " * 3000] + odd_texts(60) + ["word"] * 5
     df = spark.createDataFrame([(i if i else None, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, length string")
