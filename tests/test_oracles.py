@@ -9,7 +9,7 @@ from milesbase.plans import ORACLES as CORE_ORACLES, QUERIES as CORE
 from milesbase.sources.tables import TABLES, table_path
 from tools.oracle_check import digest
 
-from conftest import SMOKE_DIR
+SMOKE_DIR = E.SMOKE_DIR
 
 # the optional training-data queries have their own tests
 ORACLES = {k: v for k, v in E.oracle_sql().items() if k in CORE_ORACLES}

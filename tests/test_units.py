@@ -227,7 +227,7 @@ def test_run_outcome_truth_table(spark):
 
 
 def test_merge_strategies_agree(spark):
-    from conftest import SMOKE_DIR
+    from __spark_entry__ import SMOKE_DIR
     from milesbase.plans import domain as D
     L = D.lk(spark, SMOKE_DIR)
     b = D.award_batch(L)
@@ -413,7 +413,7 @@ def test_cash_records_are_checked(spark):
 
 
 def test_survey_items_with_two_tables_or_more_forms(spark):
-    from conftest import SMOKE_DIR
+    from __spark_entry__ import SMOKE_DIR
     from milesbase.plans import QUERIES
     from milesbase.plans import domain as D
     past = D.lk(spark, SMOKE_DIR).fx_award.filter("date < DATE '2024-01-30'").count()
