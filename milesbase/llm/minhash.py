@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from milesbase.llm.common import prepare, staged
+from milesbase.llm.common import free_name, prepare, staged
 from milesbase.llm.hashing import U, mixed, shingle_sets, stream, text_slices, word_hashes
 
 BANDS, ROWS = 32, 5
@@ -250,5 +250,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
     """``docs`` with one document of each group of near duplicates (the one with the smallest id)."""
-    gone = near_duplicates(docs, id_col, **kw).where("NOT kept").select(F.col("id").alias("_gone")).distinct()
-    return docs.join(gone, docs[f"`{id_col}`"].cast("bigint") == F.col("_gone"), "left_anti")
+    key = free_name(docs, "_gone")
+    gone = near_duplicates(docs, id_col, **kw).where("NOT kept").select(F.col("id").alias(key)).distinct()
+    return docs.join(gone, docs[f"`{id_col}`"].cast("bigint") == gone[key], "left_anti")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from milesbase.llm import bpe, line_dedup, minhash, neighbour_vote, packing, quality_rules, rabitq, suffix_dedup, url_filter, warc_zip
+from milesbase.llm import bpe, line_dedup, merkle, minhash, neighbour_vote, packing, quality_rules, rabitq, suffix_dedup, url_filter, warc_zip
 from milesbase.llm.common import read_table, staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -161,3 +161,58 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     out, s = suffix_dedup.without_repeats(docs, with_kept=False)
     return out.select("doc_id", *[F.col(s)[k].alias(k) for k in ("n_bytes", "n_removed", "n_spans", "kept_sha256")])
+
+
+#: The byte table of CRC-32, made from its polynomial; a column ``t``.
+CRC_TABLE = """SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(CAST(i AS BIGINT), range(8)), lambda c, k: xor(c >> 1, (c & 1) * 3988292384)) AS c FROM range(256) r(i))"""
+
+
+@_query("op11_merkle_manifest", f"""
+WITH RECURSIVE tab AS ({CRC_TABLE}),
+input AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS crc FROM documents, tab),
+hashed AS (
+  SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         sha256(head || CASE WHEN crc % 2 = 0 THEN coalesce(strlen(cut) || ':' || cut, '-') ELSE coalesce(strlen(text) || ':' || text, '-') END) AS tampered
+  FROM (SELECT *, replace(text, chr(10), '') AS cut,
+               coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+               || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head FROM input)),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+                  count(*) OVER (PARTITION BY source) AS n FROM hashed),
+sub(source, level, pos, n, h) AS (
+  SELECT source, 0, pos, n, leaf FROM leaves UNION ALL
+  SELECT source, level + 1, pos // 3, (min(n) + 2) // 3, sha256(string_agg(h, '' ORDER BY pos)) FROM sub WHERE n > 1 GROUP BY source, level, pos // 3),
+subroots AS (SELECT source, h, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM sub WHERE n = 1),
+top(level, pos, n, h) AS (
+  SELECT 0, pos, n, h FROM subroots UNION ALL
+  SELECT level + 1, pos // 3, (min(n) + 2) // 3, sha256(string_agg(h, '' ORDER BY pos)) FROM top WHERE n > 1 GROUP BY level, pos // 3),
+near AS (
+  SELECT a.source, a.level, a.pos, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (WHERE b.pos < a.pos), '') AS l,
+         coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (WHERE b.pos > a.pos), '') AS r
+  FROM sub a JOIN sub b ON a.source IS NOT DISTINCT FROM b.source AND a.level = b.level AND a.pos // 3 = b.pos // 3
+  WHERE a.n > 1 GROUP BY a.source, a.level, a.pos),
+near_top AS (
+  SELECT a.level, a.pos, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (WHERE b.pos < a.pos), '') AS l,
+         coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (WHERE b.pos > a.pos), '') AS r
+  FROM top a JOIN top b ON a.level = b.level AND a.pos // 3 = b.pos // 3 WHERE a.n > 1 GROUP BY a.level, a.pos),
+climb(source, pos0, level, pos, f, proof) AS (
+  SELECT source, pos, 0, pos, tampered, '' FROM leaves UNION ALL
+  SELECT c.source, pos0, c.level + 1, c.pos // 3, sha256(l || f || r), proof || l || r
+  FROM climb c JOIN near x ON c.source IS NOT DISTINCT FROM x.source AND c.level = x.level AND c.pos = x.pos),
+arrived AS (SELECT source, pos0, f, proof FROM climb QUALIFY row_number() OVER (PARTITION BY source, pos0 ORDER BY level DESC) = 1),
+climb_top(source, pos0, level, pos, f, proof) AS (
+  SELECT a.source, pos0, 0, s.pos, f, proof FROM arrived a JOIN subroots s ON a.source IS NOT DISTINCT FROM s.source UNION ALL
+  SELECT source, pos0, c.level + 1, c.pos // 3, sha256(l || f || r), proof || l || r FROM climb_top c JOIN near_top x ON c.level = x.level AND c.pos = x.pos),
+done AS (SELECT source, pos0, f, proof FROM climb_top QUALIFY row_number() OVER (PARTITION BY source, pos0 ORDER BY level DESC) = 1)
+SELECT doc_id, leaf, s.h AS subroot, root, sha256(proof) AS proof_sha256, f AS folded_root, f = root AS verified
+FROM leaves v JOIN done d ON v.source IS NOT DISTINCT FROM d.source AND v.pos = d.pos0
+JOIN subroots s ON v.source IS NOT DISTINCT FROM s.source, (SELECT h AS root FROM top WHERE n = 1)
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle manifest of all documents, climbed from every leaf after half of the texts lost their line ends."""
+    docs = read_table(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    hit = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    cut = F.when(hit, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    return merkle.manifest(docs, tampered=cut)[0]
