@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from milesbase.llm import bpe, line_dedup, merkle, minhash, neighbour_vote, packing, quality_rules, rabitq, suffix_dedup, url_filter, warc_zip
+from milesbase.llm import bpe, line_dedup, merkle, minhash, neighbour_vote, packing, quality_rules, rabitq, spelling, suffix_dedup, url_filter, warc_zip
 from milesbase.llm.common import read_table, staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -216,3 +216,36 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     hit = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
     cut = F.when(hit, F.translate("text", "\n", "")).otherwise(F.col("text"))
     return merkle.manifest(docs, tampered=cut)[0]
+
+
+@_query("op13_spelling_variants", rf"""
+WITH RECURSIVE tab AS ({CRC_TABLE}),
+runs AS (
+  SELECT doc_id, run, count(*) AS k FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{{C0}}-\x{{FF}}]+')) AS run
+    FROM documents) WHERE length(run) >= 6 GROUP BY doc_id, run),
+coded AS (
+  SELECT run, k, xor(list_reduce(list_prepend(4294967295, list_transform(range(strlen(key)), lambda i: CAST('0x' || substr(hx, 2 * i + 1, 2) AS BIGINT))),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM (SELECT run, k, doc_id || ':' || run AS key, hex(encode(doc_id || ':' || run)) AS hx FROM runs), tab),
+words AS (
+  SELECT w, CAST(sum(k) AS BIGINT) AS n FROM (
+    SELECT k, CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS w FROM coded)
+  WHERE length(w) >= 6 GROUP BY w HAVING sum(k) >= 5),
+less AS (SELECT w, n, i, substr(w, 1, i - 1) || substr(w, i + 1) AS s FROM (SELECT w, n, unnest(range(1, length(w) + 1)) AS i FROM words)),
+near AS (
+  SELECT DISTINCT a.w, b.w AS v, b.n AS m FROM less a JOIN less b ON a.s = b.s AND a.i = b.i AND a.w <> b.w
+  UNION SELECT a.w, b.w, b.n FROM less a JOIN words b ON a.s = b.w
+  UNION SELECT b.w, a.w, a.n FROM less a JOIN words b ON a.s = b.w),
+best AS (SELECT w, count(*) AS n_near, arg_min(v, (-m, v)) AS v, max(m) AS m FROM near GROUP BY w),
+forms AS (
+  SELECT words.w, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 5 * n THEN v END AS form, CASE WHEN m >= 5 * n THEN m END AS form_n
+  FROM words LEFT JOIN best USING (w)),
+chain(w, top) AS (SELECT w, form FROM forms WHERE form IS NOT NULL UNION ALL SELECT c.w, f.form FROM chain c JOIN forms f ON c.top = f.w WHERE f.form IS NOT NULL),
+ends AS (SELECT c.w, c.top FROM chain c JOIN forms f ON c.top = f.w WHERE f.form IS NULL)
+SELECT w AS word, form, coalesce(top, w) AS root, n, n_near, form_n FROM forms LEFT JOIN ends USING (w)
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, each with its near words, most frequent form and root."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.variants(spelling.word_counts(docs, altered=spelling.without_one))
