@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from milesbase.llm import bpe, line_dedup, merkle, minhash, neighbour_vote, packing, quality_rules, rabitq, spelling, suffix_dedup, url_filter, warc_zip
+from milesbase.llm import bpe, line_dedup, merkle, minhash, neighbour_vote, packing, quality_rules, rabitq, spelling, substring_dedup, suffix_dedup, url_filter, warc_zip
 from milesbase.llm.common import read_table, staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -218,6 +218,28 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(docs, tampered=cut)[0]
 
 
+@_query("op12_substring_dedup", r"""
+WITH words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM words)),
+hits AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY h) > 1),
+gone AS (SELECT doc_id, list(DISTINCT j) AS gone FROM (SELECT doc_id, unnest(range(i, i + 35)) AS j FROM hits) GROUP BY doc_id),
+bits AS (SELECT doc_id, list_distinct(gone) AS gone FROM gone),
+kept AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY j) AS t, count(*) AS n FROM (
+    SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS j FROM words) v
+  WHERE NOT EXISTS (SELECT 1 FROM (SELECT doc_id AS d, unnest(gone) AS g FROM bits) WHERE d = v.doc_id AND g = v.j) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside 35-word windows that occur anywhere else too."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out, s = substring_dedup.without_repeats(docs, with_text=False)
+    return out.select("doc_id", F.col(s)["n_words"].alias("n_words"), F.col(s)["n_removed"].alias("n_removed"), F.col(s)["kept"].alias("kept_sha256"))
+
+
 @_query("op13_spelling_variants", rf"""
 WITH RECURSIVE tab AS ({CRC_TABLE}),
 runs AS (
