@@ -3,21 +3,22 @@
 1. *Classes.* Equal texts are one class with a count; if it is two or more, all windows of the class repeat.
 2. *Anchors.* Each window names the place of its smallest hash of ``GRAM`` words (leftmost of equals), so equal windows name equal
    anchors at equal distances. Only anchors that occur twice can belong to a repeated window. This loses nothing.
-3. *Shards.* The windows that name one anchor lie side by side; their words form a segment, and segments are dealt to shards by
-   anchor. A shard builds a compressed FM-index (BWT in a wavelet tree) of its distinct segments and streams them through it
-   by backward search. Matching statistics say how long a match that occurs twice starts at each word; places with at least a
-   window's length are reported as intervals.
-4. *Hot anchors.* An anchor of more than ``MAX_BUCKET`` segments is not sent to one shard: its windows are hashed (128 bits) and
-   counted with partial sums, and only one copy of each repeated window, with its count, goes to a shard of its own hash.
-   The result is the same for any size of a bucket.
-5. Intervals return to their texts, are united and cut out.
-
-Scale: shards hold about ``TASK_ROWS`` segments of at most 58 words (8 bytes each). Texts are read again rather than carried along
-with their anchors. Words are compared as 64-bit hashes, in windows of 35 at a time.
-
-Edge cases: null, empty and blank texts have no words; texts of fewer than 35 words are never touched unless a longer one holds them (which
-doesn't cover their words); texts of any length are processed whole; repeated rows of any id repeat each other, so all words of both go;
-an empty table gives an empty result; other columns are kept, and new names avoid theirs.
+3. *Segments.* The windows that name one anchor lie side by side; their words form a segment. Equal segments become one with a
+   count by partial aggregation of their hashes (128 bits with the anchor's) before any words move.
+4. *Shards.* Segments are dealt to shards by anchor. A shard builds a compressed FM-index (BWT in a wavelet tree) of its segments
+   and streams them through it by backward search. Matching statistics say how long a match that occurs twice starts at each word;
+   places with at least a window's length are reported as intervals.
+5. *Hot anchors.* An anchor of more than ``MAX_BUCKET`` different segments is not sent to one shard: its windows are hashed (128
+   bits) and counted with partial sums, and only one copy of each repeated window, with its count, goes to a shard of its own
+   hash. The result is the same for any size of a bucket.
+6. Intervals return to the texts that hold the segments, are united and cut out.
+
+Scale: shards hold about ``TASK_ROWS`` different segments of at most 62 words (8 bytes each). Texts are read again rather than carried
+along with their anchors. Words are compared as 64-bit hashes, in windows of 35 at a time.
+
+Edge cases: null, empty and blank texts have no words; texts of fewer than 35 words are never touched; texts of any length are processed
+whole; repeated rows of any id repeat each other, so all words of both go (from 35 words on); an empty table gives an empty
+result; other columns are kept, and new names avoid theirs.
 """
 
 from __future__ import annotations
@@ -35,8 +36,8 @@ from milesbase.llm.hashing import U, mixed, stream, text_slices, word_hashes
 from milesbase.llm.suffix_dedup import window_minima
 
 LENGTH = 35
-GRAM = 12
-MAX_BUCKET = 5_000
+GRAM = 8
+MAX_BUCKET = 10_000
 TASK_ROWS = 30_000
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -78,16 +79,30 @@ def anchors(words: np.ndarray, per_row: np.ndarray, length: int = LENGTH, gram:
     return row, h[place[first]], place[first] - base, starts[first] - base, starts[last] - base
 
 
+def spans_hash(words: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the words of each span, of any length: a polynomial over word hashes, from running sums."""
+    base = U(0x9E3779B97F4A7C15)
+    with np.errstate(over="ignore"):
+        up = np.cumprod(np.append(U(1), np.full(len(words), base)))
+        sums = np.append(U(0), np.cumsum(mixed(words) * up[:-1]))
+        down = np.cumprod(np.append(U(1), np.full(len(words), U(pow(int(base), -1, 1 << 64)))))
+        return mixed((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64))
+
+
 def _anchor_rows(texts: DataFrame, length: int) -> DataFrame:
-    """rep, text -> rep, gram, first, last (starts of the windows)."""
+    """rep, text -> rep, gram, seg (hash of the segment), spot (first start << 8 | starts - 1)."""
     def run(batches):
         for batch in batches:
             for i, _j, data, offsets in text_slices(batch.column(1)):
-                row, h, _place, first, last = anchors(*word_hashes(data, offsets, lower=False), length)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row + i)), pa.array(h.view(np.int64)), pa.array(first), pa.array(last)],
-                                                 names=["rep", "gram", "first", "last"])
+                words, per_row = word_hashes(data, offsets, lower=False)
+                row, h, _place, first, last = anchors(words, per_row, length)
+                base = (np.cumsum(per_row) - per_row)[row]
+                seg = spans_hash(words, base + first, base + last + length)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(row + i)), pa.array(h.view(np.int64)), pa.array(seg.view(np.int64)), pa.array(first << 8 | last - first)],
+                    names=["rep", "gram", "seg", "spot"])
 
-    return texts.mapInArrow(run, "rep bigint, gram bigint, first bigint, last bigint")
+    return texts.mapInArrow(run, "rep bigint, gram bigint, seg bigint, spot bigint")
 
 
 def _hashed(batch, text: str = "text"):
@@ -102,7 +117,7 @@ def _hashed(batch, text: str = "text"):
 
 # ---- shards ------------------------------------------------------------------------------------------
 
-SEGMENTS = "bucket bigint, rep bigint, begin bigint, words binary, weight bigint"
+SEGMENTS = "bucket bigint, seg bigint, words binary, weight bigint"
 
 
 def repeated_starts(segments: list[bytes], weights: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -119,43 +134,29 @@ def repeated_starts(segments: list[bytes], weights: np.ndarray, length: int) ->
 
 
 def _reported(segments: DataFrame, tasks: int, length: int) -> DataFrame:
-    """Segments dealt by bucket -> rep, b, e: intervals of words covered by repeated windows."""
+    """Segments dealt by bucket -> bucket, seg, b, e: words of the segment covered by repeated windows."""
     def run(batches):
-        known: dict[bytes, int] = {}
-        weights: list[int] = []
-        reps, begins, which = [], [], []
-        for batch in batches:
-            reps.append(batch.column("rep").to_numpy())
-            begins.append(batch.column("begin").to_numpy())
-            for words, w in zip(batch.column("words").to_pylist(), batch.column("weight").to_pylist()):
-                i = known.setdefault(words, len(known))
-                if i == len(weights):
-                    weights.append(0)
-                weights[i] += w
-                which.append(i)
-        if not known:
+        tables = [b for b in batches if b.num_rows]
+        if not tables:
             return
-        seg, first, last = repeated_starts(list(known), np.array(weights, np.int64), length)
-        rep, begin, which = np.concatenate(reps), np.concatenate(begins), np.array(which)
-        # each row takes the runs of its segment
-        runs = np.bincount(seg, minlength=len(known))
-        at = np.cumsum(runs) - runs
-        row = np.repeat(np.arange(len(which)), runs[which])
-        k = np.arange(len(row)) - np.repeat(np.cumsum(runs[which]) - runs[which], runs[which]) + at[which[row]]
-        for i in range(0, len(row), 100_000):
-            r, x = row[i:i + 100_000], k[i:i + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(rep[r]), pa.array(begin[r] + first[x]), pa.array(begin[r] + last[x] + length)], names=["rep", "b", "e"])
+        table = pa.Table.from_batches(tables)
+        seg, first, last = repeated_starts(table.column("words").to_pylist(), table.column("weight").to_numpy(), length)
+        for i in range(0, len(seg), 100_000):
+            k = slice(i, i + 100_000)
+            own = table.select(["bucket", "seg"]).take(pa.array(seg[k])).combine_chunks()
+            yield pa.RecordBatch.from_arrays([own.column(0).combine_chunks(), own.column(1).combine_chunks(), pa.array(first[k]), pa.array(last[k] + length)],
+                                             names=["bucket", "seg", "b", "e"])
 
-    return segments.repartition(tasks, "bucket").mapInArrow(run, "rep bigint, b bigint, e bigint")
+    return segments.repartition(tasks, "bucket").mapInArrow(run, "bucket bigint, seg bigint, b bigint, e bigint")
 
 
 def _segments(found: DataFrame, length: int) -> DataFrame:
-    """rep, text, spots (gram, first, last) -> segments."""
+    """rep, text, picks (bucket, seg, first, last, n) -> segments."""
     def run(batches):
         for batch in batches:
-            rows, spots, reps = [], batch.column("spots"), batch.column("rep").to_pylist()
+            rows, picks = [], batch.column("picks")
             for k, words in _hashed(batch):
-                rows += [(s["gram"], reps[k], s["first"], words[s["first"]:s["last"] + length].tobytes(), 1) for s in spots[k].as_py()]
+                rows += [(s["bucket"], s["seg"], words[s["first"]:s["last"] + length].tobytes(), s["n"]) for s in picks[k].as_py()]
                 if len(rows) > 20_000:
                     yield _batch(rows)
                     rows = []
@@ -165,68 +166,71 @@ def _segments(found: DataFrame, length: int) -> DataFrame:
 
 
 def _batch(rows: list) -> pa.RecordBatch:
-    cols = list(zip(*rows)) if rows else [[]] * 5
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["bucket", "rep", "begin", "words", "weight"])
+    cols = list(zip(*rows)) if rows else [[]] * 4
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["bucket", "seg", "words", "weight"])
 
 
 def _windows(found: DataFrame, length: int) -> DataFrame:
-    """rep, text, spots -> rep, start, w1, w2 (hashes) of every window of the spots."""
-    def run(batches):
-        for batch in batches:
-            reps, spots = batch.column("rep").to_numpy(), batch.column("spots")
-            for k, words in _hashed(batch):
-                at = np.concatenate([np.arange(s["first"], s["last"] + 1) for s in spots[k].as_py()])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(at), reps[k])), pa.array(at), *[pa.array(runs_hash(words, length, seed, at).view(np.int64)) for seed in (163, 167)]],
-                    names=["rep", "start", "w1", "w2"])
-
-    return found.mapInArrow(run, "rep bigint, start bigint, w1 bigint, w2 bigint")
+    """rep, text, picks -> bucket, seg, rep, start, off (start within the segment), n, w1, w2 (hashes) of every window of the picks."""
+    names = ["bucket", "seg", "rep", "start", "off", "n", "w1", "w2"]
 
-
-def _chosen(found: DataFrame, length: int) -> DataFrame:
-    """rep, text, picks (start, w1, w2, n) -> one segment of a window's length for each; the pick's hash stands for its owner."""
     def run(batches):
         for batch in batches:
-            picks, rows = batch.column("picks"), []
+            reps, picks = batch.column("rep").to_pylist(), batch.column("picks")
             for k, words in _hashed(batch):
-                rows += [(s["w1"], s["w1"], s["w2"], words[s["start"]:s["start"] + length].tobytes(), s["n"]) for s in picks[k].as_py()]
-            yield _batch(rows)
+                mine = picks[k].as_py()
+                many = [s["last"] - s["first"] + 1 for s in mine]
+                at = np.concatenate([np.arange(s["first"], s["last"] + 1) for s in mine])
+                cols = [np.repeat(np.array([s[c] for s in mine], np.int64), many) for c in ("bucket", "seg", "first", "n")]
+                w1, w2 = (runs_hash(words, length, seed, at).view(np.int64) for seed in (163, 167))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (cols[0], cols[1], np.full(len(at), reps[k]), at, at - cols[2], cols[3], w1, w2)], names=names)
 
-    return found.mapInArrow(run, SEGMENTS)
+    return found.mapInArrow(run, ", ".join(f"{c} bigint" for c in names))
 
 
 def _tasks(rows: int) -> int:
     return max(1, -(-rows // TASK_ROWS))
 
 
-def _hot_spans(classes: DataFrame, hits: DataFrame, length: int) -> DataFrame:
-    """rep, b, e of the repeated windows of hot anchors."""
-    found = classes.select("rep", "text").join(hits.groupBy("rep").agg(F.collect_list(F.struct("first", "last")).alias("spots")), "rep")
-    windows = staged(_windows(found, length), "substring-windows")
-    again = (windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("rep", "start")).alias("one")).where("n > 1")
-             .select(F.col("one.rep").alias("rep"), F.col("one.start").alias("start"), "w1", "w2", "n"))
+def _with_texts(classes: DataFrame, picked: DataFrame) -> DataFrame:
+    """Picks (rep, bucket, seg, first, last, n) gathered by text."""
+    picks = picked.groupBy("rep").agg(F.collect_list(F.struct("bucket", "seg", "first", "last", "n")).alias("picks"))
+    return classes.select("rep", "text").join(picks, "rep")
+
+
+def _hot_marks(classes: DataFrame, segs: DataFrame, length: int) -> DataFrame:
+    """bucket, seg, b, e of the repeated windows of hot anchors' segments."""
+    windows = staged(_windows(_with_texts(classes, segs), length), "substring-windows")
+    again = (windows.groupBy("w1", "w2").agg(F.sum("n").alias("n"), F.min(F.struct("rep", "start")).alias("one")).where("n > 1")
+             .select(F.col("one.rep").alias("rep"), F.col("w1").alias("bucket"), F.col("w2").alias("seg"),
+                     F.col("one.start").alias("first"), F.col("one.start").alias("last"), "n"))
     again = staged(again, "substring-again")
-    picks = again.groupBy("rep").agg(F.collect_list(F.struct("start", "w1", "w2", "n")).alias("picks"))
-    chosen = _chosen(classes.select("rep", "text").join(picks, "rep"), length)
-    # a window's segment names its hash in place of an owner: rep = w1, b = w2
-    real = staged(_reported(chosen, _tasks(again.count()), length), "substring-real")
-    real = real.select(F.col("rep").alias("w1"), F.col("b").alias("w2"))
-    return windows.join(real, ["w1", "w2"]).select("rep", F.col("start").alias("b"), (F.col("start") + length).alias("e"))
+    real = staged(_reported(_segments(_with_texts(classes, again), length), _tasks(again.count()), length), "substring-real")
+    real = real.select(F.col("bucket").alias("w1"), F.col("seg").alias("w2"))
+    return windows.join(real, ["w1", "w2"]).select("bucket", "seg", F.col("off").alias("b"), (F.col("off") + length).alias("e"))
 
 
 def repeated_spans(classes: DataFrame, length: int = LENGTH, max_bucket: int = MAX_BUCKET) -> DataFrame:
     """classes: rep, text, each text once -> rep, spans (array of b, e, sorted): words covered by windows that occur twice in them."""
     spots = staged(_anchor_rows(classes.select("rep", "text"), length), "substring-anchors")
-    twice = staged(spots.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("gram", (F.col("m") > max_bucket).alias("hot")), "substring-grams")
+    twice = staged(spots.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("gram"), "substring-grams")
     hits = staged(spots.join(twice, "gram"), "substring-hits")
-    mild = hits.where("NOT hot")
-    found = classes.select("rep", "text").join(mild.groupBy("rep").agg(F.collect_list(F.struct("gram", "first", "last")).alias("spots")), "rep")
-    spans = _reported(_segments(found, length), _tasks(mild.count()), length)
-    hot = hits.where("hot")
-    if not hot.isEmpty():
-        spans = spans.union(_hot_spans(classes, hot, length))
-    return spans.groupBy("rep").agg(F.array_sort(F.collect_set(F.struct("b", "e"))).alias("spans"))
+    segs = hits.groupBy("gram", "seg").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("rep", "spot")).alias("one"))
+    first = F.shiftright("one.spot", 8)
+    segs = staged(segs.select(F.col("one.rep").alias("rep"), F.col("gram").alias("bucket"), "seg", first.alias("first"),
+                              (first + F.col("one.spot").bitwiseAND(F.lit(255))).alias("last"), "n"), "substring-segments")
+    hot = staged(segs.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > max_bucket).select("bucket"), "substring-hot")
+    mild, split = segs, not hot.isEmpty()
+    if split:  # at most one hot anchor for each max_bucket segments
+        mild = segs.join(hot, "bucket", "left_anti")
+    marks = _reported(_segments(_with_texts(classes, mild), length), _tasks(segs.count()), length)
+    if split:
+        marks = marks.union(_hot_marks(classes, segs.join(hot, "bucket", "left_semi"), length))
+    marks = staged(marks.withColumnRenamed("bucket", "gram"), "substring-marks")
+    begin = F.shiftright("spot", 8)
+    spans = hits.join(marks, ["gram", "seg"]).select("rep", F.struct((begin + F.col("b")).alias("b"), (begin + F.col("e")).alias("e")).alias("x"))
+    return spans.groupBy("rep").agg(F.array_sort(F.collect_set("x")).alias("spans"))
 
 
 # ---- texts -------------------------------------------------------------------------------------------
