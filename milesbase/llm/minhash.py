@@ -9,8 +9,8 @@
    n gives n - 1 pairs. Pairs are confirmed on the full sets: 100 * intersection >= percent * union.
 4. Members that a star leaves outside their bucket's main component meet further members of it, one per bucket and
    round (again stars), while that leaves more than a few comparisons per member.
-   Those still outside are then compared with the bucket's members of other components. Jaccard distance is a
-   metric, so a pair whose distances from the bucket's first star differ by more than the limit is skipped unseen. After
+   Those still outside then meet the members of other components by the rarest elements in which they differ from the
+   majority (``residue_pairs``), which loses no link. After
    that any two members of any bucket are connected or known to be too far apart, so stars lose no link that the
    buckets hold. With 32 bands of 5 rows, a pair at similarity 0.8 shares no bucket with a probability of 3e-6.
 5. Components: repeated hooking to the smallest neighbour with pointer jumping, each round a written table.
@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from milesbase.llm.common import free_name, prepare, staged
@@ -122,13 +122,12 @@ def full_sets(docs: DataFrame, size: int) -> DataFrame:
 
 
 def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The distinct pairs (a, b) with linked (confirmed on the full sets) and their Jaccard distance."""
+    """The distinct pairs (a, b) with linked (confirmed on the full sets)."""
     left, right = sets.toDF("a", "sa"), sets.toDF("b", "sb")
     both = F.size(F.array_intersect("sa", "sb")).cast("bigint")
     sized = pairs.join(right, "b").join(left, "a").select("a", "b", both.alias("both"), (F.size("sa") + F.size("sb")).alias("sum"))
     union = F.col("sum") - F.col("both")
-    return sized.select("a", "b", (F.lit(100) * F.col("both") >= F.lit(percent) * union).alias("linked"),
-                        (1 - F.col("both") / union).alias("distance"))
+    return sized.select("a", "b", (F.lit(100) * F.col("both") >= F.lit(percent) * union).alias("linked"))
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -177,6 +176,50 @@ def _near_size(x: str, y: str, percent: int):
     return F.lit(100) * F.least(x, y) >= F.lit(percent) * F.greatest(x, y)
 
 
+def residue_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs (a, b) between members (g, rep, root, inside) of a group g that its component holds (``inside``) and those outside,
+    and among the latter; no pair at ``percent`` or more that would join two components is missing.
+
+    Let B be the elements that most sets of the group hold and D(x) the symmetric difference of x and B. With
+    F(x) = (100 + p) |D(x)| - (100 - p) |x|, a pair is linked if and only if 2 (100 + p) |D(x) & D(y)| >= F(x) + F(y). So
+
+    * a pair of disjoint differences is linked if F(x) + F(y) <= 0, and then both are linked to the member of least F: one pair each;
+    * any other linked pair shares at least k elements of the differences, where k follows from a set's own F and the least F that
+      it can meet, and hence one of the |D| - k + 1 rarest elements of each. Only those are joined, by (group, element), and
+      only while the elements left after the shared one could still make up the number needed.
+
+    The differences of near copies are small, mostly their own, and rarest first, so few sets meet."""
+    up, down = 100 + percent, 100 - percent
+    own = staged(members.join(sets, "rep"), "minhash-own")
+    sizes = own.groupBy("g").agg(F.count(F.lit(1)).alias("m"))
+    freq = own.select("g", F.explode("items").alias("e")).groupBy("g", "e").agg(F.count(F.lit(1)).alias("c")).where("c > 1").join(sizes, "g")
+    freq = staged(freq.select("g", "e", (2 * F.col("c") > F.col("m")).alias("common"), F.when(2 * F.col("c") > F.col("m"), F.col("m") - F.col("c"))
+                              .otherwise(F.col("c")).alias("w")), "minhash-frequencies")
+    base = freq.where("common").groupBy("g").agg(F.collect_list("e").alias("base"))  # no longer than two sets of the group
+    own = own.join(base, "g", "left").withColumn("base", F.coalesce("base", F.array().cast("array<bigint>")))
+    own = own.select("g", "rep", "root", "inside", F.size("items").alias("n"), F.concat(F.array_except("items", "base"), F.array_except("base", "items")).alias("d"))
+    own = staged(own.withColumn("f", F.size("d").cast("bigint") * up - F.col("n") * down), "minhash-differences")
+    least = own.groupBy("g").agg(F.min("f").alias("least"), F.min(F.when(~F.col("inside"), F.col("f"))).alias("least_out"),
+                                 F.min_by(F.struct(F.col("rep").alias("to"), F.col("root").alias("to_root")), F.struct("f", "rep")).alias("best"))
+    own = own.join(least, "g")
+    sure = own.where((F.col("f") + F.col("least") <= 0) & (F.col("root") != F.col("best.to_root"))).select("rep", F.col("best.to").alias("to"))
+
+    k = F.ceil((F.col("f") + F.when(F.col("inside"), F.col("least_out")).otherwise(F.col("least"))) / F.lit(2.0 * up) - 1e-9)
+    rows = own.select("g", "rep", "root", "inside", "n", "f", F.size("d").alias("size"), (F.size("d") - F.greatest(k, F.lit(1)) + 1).alias("prefix"), F.explode("d").alias("e"))
+    # what only one member differs in stands first in the order and meets nobody
+    rows = rows.where("prefix > 0").join(freq.where("w > 1").select("g", "e", "w"), ["g", "e"])
+    mine = Window.partitionBy("g", "rep")
+    after = F.count(F.lit(1)).over(mine) - F.row_number().over(mine.orderBy("w", "e"))
+    rows = rows.withColumn("after", after).where("size - after <= prefix").select("g", "e", "rep", "root", "inside", "n", "f", "after")
+    rows = staged(rows, "minhash-prefixes")
+    x = rows.where("NOT inside").select("g", "e", *[F.col(c).alias(f"x_{c}") for c in ("rep", "root", "n", "f", "after")])
+    fits = F.lit(2 * up) * (1 + F.least("x_after", "after")) >= F.col("x_f") + F.col("f")
+    y = rows.select("*")
+    pairs = x.join(y, (x["g"] == y["g"]) & (x["e"] == y["e"]) & (x["x_root"] != y["root"]) & (y["inside"] | (x["x_rep"] < y["rep"]))
+                   & fits & _near_size("x_n", "n", percent)).select(F.col("x_rep").alias("rep"), F.col("rep").alias("to"))
+    return sure.union(pairs).select(F.least("rep", "to").alias("a"), F.greatest("rep", "to").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
                     percent: int = 80) -> DataFrame:
     """id, n_shingles, component_id, kept: a row per row of ``docs``."""
@@ -200,9 +243,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("star").alias("a"), F.col("rep").alias("b")).distinct()
     first = staged(compared(pairs, sets, percent), "minhash-stars")
     roots = components(first.where("linked").select("a", "b"), "minhash-first")
-    known = members.join(first.select(F.col("a").alias("star"), F.col("b").alias("rep"), "distance"), ["star", "rep"], "left")
-    known = known.withColumn("distance", F.when(F.col("rep") == F.col("star"), F.lit(0.0)).otherwise(F.col("distance")))
-    known = staged(_rooted(known.withColumn("root", F.col("rep")), roots), "minhash-known")
+    known = staged(_rooted(members.select("key", "rep", "n", F.col("rep").alias("root")), roots), "minhash-known")
 
     turn, before = 0, None
     while True:
@@ -225,12 +266,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         roots = staged(_merged(roots, top), "minhash-roots")
         known = staged(_rooted(known, top), "minhash-known")
 
-    rest = known.join(main.select("key", "main"), "key").where("rep <> star")  # the star's own pairs are decided
-    x = rest.where("root <> main").select("key", F.col("rep").alias("x"), F.col("n").alias("xn"), F.col("root").alias("xr"), F.col("distance").alias("xd"))
-    y = rest.select("key", F.col("rep").alias("y"), F.col("n").alias("yn"), F.col("root").alias("yr"), F.col("distance").alias("yd"), (F.col("root") == F.col("main")).alias("inside"))
-    far = F.coalesce(F.abs(F.col("xd") - F.col("yd")) > 1 - percent / 100 + 1e-9, F.lit(False))
-    more = x.join(y, "key").where((F.col("xr") != F.col("yr")) & (F.col("inside") | (F.col("x") < F.col("y"))) & _near_size("xn", "yn", percent) & ~far)
-    more = more.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    rest = known.join(main.select("key", "main"), "key").select(F.col("main").alias("g"), "rep", "root", (F.col("root") == F.col("main")).alias("inside"))
+    more = residue_pairs(rest.distinct(), sets, percent)
     top = components(_by_root(compared(more, sets, percent).where("linked"), roots), "minhash-second")
 
     final = classes.select("f1", "f2", "n", "rep").join(roots.toDF("rep", "root"), "rep", "left")

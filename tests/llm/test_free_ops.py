@@ -484,3 +484,36 @@ def test_batches_of_sliced_columns():
     assert [(i, j) for i, j, *_ in parts][-1][1] == 4
     words = [hashing.word_hashes(data, offsets)[1].tolist() for _, _, data, offsets in parts]
     assert sum(words, []) == [0, 0, 3, 1]
+
+
+def test_residue_pairs_miss_no_link(spark):
+    """Near copies around a base: every linked pair of different components is a candidate, and few others are."""
+    rng = random.Random(11)
+    base = list(range(120))
+    rows, members = [], []
+    for i in range(160):
+        edits = rng.choice([1, 3, 8, 14, 18])
+        items = set(base) - set(rng.sample(base, edits)) | {1000 + (rng.randrange(40) if rng.random() < 0.4 else 50 * i + j) for j in range(edits)}
+        rows.append((i, sorted(items)))
+        members.append((7, i, 0 if edits < 10 else i, edits < 10))
+    sets = spark.createDataFrame(rows, "rep long, items array<long>")
+    got = {(r.a, r.b) for r in minhash.residue_pairs(spark.createDataFrame(members, "g long, rep long, root long, inside boolean"), sets, 80).collect()}
+    want = set()
+    for i, a in rows:
+        for j, b in rows[i + 1:]:
+            both = len(set(a) & set(b))
+            if members[i][2] != members[j][2] and 100 * both >= 80 * (len(a) + len(b) - both):
+                want.add((i, j))
+    roots = {i: m[2] for i, m in enumerate(members)}
+
+    def joined(pairs):
+        top = dict(roots)
+        find = lambda x: x if top.get(x, x) == x else find(top[x])
+        for a, b in sorted(pairs):
+            top[find(roots[a])] = find(roots[b])
+        return {frozenset(x for x in range(160) if find(roots[x]) == find(roots[y])) for y in range(160)}
+
+    sets_of = {i: set(x) for i, x in rows}
+    linked = {(a, b) for a, b in got if 100 * len(sets_of[a] & sets_of[b]) >= 80 * len(sets_of[a] | sets_of[b])}
+    assert want and joined(want) == joined(linked)
+    assert len(got) < 160 * 159 / 2 / 2
