@@ -65,10 +65,9 @@ def change_rate(flags: DataFrame, key=ROUTE, t="scraped_at_utc", alpha=CHANGE_RA
 BLOCK = 256
 
 
-def reduced(elements: DataFrame, key, order, state: str, compose: Callable[[Column, Column], Column], block: int = BLOCK) -> DataFrame:
-    """key, ``state``: the elements of each key composed in ``order``. Each round composes runs of ``block`` neighbours, so that a key with any
-    number of elements spreads over many tasks and no list is longer than a run."""
-    rows = stored(numbered(stored(elements, "fold-elements"), list(key), list(order), "_pos", "_total").select(*key, "_pos", "_total", state), "fold-numbered")
+def reduced(rows: DataFrame, key, state: str, compose: Callable[[Column, Column], Column], block: int = BLOCK) -> DataFrame:
+    """key, ``state``: the elements (key, ``_pos``, ``_total``, state) of each key composed in order. Each round composes runs of ``block``
+    neighbours, so that a key with any number of elements spreads over many tasks and no list is longer than a run."""
     done = None
     while True:
         runs = rows.groupBy(*key, X.idiv(F.col("_pos"), F.lit(block)).alias("_pos"), F.ceil(F.col("_total") / block).alias("_total")).agg(
@@ -113,9 +112,10 @@ def interval_after(state: Column, start: Column) -> Column:
 
 def interval_states(flags: DataFrame, bounds: DataFrame, key=ROUTE, t="scraped_at_utc", block: int = BLOCK) -> DataFrame:
     """key, state: all scrapes of a key as one step."""
-    rows = flags.select(*key, t, "changed").join(bounds.select(*key, "lo", "hi", "step"), list(key))
-    steps = rows.select(*key, t, "changed", interval_step(F.col("changed"), F.col("lo"), F.col("hi"), F.col("step")).alias("state"))
-    return reduced(steps, key, [t, "changed"], "state", interval_then, block)
+    rows = numbered(stored(flags.select(*key, t, "changed"), "fold-flags"), list(key), [t, "changed"], "_pos", "_total")
+    rows = rows.join(bounds.select(*key, "lo", "hi", "step"), list(key))
+    steps = rows.select(*key, "_pos", "_total", interval_step(F.col("changed"), F.col("lo"), F.col("hi"), F.col("step")).alias("state"))
+    return reduced(steps, key, "state", interval_then, block)
 
 
 def interval_fold(flags: DataFrame, bounds: DataFrame, key=ROUTE, t="scraped_at_utc", block: int = BLOCK) -> DataFrame:
@@ -145,11 +145,11 @@ def mark_then(f: Column, g: Column) -> Column:
 
 def mark_scraped_states(events: DataFrame, bounds: DataFrame, key=ROUTE, alpha=CHANGE_RATE_ALPHA, block: int = BLOCK) -> DataFrame:
     """key, state of all events of a key. The cheapest map of the scrape before comes from an ordered scan."""
-    rows = scanned(stored(events, "mark-events"), list(key), ["t", "blocked"], last={"_prev": F.when(~F.col("blocked"), F.col("cheap"))})
+    rows = scanned(stored(events, "mark-events"), list(key), ["t", "blocked"], "_pos", "_total", {"_prev": F.when(~F.col("blocked"), F.col("cheap"))})
     changed = F.coalesce(~F.col("_prev").eqNullSafe(F.col("cheap")), F.lit(True)) | F.col("_prev").isNull()
     rows = rows.join(bounds.select(*key, "lo", "hi", "step"), list(key))
     state = mark_step(F.col("t"), F.col("blocked"), changed, F.col("lo"), F.col("hi"), F.col("step"), alpha)
-    return reduced(rows.select(*key, "t", "blocked", state.alias("state")), key, ["t", "blocked"], "state", mark_then, block)
+    return reduced(rows.select(*key, "_pos", "_total", state.alias("state")), key, "state", mark_then, block)
 
 
 def mark_scraped_fold(events: DataFrame, bounds: DataFrame, key=ROUTE, alpha=CHANGE_RATE_ALPHA,
@@ -166,15 +166,46 @@ def mark_scraped_fold(events: DataFrame, bounds: DataFrame, key=ROUTE, alpha=CHA
 
 
 def merge_replay(log: DataFrame, key, material, t="scraped_at_utc", expiry="expires_at_utc",
-                 order=()) -> DataFrame:
+                 order=(), block: int = BLOCK) -> DataFrame:
     """fold_merge_replay: each observation applied at its own time; it replaces the stored
     row when a material column differs or the stored row has expired by then.
 
-    An exact repeat (same time, material and expiry) is never applied after its twin, so repeats are
-    collapsed first. All rows get one number in the order of (key, time); pointers are numbers."""
+    An exact repeat (same time, material and expiry) is never applied after its twin, so
+    repeats are collapsed first; the groupBy pre-aggregates map-side, hot duplicates included. Keys of at most ``block``
+    rows are folded in one short list each; longer histories are never gathered (``_replayed_by_pointers``)."""
     key = list(key)
     cols = list(dict.fromkeys([*key, t, *order, expiry, *material]))
-    log = stored(log.groupBy(*cols).agg(F.count(F.lit(1)).alias("_dups")), "replay-log")
+    log = stored(log.groupBy(*cols).agg(F.count(F.lit(1)).alias("_dups")).drop("_dups"), "replay-log")
+    long = log.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block).select(*key)
+    if long.isEmpty():
+        return _replayed_in_lists(log, key, material, t, expiry, order)
+    long = stored(long, "replay-long")
+    same = F.lit(True)
+    for c in key:
+        same = same & log[c].eqNullSafe(long[c])
+    return (_replayed_in_lists(log.join(long, same, "left_anti"), key, material, t, expiry, order)
+            .unionByName(_replayed_by_pointers(stored(log.join(long, same, "left_semi"), "replay-hot"), key, material, t, expiry, order)))
+
+
+def _replayed_in_lists(log: DataFrame, key, material, t, expiry, order) -> DataFrame:
+    item = F.struct(F.col(t).alias("t"), *[F.col(c) for c in order], F.col(expiry).alias("e"), F.struct(*material).alias("m"))
+    h = log.groupBy(*key).agg(F.array_sort(F.collect_list(item)).alias("h"))
+    first = F.element_at("h", 1)
+    init = F.struct(first["m"].alias("m"), first["t"].alias("t"), first["e"].alias("e"), F.lit(1).alias("writes"))
+
+    def step(acc, x):
+        apply = ~acc["m"].eqNullSafe(x["m"]) | (acc["e"] <= x["t"])
+        return F.when(apply, F.struct(x["m"].alias("m"), x["t"].alias("t"), x["e"].alias("e"),
+                                      (acc["writes"] + 1).alias("writes"))).otherwise(acc)
+
+    rest = F.slice("h", 2, F.greatest(F.size("h") - 1, F.lit(0)))
+    s = h.select(*key, F.aggregate(rest, init, step).alias("s"))
+    return s.select(*key, "s.m.*", F.col("s.t").alias(t), F.col("s.e").alias(expiry), "s.writes")
+
+
+def _replayed_by_pointers(log: DataFrame, key, material, t, expiry, order) -> DataFrame:
+    """Histories of any length. All rows get one number in the order of (key, time); pointers are numbers."""
+    cols = log.columns
     sort = [*key, *dict.fromkeys([t, *order, expiry, *material])]
     m, k = F.struct(*material), F.struct(*key)
     rows = scanned(log.select(*cols), [], sort, "_i", last={"_before": F.struct(k.alias("k"), m.alias("m"))})

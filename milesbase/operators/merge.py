@@ -12,10 +12,10 @@ per key is closed-form, so it is computed with aggregations instead of a fold:
   not yet expired at ``as_of``; if every row of the run is expired, the last
   one wins.
 
-The conditional merge is one partition-by-key, newest-first sorted pass of
-window functions (no ``collect_list`` of a key's history, no fold); the
-one-row-per-key pickers (first / last wins) are ``min_by`` / ``max_by``
-aggregations with map-side partial aggregation.
+Stored rows and batch are put in one sequence and written once; keys of at most ``HOT_KEY`` rows take one
+partition-by-key, newest-first sorted pass of window functions, hotter keys a form of partial aggregations and
+equi-joins that never holds a key's rows in one task (no ``collect_list`` of a history, no fold in either). The
+one-row-per-key pickers (first / last wins) are ``min_by`` / ``max_by`` aggregations with map-side partial aggregation.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from milesbase.functions.exprs import any_of
+from milesbase.operators.numbering import stored
 
 
 def latest_per_key(df: DataFrame, key, order_cols, value_cols=None) -> DataFrame:
@@ -43,43 +44,61 @@ def first_per_key(df: DataFrame, key, order_cols, value_cols=None) -> DataFrame:
 
 
 STRATEGY_CONF = "milesbase.merge.strategy"
+HOT_KEY = 100_000
 
 
 def conditional_merge(current: DataFrame | None, batch: DataFrame, key, material, stamps,
-                      order_cols, as_of, expiry_col="expires_at_utc", keep_cols=(), strategy=None) -> DataFrame:
+                      order_cols, as_of, expiry_col="expires_at_utc", keep_cols=(), strategy=None, hot_key=HOT_KEY) -> DataFrame:
     """Net effect of sequential ``ON CONFLICT ... WHERE changed OR expired`` upserts.
 
     ``order_cols`` give the arrival order inside the batch; stored rows precede
     the batch. ``keep_cols`` are set at insert time and never updated.
     Returns one row per key with key + material + stamps + keep_cols.
 
-    Two physical strategies with identical results: ``aggregate`` (default), where
-    every step is a partial-aggregating ``groupBy(key)`` and the joins back on the
-    key are equi-joins that AQE's skew handling splits, so no task ever has to hold
-    a hot key alone; and ``window`` (one shuffle and one sort) for feeds whose keys
-    are known to stay small.
-    Pick with the argument or the session conf ``milesbase.merge.strategy``.
+    ``auto`` (default) writes the sequence of stored and new rows once, counts its keys, and sends keys of more than ``hot_key``
+    rows through ``aggregate`` and all others through ``window``; the two give identical results and can be chosen for
+    all keys with the argument or the session conf ``milesbase.merge.strategy``.
     """
-    strategy = strategy or batch.sparkSession.conf.get(STRATEGY_CONF, "aggregate")
-    impl = _merge_by_aggregation if strategy == "aggregate" else _merge_by_window
-    return impl(current, batch, list(key), list(material), list(stamps), list(order_cols), as_of, expiry_col,
-                list(keep_cols))
-
-
-def _merge_by_window(current, batch, key, material, stamps, order_cols, as_of, expiry_col, keep_cols) -> DataFrame:
+    strategy = strategy or batch.sparkSession.conf.get(STRATEGY_CONF, "auto")
+    key, material, stamps, keep_cols = list(key), list(material), list(stamps), list(keep_cols)
+    seq = _sequence(current, batch, key + material + stamps + keep_cols, list(order_cols))
+    args = (key, material, stamps, as_of, expiry_col, keep_cols)
+    if strategy != "auto":
+        return (_merge_by_aggregation if strategy == "aggregate" else _merge_by_window)(seq, *args)
+    seq = stored(seq, "merge-sequence")
+    hot = seq.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_key).select(*key)
+    if hot.isEmpty():
+        return _merge_by_window(seq, *args)
+    hot = stored(hot, "merge-hot-keys")  # at most one key for each hot_key rows
+    same = _null_safe(seq, hot, key)
+    return _merge_by_window(seq.join(hot, same, "left_anti"), *args).unionByName(_merge_by_aggregation(seq.join(hot, same, "left_semi"), *args))
+
+
+def _null_safe(a: DataFrame, b: DataFrame, key):
+    on = F.lit(True)
+    for c in key:
+        on = on & a[c].eqNullSafe(b[c])
+    return on
+
+
+def _sequence(current, batch, cols, order_cols) -> DataFrame:
+    """Stored rows, then the batch's, with ``_ord``: the place of each in the order of arrival."""
+    order = [F.col(c).alias(f"o{i}") for i, c in enumerate(order_cols)]
+    seq = batch.select(*cols, F.struct(F.lit(1).alias("src"), *order).alias("_ord"))
+    if current is None:
+        return seq
+    none = [F.lit(None).cast(batch.schema[c].dataType).alias(f"o{i}") for i, c in enumerate(order_cols)]
+    return current.select(*cols, F.struct(F.lit(0).alias("src"), *none).alias("_ord")).unionByName(seq)
+
+
+def _merge_by_window(seq, key, material, stamps, as_of, expiry_col, keep_cols) -> DataFrame:
     """One shuffle and one sort: every window below shares the partitioning by key
     and the newest-first arrival order, so Spark evaluates them in a single
     sorted pass and keeps row 1 of each key (no struct aggregation buffers,
     which would force sort-based aggregation and extra sorts).
     """
     cols = key + material + stamps + keep_cols
-    seq = batch.select(*cols, F.lit(1).alias("_src"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_cols)])
-    if current is not None:
-        seq = current.select(*cols, F.lit(0).alias("_src"),
-                             *[F.lit(None).cast(batch.schema[c].dataType).alias(f"_o{i}") for i, c in enumerate(order_cols)]
-                             ).unionByName(seq)
-    newest_first = [F.col("_src").desc()] + [F.col(f"_o{i}").desc() for i in range(len(order_cols))]
-    w = Window.partitionBy(*key).orderBy(*newest_first)
+    w = Window.partitionBy(*key).orderBy(F.col("_ord").desc())
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     s = seq.select("*", F.row_number().over(w).alias("_rn"),
@@ -99,18 +118,11 @@ def _merge_by_window(current, batch, key, material, stamps, order_cols, as_of, e
     return out.select(*key, *material, "_s.*", *(["_k.*"] if keep_cols else [])).select(*cols)
 
 
-def _merge_by_aggregation(current, batch, key, material, stamps, order_cols, as_of, expiry_col,
-                          keep_cols) -> DataFrame:
+def _merge_by_aggregation(seq, key, material, stamps, as_of, expiry_col, keep_cols) -> DataFrame:
     """Skew-tolerant form: (1) final material per key, (2) the newest observation whose material
     differs, (3) first unexpired else last stamps inside the final run - three partial-aggregating
     groupBy(key) steps joined back on the key."""
     cols = key + material + stamps + keep_cols
-    ordc = F.struct(F.lit(1).alias("_src"), *[F.col(c) for c in order_cols]).alias("_ord")
-    seq = batch.select(*cols, ordc)
-    if current is not None:
-        cur_ord = F.struct(F.lit(0).alias("_src"), *[F.lit(None).cast(batch.schema[c].dataType).alias(c)
-                                                     for c in order_cols]).alias("_ord")
-        seq = current.select(*cols, cur_ord).unionByName(seq)
     final = seq.groupBy(*key).agg(
         F.max_by(F.struct(*material), F.col("_ord")).alias("_m"),
         F.min_by(F.struct(*keep_cols), F.col("_ord")).alias("_k") if keep_cols else F.lit(None).alias("_k"))

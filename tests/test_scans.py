@@ -74,8 +74,10 @@ def test_replay_matches_python(spark):
     at = lambda h: T0 + dt.timedelta(hours=h)
     rows = [(k, at(t), m, at(e)) for k, log in logs.items() for t, m, e in log]
     df = spark.createDataFrame(rows + rows[:30], "key string, scraped_at_utc timestamp_ntz, points int, expires_at_utc timestamp_ntz").repartition(5)
-    got = {r.key: (r.scraped_at_utc, r.points, r.expires_at_utc, r.writes) for r in folds.merge_replay(df, ["key"], ["points"], order=["points"]).collect()}
-    assert got == {k: (at(w[0]), w[1], at(w[2]), w[3]) for k, log in logs.items() for w in [replay(log)]}
+    want = {k: (at(w[0]), w[1], at(w[2]), w[3]) for k, log in logs.items() for w in [replay(log)]}
+    for block in (0, 5, 256):
+        rows = folds.merge_replay(df, ["key"], ["points"], order=["points"], block=block).collect()
+        assert {r.key: (r.scraped_at_utc, r.points, r.expires_at_utc, r.writes) for r in rows} == want
 
 
 def test_a_key_with_a_million_rows(spark):
