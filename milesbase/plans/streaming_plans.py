@@ -18,14 +18,15 @@ from milesbase.streaming import jobs
 SELECT origin, destination, date, airline, cabin_class, raw_flight_number, points_cost, cash_cost, stops,
  available_seats, dep_min, duration_minutes, scraped_at_utc, expires_at_utc, source FROM flights""", D.FLIGHTS_CTE)
 def str_merge(spark, sf_dir):
-    """Award observations streamed in micro-batches into the keyed table; final state = batch merge."""
+    """Award observations streamed in micro-batches into the keyed table, partitioned by date; each reads and writes the
+    dates it touches. Final state = batch merge."""
     L = D.lk(spark, sf_dir)
     base = jobs.job_dir(spark, "str_merge")
     batch = D.award_batch(L)
-    jobs.land(batch, os.path.join(base, "landing"), D.AWARD_KEY)
+    jobs.land(batch, os.path.join(base, "landing"), ["date"])
     table = jobs.merge_stream(spark, os.path.join(base, "landing"), batch.schema, os.path.join(base, "table"),
                               os.path.join(base, "checkpoint"), D.AWARD_KEY, D.AWARD_MERGED, D.AWARD_STAMPS,
-                              D.AWARD_ORDER, AS_OF, keep_cols=D.AWARD_KEEP)
+                              D.AWARD_ORDER, AS_OF, keep_cols=D.AWARD_KEEP, files_per_trigger=4, partition_by="date")
     return table.current().select(*D.AWARD_KEY, *D.AWARD_MATERIAL, *D.AWARD_STAMPS, "source")
 
 

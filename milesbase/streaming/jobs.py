@@ -4,10 +4,11 @@ All three read landed parquet files with ``readStream`` and run with the
 ``availableNow`` trigger, checkpointing under the cluster's shared
 ``spark.checkpoint.dir`` so a restarted job resumes where it stopped:
 
-* str_merge: ``foreachBatch`` applies the keyed conditional merge to the
-  current table version and writes the next version into a new directory
-  (a path is never read and overwritten in one plan). A commit log of batch
-  ids makes a replayed micro-batch a no-op.
+* str_merge: ``foreachBatch`` reads the date partitions that the micro-batch
+  touches, applies the keyed conditional merge and writes those partitions
+  into a new directory (a path is never read and overwritten in one plan). A
+  commit log of batch ids makes a replayed micro-batch a no-op; partitions
+  that a later commit has replaced are removed one commit after.
 * str_freshness: a stateful streaming aggregation per source; every trigger
   writes the complete per-source snapshot.
 * str_route_state: ``applyInPandasWithState`` keyed by route folds scrape and
@@ -28,6 +29,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.types import StringType, StructField, StructType
 
 from milesbase.operators import merge
 from milesbase.session import checkpoint_dir
@@ -84,16 +86,66 @@ class VersionedTable:
         self.spark.createDataFrame([(batch_id, path)], "batch_id long, path string").write.mode("append").parquet(self.log)
 
 
+class PartitionedTable(VersionedTable):
+    """The same for a table partitioned by ``by`` (part of its key): a commit writes the partitions it touches only, and the log
+    names the newest folder of each. The driver holds the partitions' names, never rows."""
+
+    def __init__(self, spark: SparkSession, root: str, schema, by: str):
+        super().__init__(spark, root)
+        self.schema, self.by = schema, by
+
+    def _part(self):
+        """Name of a row's partition (null and "none" share one)."""
+        return F.coalesce(F.col(self.by).cast("string"), F.lit("none"))
+
+    def _newest(self, log: DataFrame) -> DataFrame:
+        return log.filter(F.col("path").isNotNull()).groupBy("part").agg(F.max_by("path", "batch_id").alias("path"))
+
+    def current(self, touched_by: DataFrame | None = None) -> DataFrame | None:
+        """The table, or only the partitions that rows of ``touched_by`` fall in."""
+        log = self._log()
+        if log is None:
+            return None
+        live = self._newest(log)
+        if touched_by is not None:
+            live = live.join(touched_by.select(self._part().alias("part")).distinct(), "part", "left_semi")
+        paths = [r["path"] for r in live.select("path").collect()]
+        if not paths:
+            return self.spark.createDataFrame([], self.schema) if touched_by is None else None
+        return self.spark.read.schema(self.schema).parquet(*paths)
+
+    def commit(self, batch_id: int, df: DataFrame) -> None:
+        path = os.path.join(self.root, f"v{batch_id:09d}")
+        cols = [f.name for f in self.schema]
+        df.select(*cols, self._part().alias("_part")).repartition("_part").write.mode("overwrite").partitionBy("_part").parquet(path)
+        layout = StructType([*self.schema.fields, StructField("_part", StringType())])
+        written = [r["_part"] for r in self.spark.read.schema(layout).parquet(path).select("_part").distinct().collect()]
+        rows = [(batch_id, os.path.join(path, f"_part={part}"), part) for part in written] or [(batch_id, None, None)]
+        old = self._log()
+        replaced = [] if old is None else [r["path"] for r in old.filter(F.col("path").isNotNull()).join(
+            self._newest(old).select(F.col("path").alias("live")), F.col("path") == F.col("live"), "left_anti").select("path").collect()]
+        self.spark.createDataFrame(rows, "batch_id long, path string, part string").coalesce(1).write.mode("append").parquet(self.log)
+        # what an earlier commit had replaced: readers of the version before this one don't need it
+        for p in replaced:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(p)
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def merge_stream(spark: SparkSession, landing: str, schema, table_root: str, checkpoint: str, key, material, stamps,
-                 order_cols, as_of, keep_cols=(), files_per_trigger: int = 1) -> VersionedTable:
-    table = VersionedTable(spark, table_root)
+                 order_cols, as_of, keep_cols=(), files_per_trigger: int = 1, partition_by: str | None = None) -> VersionedTable:
+    """Micro-batches merged into a table; with ``partition_by``, a key column, only the touched partitions are read and written."""
+    kept = [*key, *material, *stamps, *keep_cols]
+    if partition_by:
+        table = PartitionedTable(spark, table_root, StructType([schema[c] for c in kept]), partition_by)
+    else:
+        table = VersionedTable(spark, table_root)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         last = table.last_commit()
         if last is not None and last[0] >= batch_id:
             return  # replayed micro-batch: already committed
-        merged = merge.conditional_merge(table.current(), batch, key, material, stamps, order_cols, as_of, keep_cols=keep_cols)
-        table.commit(batch_id, merged)
+        current = table.current(batch) if partition_by else table.current()
+        table.commit(batch_id, merge.conditional_merge(current, batch, key, material, stamps, order_cols, as_of, keep_cols=keep_cols))
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(landing)
     _run_available_now(stream.writeStream.foreachBatch(apply), checkpoint)

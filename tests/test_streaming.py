@@ -36,6 +36,31 @@ def test_merge_stream_equals_batch_and_restart_is_noop(spark):
     assert sorted(tuple(r) for r in t2.current().collect()) == first
 
 
+def test_partitioned_merge_touches_its_partitions_only(spark):
+    base = tempfile.mkdtemp(prefix="stream-test-")
+    rows = [(f"k{i % 9}", f"d{i % 9 // 3}" if i % 9 else None, i // 9 % 2, i, T0 + dt.timedelta(hours=i // 9), T0 + dt.timedelta(hours=i // 9 + 2)) for i in range(54)]
+    schema = "k string, d string, p int, ord int, scraped_at_utc timestamp_ntz, expires_at_utc timestamp_ntz"
+    b = spark.createDataFrame(rows, schema)
+    args = (["k", "d"], ["p"], ["scraped_at_utc", "expires_at_utc"], ["ord"], "2026-01-01 10:00:00")
+    landing, table, ckpt = (os.path.join(base, n) for n in ("landing", "table", "ckpt"))
+    want = sorted(str(tuple(r)) for r in merge.conditional_merge(None, b, *args).collect())
+    sizes = []
+    for part in ("d = 'd0'", "d = 'd1'", "d = 'd2' OR d IS NULL", "d = 'd1' AND ord > 1000"):
+        if "1000" not in part:
+            b.where(part).coalesce(1).write.mode("append").parquet(landing)
+        t = jobs.merge_stream(spark, landing, b.schema, table, ckpt, *args, partition_by="d")
+        sizes.append(t._log().where("path IS NOT NULL").groupBy("batch_id").count().orderBy("batch_id").collect())
+    assert sorted(str(tuple(r)) for r in t.current().collect()) == want
+    assert [r["count"] for r in sizes[-1]] == [1, 1, 2] and sizes[-1] == sizes[-2]
+    # a second round over one date replaces that partition; the folder goes at the commit after
+    b.where("d = 'd1'").withColumn("p", b["p"] + 5).withColumn("ord", b["ord"] + 100).coalesce(1).write.mode("append").parquet(landing)
+    b.where("d = 'd2'").coalesce(1).write.mode("append").parquet(landing)
+    t = jobs.merge_stream(spark, landing, b.schema, table, ckpt, *args, partition_by="d")
+    assert {r.p for r in t.current().where("d = 'd1'").collect()} <= {5, 6}
+    assert t.current().count() == len(want)
+    assert not os.path.exists(os.path.join(table, "v000000001", "_part=d1"))
+
+
 def test_versioned_table_never_rewrites_a_version(spark):
     root = tempfile.mkdtemp(prefix="vt-test-")
     vt = jobs.VersionedTable(spark, root)
