@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from milesbase.functions import exprs as X
+from milesbase.operators.numbering import numbered
 from milesbase.sources.dims import (
     CHANGE_RATE_SEED, DEMAND_HALF_LIFE_DAYS, DEMAND_REF, PROMOTE_TO_HIGH, PROMOTE_TO_MED, SCORE_FETCH_MULTIPLE,
     SCORE_W_CHANGE, SCORE_W_DEMAND, SCORE_W_OVERDUE,
@@ -84,6 +85,14 @@ def due_batch(queue: DataFrame, as_of, limit: int, key="queue_id") -> DataFrame:
     return s2.join(counts, "airline")
 
 
+def due_list(queue: DataFrame, as_of, key="queue_id") -> DataFrame:
+    """The whole due list of each airline in stage-1 order (tier rank, next scrape, key) with its rank and length, uncapped: numbered by
+    an ordered scan, so a list of any length spreads over tasks."""
+    due = queue.filter(F.col("next_scrape_at_utc") <= _ts(as_of)).withColumn("_tier", X.tier_rank("priority_tier"))
+    ranked = numbered(due, ["airline"], ["_tier", "next_scrape_at_utc", key], "_pos", "due_count")
+    return ranked.withColumn("due_rank", F.col("_pos") + 1).drop("_pos", "_tier")
+
+
 def shard_stride(batch: DataFrame, shards: int, max_legs: int, rank="batch_rank") -> DataFrame:
     """win_shard_stride: ``due[i::n][:max_legs]`` as columns: shard = rn % n, kept while rn div n < max_legs."""
     rn = F.col(rank) - 1

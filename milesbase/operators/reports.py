@@ -7,7 +7,7 @@ the queue never fans out over flight rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from milesbase.functions import exprs as X
@@ -42,6 +42,45 @@ def cabin_distribution(flights: DataFrame, as_of_date) -> DataFrame:
     )
 
 
+def coverage_states(flights: DataFrame, key=("origin", "destination", "source")) -> DataFrame:
+    """Mergeable exact coverage: per key and month one bit per date seen, one per cabin, row count and newest scrape. A state of a month
+    follows from that month's date partitions alone."""
+    bit = F.expr("shiftleft(1L, day(date) - 1)")
+    cabin = F.coalesce(*[F.when(F.col("cabin_class") == c, F.lit(1 << i).cast("bigint")) for i, c in enumerate(CABINS)], F.lit(0).cast("bigint"))
+    return flights.groupBy(*key, F.trunc("date", "month").alias("month")).agg(
+        F.bit_or(bit).alias("days"), F.bit_or(cabin).alias("cabins"), F.count(F.lit(1)).alias("n"), F.max("scraped_at_utc").alias("newest"))
+
+
+def merged_states(a: DataFrame, b: DataFrame, key=("origin", "destination", "source")) -> DataFrame:
+    """States of disjoint rows put together: sets by OR, counts by sum."""
+    return a.unionByName(b).groupBy(*key, "month").agg(F.bit_or("days").alias("days"), F.bit_or("cabins").alias("cabins"), F.sum("n").alias("n"), F.max("newest").alias("newest"))
+
+
+def coverage_of(states: DataFrame, key=("origin", "destination", "source")) -> DataFrame:
+    """Rows, distinct dates and cabins, cabin list, date range and newest scrape of each key, from states only."""
+    low = F.expr("date_add(month, cast(log2(days & -days) as int))")
+    high = F.expr("date_add(month, cast(floor(log2(days)) as int))")
+    c = states.groupBy(*key).agg(F.sum("n").alias("flight_rows"), F.sum(F.bit_count("days")).alias("dates_covered"), F.bit_or("cabins").alias("_cabins"),
+                                 F.min(low).alias("first_date"), F.max(high).alias("last_date"), F.max("newest").alias("last_flight_scrape"))
+    has = [F.when(F.col("_cabins").bitwiseAND(F.lit(1 << i).cast("bigint")) != 0, F.lit(x)) for i, x in enumerate(CABINS)]
+    return c.select(*key, "flight_rows", "dates_covered", F.bit_count("_cabins").cast("bigint").alias("cabins_seen"),
+                    F.array_join(F.array_sort(F.array_compact(F.array(*has))), ",").alias("cabin_list"), "first_date", "last_date", "last_flight_scrape")
+
+
+def freshness_series(observations: DataFrame, step_hours: int = 1) -> DataFrame:
+    """Per source and step of time: observations so far, unexpired ones, and the newest scrape's age in hours. An expiry sweep: +1 at the
+    scrape, -1 at the expiry, each at the first step not before it, summed over time; a step is one row whatever the observations."""
+    step = F.lit(step_hours * 3600)
+    up = lambda c: (F.ceil(F.unix_timestamp(F.col(c).cast("timestamp")) / step) * step).cast("bigint")
+    seen = observations.select("source", up("scraped_at_utc").alias("at"), F.lit(1).alias("plus"), F.lit(0).alias("minus"), F.unix_timestamp(F.col("scraped_at_utc").cast("timestamp")).alias("t"))
+    gone = observations.select("source", F.greatest(up("expires_at_utc"), up("scraped_at_utc")).alias("at"), F.lit(0).alias("plus"), F.lit(1).alias("minus"), F.lit(None).cast("bigint").alias("t"))
+    steps = seen.unionByName(gone).groupBy("source", "at").agg(F.sum("plus").alias("plus"), F.sum("minus").alias("minus"), F.max("t").alias("t"))
+    w = Window.partitionBy("source").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return steps.select("source", F.timestamp_seconds("at").cast("timestamp_ntz").alias("at_utc"), F.sum("plus").over(w).alias("rows"),
+                        F.sum(F.col("plus") - F.col("minus")).over(w).alias("unexpired_rows"),
+                        F.round((F.col("at") - F.max("t").over(w)) / 3600.0, 1).alias("newest_age_h"))
+
+
 def freshness(flights: DataFrame, as_of) -> DataFrame:
     """agg_freshness: per source rows, newest scrape age (h, 1 dp) and unexpired rows."""
     ts = F.lit(as_of).cast("timestamp_ntz")

@@ -122,6 +122,18 @@ def win_shard_stride(spark, sf_dir):
     return Q.shard_stride(b, SHARDS, MAX_LEGS).select("airline", "shard", "batch_rank", "queue_id")
 
 
+@query("win_due_list_stride", f"""
+SELECT airline, (r - 1) % {SHARDS} AS shard, (r - 1) // {SHARDS} AS leg, r AS due_rank, due_count, queue_id FROM (
+ SELECT *, row_number() OVER (PARTITION BY airline ORDER BY {_TIER_RANK}, next_scrape_at_utc, queue_id) AS r, count(*) OVER (PARTITION BY airline) AS due_count
+ FROM fx_queue WHERE next_scrape_at_utc <= TIMESTAMP '{AS_OF}')""")
+def win_due_list_stride(spark, sf_dir):
+    """Each airline's whole due list dealt to shards by stride, without a cap on legs or list."""
+    d = Q.due_list(D.lk(spark, sf_dir).fx_queue, AS_OF)
+    rn = F.col("due_rank") - 1
+    return d.select("airline", F.pmod(rn, F.lit(SHARDS)).cast("bigint").alias("shard"), X.idiv(rn, F.lit(SHARDS)).cast("bigint").alias("leg"),
+                    "due_rank", "due_count", "queue_id")
+
+
 @query("gen_units", f"""
 SELECT airline, (batch_rank - 1) % {SHARDS} AS shard, queue_id, origin, dest, DATE '{AS_OF_DATE}' + CAST(d AS INT) AS date
 FROM batch, range(0, {SCRAPE_DAYS}) r(d) WHERE (batch_rank - 1) // {SHARDS} < {MAX_LEGS}""", _due_sql(SHARDS * MAX_LEGS))

@@ -249,3 +249,28 @@ SELECT * FROM fx_award WHERE date >= DATE '2024-01-30'""")
 def snk_retention_flights(spark, sf_dir):
     """The flights half of snk_retention, over award rows of any date (the merged table holds none that is past)."""
     return _retained(D.lk(spark, sf_dir).fx_award)
+
+
+@query("agg_coverage_merged", """
+SELECT origin, destination, source, count(*) AS flight_rows, count(DISTINCT date) AS dates_covered, count(DISTINCT cabin_class) AS cabins_seen,
+ array_to_string(list_sort(list_distinct(list(cabin_class))), ',') AS cabin_list, min(date) AS first_date, max(date) AS last_date,
+ max(scraped_at_utc) AS last_flight_scrape
+FROM flights GROUP BY origin, destination, source""", D.FLIGHTS_CTE)
+def agg_coverage_merged(spark, sf_dir):
+    """Route coverage from mergeable states: those of the rows stored earlier and those of later rows, put together without a second
+    look at rows; equals the full recount."""
+    f = D.flights_table(D.lk(spark, sf_dir))
+    early = F.col("scraped_at_utc") < F.lit(D.STORED_BEFORE).cast("timestamp_ntz")
+    return reports.coverage_of(reports.merged_states(reports.coverage_states(f.filter(early)), reports.coverage_states(f.filter(~early))))
+
+
+@query("agg_freshness_series", """
+WITH o AS (SELECT source, scraped_at_utc AS s, expires_at_utc AS e FROM award_batch),
+up AS (SELECT *, to_timestamp(ceil(epoch(s) / 3600.0) * 3600)::TIMESTAMP AS su, to_timestamp(ceil(epoch(e) / 3600.0) * 3600)::TIMESTAMP AS eu FROM o),
+steps AS (SELECT DISTINCT source, su AS at_utc FROM up UNION SELECT DISTINCT source, eu FROM up)
+SELECT t.source, t.at_utc, count(*) AS rows, count(*) FILTER (WHERE e > t.at_utc) AS unexpired_rows,
+ round(epoch(t.at_utc - max(s)) / 3600.0, 1) AS newest_age_h
+FROM steps t JOIN up ON up.source = t.source AND up.s <= t.at_utc GROUP BY t.source, t.at_utc""", D.AWARD_BATCH_CTE)
+def agg_freshness_series(spark, sf_dir):
+    """Freshness of each source at every hour in which something was seen or expired, by an expiry sweep."""
+    return reports.freshness_series(D.award_batch(D.lk(spark, sf_dir)))

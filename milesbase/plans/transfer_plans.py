@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window, functions as F
 
 from milesbase.functions import exprs as X
-from milesbase.operators import html_tables, merge, transfers as T
+from milesbase.operators import html_tables, intervals, merge, transfers as T
 from milesbase.plans import domain as D
 from milesbase.plans.registry import query
 from milesbase.sources.fixtures import AS_OF_DATE
@@ -432,3 +432,23 @@ def top_transfer(spark, sf_dir):
     w = Window.partitionBy(*D.AWARD_KEY).orderBy("effective_points_needed", "bank_program_id", F.coalesce("bonus_pct", F.lit(0)).desc())
     return _options(spark, D.lk(spark, sf_dir)).select(
         *D.AWARD_KEY, F.row_number().over(w).alias("rank"), "bank_program_id", "bonus_pct", "base_points_needed", "effective_points_needed")
+
+
+@query("jn_bonus_at_scrape", """
+SELECT f.origin, f.destination, f.date, f.airline, f.cabin_class, f.raw_flight_number, f.points_cost, CAST(f.scraped_at_utc AS DATE) AS seen_on,
+ p.bank_program_id, b.bonus_pct, b.starts_at AS bonus_starts, b.ends_at AS bonus_ends,
+ (CAST(f.points_cost AS BIGINT) * p.ratio_cents + 100 + coalesce(b.bonus_pct, 0) - 1) // (100 + coalesce(b.bonus_pct, 0)) AS effective_points_needed
+FROM flights f JOIN dim_partner p ON p.airline_code = f.airline
+LEFT JOIN fx_bonus b ON b.bank_program_id = p.bank_program_id AND b.airline_code = p.airline_code AND CAST(f.scraped_at_utc AS DATE) BETWEEN b.starts_at AND b.ends_at""",
+       D.FLIGHTS_CTE)
+def jn_bonus_at_scrape(spark, sf_dir):
+    """Every award with each partner bank and the bonuses valid on the day the award was seen (not at one as_of), by a stabbing
+    join of (airline, day) with the bonus intervals."""
+    L = D.lk(spark, sf_dir)
+    awards = D.flights_table(L).select(*D.AWARD_KEY, "points_cost", F.to_date("scraped_at_utc").alias("seen_on"))
+    bonuses = L.fx_bonus.select(F.col("airline_code").alias("airline"), "bank_program_id", "bonus_pct", "starts_at", "ends_at")
+    valid = intervals.stabbed(awards, bonuses, ["airline"], "seen_on", "starts_at", "ends_at")
+    banks = L.dim_partner.select(F.col("airline_code").alias("airline"), "bank_program_id", "ratio_cents")
+    out = awards.join(banks, "airline").join(valid, ["airline", "seen_on", "bank_program_id"], "left")
+    return out.select(*D.AWARD_KEY, "points_cost", "seen_on", "bank_program_id", "bonus_pct", F.col("starts_at").alias("bonus_starts"),
+                      F.col("ends_at").alias("bonus_ends"), X.effective_points("points_cost", "ratio_cents", "bonus_pct").alias("effective_points_needed"))
