@@ -27,7 +27,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)  # texts take a third less room than by the default codec
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -16,9 +16,10 @@ Column-wise construction over many documents (BWT and common prefixes, one symbo
    Runs of neighbours with 200 common bytes and two occurrences or more mark their start column.
 4. Marked starts return to their documents as byte intervals, which are united and cut out.
 
-Scale: equal texts are one class with a count before anything else; equal segments are summed before their
-shuffle. A bucket larger than ``max_bucket`` is split by content: windows are grouped by eight neighbouring
-columns and keyed by the 193 bytes that every window of such a group covers, which is exact for any size.
+Scale: equal texts are one class with a count before segments are made; equal segments are summed before their
+shuffle. Grams that occur again are written before they meet the anchors, so a hot gram's join is broadcast or split.
+A bucket larger than ``max_bucket`` is split by content: windows are grouped by eight neighbouring columns
+and keyed by the 193 bytes that every window of such a group covers, which is exact for any size.
 Tasks hold about ``task_rows`` segments.
 
 Edge cases: null text is empty; texts under 200 bytes are never touched; bytes are judged on the input, not on
@@ -287,8 +288,8 @@ def repeated_spans(texts: DataFrame, max_bucket: int = MAX_BUCKET, task_rows: in
     long = texts.where(F.octet_length("text") >= LENGTH).select(*_text_class(F.col("text")), "text")
     spots = _anchor_rows(long)
     # equal texts name equal spots: count them, then look which grams occur again
-    twice = (spots.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-             .select("gram", (F.col("m") > max_bucket).alias("split")))
+    twice = staged(spots.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+                   .select("gram", (F.col("m") > max_bucket).alias("split")), "suffix-grams")
     hits = (spots.join(twice, "gram").groupBy("k1", "k2")
             .agg(F.collect_set(F.struct("gram", "spot", "split")).alias("spots")))
     classes = long.groupBy("k1", "k2").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
@@ -347,12 +348,14 @@ def without_repeats(docs: DataFrame, text_col: str = "text", with_kept: bool = T
     elif not with_bytes:
         cut = cut.drop("kept")
     cut = staged(cut, "suffix-cut")
+    # texts that can't repeat meet nothing, each under a key of its own
+    enough = F.octet_length(text) >= LENGTH
     k1, k2 = _text_class(text)
+    k1, k2 = F.when(enough, k1).otherwise(F.monotonically_increasing_id()).alias("k1"), F.when(enough, k2).otherwise(F.lit(0).cast("bigint")).alias("k2")
     out = docs.withColumn(s, F.struct(F.octet_length(text).cast("bigint").alias("n_bytes"), F.sha2(F.encode(text, "UTF-8"), 256).alias("sha"), k1, k2))
     if not with_kept:
         out = out.drop(text_col)
     zero = F.lit(0).cast("bigint")
-    # long texts only, so that null and short ones never meet in one key
     found = out.join(cut.select(F.col("k1").alias(a), F.col("k2").alias(b), F.struct(*[c for c in cut.columns if c not in ("k1", "k2")]).alias(a + "_cut")),
                      (F.col(s)["k1"] == F.col(a)) & (F.col(s)["k2"] == F.col(b)), "left")
     c = F.col(a + "_cut")
