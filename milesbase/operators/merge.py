@@ -165,6 +165,17 @@ def unconditional_merge(current: DataFrame, batch: DataFrame, key, order_cols) -
     return keep.unionByName(last.select(*current.columns))
 
 
+def snapshot_replace(current: DataFrame, batch: DataFrame, dry_run: bool = False) -> tuple[DataFrame, DataFrame]:
+    """snk_snapshot_replace: the table after deleting every row and inserting the batch, and (deleted, inserted) as one row. A dry run
+    leaves the table as it is and reports (0, 0)."""
+    if dry_run:
+        zero = F.lit(0).cast("bigint")
+        return current, current.sparkSession.range(1).select(zero.alias("deleted"), zero.alias("inserted"))
+    old, new = current.agg(F.count(F.lit(1)).alias("deleted")), batch.agg(F.count(F.lit(1)).alias("inserted"))
+    counts = old.withColumn("_k", F.lit(1)).join(new.withColumn("_k", F.lit(1)), "_k").drop("_k")  # one row each
+    return batch.select(*current.columns), counts
+
+
 def scoped_replace(current: DataFrame, batch: DataFrame, scope_cols) -> DataFrame:
     """snk_scoped_replace: drop stored rows whose scope value appears in the batch, add the batch."""
     scope = batch.select(*scope_cols).distinct()

@@ -574,11 +574,13 @@ def agg_due_count(spark, sf_dir):
 SELECT r.request_id,
  EXISTS (SELECT 1 FROM flights f WHERE f.origin = r.origin AND f.destination = r.destination) AS has_any_flights,
  NOT EXISTS (SELECT 1 FROM flights f WHERE f.origin = r.origin AND f.destination = r.destination AND f.date BETWEEN r.date_from AND r.date_to
-  AND (r.airline IS NULL OR f.airline = r.airline) AND f.expires_at_utc > TIMESTAMP '{AS_OF}') AS window_stale
+  AND (r.airline IS NULL OR f.airline = r.airline) AND f.expires_at_utc > TIMESTAMP '{AS_OF}') AS window_stale,
+ NOT EXISTS (SELECT 1 FROM flights f WHERE f.origin = r.origin AND f.destination = r.destination
+  AND (r.airline IS NULL OR f.airline = r.airline) AND f.expires_at_utc > TIMESTAMP '{AS_OF}') AS route_stale
 FROM fx_request r""", D.FLIGHTS_CTE)
 def flt_staleness(spark, sf_dir):
-    """has_any_flights (expiry ignored) and is_window_stale (no unexpired row in the window)
-    for every request, via semi / anti joins on pre-aggregated route-dates."""
+    """has_any_flights (expiry ignored), is_window_stale (no unexpired row in the window) and is_route_stale (none of the
+    route and airline on any date) for every request, via semi / anti joins on pre-aggregated route-dates."""
     L = D.lk(spark, sf_dir)
     f = D.flights_table(L)
     routes = f.select("origin", "destination").distinct().withColumn("has_any_flights", F.lit(True))
@@ -591,9 +593,14 @@ def flt_staleness(spark, sf_dir):
     some = rd.filter(F.col("req_airline").isNull()).join(live, key, "left_semi")
     one = rd.filter(F.col("req_airline").isNotNull()).join(live.withColumnRenamed("airline", "req_airline"), [*key, "req_airline"], "left_semi")
     hit = some.select("request_id").union(one.select("request_id")).distinct().withColumn("_fresh", F.lit(True))
+    carriers = live.select("origin", "destination", F.col("airline").alias("req_airline")).distinct()
+    served = carriers.unionByName(carriers.select("origin", "destination").distinct().withColumn("req_airline", F.lit(None).cast("string")))
+    served = served.withColumn("_served", F.lit(True))
     out = r.join(routes, ["origin", "destination"], "left").join(hit, "request_id", "left")
+    out = out.join(served, (out["origin"] == served["origin"]) & (out["destination"] == served["destination"])
+                   & out["req_airline"].eqNullSafe(served["req_airline"]), "left")
     return out.select("request_id", F.coalesce("has_any_flights", F.lit(False)).alias("has_any_flights"),
-                      F.col("_fresh").isNull().alias("window_stale"))
+                      F.col("_fresh").isNull().alias("window_stale"), F.col("_served").isNull().alias("route_stale"))
 
 
 @query("prj_coverage_lookup", """
@@ -609,3 +616,44 @@ def prj_coverage_lookup(spark, sf_dir):
         F.max("ts").alias("last_attempt_utc"), F.sum("records").cast("bigint").alias("fare_count"))
     r = L.fx_request.select("request_id", F.upper("origin").alias("origin"), F.upper("destination").alias("dest"))
     return r.join(cov, ["origin", "dest"]).select("request_id", "airline", "last_attempt_utc", "fare_count")
+
+
+@query("prj_route_lookup", """
+SELECT r.request_id, rq.queue_id, rq.origin, rq.dest, rq.airline, rq.priority_tier, rq.search_count, rq.last_scraped_at_utc AS last_scraped_at,
+ rq.next_scrape_at_utc AS next_scrape_at, rq.change_rate FROM fx_request r JOIN rq ON rq.origin = r.origin AND rq.dest = r.destination
+ AND rq.airline = coalesce(r.airline, 'AS')""", RQ_CTE)
+def prj_route_lookup(spark, sf_dir):
+    """get_route of every request: the queue entry of its route and airline (AS where none is named); requests without one have no row."""
+    L = D.lk(spark, sf_dir)
+    r = L.fx_request.select("request_id", "origin", F.col("destination").alias("dest"), F.coalesce("airline", F.lit("AS")).alias("airline"))
+    return r.join(routes_queue(L), QKEY).select(
+        "request_id", "queue_id", *QKEY, "priority_tier", "search_count", F.col("last_scraped_at_utc").alias("last_scraped_at"),
+        F.col("next_scrape_at_utc").alias("next_scrape_at"), "change_rate")
+
+
+_OUTCOME_COLS = ["change_rate", "interval_h", "last_cheapest", "last_scraped_at_utc", "next_scrape_at_utc"]
+_CHEAPEST_JSON = "'{' || array_to_string(list_filter([" + ", ".join(
+    f"'\"{c}\":' || {c}" for c in folds.CABIN_COLS) + "], lambda x: x IS NOT NULL), ',') || '}'"
+
+
+@query("snk_scrape_outcome", f"""
+WITH st AS ({MARK_SCRAPED_SQL}),
+lc AS (SELECT origin, destination, airline, {_CHEAPEST_JSON} AS last_cheapest FROM scrapes
+  QUALIFY row_number() OVER (PARTITION BY origin, destination, airline ORDER BY scraped_at_utc DESC) = 1)
+SELECT rq.queue_id, rq.origin, rq.dest, rq.airline, CASE WHEN st.origin IS NULL THEN rq.change_rate ELSE st.rate END AS change_rate, st.interval_h, lc.last_cheapest,
+ CASE WHEN st.origin IS NULL THEN rq.last_scraped_at_utc ELSE TIMESTAMP '{AS_OF}' END AS last_scraped_at_utc,
+ CASE WHEN st.origin IS NULL THEN rq.next_scrape_at_utc ELSE st.next_scrape_at_utc END AS next_scrape_at_utc
+FROM rq LEFT JOIN st ON st.origin = rq.origin AND st.destination = rq.dest AND st.airline = rq.airline
+LEFT JOIN lc ON lc.origin = rq.origin AND lc.destination = rq.dest AND lc.airline = rq.airline""", _SCRAPES_CTE)
+def snk_scrape_outcome(spark, sf_dir):
+    """record_scrape_outcome in full: rate, interval, cheapest map (JSON text), last and next scrape of every matching queue row; others
+    stay as they are and unknown keys are ignored."""
+    L = D.lk(spark, sf_dir)
+    cheap = _scrapes(L).groupBy("origin", "destination", "airline").agg(
+        F.to_json(F.max_by(F.struct(*folds.CABIN_COLS), "scraped_at_utc")).alias("last_cheapest"))
+    st = fold_mark_scraped(spark, sf_dir).join(cheap, ["origin", "destination", "airline"]).select(
+        "origin", F.col("destination").alias("dest"), "airline", F.col("rate").alias("change_rate"), "interval_h", "last_cheapest",
+        F.lit(AS_OF).cast("timestamp_ntz").alias("last_scraped_at_utc"), "next_scrape_at_utc")
+    cur = routes_queue(L).select("queue_id", *QKEY, "change_rate", F.lit(None).cast("double").alias("interval_h"),
+                                 F.lit(None).cast("string").alias("last_cheapest"), "last_scraped_at_utc", "next_scrape_at_utc")
+    return merge.keyed_update(cur, st, QKEY, _OUTCOME_COLS)

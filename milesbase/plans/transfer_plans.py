@@ -270,6 +270,21 @@ def snk_snapshot_replace(spark, sf_dir):
     return partner_snapshot(spark, D.lk(spark, sf_dir))
 
 
+@query("snk_snapshot_counts", """
+SELECT 'replace' AS mode, (SELECT count(*) FROM dim_partner) AS deleted,
+ (SELECT count(*) FROM pr WHERE status = 'mapped' AND bank_program_id IS NOT NULL) AS inserted
+UNION ALL SELECT 'dry_run', 0, 0""", _PR_CTE)
+def snk_snapshot_counts(spark, sf_dir):
+    """(deleted, inserted) of the partner snapshot replace over the stored partners, for real and as a dry run; every parsed record
+    counts as inserted, those of one key too."""
+    L = D.lk(spark, sf_dir)
+    recs = T.partner_records(T.classify_partner_rows(parsed_partner_rows(spark, L).withColumn("row_id", F.col("page_id") * 1000000 + F.col("row_idx"))))
+    cur = L.dim_partner.select("bank_program_id", "airline_code")
+    out = [merge.snapshot_replace(cur, recs, dry_run=dry)[1].select(F.lit(mode).alias("mode"), "deleted", "inserted")
+           for mode, dry in (("replace", False), ("dry_run", True))]
+    return out[0].unionByName(out[1])
+
+
 _BONUS_BATCH_CTE = _PR_CTE + "," + _BONUS_CELLS_CTE + """,
 bbatch AS (SELECT bank_program_id, airline_code, DATE '2024-01-31' AS starts_at, bonus_pct, ends_at,
   CASE WHEN bonus_pct % 10 = 5 THEN airline_text END AS notes FROM bcells
