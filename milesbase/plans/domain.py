@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from milesbase.functions import exprs as X
 from milesbase.operators import merge, quality
 from milesbase.session import scratch_table_path
+from milesbase.sources.dims import CASH_SOURCE  # noqa: F401 - of matched fares and of every cash record
 from milesbase.sources.fixtures import AS_OF, AS_OF_DATE, Lake, lake
 
 AWARD_KEY = ["origin", "destination", "date", "airline", "cabin_class", "raw_flight_number"]
@@ -36,7 +37,6 @@ STORED_BEFORE = "2024-01-30 00:00:00"
 # --- fixed values: provider slug per program carrier ---
 AIRLINE_SOURCE = {"AS": "alaska", "DL": "delta", "B6": "jetblue", "TK": "turkish", "EY": "etihad",
                   "WN": "southwest"}
-CASH_SOURCE = "alaska_cash"  # default of a cash record
 # --- end fixed values ---
 
 

@@ -151,11 +151,13 @@ class Lake:
         return self._frames[name]
 
 
-_LAKES: dict[tuple[int, str], Lake] = {}
+_LAKES: list[Lake] = []
 
 
 def lake(spark: SparkSession, sf_dir: str) -> Lake:
-    key = (id(spark), sf_dir)
-    if key not in _LAKES:
-        _LAKES[key] = Lake(spark, sf_dir)
-    return _LAKES[key]
+    # compared by the session itself: an id can be used again by a later one
+    for known in _LAKES:
+        if known.spark is spark and known.sf_dir == sf_dir:
+            return known
+    _LAKES.append(Lake(spark, sf_dir))
+    return _LAKES[-1]
