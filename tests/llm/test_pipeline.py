@@ -95,5 +95,5 @@ def test_queries_match_sql(spark, name):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "minhash", "suffix_dedup", "packing"]
