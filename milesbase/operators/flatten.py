@@ -21,6 +21,8 @@ from milesbase.operators.text_parse import day_offset, duration_text
 RECORD_COLS = ["origin", "destination", "date", "airline", "source", "points_cost", "cash_cost", "cabin_class",
                "stops", "available_seats", "raw_flight_number", "partner_airline", "duration_minutes", "is_saver",
                "fare_class", "layover_airports", "next_day_arrival", "scraped_at_utc"]
+# what the served table holds beyond these: each flattener adds them with ``details``
+DETAIL_COLS = ["departure_time_local", "arrival_time_local", "aircraft_type", "layover_duration_minutes", "mixed_cabin"]
 RESPONSE = ["origin", "destination", "travel_date", "scraped_at_utc"]  # one landed response
 
 # --- fixed values: provider cabin vocabularies and markers ---
@@ -33,6 +35,7 @@ SOUTHWEST_SAVER_PREFIXES = ("WGA", "PLU")
 JETBLUE_POINTS_CURRENCY = "FFCURRENCY"
 JETBLUE_SAVER_BRAND = "AN"
 TURKISH_MILES_CURRENCY = "MILE"
+HHMM_RE = r"(\d{1,2}):(\d{2})"
 # --- end fixed values ---
 
 
@@ -57,12 +60,42 @@ def _record(df: DataFrame, airline: str, source: str, keep=(), **cols) -> DataFr
     return recs.filter(F.col("points_cost").isNotNull() & F.col("cash_cost").isNotNull() & F.col("stops").isNotNull())
 
 
+def _details(wanted: bool, departure, arrival, aircraft=None, layover_minutes=None, mixed=None) -> list[Column]:
+    """DETAIL_COLS for ``_record``: local wall clocks at the two airports, aircraft code, minutes between legs."""
+    if not wanted:
+        return []
+    none = F.lit(None)
+    aircraft = none.cast("string") if aircraft is None else F.when(F.length(aircraft) > 0, F.substring(aircraft, 1, 10))
+    minutes = none if layover_minutes is None else layover_minutes
+    return [departure.cast("timestamp_ntz").alias("departure_time_local"), arrival.cast("timestamp_ntz").alias("arrival_time_local"),
+            aircraft.alias("aircraft_type"), minutes.cast("int").alias("layover_duration_minutes"),
+            (F.lit(False) if mixed is None else mixed).alias("mixed_cabin")]
+
+
+def _sum(minutes: Column) -> Column:
+    """Sum of an array of minutes; null when it is null or empty."""
+    return F.when(F.size(minutes) > 0, F.aggregate(minutes, F.lit(0).cast("bigint"), lambda a, b: a + b))
+
+
+def _wall_clock(iso: Column) -> Column:
+    """The local clock of an ISO time with offset, to the minute."""
+    return F.try_to_timestamp(F.substring(iso, 1, 16), F.lit("yyyy-MM-dd'T'HH:mm")).cast("timestamp_ntz")
+
+
+def with_zone(df: DataFrame, airports: DataFrame) -> DataFrame:
+    """Zones ``_otz`` and ``_dtz`` of a response's airports (a bounded dimension; null where unknown)."""
+    z = airports.select("iata", "tz")
+    return df.join(F.broadcast(z.withColumnRenamed("iata", "_o").withColumnRenamed("tz", "_otz")), F.upper(df["origin"]) == F.col("_o"), "left") \
+             .join(F.broadcast(z.withColumnRenamed("iata", "_d").withColumnRenamed("tz", "_dtz")), F.upper(df["destination"]) == F.col("_d"), "left")
+
+
 def first_wins(recs: DataFrame, ordinal: str = "_ord") -> DataFrame:
     """win_first_wins inside one payload: first record per (flight number, cabin) in payload order."""
     key = ["origin", "destination", "date", "scraped_at_utc", "raw_flight_number", "cabin_class"]
-    vals = [c for c in RECORD_COLS if c not in key]
+    cols = [c for c in recs.columns if c != ordinal]
+    vals = [c for c in cols if c not in key]
     g = recs.groupBy(*key).agg(F.min_by(F.struct(*vals), F.col(ordinal)).alias("_v"))
-    return g.select(*key, "_v.*").select(*RECORD_COLS)
+    return g.select(*key, "_v.*").select(*cols)
 
 
 def quarantined(bronze: DataFrame, root: str) -> DataFrame:
@@ -80,9 +113,10 @@ ETIHAD_SCHEMA = ("struct<cards: array<struct<depTime: string, arrTime: string, o
                  "cabins: array<struct<cabin: string, miles: bigint, cashCents: bigint>>>>>")
 
 
-def flatten_etihad(bronze: DataFrame) -> DataFrame:
+def flatten_etihad(bronze: DataFrame, airports: DataFrame | None = None, details: bool = False) -> DataFrame:
     """nrm_etihad: one record per (card x priced cabin). Stops from the flight numbers, else the
-    nonstop flag; '+N' arrival badge; partner = a carrier other than EY; first (flight, cabin) wins."""
+    nonstop flag; '+N' arrival badge; partner = a carrier other than EY; first (flight, cabin) wins. ``details`` need the
+    airports: a clock at an airport without a known zone is dropped."""
     p = bronze.withColumn("_p", F.from_json("payload", ETIHAD_SCHEMA))
     c = p.select(*RESPONSE, F.posexplode(F.coalesce(F.col("_p.cards"), F.array())).alias("card_pos", "card"))
     fns = F.filter(F.transform(F.coalesce(F.col("card.flightNumbers"), F.array().cast("array<string>")), lambda n: F.trim(n)),
@@ -102,7 +136,14 @@ def flatten_etihad(bronze: DataFrame) -> DataFrame:
     k = k.withColumn("_cabin", lookup(ETIHAD_CABINS, F.lower(F.trim(F.coalesce("cab.cabin", F.lit(""))))))
     k = k.filter(F.col("_cabin").isNotNull() & (F.col("cab.miles") > 0))
     cash = F.coalesce(F.round(F.col("cab.cashCents") / 100.0, 2), F.lit(0.0))
-    recs = _record(k, "EY", "etihad", keep=[F.struct("card_pos", "cab_pos").alias("_ord")],
+    if details:
+        k = with_zone(k, airports)
+    clock = lambda tz, day, c: F.when(F.col(tz).isNotNull(), F.try_to_timestamp(
+        F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" "), F.lpad(F.regexp_extract(c, HHMM_RE, 1), 2, "0"), F.lit(":"), F.regexp_extract(c, HHMM_RE, 2)),
+        F.lit("yyyy-MM-dd HH:mm")))
+    more = _details(details, clock("_otz", F.col("travel_date"), F.col("card.depTime")),
+                    clock("_dtz", F.date_add("travel_date", F.coalesce("_off", F.lit(0)).cast("int")), F.col("card.arrTime")))
+    recs = _record(k, "EY", "etihad", keep=[F.struct("card_pos", "cab_pos").alias("_ord"), *more],
                    points_cost=F.col("cab.miles"), cash_cost=cash, cabin_class=F.col("_cabin"), stops=F.col("_stops"),
                    raw_flight_number=F.col("_raw_fn"), partner_airline=F.col("_partner"),
                    duration_minutes=F.col("_dur"), next_day_arrival=F.col("_off") > 0)
@@ -128,7 +169,7 @@ def turkish_payload_ok(p: Column) -> Column:
     return p.isNotNull() & ~F.coalesce(p["success"] == F.lit(False), F.lit(False)) & opts.isNotNull() & ~bad
 
 
-def flatten_turkish(bronze: DataFrame, airports: DataFrame) -> DataFrame:
+def flatten_turkish(bronze: DataFrame, airports: DataFrame, details: bool = False) -> DataFrame:
     """nrm_turkish: one record per (option x priced cabin); miles only; 'DD-MM-YYYY HH:MM' local
     times at airport zones; flight numbers lose leading zeros; first (flight, cabin) wins."""
     p = bronze.withColumn("_p", F.from_json("payload", TURKISH_SCHEMA)).filter(turkish_payload_ok(F.col("_p")))
@@ -166,7 +207,9 @@ def flatten_turkish(bronze: DataFrame, airports: DataFrame) -> DataFrame:
                                       total["amount"].try_cast("long")))
     f = f.filter(F.col("_cabin").isNotNull() & F.col("_miles").isNotNull())
     brand = bpi["brandCode"]
-    recs = _record(f, "TK", "turkish", keep=[F.struct("opt_pos", "fare_pos").alias("_ord")],
+    more = _details(details, F.when(F.col("_otz").isNotNull(), dep_local), F.when(F.col("_dtz").isNotNull(), arr_local),
+                    F.get(segs, 0)["equipmentCode"])
+    recs = _record(f, "TK", "turkish", keep=[F.struct("opt_pos", "fare_pos").alias("_ord"), *more],
                    points_cost=F.col("_miles"), cash_cost=F.lit(0.0), cabin_class=F.col("_cabin"),
                    stops=F.col("_stops"), available_seats=F.col("_seats"), raw_flight_number=F.col("_raw_fn"),
                    partner_airline=F.col("_partner"), duration_minutes=F.col("_dur"),
@@ -191,7 +234,7 @@ def price_by_currency(prices: Column, currency: str) -> Column:
     return F.get(F.filter(prices, lambda e: (e["currency"] == currency) & e["amount"].isNotNull()), 0)["amount"]
 
 
-def flatten_jetblue(bronze: DataFrame, airports: DataFrame) -> DataFrame:
+def flatten_jetblue(bronze: DataFrame, airports: DataFrame, details: bool = False) -> DataFrame:
     """nrm_jetblue: one record per bookable offer with a points price; sold-out offers, offers
     without points and unknown cabins are skipped; ISO local times at airport zones."""
     p = bronze.withColumn("_p", F.from_json("payload", JETBLUE_SCHEMA))
@@ -229,7 +272,9 @@ def flatten_jetblue(bronze: DataFrame, airports: DataFrame) -> DataFrame:
     o = o.withColumn("_cabin", lookup(JETBLUE_CABINS, F.upper(F.col("off.cabinClass"))))
     o = o.filter(~F.coalesce(F.col("off.soldOut"), F.lit(False)) & (pts > 0) & F.col("_cabin").isNotNull())
     bc = F.get(F.col("off.offerSegmentInfo"), 0)["bookingClass"]
-    recs = _record(o, "B6", "jetblue", points_cost=pts.try_cast("long"), cash_cost=F.coalesce(cash, F.lit(0.0)),
+    craft = F.get(F.filter(F.transform(segs, lambda s: s["aircraftCode"]), lambda a: F.length(a) > 0), 0)
+    more = _details(details, F.when(F.col("_otz").isNotNull(), dep_l), F.when(F.col("_dtz").isNotNull(), arr_l), craft, F.col("_lay_min"))
+    recs = _record(o, "B6", "jetblue", keep=more, points_cost=pts.try_cast("long"), cash_cost=F.coalesce(cash, F.lit(0.0)),
                    cabin_class=F.col("_cabin"), stops=F.col("_stops"),
                    available_seats=F.coalesce(F.col("off.seatsRemaining.count"), F.lit(-1)),
                    raw_flight_number=F.col("_raw_fn"), partner_airline=F.col("_partner"), duration_minutes=F.col("_dur"),
@@ -268,10 +313,11 @@ def product_segments(product_id: Column) -> Column:
         f[1].alias("booking_class"), f[3].alias("dest"),
         F.try_to_timestamp(f[4], F.lit("yyyy-MM-dd'T'HH:mmXXX")).alias("depart"),
         F.try_to_timestamp(f[5], F.lit("yyyy-MM-dd'T'HH:mmXXX")).alias("arrive"),
-        f[8].alias("flight_num"), f[9].alias("aircraft")))
+        f[8].alias("flight_num"), f[9].alias("aircraft"),
+        _wall_clock(f[4]).alias("depart_local"), _wall_clock(f[5]).alias("arrive_local")))
 
 
-def flatten_southwest(bronze: DataFrame) -> DataFrame:
+def flatten_southwest(bronze: DataFrame, details: bool = False) -> DataFrame:
     """nrm_southwest: one economy record per itinerary detail, priced by its cheapest available
     fare family; legs decoded from the packed productId; saver families by prefix."""
     p = bronze.withColumn("_p", F.from_json("payload", SOUTHWEST_SCHEMA))
@@ -291,7 +337,8 @@ def flatten_southwest(bronze: DataFrame) -> DataFrame:
     taxes = F.col("_best.fp.fare.totalTaxesAndFees.value").try_cast("double")
     fam = F.upper(F.col("_best.family"))
     bc = F.get(segs, 0)["booking_class"]
-    recs = _record(d.withColumn("_lay_min", lay_min), "WN", "southwest",
+    more = _details(details, F.get(segs, 0)["depart_local"], F.element_at(segs, -1)["arrive_local"], F.get(segs, 0)["aircraft"], F.col("_lay_min"))
+    recs = _record(d.withColumn("_lay_min", lay_min), "WN", "southwest", keep=more,
                    points_cost=F.col("_best.points"), cash_cost=F.coalesce(taxes, F.lit(0.0)),
                    cabin_class=F.lit("economy"), stops=F.size(segs) - 1,
                    raw_flight_number=F.array_join(F.transform(segs, lambda s: F.concat(F.lit("WN "), s["flight_num"])), "+"),
@@ -360,7 +407,7 @@ def _carrier_nums(items: Column) -> Column:
     return F.filter(nums, lambda n: n.isNotNull())
 
 
-def flatten_delta(bronze: DataFrame, airports: DataFrame) -> DataFrame:
+def flatten_delta(bronze: DataFrame, airports: DataFrame, details: bool = False) -> DataFrame:
     """nrm_delta: one record per priced branded fare. Cabin from the dominant brand, else the
     most premium leg brand; farePrice may be a list or an object; trip duration from the
     day/hour/minute object, else arrival - departure instants."""
@@ -403,7 +450,12 @@ def flatten_delta(bronze: DataFrame, airports: DataFrame) -> DataFrame:
                  (F.size(F.array_distinct(leg_cabins)) > 1).alias("_mixed"))
     f = f.filter(F.col("_cabin").isNotNull() & (F.col("_miles") > 0))
     ft = F.col("off.additionalOfferProperties.fareType")
-    recs = _record(f, "DL", "delta", keep=[F.col("_mixed").alias("mixed_cabin")],
+    craft = F.get(F.col("_legs"), 0)["aircraft"]
+    waits = F.filter(F.transform("_legs", lambda l: dhm_minutes(l["layover"]["layoverDuration"])), lambda m: m.isNotNull())
+    more = _details(details, F.when(F.col("_otz").isNotNull(), dep_l), F.when(F.col("_dtz").isNotNull(), arr_l),
+                    F.coalesce(F.when(F.length(craft["fleetTypeCode"]) > 0, craft["fleetTypeCode"]), craft["subFleetTypeCode"]),
+                    _sum(waits), F.col("_mixed"))
+    recs = _record(f, "DL", "delta", keep=more or [F.col("_mixed").alias("mixed_cabin")],
                    points_cost=F.col("_miles").try_cast("long"), cash_cost=F.coalesce(F.col("_cash"), F.lit(0.0)),
                    cabin_class=F.col("_cabin"), stops=F.col("_stops"),
                    available_seats=F.coalesce(F.col("fi.availableSeatCnt"), F.lit(-1)), raw_flight_number=F.col("_raw_fn"),
@@ -439,7 +491,7 @@ def _obj(flat: Column, ref: Column, schema: str) -> Column:
     return F.from_json(_deref(flat, ref), schema)
 
 
-def flatten_alaska(bronze: DataFrame) -> DataFrame:
+def flatten_alaska(bronze: DataFrame, details: bool = False) -> DataFrame:
     """nrm_alaska_deref: locate the chunk whose root has 'rows', then resolve integer references
     through the flat array (rows -> segments / solutions -> primitives); one record per priced
     solution. Depth is fixed by the format, so plain expressions resolve it."""
@@ -472,6 +524,14 @@ def flatten_alaska(bronze: DataFrame) -> DataFrame:
                  F.when(dur > 0, dur.try_cast("int")).alias("_dur"),
                  F.when(F.size(lay) > 0, F.array_join(lay, ",")).alias("_lay"),
                  F.coalesce(F.try_to_date(F.substring(arr_txt, 1, 10)) > F.col("travel_date"), F.lit(False)).alias("_nd"))
+    if details:  # before the solutions, so that a row's times are read once
+        dep_txt = F.coalesce(_deref(flat, first["departureDateTime"]), _deref(flat, first["departureTime"]))
+        at = lambda s, a, b: F.try_to_timestamp(F.coalesce(_deref(flat, s[a]), _deref(flat, s[b])), F.lit("yyyy-MM-dd'T'HH:mm:ssXXX"))
+        n = F.size("_seg_objs")
+        gaps = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.when(n > 1, F.timestamp_diff(
+            "MINUTE", at(F.get("_seg_objs", i - 1), "arrivalDateTime", "arrivalTime"), at(F.get("_seg_objs", i), "departureDateTime", "departureTime"))))
+        r = r.select("*", *_details(True, _wall_clock(dep_txt), _wall_clock(arr_txt), _deref(flat, first["equipmentCode"]),
+                                    _sum(F.filter(gaps, lambda g: g > 0))))
     sols = F.from_json(_deref(flat, F.col("_row.solutions")), "map<string,bigint>")
     s = r.select("*", F.posexplode(F.map_entries(F.coalesce(sols, F.create_map().cast("map<string,bigint>")))).alias("sol_pos", "sol"))
     s = s.filter(F.col("sol.value") != -1).withColumn("_cabin", lookup(ALASKA_CABINS, F.upper("sol.key")))
@@ -482,7 +542,7 @@ def flatten_alaska(bronze: DataFrame) -> DataFrame:
     seats_txt = _deref(flat, F.col("_so.seatsRemaining"))
     fc = F.coalesce(_deref(flat, F.col("_so.bookingCode")), _deref(flat, F.col("_so.fareClass")), _deref(flat, F.col("_so.bookingClass")))
     s = s.filter(pts > 0)
-    recs = _record(s, "AS", "alaska", points_cost=pts.try_cast("long"), cash_cost=F.coalesce(fees, F.lit(0.0)),
+    recs = _record(s, "AS", "alaska", keep=DETAIL_COLS if details else (), points_cost=pts.try_cast("long"), cash_cost=F.coalesce(fees, F.lit(0.0)),
                    cabin_class=F.col("_cabin"), stops=F.col("_stops"),
                    available_seats=F.when(seats_txt.rlike(r"^-?\d+$"), F.coalesce(seats_txt.try_cast("int"), F.lit(-1))).otherwise(F.lit(-1)),
                    raw_flight_number=F.col("_raw_fn"), partner_airline=F.col("_partner"), duration_minutes=F.col("_dur"),
