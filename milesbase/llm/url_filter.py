@@ -10,12 +10,13 @@ URLs without a rule get ``allow`` at or above the cutoff.
 
 Scale: models are tables of n-grams with their counts, which grow with the variety of n-grams
 and not with the URLs; positions are joined with the scores of their n-gram. A single n-gram holds
-at most a few percent of all positions, and equal URLs are scored once, with their number of rows as weight.
+at most a few percent of all positions, and equal URLs are scored once, with their number of rows as weight. The counts of the n-grams
+and the URLs' scores are each worked out once and written to the shared folder.
 
 Edge cases: URLs without ``://`` have empty host and path and no rule, and are scored as they stand; null and
 empty URLs have score 0 (``allow``);
 with no accepted or no rejected training URL every score is 0 and the verdict ``allow``;
-repeated rows get a row each; other columns pass through untouched.
+repeated rows get a row each; a very long URL is modelled whole, one n-gram per character; other columns pass through untouched.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from milesbase.llm.common import free_name
+from milesbase.llm.common import free_name, staged
 
 #: (verdict, host, path) of the production rule list
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -122,16 +123,17 @@ def url_verdicts(pages: DataFrame, url_col: str = "url", rules: list = RULES, or
                   F.count(F.lit(1)).alias("rows")))
     held = F.pmod(F.xxhash64("text"), F.lit(5)) == 0
     grams = texts.select("text", "verdict", "rows", held.alias("held"), F.explode(_grams(F.col("text"), order)).alias("gram"))
-    # one shuffle of pre-aggregated n-grams gives the training counts and the list of those to score
-    counts = grams.groupBy("gram").agg(
+    # one shuffle of pre-aggregated n-grams gives the training counts and the list of those to score; written once, like the
+    # scores, since the models of all orders, the calibration and the verdicts read them again
+    counts = staged(grams.groupBy("gram").agg(
         F.sum(F.when(~F.col("held") & (F.col("verdict") == "allow"), F.col("rows")).otherwise(0)).alias("a"),
-        F.sum(F.when(~F.col("held") & (F.col("verdict") == "block"), F.col("rows")).otherwise(0)).alias("r"))
+        F.sum(F.when(~F.col("held") & (F.col("verdict") == "block"), F.col("rows")).otherwise(0)).alias("r")), "url-grams")
     train = counts.where("a > 0 OR r > 0")
     ratios = gram_scores(train, counts.select("gram"), order, min_context)
-    scored = (grams.join(ratios, "gram").groupBy("text")
+    scored = staged(grams.join(ratios, "gram").groupBy("text")
               .agg(F.first("verdict").alias("verdict"), F.first("held").alias("held"), F.first("rows").alias("rows"),
                    # exact decimals add up alike in any order
-                   (F.sum(F.col("ratio").cast("decimal(18,12)")) / F.count(F.lit(1))).cast("double").alias("score")))
+                   (F.sum(F.col("ratio").cast("decimal(18,12)")) / F.count(F.lit(1))).cast("double").alias("score")), "url-scores")
     both = train.agg((F.max("a") > 0).alias("has_a"), (F.max("r") > 0).alias("has_r"))
     cut = _calibrated(scored.where("held AND verdict IS NOT NULL")
                       .select("score", "rows", (F.col("verdict") == "allow").alias("accepted")))
