@@ -7,11 +7,12 @@ import os
 
 from pyspark.sql import functions as F
 
+from milesbase.operators.numbering import stored
 from milesbase.plans import domain as D
 from milesbase.plans import queue_plans as QP
 from milesbase.plans.registry import query
 from milesbase.sources.fixtures import AS_OF
-from milesbase.streaming import jobs
+from milesbase.streaming import due, jobs
 
 
 @query("str_merge", """
@@ -70,3 +71,23 @@ def str_route_state(spark, sf_dir):
     jobs.land(ev, os.path.join(base, "landing"), jobs.ROUTE_KEY)
     return jobs.route_state_stream(spark, os.path.join(base, "landing"), os.path.join(base, "out"),
                                    os.path.join(base, "checkpoint"))
+
+
+@query("str_due_events", """
+WITH s AS (SELECT origin, destination, airline, scraped_at_utc, max(expires_at_utc) AS due_at_utc FROM award_batch GROUP BY ALL),
+n AS (SELECT *, lead(scraped_at_utc) OVER (PARTITION BY origin, destination, airline ORDER BY scraped_at_utc) AS nxt,
+ max(scraped_at_utc) OVER () AS seen FROM s)
+SELECT origin, destination, airline, scraped_at_utc, due_at_utc FROM n WHERE due_at_utc <= nxt OR (nxt IS NULL AND due_at_utc <= seen)""",
+       D.AWARD_BATCH_CTE)
+def str_due_events(spark, sf_dir):
+    """Routes whose data expired without a newer scrape, reported by event-time timers; the scrapes land day by day, and the job is
+    started again for each day."""
+    base = jobs.job_dir(spark, "str_due_events")
+    s = D.award_batch(D.lk(spark, sf_dir)).groupBy(*due.KEY, F.col("scraped_at_utc").alias("t")).agg(F.max("expires_at_utc").alias("due"))
+    s = stored(s, "scrapes")
+    days = [r["d"] for r in s.select(F.to_date("t").alias("d")).distinct().orderBy("d").collect()]  # one row per day landed
+    out = None
+    for day in days:
+        due.land_slice(s.filter(F.to_date("t") == F.lit(day)), os.path.join(base, "landing"))
+        out = due.due_events(spark, os.path.join(base, "landing"), os.path.join(base, "out"), os.path.join(base, "checkpoint"))
+    return out

@@ -37,6 +37,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     conf = dict(SESSION_CONF)
     conf["spark.ui.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
+    # Python workers and the state server of transformWithState talk over files, not over TCP ports
+    conf["spark.python.unix.domain.socket.enabled"] = "true"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
