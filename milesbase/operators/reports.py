@@ -7,7 +7,7 @@ the queue never fans out over flight rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from milesbase.functions import exprs as X
@@ -170,3 +170,28 @@ def check_constraint_violations(awards: DataFrame, cash: DataFrame, bonuses: Dat
         F.struct(F.lit(tbl).alias("table_name"), F.lit(n).alias("constraint_name"), F.col(n).alias("violations"))
         for n in df.columns])).alias("s")).select("s.*")
     return stack(a, "flights").unionByName(stack(c, "cash_fares")).unionByName(stack(b, "transfer_bonuses"))
+
+
+def run_pressure(attempts: DataFrame, due: DataFrame, budget_s: int, airline: Column) -> DataFrame:
+    """agg_run_outcome with a time budget and queue pressure. A run begins no route once ``budget_s`` seconds have passed since its
+    first attempt: routes not begun are left out of its outcome and it has stopped early (unless a block ended it before).
+
+    due: distinct (origin, dest, airline) of the due routes; ``airline``: a run's carrier. Adds the airline's due routes, those of them
+    that the run was given, how many stay due, and the fill ratio (half-even, null without due routes)."""
+    begun = attempts.groupBy("run_id", "origin", "dest").agg(F.min("ts").alias("_from"))
+    start = attempts.groupBy("run_id").agg(F.min("ts").alias("_start"))
+    routes = begun.join(start, "run_id").withColumn(
+        "_reached", F.timestamp_diff("MICROSECOND", F.col("_start"), F.col("_from")) < F.lit(budget_s * 1_000_000))
+    reached = attempts.join(routes.filter("_reached").select("run_id", "origin", "dest"), ["run_id", "origin", "dest"], "left_semi")
+    given = routes.withColumn("airline", airline).join(due.withColumn("_due", F.lit(True)), ["origin", "dest", "airline"], "left")
+    given = given.groupBy("run_id").agg(F.first("airline").alias("airline"), F.count("_due").alias("queue_selected_routes"),
+                                        F.count_if(~F.col("_reached")).alias("_left"))
+    total = due.groupBy("airline").agg(F.count(F.lit(1)).alias("due_routes"))
+    out = run_outcome(reached).join(given, "run_id").join(total, "airline", "left")
+    due_n, picked = F.coalesce("due_routes", F.lit(0)), F.col("queue_selected_routes")
+    stopped = (F.col("_left") > 0) & ~F.col("blocked")
+    return out.select(
+        "run_id", "airline", "blocked", stopped.alias("stopped_early"), "records", "errors", "routes_scraped", "routes_with_progress",
+        "routes_zero", F.when((F.col("status") == "healthy") & stopped, "partial").otherwise(F.col("status")).alias("status"),
+        due_n.alias("due_routes"), picked, F.greatest(due_n - picked, F.lit(0)).alias("queue_left_due_estimate"),
+        F.when(due_n > 0, F.bround(picked / due_n, 2)).alias("queue_fill_ratio"))

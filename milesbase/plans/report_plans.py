@@ -115,6 +115,40 @@ def agg_run_outcome(spark, sf_dir):
     return reports.run_outcome(D.lk(spark, sf_dir).fx_attempt)
 
 
+RUN_BUDGET_S = 5 * 86_400  # the log's runs take weeks
+_RUN_AIRLINE = {0: "AS", 1: "DL", 2: "B6", 3: "TK", 4: "EY"}
+_RUN_AIRLINE_SQL = "CASE run_id % 6 " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in _RUN_AIRLINE.items()) + " ELSE 'WN' END"
+
+
+@query("agg_run_pressure", f"""
+WITH rt AS (SELECT run_id, origin, dest, min(ts) AS t, min(min(ts)) OVER (PARTITION BY run_id) AS t0 FROM fx_attempt GROUP BY run_id, origin, dest),
+rr AS (SELECT *, epoch_us(t) - epoch_us(t0) < {RUN_BUDGET_S * 1_000_000} AS reached, {_RUN_AIRLINE_SQL} AS airline FROM rt),
+att AS (SELECT x.* FROM fx_attempt x JOIN rr USING (run_id, origin, dest) WHERE reached),
+bl AS (SELECT run_id, min(seq) AS b_seq, arg_min(origin, seq) AS bo, arg_min(dest, seq) AS bd FROM att WHERE outcome = 'blocked' GROUP BY run_id),
+pr AS (SELECT att.run_id, origin, dest, bool_or(origin = bo AND dest = bd) IS TRUE AS is_blocked, sum(records) AS records,
+  count(*) FILTER (WHERE outcome = 'error') AS errors, count(*) FILTER (WHERE outcome IN ('ok', 'empty')) AS prog
+  FROM att LEFT JOIN bl ON bl.run_id = att.run_id WHERE b_seq IS NULL OR seq < b_seq GROUP BY att.run_id, origin, dest),
+pu AS (SELECT run_id, sum(records) AS records, sum(errors) AS errors, count(*) FILTER (WHERE NOT is_blocked) AS routes_scraped,
+  count(*) FILTER (WHERE NOT is_blocked AND prog > 0) AS routes_with_progress, count(*) FILTER (WHERE NOT is_blocked AND records = 0) AS routes_zero FROM pr GROUP BY run_id),
+du AS (SELECT DISTINCT origin, dest, airline FROM fx_queue WHERE next_scrape_at_utc <= TIMESTAMP '{AS_OF}'),
+dn AS (SELECT airline, count(*) AS due_routes FROM du GROUP BY airline),
+gv AS (SELECT run_id, any_value(airline) AS airline, count(*) FILTER (WHERE EXISTS (SELECT 1 FROM du WHERE du.origin = rr.origin AND du.dest = rr.dest AND du.airline = rr.airline)) AS queue_selected_routes,
+  count(*) FILTER (WHERE NOT reached) AS left_n FROM rr GROUP BY run_id),
+o AS (SELECT gv.run_id, gv.airline, bl.run_id IS NOT NULL AS blocked, left_n > 0 AND bl.run_id IS NULL AS stopped_early,
+  CAST(coalesce(records, 0) AS BIGINT) AS records, CAST(coalesce(errors, 0) AS BIGINT) AS errors, coalesce(routes_scraped, 0) AS routes_scraped,
+  coalesce(routes_with_progress, 0) AS routes_with_progress, coalesce(routes_zero, 0) AS routes_zero, coalesce(due_routes, 0) AS due_routes, queue_selected_routes
+  FROM gv LEFT JOIN bl USING (run_id) LEFT JOIN pu USING (run_id) LEFT JOIN dn ON dn.airline = gv.airline)
+SELECT *, CASE WHEN blocked THEN 'blocked' WHEN errors > 0 AND routes_with_progress = 0 THEN 'failed' WHEN errors > 0 OR stopped_early THEN 'partial' ELSE 'healthy' END AS status,
+ greatest(due_routes - queue_selected_routes, 0) AS queue_left_due_estimate,
+ CASE WHEN due_routes > 0 THEN round_even(queue_selected_routes / due_routes, 2) END AS queue_fill_ratio FROM o""")
+def agg_run_pressure(spark, sf_dir):
+    """agg_run_outcome under a time budget (stopped early) with queue pressure: due routes of the run's airline, those given to it,
+    those left due, fill ratio."""
+    L = D.lk(spark, sf_dir)
+    due = L.fx_queue.filter(F.col("next_scrape_at_utc") <= F.lit(AS_OF).cast("timestamp_ntz")).select("origin", "dest", "airline").distinct()
+    return reports.run_pressure(L.fx_attempt, due, RUN_BUDGET_S, X.case_map(F.pmod("run_id", F.lit(6)), _RUN_AIRLINE, "WN"))
+
+
 @query("agg_cash_run", """
 SELECT runs.run_id, CAST(coalesce(a.units, 0) AS BIGINT) AS units, CAST(coalesce(a.fares, 0) AS BIGINT) AS fares,
  CAST(coalesce(a.zero, 0) AS BIGINT) AS zero, CAST(coalesce(a.failed, 0) AS BIGINT) AS failed, runs.nb > 0 AS blocked

@@ -74,13 +74,13 @@ def str_route_state(spark, sf_dir):
 
 
 @query("str_due_events", """
-WITH s AS (SELECT origin, destination, airline, scraped_at_utc, max(expires_at_utc) AS due_at_utc FROM award_batch GROUP BY ALL),
-n AS (SELECT *, lead(scraped_at_utc) OVER (PARTITION BY origin, destination, airline ORDER BY scraped_at_utc) AS nxt,
+WITH s AS (SELECT origin, destination, airline, date, scraped_at_utc, max(expires_at_utc) AS due_at_utc FROM award_batch GROUP BY ALL),
+n AS (SELECT *, lead(scraped_at_utc) OVER (PARTITION BY origin, destination, airline, date ORDER BY scraped_at_utc) AS nxt,
  max(scraped_at_utc) OVER () AS seen FROM s)
-SELECT origin, destination, airline, scraped_at_utc, due_at_utc FROM n WHERE due_at_utc <= nxt OR (nxt IS NULL AND due_at_utc <= seen)""",
+SELECT origin, destination, airline, date, scraped_at_utc, due_at_utc FROM n WHERE due_at_utc <= nxt OR (nxt IS NULL AND due_at_utc <= seen)""",
        D.AWARD_BATCH_CTE)
 def str_due_events(spark, sf_dir):
-    """Routes whose data expired without a newer scrape, reported by event-time timers; the scrapes land day by day, and the job is
+    """Travel dates of routes whose data expired without a newer scrape, reported by event-time timers; the scrapes land day by day, and the job is
     started again for each day."""
     base = jobs.job_dir(spark, "str_due_events")
     s = D.award_batch(D.lk(spark, sf_dir)).groupBy(*due.KEY, F.col("scraped_at_utc").alias("t")).agg(F.max("expires_at_utc").alias("due"))

@@ -1,9 +1,9 @@
-"""Due events from timers (str_due_events): a route whose data expire without a newer scrape is reported when that time has come,
-without any further input for it.
+"""Due events from timers (str_due_events): a route's travel date whose data expire without a newer scrape is reported when that time
+has come, without any further input for it.
 
-``transformWithStateInPandas`` in event time: the state of a route is its newest scrape and that scrape's expiry, for which a timer
-is set; a newer scrape moves the timer. A timer fires once the watermark, the newest scrape time of all routes so far, has passed it.
-A route silent for ``ttl_days`` loses its state. Rows older than the route's newest scrape change nothing.
+``transformWithStateInPandas`` in event time: the state of a route and date is its newest scrape and that scrape's expiry, for which a timer
+is set; a newer scrape moves the timer. A timer fires once the watermark, the newest scrape time of all keys so far, has passed it.
+A key silent for ``ttl_days`` loses its state. Rows older than the key's newest scrape change nothing.
 """
 
 from __future__ import annotations
@@ -15,9 +15,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from milesbase.streaming.jobs import _run_available_now
 
-KEY = ["origin", "destination", "airline"]
-SCHEMA = "origin string, destination string, airline string, t timestamp, due timestamp"
-OUT = "origin string, destination string, airline string, scraped_at_us long, due_at_us long"
+KEY = ["origin", "destination", "airline", "date"]
+SCHEMA = "origin string, destination string, airline string, date date, t timestamp, due timestamp"
+OUT = "origin string, destination string, airline string, date date, scraped_at_us long, due_at_us long"
 
 
 def _us(ts) -> int:
@@ -25,7 +25,7 @@ def _us(ts) -> int:
 
 
 class DueRoutes(StatefulProcessor):
-    """State: (newest scrape, its expiry) in microseconds; at most one timer per route."""
+    """State: (newest scrape, its expiry) in microseconds; at most one timer per key."""
 
     def __init__(self, ttl_days: int) -> None:
         self.ttl_ms = ttl_days * 86_400_000
@@ -41,7 +41,7 @@ class DueRoutes(StatefulProcessor):
         self.handle.registerTimer(-(-due // 1000))  # milliseconds, not before the expiry
 
     def _row(self, key, t: int, due: int) -> dict:
-        return {"origin": key[0], "destination": key[1], "airline": key[2], "scraped_at_us": t, "due_at_us": due}
+        return {**dict(zip(KEY, key)), "scraped_at_us": t, "due_at_us": due}
 
     def handleInputRows(self, key, rows, timerValues):
         new = sorted({(_us(t), _us(d)) for pdf in rows for t, d in zip(pdf["t"], pdf["due"])})
@@ -84,6 +84,6 @@ def due_events(spark: SparkSession, landing: str, out: str, checkpoint: str, ttl
 
 
 def land_slice(df: DataFrame, landing: str) -> None:
-    """One arrival of scrapes (route, t, due) as files of their own."""
+    """One arrival of scrapes (route, date, t, due) as files of their own."""
     df.select(*KEY, F.col("t").cast("timestamp").alias("t"), F.col("due").cast("timestamp").alias("due")) \
       .write.mode("append").parquet(landing)

@@ -14,7 +14,7 @@ def _at(h):
 
 
 def _land(spark, landing, *rows):
-    df = spark.createDataFrame([("AAA", r, "AS", _at(t), _at(d)) for r, t, d in rows], due.SCHEMA)
+    df = spark.createDataFrame([("AAA", r, "AS", dt.date(2024, 2, 9), _at(t), _at(d)) for r, t, d in rows], due.SCHEMA)
     due.land_slice(df.coalesce(1), landing)
 
 
