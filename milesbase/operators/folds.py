@@ -63,6 +63,7 @@ def change_rate(flags: DataFrame, key=ROUTE, t="scraped_at_utc", alpha=CHANGE_RA
 
 
 BLOCK = 256
+HISTORY = 16_384  # observations of one key that are folded in one list
 
 
 def reduced(rows: DataFrame, key, state: str, compose: Callable[[Column, Column], Column], block: int = BLOCK) -> DataFrame:
@@ -166,13 +167,14 @@ def mark_scraped_fold(events: DataFrame, bounds: DataFrame, key=ROUTE, alpha=CHA
 
 
 def merge_replay(log: DataFrame, key, material, t="scraped_at_utc", expiry="expires_at_utc",
-                 order=(), block: int = BLOCK) -> DataFrame:
+                 order=(), block: int = HISTORY) -> DataFrame:
     """fold_merge_replay: each observation applied at its own time; it replaces the stored
     row when a material column differs or the stored row has expired by then.
 
     An exact repeat (same time, material and expiry) is never applied after its twin, so
     repeats are collapsed first; the groupBy pre-aggregates map-side, hot duplicates included. Keys of at most ``block``
-    rows are folded in one short list each; longer histories are never gathered (``_replayed_by_pointers``)."""
+    rows (some megabytes) are folded in one list each; longer histories are never gathered (``_replayed_by_pointers``, which
+    shuffles its rows once for each doubling)."""
     key = list(key)
     cols = list(dict.fromkeys([*key, t, *order, expiry, *material]))
     log = stored(log.groupBy(*cols).agg(F.count(F.lit(1)).alias("_dups")).drop("_dups"), "replay-log")
@@ -188,15 +190,19 @@ def merge_replay(log: DataFrame, key, material, t="scraped_at_utc", expiry="expi
 
 
 def _replayed_in_lists(log: DataFrame, key, material, t, expiry, order) -> DataFrame:
-    item = F.struct(F.col(t).alias("t"), *[F.col(c) for c in order], F.col(expiry).alias("e"), F.struct(*material).alias("m"))
+    # by time, order and expiry, then material; each column is in the list once
+    names = {c: f"v{i}" for i, c in enumerate(dict.fromkeys([t, *order, expiry, *material]))}
+    item = F.struct(*[F.col(c).alias(v) for c, v in names.items()])
     h = log.groupBy(*key).agg(F.array_sort(F.collect_list(item)).alias("h"))
-    first = F.element_at("h", 1)
-    init = F.struct(first["m"].alias("m"), first["t"].alias("t"), first["e"].alias("e"), F.lit(1).alias("writes"))
+
+    def state(x, writes):
+        return F.struct(F.struct(*[x[names[c]].alias(c) for c in material]).alias("m"), x[names[t]].alias("t"), x[names[expiry]].alias("e"), writes.alias("writes"))
+
+    init = state(F.element_at("h", 1), F.lit(1))
 
     def step(acc, x):
-        apply = ~acc["m"].eqNullSafe(x["m"]) | (acc["e"] <= x["t"])
-        return F.when(apply, F.struct(x["m"].alias("m"), x["t"].alias("t"), x["e"].alias("e"),
-                                      (acc["writes"] + 1).alias("writes"))).otherwise(acc)
+        changed = X.any_of([~acc["m"][c].eqNullSafe(x[names[c]]) for c in material])
+        return F.when(changed | (acc["e"] <= x[names[t]]), state(x, acc["writes"] + 1)).otherwise(acc)
 
     rest = F.slice("h", 2, F.greatest(F.size("h") - 1, F.lit(0)))
     s = h.select(*key, F.aggregate(rest, init, step).alias("s"))
