@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from milesbase.operators import quality, sinks, transfers
+from milesbase.operators.numbering import stored
 from milesbase.plans import domain as D
 from milesbase.plans.monitoring_plans import snk_run_metrics
 from milesbase.plans.registry import ORACLES, query
@@ -126,7 +127,7 @@ def snk_validated(spark, sf_dir):
 
 def snk_run_metrics_log(spark, sf_dir):
     """The metrics table after three appends: some runs, then all runs, then all runs again (a replayed job). Each run is in it once."""
-    path, rows = _folder(spark, "run-metrics"), snk_run_metrics(spark, sf_dir)
+    path, rows = _folder(spark, "run-metrics"), stored(snk_run_metrics(spark, sf_dir), "run-metrics")
     sinks.append_once(rows.filter(F.pmod("run_id", F.lit(2)) == 0), path, ["run_id"], 0)
     sinks.append_once(rows, path, ["run_id"], 1)
     return sinks.append_once(rows, path, ["run_id"], 1).drop("batch_id")
