@@ -98,6 +98,12 @@ def first_wins(recs: DataFrame, ordinal: str = "_ord") -> DataFrame:
     return g.select(*key, "_v.*").select(*cols)
 
 
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a costly column worked out once a row. Spark pushes filters below the select of the columns they read, with
+    a copy of the expression for each condition; a generator's output stays where it is."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def quarantined(bronze: DataFrame, root: str) -> DataFrame:
     """Responses that no flattener can read, with a reason: ``missing`` (null or blank payload),
     ``malformed`` (not JSON) or ``unexpected_shape`` (nothing at the JSON path ``root`` that holds the offers)."""
@@ -172,9 +178,10 @@ def turkish_payload_ok(p: Column) -> Column:
 def flatten_turkish(bronze: DataFrame, airports: DataFrame, details: bool = False) -> DataFrame:
     """nrm_turkish: one record per (option x priced cabin); miles only; 'DD-MM-YYYY HH:MM' local
     times at airport zones; flight numbers lose leading zeros; first (flight, cabin) wins."""
-    p = bronze.withColumn("_p", F.from_json("payload", TURKISH_SCHEMA)).filter(turkish_payload_ok(F.col("_p")))
+    p = bronze.withColumn("_p", F.from_json("payload", TURKISH_SCHEMA))
     opts = F.get(F.col("_p.data.originDestinationInformationList"), 0)["originDestinationOptionList"]
-    o = p.select(*RESPONSE, F.posexplode(opts).alias("opt_pos", "opt"))
+    # a condition, not a filter: that would parse the payload again for each of its parts
+    o = p.select(*RESPONSE, F.posexplode(F.when(turkish_payload_ok(F.col("_p")), opts)).alias("opt_pos", "opt"))
     segs = F.col("opt.segmentList")
     nums = F.filter(F.transform(segs, lambda s: F.when(
         s["flightCode"]["airlineCode"].isNotNull() & (s["flightCode"]["airlineCode"] != "") & s["flightCode"]["flightNumber"].isNotNull(),
@@ -323,10 +330,10 @@ def flatten_southwest(bronze: DataFrame, details: bool = False) -> DataFrame:
     p = bronze.withColumn("_p", F.from_json("payload", SOUTHWEST_SCHEMA))
     a = p.select(*RESPONSE, F.posexplode(F.coalesce(F.col("_p.data.searchResults.airProducts"), F.array())).alias("ap_pos", "ap"))
     d = a.select(*RESPONSE, "ap_pos", F.posexplode(F.coalesce(F.col("ap.details"), F.array())).alias("det_pos", "det"))
-    d = d.withColumn("_best", cheapest_available(F.coalesce(F.col("det.fareProducts.ADULT"),
-                                                            F.create_map().cast("map<string," + _WN_FP + ">"))))
+    d = _once(d, "_best", cheapest_available(F.coalesce(F.col("det.fareProducts.ADULT"),
+                                                        F.create_map().cast("map<string," + _WN_FP + ">"))))
     d = d.filter(F.col("_best").isNotNull())
-    d = d.withColumn("_segs", product_segments(F.col("_best.fp.productId"))).filter(F.size("_segs") > 0)
+    d = _once(d, "_segs", product_segments(F.col("_best.fp.productId"))).filter(F.size("_segs") > 0)
     segs = F.col("_segs")
     inner = F.slice(segs, 1, F.greatest(F.size(segs) - 1, F.lit(0)))
     lay = F.filter(F.transform(inner, lambda s: s["dest"]), lambda x: F.length(x) == 3)
@@ -416,7 +423,7 @@ def flatten_delta(bronze: DataFrame, airports: DataFrame, details: bool = False)
     trip = F.get(F.col("os.trips"), 0)
     s = s.filter(trip.isNotNull()).withColumn("_trip", trip)
     legs = F.flatten(F.transform(F.coalesce(F.col("_trip.flightSegment"), F.array()), lambda g: F.coalesce(g["flightLeg"], F.array())))
-    s = s.withColumn("_legs", legs)
+    s = _once(s, "_legs", legs)
     nums = F.when(F.size(_carrier_nums(F.col("_trip.flightSegment"))) > 0, _carrier_nums(F.col("_trip.flightSegment"))) \
             .otherwise(_carrier_nums(F.col("_legs")))
     lay = F.filter(F.transform("_legs", lambda l: F.upper(l["layover"]["destinationAirportCode"])), lambda a: F.length(a) == 3)
@@ -429,33 +436,35 @@ def flatten_delta(bronze: DataFrame, airports: DataFrame, details: bool = False)
     dep = F.when(F.col("_otz").isNotNull(), F.convert_timezone(F.col("_otz"), F.lit("UTC"), dep_l))
     arr = F.when(F.col("_dtz").isNotNull(), F.convert_timezone(F.col("_dtz"), F.lit("UTC"), arr_l))
     diff = F.timestamp_diff("MINUTE", dep, arr)
-    s = s.select("*", F.coalesce(F.col("_trip.stopCnt"), F.greatest(F.size("_legs") - 1, F.lit(0))).alias("_stops"),
+    craft = F.get(F.col("_legs"), 0)["aircraft"]
+    waits = F.filter(F.transform("_legs", lambda l: dhm_minutes(l["layover"]["layoverDuration"])), lambda m: m.isNotNull())
+    more = _details(details, F.when(F.col("_otz").isNotNull(), dep_l), F.when(F.col("_dtz").isNotNull(), arr_l),
+                    F.coalesce(F.when(F.length(craft["fleetTypeCode"]) > 0, craft["fleetTypeCode"]), craft["subFleetTypeCode"]), _sum(waits))[:-1]
+    trip_cols = ["_stops", "_dur", "_raw_fn", "_lay", "_nd", *(DETAIL_COLS[:-1] if details else [])]  # all that a fare needs of its trip
+    s = s.select(*RESPONSE, "os", *more, F.coalesce(F.col("_trip.stopCnt"), F.greatest(F.size("_legs") - 1, F.lit(0))).alias("_stops"),
                  F.coalesce(dhm_minutes(F.col("_trip.totalTripTime")), F.when(diff > 0, diff)).alias("_dur"),
                  F.when(F.size(nums) > 0, F.array_join(nums, "+")).otherwise(F.lit("UNKNOWN")).alias("_raw_fn"),
                  F.when(F.size(lay) > 0, F.array_join(lay, ",")).alias("_lay"),
                  (arr.isNotNull() & F.coalesce(F.to_date(arr_l) > F.col("travel_date"), F.lit(False))).alias("_nd"))
-    o = s.select("*", F.posexplode(F.coalesce(F.col("os.offers"), F.array())).alias("off_pos", "off"))
+    o = s.select(*RESPONSE, *trip_cols, F.explode(F.coalesce(F.col("os.offers"), F.array())).alias("off"))
     fis = F.flatten(F.transform(F.coalesce(F.col("off.offerItems"), F.array()), lambda it: F.flatten(F.transform(
         F.coalesce(it["retailItems"], F.array()), lambda ri: F.coalesce(ri["retailItemMetaData"]["fareInformation"], F.array())))))
-    f = o.select("*", F.posexplode(fis).alias("fi_pos", "fi"))
+    offer = F.col("off.additionalOfferProperties")
+    f = o.select(*RESPONSE, *trip_cols, offer["fareType"].alias("_type"), offer["dominantSegmentBrandId"].alias("_brand"), F.explode(fis).alias("fi"))
     brands = F.filter(F.coalesce(F.col("fi.brandByFlightLegs"), F.array()), lambda b: F.length(b["brandId"]) > 0)
     leg_cabins = F.filter(F.transform(brands, lambda b: brand_to_cabin(b["brandId"])), lambda c: c.isNotNull())
-    cabin = F.coalesce(brand_to_cabin(F.col("off.additionalOfferProperties.dominantSegmentBrandId")), most_premium(leg_cabins))
+    cabin = F.coalesce(brand_to_cabin(F.col("_brand")), most_premium(leg_cabins))
     raw_price = F.col("fi.farePrice")
     price = F.when(F.trim(raw_price).startswith("["), F.get(F.from_json(raw_price, f"array<{_DL_PRICE}>"), 0)) \
              .otherwise(F.from_json(raw_price, _DL_PRICE))
-    f = f.select("*", cabin.alias("_cabin"), price["totalFarePrice"]["milesEquivalentPrice"]["mileCnt"].alias("_miles"),
-                 price["totalFarePrice"]["currencyEquivalentPrice"]["roundedCurrencyAmt"].alias("_cash"),
+    f = _once(f, "_fare", F.struct(price.alias("price"), cabin.alias("cabin")))
+    f = f.select("*", F.col("_fare.cabin").alias("_cabin"), F.col("_fare.price.totalFarePrice.milesEquivalentPrice.mileCnt").alias("_miles"),
+                 F.col("_fare.price.totalFarePrice.currencyEquivalentPrice.roundedCurrencyAmt").alias("_cash"),
                  F.get(F.filter(F.coalesce(F.col("fi.brandByFlightLegs"), F.array()), lambda b: F.length(b["cosCode"]) > 0), 0)["cosCode"].alias("_cos"),
                  (F.size(F.array_distinct(leg_cabins)) > 1).alias("_mixed"))
     f = f.filter(F.col("_cabin").isNotNull() & (F.col("_miles") > 0))
-    ft = F.col("off.additionalOfferProperties.fareType")
-    craft = F.get(F.col("_legs"), 0)["aircraft"]
-    waits = F.filter(F.transform("_legs", lambda l: dhm_minutes(l["layover"]["layoverDuration"])), lambda m: m.isNotNull())
-    more = _details(details, F.when(F.col("_otz").isNotNull(), dep_l), F.when(F.col("_dtz").isNotNull(), arr_l),
-                    F.coalesce(F.when(F.length(craft["fleetTypeCode"]) > 0, craft["fleetTypeCode"]), craft["subFleetTypeCode"]),
-                    _sum(waits), F.col("_mixed"))
-    recs = _record(f, "DL", "delta", keep=more or [F.col("_mixed").alias("mixed_cabin")],
+    ft = F.col("_type")
+    recs = _record(f, "DL", "delta", keep=[*(DETAIL_COLS[:-1] if details else []), F.col("_mixed").alias("mixed_cabin")],
                    points_cost=F.col("_miles").try_cast("long"), cash_cost=F.coalesce(F.col("_cash"), F.lit(0.0)),
                    cabin_class=F.col("_cabin"), stops=F.col("_stops"),
                    available_seats=F.coalesce(F.col("fi.availableSeatCnt"), F.lit(-1)), raw_flight_number=F.col("_raw_fn"),
@@ -499,7 +508,7 @@ def flatten_alaska(bronze: DataFrame, details: bool = False) -> DataFrame:
     p = bronze.withColumn("_p", F.from_json("payload", ALASKA_SCHEMA))
     chunk = F.get(F.filter(F.coalesce(F.col("_p.chunks"), F.array()), lambda c: (c["type"] == "chunk") & (
         F.get_json_object(F.get(c["data"], 0), "$.rows").isNotNull())), 0)
-    p = p.select(*RESPONSE, chunk["data"].alias("_flat")).filter(F.col("_flat").isNotNull())
+    p = p.select(*RESPONSE, chunk["data"].alias("_flat"))  # null without such a chunk, and then without rows
     flat = F.col("_flat")
     longs, none = "array<bigint>", F.array().cast("array<bigint>")
     rows_ref = F.get_json_object(F.get(flat, 0), "$.rows").try_cast("bigint")

@@ -22,9 +22,14 @@ ITEM_ORDER = ", ".join(ITEM)
 
 
 def responses(L, airline):
-    """One row per landed response (carrier, route, date, scrape time), items in payload order."""
-    a = L.fx_award.filter(F.col("airline") == airline)
-    return a.groupBy("origin", "destination", "date", "scraped_at_utc").agg(
+    """One row per landed response (carrier, route, date, scrape time), items in payload order.
+
+    Rendering and parsing a response takes far longer than moving its items, so the shuffle keeps its number of partitions; by
+    their bytes alone a provider's responses would be merged into one or two tasks."""
+    response = ["origin", "destination", "date", "scraped_at_utc"]
+    a = L.fx_award.filter(F.col("airline") == airline).select(*response, *ITEM)
+    a = a.repartition(int(L.spark.conf.get("spark.sql.shuffle.partitions")), *response)
+    return a.groupBy(*response).agg(
         F.array_sort(F.collect_list(F.struct(*ITEM))).alias("items"))
 
 

@@ -109,3 +109,25 @@ def test_records_keep_only_valid_rows(spark):
     recs = R.provider_records(D.lk(spark, E.SMOKE_DIR))
     assert set(recs.columns) == {*D.AWARD_KEY, *R.MATERIAL, "scraped_at_utc", "expires_at_utc", "program"}
     assert recs.filter(F.col("points_cost") <= 0).count() == 0
+
+
+def test_a_providers_responses_are_not_merged_into_few_tasks(spark):
+    """A provider's items are few bytes and a lot of parsing: its responses keep the shuffle's number of partitions."""
+    import __spark_entry__ as E
+    from milesbase.plans import flatten_plans as FP
+    made = FP.responses(D.lk(spark, E.SMOKE_DIR), "AS")
+    tasks = made.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+@pytest.mark.parametrize("flatten, parses", [
+    (lambda b, z: FL.flatten_turkish(b, z, details=True), 1), (lambda b, z: FL.flatten_southwest(b, details=True), 1),
+    (lambda b, z: FL.flatten_delta(b, z, details=True), 3),  # the payload, then a price as a list or as an object
+    (lambda b, z: FL.flatten_alaska(b, details=True), 9)], ids=["turkish", "southwest", "delta", "alaska"])
+def test_filters_on_records_repeat_no_parsing(spark, flatten, parses):
+    from milesbase.operators import quality
+    recs = quality.filter_valid(flatten(_bronze(spark, {}), _airports(spark, "BOS", "LHR")), "2024-01-31")
+    plan = recs._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == parses
+    assert not [x for x in plan.splitlines() if "Filter" in x and ("from_json(" in x or "transform(" in x or "aggregate(" in x)]
+    assert recs.count() == 0
