@@ -30,6 +30,7 @@ K = 10
 EPS = 3.0
 BLOCK = 4096
 QUERY_BLOCK = 512
+STEP = 64  # queries of a pair of blocks measured at a time: bounds what a task holds
 INDEX = "block int, ids binary, vectors binary, codes binary, norms binary, inner binary"
 
 
@@ -63,28 +64,44 @@ def estimates(codes: np.ndarray, norms: np.ndarray, inner: np.ndarray, queries:
     return base - scale * np.clip(cosine, -1, 1), base - scale * np.minimum(1, cosine + error + 1e-5)
 
 
-def exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Euclidean distances row by row, components added in order."""
-    total = np.zeros(len(a))
-    for j in range(a.shape[1]):
-        d = a[:, j] - b[:, j]
-        total += d * d
-    return np.sqrt(total)
+def exact(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Euclidean distances of ``a[:, i]`` and ``b[:, j]`` (one vector a column), components added in order.
+
+    One component of a block is a run of memory that fits the cache, so that picking from it costs little; whole vectors
+    would be copied for every pair."""
+    total = np.zeros(len(i))
+    for x, y in zip(a, b):
+        d = x.take(i)
+        d -= y.take(j)
+        d *= d
+        total += d
+    return np.sqrt(total, out=total)
 
 
 def search_block(ids, vectors, codes, norms, inner, query_ids, queries, centre, turn, k: int = K, eps: float = EPS):
     """The ``k`` nearest of one block for each query: query index, vector index, distance."""
+    across = np.ascontiguousarray(vectors.T)
+    parts = [_search(ids, across, codes, norms, inner, query_ids[a:a + STEP], queries[a:a + STEP], centre, turn, k, eps)
+             for a in range(0, len(queries), STEP)]
+    if not parts:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    return np.concatenate([q + n * STEP for n, (q, _, _) in enumerate(parts)]), *[np.concatenate([p[x] for p in parts]) for x in (1, 2)]
+
+
+def _search(ids, across, codes, norms, inner, query_ids, queries, centre, turn, k, eps):
     guess, low = estimates(codes, norms, inner, queries, centre, turn, eps)
     own = query_ids[:, None] == ids[None, :]
     guess[own], low[own] = np.inf, np.inf
+    asked = np.ascontiguousarray(queries.T)
     m = min(k, len(ids))
     first = np.argpartition(guess, m - 1, axis=1)[:, :m]
-    q = np.repeat(np.arange(len(queries)), m)
-    d = exact(vectors[first.reshape(-1)], queries[q]).reshape(-1, m)
+    d = exact(across, asked, first.reshape(-1), np.repeat(np.arange(len(queries)), m)).reshape(-1, m)
     d[np.take_along_axis(own, first, 1)] = np.inf
     worst = d.max(axis=1) if len(ids) >= k else np.full(len(queries), np.inf)
     q, v = np.nonzero((low <= (worst**2 * (1 + 1e-6))[:, None]) & ~own)
-    d = exact(vectors[v], queries[q])
+    d = exact(across, asked, v, q)
+    near = d <= worst[q]  # the worst of k measured ones bounds the k-th; only these are sorted
+    q, v, d = q[near], v[near], d[near]
     order = np.lexsort((ids[v], d, q))
     q, v, d = q[order], v[order], d[order]
     place = np.arange(len(q)) - np.searchsorted(q, q)

@@ -96,6 +96,30 @@ def test_neighbours_and_edge_cases(spark):
     assert rabitq.nearest(df.limit(0), df).count() == 0
 
 
+def test_ann_measures_a_block_without_copying_its_vectors():
+    """Most of a block is within the bound of a one-bit code where vectors point anywhere: measuring them copies no vector for each pair."""
+    import tracemalloc
+    rng = np.random.default_rng(3)
+    x, ids = rng.standard_normal((4096, 64)), np.arange(4096)
+    x[4000:] = x[:96]  # copies: ties go to the smaller id
+    centre, turn = x.mean(axis=0), rabitq.rotation(64)
+    codes = rabitq.encode(x, centre, turn)
+    tracemalloc.start()
+    try:
+        q, v, d = rabitq.search_block(ids, x, *codes, ids[:256], x[:256], centre, turn)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 64 << 20
+    full = np.sqrt(((x[:256, None] - x[None]) ** 2).sum(axis=2))
+    full[np.arange(256), np.arange(256)] = np.inf
+    want = np.argsort(full, axis=1, kind="stable")[:, :10]
+    assert [len(v[q == i]) for i in range(256)] == [10] * 256
+    assert sum(len(np.intersect1d(v[q == i], want[i])) for i in range(256)) >= 0.99 * 2560
+    assert np.allclose(d, full[q, v], rtol=1e-12)
+    assert v[q == 0][0] == 4000 and d[q == 0][0] == 0
+
+
 def test_bounds_hold():
     rng = np.random.default_rng(1)
     x = rng.standard_normal((2000, 64))
