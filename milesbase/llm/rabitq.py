@@ -8,9 +8,11 @@ measured exactly; then every vector whose lower bound is not above the worst of
 eps = 3 a true neighbour is passed over with a probability under 0.2 % (measured recall: see the tests).
 
 Scale: the index is cut into blocks of about ``block`` vectors by row count (ids and values don't matter, so there are
-no hot blocks), the queries likewise, and each pair of blocks is one row of an equi-join on the
-block number. A task holds one pair at a time and returns ``k`` rows for each query; a window with
-Spark's partial group limit keeps the best ``k``.
+no hot blocks), the queries likewise. Index blocks are dealt into at most as many groups as there are shuffle partitions, each
+group gets one copy of the queries, and each pair of blocks of a group is one row of an equi-join on the
+group number. The join is always a merge join: Spark sizes the copies by the queries before they are copied, and
+would broadcast them through the driver. A task returns ``k`` rows for each query of a pair; a window with
+Spark's partial group limit keeps the best ``k``. Vectors of floats are shuffled and stored as floats and measured as doubles.
 
 Edge cases: vectors that are null, zero, of another length than most, or hold null or non-finite components, and rows
 with a null id, take no part; query rows that repeat an id are answered once (smallest vector); rows with the query's own
@@ -23,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from milesbase.llm.common import prepare, staged
 
@@ -118,9 +121,11 @@ def nearest(table: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_co
     """query_id, rank, vec_id, score for each row of ``queries`` (same columns as ``table``)."""
     spark = table.sparkSession
     prepare(spark)
+    floats = all(df.schema[vec_col].dataType == ArrayType(FloatType(), df.schema[vec_col].dataType.containsNull) for df in (table, queries))
+    kind = np.float32 if floats else np.float64
 
     def usable(df):
-        v = F.col(f"`{vec_col}`").cast("array<double>")
+        v = F.col(f"`{vec_col}`").cast("array<float>" if floats else "array<double>")
         bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
         return df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), v.alias("v")).where(
             F.col("id").isNotNull() & F.col("v").isNotNull() & ~bad & F.exists("v", lambda x: x != 0))
@@ -160,7 +165,7 @@ def nearest(table: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_co
             ids.clear()
             vectors.clear()
             return pa.RecordBatch.from_arrays(
-                [pa.array([number], pa.int32()), *[pa.array([x.tobytes()], pa.binary()) for x in (i, v, codes, norms, inner)]],
+                [pa.array([number], pa.int32()), *[pa.array([x.tobytes()], pa.binary()) for x in (i, v.astype(kind), codes, norms, inner)]],
                 names=["block", "ids", "vectors", "codes", "norms", "inner"])
 
         for b in batches:
@@ -181,11 +186,16 @@ def nearest(table: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_co
                 ids.append(b.column(0).to_numpy())
                 vectors.append(_matrix(b.column(1), dims))
         if ids:
-            yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(ids).tobytes()], pa.binary()), pa.array([np.concatenate(vectors).tobytes()], pa.binary())],
+            yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(ids).tobytes()], pa.binary()), pa.array([np.concatenate(vectors).astype(kind).tobytes()], pa.binary())],
                                              names=["q_ids", "q_vectors"])
 
     blocks_of_queries = asked.repartition(n_query_blocks).mapInArrow(packed, "q_ids binary, q_vectors binary")
-    pairs = indexed.join(blocks_of_queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))), "block")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    groups = min(n_blocks, parts)
+    copies = blocks_of_queries.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    # given numbers of partitions are kept; by their bytes alone blocks would be put together that take long to search
+    pairs = indexed.withColumn("group", F.pmod("block", F.lit(groups))).repartition(parts, "group").hint("merge").join(
+        copies.repartition(parts, "group"), "group")
 
     def search(batches):
         for b in batches:
@@ -194,9 +204,9 @@ def nearest(table: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_co
                     x = np.frombuffer(b.column(name)[r].as_py(), kind)
                     return x.reshape(-1, width) if width else x
                 ids, q_ids = array("ids", np.int64), array("q_ids", np.int64)
-                q, v, d = search_block(ids, array("vectors", np.float64, dims), array("codes", np.uint8, -(-dims // 8)),
+                q, v, d = search_block(ids, array("vectors", kind, dims).astype(np.float64), array("codes", np.uint8, -(-dims // 8)),
                                        array("norms", np.float64), array("inner", np.float64), q_ids,
-                                       array("q_vectors", np.float64, dims), centre, turn, k, eps)
+                                       array("q_vectors", kind, dims).astype(np.float64), centre, turn, k, eps)
                 yield pa.RecordBatch.from_arrays([pa.array(q_ids[q]), pa.array(ids[v]), pa.array(d)], names=["query_id", "vec_id", "score"])
 
     found = pairs.mapInArrow(search, "query_id bigint, vec_id bigint, score double")

@@ -96,6 +96,28 @@ def test_neighbours_and_edge_cases(spark):
     assert rabitq.nearest(df.limit(0), df).count() == 0
 
 
+def test_ann_never_sends_copied_queries_through_the_driver(spark):
+    """Spark sizes the queries before they are copied to the blocks, and broadcast the copies where the queries alone were small."""
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((600, 8)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(3)
+    out = rabitq.nearest(df, df.where("vec_id % 50 = 0"), k=3, block=20, query_block=4)  # more blocks than shuffle partitions
+    y, found = x.astype(np.float64), defaultdict(list)
+    for r in sorted(out.collect(), key=lambda r: (r.query_id, r.rank)):
+        found[r.query_id].append((r.vec_id, r.score))
+    assert set(found) == set(range(0, 600, 50))
+    hits = 0
+    for q, near in found.items():
+        d = np.sqrt(((y - y[q]) ** 2).sum(axis=1))
+        assert len(near) == 3 and all(abs(s - d[v]) < 1e-12 for v, s in near)  # stored as floats, measured as doubles
+        hits += len({v for v, _ in near} & set([i for i in np.argsort(d) if i != q][:3]))
+    assert hits >= 33
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+    doubles = df.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    assert rabitq.nearest(doubles, df.where("vec_id = 0"), k=3, block=20).count() == 3  # queries of another type
+
+
 def test_ann_measures_a_block_without_copying_its_vectors():
     """Most of a block is within the bound of a one-bit code where vectors point anywhere: measuring them copies no vector for each pair."""
     import tracemalloc
