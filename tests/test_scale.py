@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from milesbase.operators import flatten as FL
-from milesbase.operators import folds, merge, serving
+from milesbase.operators import folds, merge, serving, text_parse
 from milesbase.operators.numbering import stored
 from milesbase.plans import domain as D
 
@@ -96,3 +96,38 @@ def test_answers_are_ranked_where_they_are_joined(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     window = plan.index("Window [row_number")
     assert "Exchange hashpartitioning(request_id" not in plan[window:plan.index("BroadcastHashJoin", window)]
+
+
+def test_lists_are_sorted_without_the_columns_that_only_the_answer_shows(spark):
+    day = datetime(2024, 2, 1).date()
+    f = spark.createDataFrame([("SEA", "JFK", day + timedelta(days=p % 2), "first", "AS", 0, 3, 100 + p // 3, f"AS {p}", "x" * 50) for p in range(30)],
+                              "origin string, destination string, date date, cabin_class string, airline string, stops int, available_seats int, points_cost int, "
+                              "raw_flight_number string, note string")
+    r = spark.createDataFrame([(i, "SEA", "JFK", day, day + timedelta(days=1), None, None, 1, None) for i in range(5)],
+                              "request_id long, origin string, destination string, date_from date, date_to date, cabin_class string, airline string, passengers int, max_points int")
+    out = serving.serve_awards(f, r, "2024-01-31", limit=20)
+    want = [(x.date, x.points_cost, x.raw_flight_number, x.note) for x in sorted(f.collect(), key=lambda x: (x.date, x.points_cost, x.raw_flight_number))][:20]
+    got = out.orderBy("request_id", "rank").collect()
+    assert [(x.date, x.points_cost, x.raw_flight_number, x.note) for x in got] == want * 5 and [x["rank"] for x in got] == [*range(1, 21)] * 5
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    window = plan.index("Window [row_number")
+    assert "note" not in plan[window:plan.index("Join ", window)]
+    assert serving.serve_awards(f.limit(0), r, "2024-01-31").count() == 0
+
+
+def test_a_duration_is_searched_once_for_each_of_its_parts(spark):
+    df = spark.createDataFrame([("12h 40m",), ("13h",), ("0h",), ("",), ("none",), (None,), ("99999999999h",), ("1h 99999999999m",), ("2H5M",)], "t string")
+    out = df.select(text_parse.duration_text("t").alias("m"))
+    assert [x.m for x in out.collect()] == [760, 780, None, None, None, None, None, None, 125]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract(") == 2 and "RLIKE" not in plan
+
+
+def test_times_of_a_trip_are_read_once(spark):
+    """Duration, next-day flag and details each name both clocks; their texts were parsed again for each."""
+    z = spark.createDataFrame([("SEA", "America/Los_Angeles"), ("JFK", "America/New_York")], "iata string, tz string")
+    df = spark.createDataFrame([("SEA", "JFK", datetime(2024, 2, 1).date(), T0, "{}")],
+                               "origin string, destination string, travel_date date, scraped_at_utc timestamp_ntz, payload string")
+    for flatten in (FL.flatten_turkish, FL.flatten_jetblue, FL.flatten_delta):
+        plan = flatten(df, z, details=True)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("gettimestamp(") == 2, flatten.__name__
